@@ -1,0 +1,36 @@
+"""Connected components of a link table, by least-label steps with pointer jumping."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from chatloom.llm.common import stored
+
+MAX_ROUNDS = 60
+
+
+def connected(links: DataFrame) -> DataFrame:
+    """(node, component) for links(a, b): component is the least node that a node is linked with, over any number of links.
+
+    Alternates hooking (each node points at the least neighbour of its group) and halving of the paths, so
+    the rounds grow with the logarithm of the longest path. No links give no rows. Links to itself and
+    repeated links do no harm.
+    """
+    edges = links.select("a", "b").where(F.col("a") != F.col("b"))
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = stored(both.distinct(), "edges")
+    labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    for _ in range(MAX_ROUNDS):
+        of = labels.select(F.col("node").alias("b"), F.col("label").alias("theirs"))
+        near = edges.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("theirs").alias("near"))
+        stepped = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
+        # A group's own label follows the least label that any of its members has met.
+        roots = stepped.groupBy("label").agg(F.min("next").alias("up"))
+        jumped = stepped.join(roots.withColumnRenamed("label", "next").withColumnRenamed("up", "far"), "next", "left")
+        moved = stored(jumped.select("node", "label", F.least("next", F.coalesce("far", "next")).alias("new")), "labels")
+        changed = bool(moved.where(F.col("label") != F.col("new")).head(1))
+        labels = moved.select("node", F.col("new").alias("label"))
+        if not changed:
+            return labels.withColumnRenamed("label", "component")
+    raise RuntimeError("components have not settled; raise MAX_ROUNDS")
