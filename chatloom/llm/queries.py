@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chatloom.llm import pii
+from chatloom.llm.decontamination import op6_decontamination
+from chatloom.llm.jaccard_join import op1_jaccard_join
 from chatloom.llm.pii import op4_pii
 from chatloom.llm.quality import op3_quality_rules
+from chatloom.llm.sentencepieces import op9_sentencepiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op3_quality_rules": op3_quality_rules,
     "op4_pii": op4_pii,
+    "op6_decontamination": op6_decontamination,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
