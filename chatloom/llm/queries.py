@@ -6,21 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import pii
+from chatloom.llm import pii, warc
 from chatloom.llm.decontamination import op6_decontamination
 from chatloom.llm.jaccard_join import op1_jaccard_join
+from chatloom.llm.langid import op5_language_id
 from chatloom.llm.pii import op4_pii
 from chatloom.llm.quality import op3_quality_rules
 from chatloom.llm.sentencepieces import op9_sentencepiece
+from chatloom.llm.warc import op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op3_quality_rules": op3_quality_rules,
     "op4_pii": op4_pii,
+    "op5_language_id": op5_language_id,
     "op6_decontamination": op6_decontamination,
+    "op8_warc": op8_warc,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
     "op4_pii": pii.ORACLE,
+    "op8_warc": warc.ORACLE,
 }
