@@ -57,12 +57,12 @@ def chunks(batch: pa.RecordBatch, column: str, lower: bool = True) -> Iterator[t
         start = stop
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first): byte spans of the words, and for each row the index of its first word (one more than rows)."""
     if not len(data):
         none = np.zeros(0, dtype=np.int64)
         return none, none, np.zeros(len(offsets), dtype=np.int64)
-    space = _SPACE[data]
+    space = between[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
     before = np.empty(len(data), dtype=bool)
