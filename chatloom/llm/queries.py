@@ -13,6 +13,7 @@ from chatloom.llm.langid import op5_language_id
 from chatloom.llm.pii import op4_pii
 from chatloom.llm.quality import op3_quality_rules
 from chatloom.llm.sentencepieces import op9_sentencepiece
+from chatloom.llm.toxicity import op7_toxicity
 from chatloom.llm.warc import op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_language_id": op5_language_id,
     "op6_decontamination": op6_decontamination,
+    "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op9_sentencepiece": op9_sentencepiece,
 }

@@ -1,6 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic documents and unlabelled documents train a linear numpy classifier on the words a text holds.
+Confirmed toxic documents and unlabelled documents train a linear numpy classifier on the words a text holds and
+on their beginnings.
 The risk of the positives' share is taken out of the unlabelled risk by the class prior, and where the rest
 turns negative (overfitting) the step goes the other way. The prior is the share of toxic documents among
 the labelled ones that may be learned from. Training uses at most about SAMPLE positives and SAMPLE
@@ -25,7 +26,7 @@ from chatloom.llm.common import table
 from chatloom.llm.textops import chunks, span_hashes, word_spans
 
 #: Bound on the positive and on the unlabelled documents of the fit.
-SAMPLE = 15_000
+SAMPLE = 12_000
 #: Words become features if so many distinct documents of the sample hold them, if their shares of positive and
 #: of unlabelled documents lie this many standard errors apart, and if they are among so many such words.
 LEAST_DOCS, APART, FEATURES = 5, 6.0, 1024
@@ -35,10 +36,22 @@ CUT = 0.7
 BETWEEN = np.array([not chr(c).isalnum() if c < 128 else False for c in range(256)])
 
 
-def row_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word hashes, offsets by row), in order of the text."""
+#: Lengths in bytes of the word beginnings that count as features beside whole words.
+BEGINNINGS = (4, 6, 8, 10)
+#: Marks the feature that a text holds a feature twice or more.
+TWICE = np.uint64(0x5851F42D4C957F2D)
+
+
+def row_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(feature hashes, row of each): the whole words of a text and the beginnings of its longer words."""
     starts, ends, first = word_spans(data, offsets, BETWEEN)
-    return span_hashes(data, starts, ends), first
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    hashes, rows = [span_hashes(data, starts, ends)], [row]
+    for n in BEGINNINGS:
+        own = ends - starts > n
+        hashes.append(span_hashes(data, starts[own], starts[own] + n) ^ np.uint64(n))
+        rows.append(row[own])
+    return np.concatenate(hashes), np.concatenate(rows)
 
 
 @dataclass
@@ -47,14 +60,18 @@ class Classifier:
     weights: np.ndarray
     bias: float
 
-    def score(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-        rows = len(at) - 1
+    def score(self, hashes: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
         if not len(self.words):
             return np.zeros(rows)
-        spot = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        n = len(self.words)
+        spot = np.minimum(np.searchsorted(self.words, hashes), n - 1)
         hit = np.flatnonzero(self.words[spot] == hashes)
-        row = np.searchsorted(at, hit, "right") - 1
-        both = np.unique(row * len(self.words) + spot[hit])
+        both = np.unique(row[hit] * n + spot[hit])
+        again = hashes ^ TWICE
+        spot = np.minimum(np.searchsorted(self.words, again), n - 1)
+        hit = np.flatnonzero(self.words[spot] == again)
+        pairs, times = np.unique(row[hit] * n + spot[hit], return_counts=True)
+        both = np.concatenate([both, pairs[times > 1]])
         total = np.bincount(both // len(self.words), weights=self.weights[both % len(self.words)], minlength=rows) + self.bias
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
@@ -102,8 +119,13 @@ def fit(docs: list[np.ndarray], positive: np.ndarray, unlabelled: np.ndarray, pr
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, data, offsets in chunks(batch, "text"):
-            hashes, at = row_words(data, offsets)
-            sets = [np.unique(hashes[at[i] : at[i + 1]]).view(np.int64) for i in range(len(at) - 1)]
+            hashes, row = row_features(data, offsets)
+            hashes = hashes[np.argsort(row, kind="stable")]
+            at = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(part)))])
+            sets = []
+            for i in range(len(part)):
+                own, times = np.unique(hashes[at[i] : at[i + 1]], return_counts=True)
+                sets.append(np.concatenate([own, own[times > 1] ^ TWICE]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("positive"), part.column("unlabelled"), pa.array(sets, pa.list_(pa.int64()))],
                 ["doc_id", "positive", "unlabelled", "words"],
@@ -139,7 +161,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifie
 def _score(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, data, offsets in chunks(batch, "text"):
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(*row_words(data, offsets)))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(*row_features(data, offsets), len(part)))], ["doc_id", "score"])
 
 
 def score(docs: DataFrame, model: Classifier) -> DataFrame:
