@@ -6,18 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import pii, warc
+from chatloom.llm import pii, token_counts, warc
 from chatloom.llm.decontamination import op6_decontamination
 from chatloom.llm.jaccard_join import op1_jaccard_join
 from chatloom.llm.langid import op5_language_id
+from chatloom.llm.lmscore import op10_lm_score
 from chatloom.llm.pii import op4_pii
 from chatloom.llm.quality import op3_quality_rules
 from chatloom.llm.sentencepieces import op9_sentencepiece
+from chatloom.llm.token_counts import op2_token_counts
 from chatloom.llm.toxicity import op7_toxicity
 from chatloom.llm.warc import op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_token_counts": op2_token_counts,
     "op3_quality_rules": op3_quality_rules,
     "op4_pii": op4_pii,
     "op5_language_id": op5_language_id,
@@ -25,9 +28,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_token_counts": token_counts.ORACLE,
     "op4_pii": pii.ORACLE,
     "op8_warc": warc.ORACLE,
 }
