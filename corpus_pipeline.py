@@ -1,4 +1,7 @@
-"""Documents through the stages of a training-data pipeline: each stage's rows are written and read again as the next one's input."""
+"""Documents through the stages of a training-data pipeline: each stage's rows are written and read again as the next one's input.
+
+Rows without a doc_id can be named by no verdict: they pass the filtering stages.
+"""
 
 from __future__ import annotations
 
@@ -6,16 +9,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import stored, table
+from chatloom.llm.decontamination import find_items
+from chatloom.llm.jaccard_join import jaccard_classes
+from chatloom.llm.pii import mask_pii
 from chatloom.llm.quality import quality_rules
+from chatloom.llm.sentencepieces import encode
+
+
+def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """docs but for those whose ids are listed."""
+    return docs.join(stored(ids.select("doc_id").distinct(), name), "doc_id", "left_anti").select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    verdict = quality_rules(docs).where(F.col("kept")).select("doc_id").distinct()
-    return docs.join(verdict, "doc_id", "left_semi")
+    """Documents that the quality rules don't reject."""
+    return _without(docs, quality_rules(docs).where(~F.col("kept")), "rejected")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of similar documents that with the least doc_id."""
+    return _without(docs, jaccard_classes(docs).where("class_id <> doc_id"), "copies")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return _without(docs, find_items(docs, table(spark, sf_dir, "benchmark")).where(F.size("item_ids") > 0), "contaminated")
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data masked."""
+    return mask_pii(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return encode(docs)
 
 
-STAGES = [("quality_rules", quality)]
+STAGES = [
+    ("quality_rules", quality),
+    ("jaccard_join", near_duplicates),
+    ("decontamination", decontaminate),
+    ("pii", pii),
+    ("sentencepiece", tokenize),
+]
 
 #: The near-duplicate, decontamination and tokenizing stages have no SQL form; tests hold them to brute force.
 ORACLE_SQL = None
