@@ -139,11 +139,11 @@ def resolve_greedy(components: DataFrame) -> DataFrame:
 
 def ttl_anchor(df: DataFrame, days: int = 90) -> DataFrame:
     """(hash, created_at, duplicate): sightings by time; one within days of its anchor repeats it, a later one is the next anchor."""
-    span = F.lit(days * 86400)
+    span = F.lit(days * 86_400_000_000)
     times = F.array_sort(F.collect_list(F.unix_micros("created_at")))
 
     def step(a: Column, t: Column) -> Column:
-        fresh = a["anchor"].isNull() | (t >= a["anchor"] + span * 1_000_000)
+        fresh = a["anchor"].isNull() | (t >= a["anchor"] + span)
         return F.struct(
             F.when(fresh, t).otherwise(a["anchor"]).alias("anchor"),
             F.concat(a["out"], F.array(F.struct(t.alias("t"), (~fresh).alias("duplicate")))).alias("out"),
