@@ -2,41 +2,21 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.sources.scratch import fs_path, scratch, stored
+
+__all__ = ["WS", "fs_path", "scratch", "stored", "table", "words"]
+
 #: Separators of words: the ASCII white space of the contracts.
 WS = r"[\x20\x09-\x0D]+"
-#: Used only where the session names no checkpoint folder (tests on one machine).
-LOCAL_SCRATCH = "file:///tmp/checkpoints"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name in the folder that the cluster shares."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SCRATCH
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: lineage ends here, and lost executors cost no recomputation."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def fs_path(spark: SparkSession, uri: str):
-    """Hadoop's file system and path of a URI, for renames and deletes by the driver."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
 def words(text: Column) -> Column:
     """Words of a text in order; none for null or blank texts."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WS, -1), lambda w: w != "")
