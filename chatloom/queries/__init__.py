@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from chatloom.queries import conversations, duplicates
+from chatloom.queries import conversations, duplicates, plans, reports
 
-_ALL = conversations.QUERIES | duplicates.QUERIES
+_ALL = conversations.QUERIES | duplicates.QUERIES | plans.QUERIES | reports.QUERIES
 
 QUERIES = {name: query for name, (query, _) in _ALL.items()}
 ORACLES = {name: sql for name, (_, sql) in _ALL.items() if sql}
