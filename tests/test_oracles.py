@@ -1,0 +1,35 @@
+"""Every query with SQL against DuckDB on the small tables; skipped where they are absent."""
+
+from __future__ import annotations
+
+import math
+from pathlib import Path
+
+import duckdb
+import pytest
+
+from chatloom.queries import ORACLES, QUERIES
+
+DATA = Path("/root/testdata/sf0.001")
+
+
+def plain(v):
+    return "nan" if isinstance(v, float) and math.isnan(v) else f"{v:.6g}" if isinstance(v, float) else str(v)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for p in DATA.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
+    return con
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no tables")
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query(spark, duck, name):
+    df = QUERIES[name](spark, str(DATA))
+    cols = sorted(df.columns)
+    got = sorted("|".join(map(plain, r)) for r in df.select(*cols).collect())
+    want = duck.sql(f"SELECT {', '.join(cols)} FROM ({ORACLES[name]})").fetchall()
+    assert got == sorted("|".join(map(plain, r)) for r in want)
