@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import pii, token_counts, warc
+from chatloom.llm import jaccard_join, pii, quality, token_counts, warc
 from chatloom.llm.decontamination import op6_decontamination
 from chatloom.llm.jaccard_join import op1_jaccard_join
 from chatloom.llm.langid import op5_language_id
@@ -32,7 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_jaccard_join": jaccard_join.ORACLE,
     "op2_token_counts": token_counts.ORACLE,
+    "op3_quality_rules": quality.ORACLE,
     "op4_pii": pii.ORACLE,
     "op8_warc": warc.ORACLE,
 }
