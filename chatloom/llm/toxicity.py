@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import table
+from chatloom.llm.common import stored, table
 from chatloom.llm.textops import chunks, span_hashes, word_spans
 
 #: Bound on the positive and on the unlabelled documents of the fit.
@@ -76,33 +76,52 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
 
-def fit(docs: list[np.ndarray], positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Classifier:
-    """docs: distinct word hashes of each; positive: confirmed; unlabelled: drawn from all documents, confirmed ones among them."""
-    none = Classifier(np.zeros(0, dtype=np.uint64), np.zeros(0), 0.0)
-    if not positive.any() or not unlabelled.any():
-        return none
-    # Copies would make any word of theirs look telling.
-    first = sorted({(bool(p), bool(u), d.tobytes()): i for i, (d, p, u) in enumerate(zip(docs, positive, unlabelled, strict=True))}.values())
-    docs, positive, unlabelled = [docs[i] for i in first], positive[first], unlabelled[first]
-    sizes = np.array([len(d) for d in docs])
-    flat, row = np.concatenate(docs), np.repeat(np.arange(len(docs)), sizes)
-    words, inverse, n = np.unique(flat, return_inverse=True, return_counts=True)
-    in_p = np.bincount(inverse, weights=positive[row], minlength=len(words)) / positive.sum()
-    in_u = np.bincount(inverse, weights=unlabelled[row], minlength=len(words)) / unlabelled.sum()
-    share = n / len(docs)
-    error = np.sqrt(share * (1 - share) * (1 / positive.sum() + 1 / unlabelled.sum()))
-    spread = np.abs(in_p - in_u) / np.maximum(error, 1e-12)
-    chosen = np.flatnonzero((n >= LEAST_DOCS) & (spread >= APART))
-    chosen = np.sort(chosen[np.argsort(-spread[chosen], kind="stable")[:FEATURES]])
-    place = np.full(len(words), -1)
-    place[chosen] = np.arange(len(chosen))
-    keep = place[inverse] >= 0
-    row, col = row[keep], place[inverse[keep]]
-    w, b = np.zeros(len(chosen)), float(np.log(prior / (1 - prior)))
+def distinct_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """row_features without repeats, and the mark TWICE of those that repeat."""
+    hashes, row = row_features(data, offsets)
+    if not len(hashes):
+        return hashes, row
+    order = np.lexsort((hashes, row))
+    hashes, row = hashes[order], row[order]
+    new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])])
+    first = np.flatnonzero(new)
+    often = np.diff(np.concatenate([first, [len(hashes)]])) > 1
+    return np.concatenate([hashes[first], hashes[first[often]] ^ TWICE]), np.concatenate([row[first], row[first[often]]])
+
+
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, data, offsets in chunks(batch, "text"):
+            hashes, row = distinct_features(data, offsets)
+            marks = [part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("positive", "unlabelled")]
+            words, inverse = np.unique(hashes, return_inverse=True)
+            p, u = (np.bincount(inverse, weights=m[row], minlength=len(words)).astype(np.int64) for m in marks)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(p), pa.array(u)], ["word", "p", "u"])
+
+
+def _chosen_features(batches: Iterator[pa.RecordBatch], words: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The places in words of what each row holds."""
+    for batch in batches:
+        for part, data, offsets in chunks(batch, "text"):
+            hashes, row = distinct_features(data, offsets)
+            spot = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
+            hit = words[spot] == hashes
+            order = np.argsort(row[hit], kind="stable")
+            at = np.concatenate([[0], np.cumsum(np.bincount(row[hit], minlength=len(part)))]).astype(np.int32)
+            held = pa.ListArray.from_arrays(pa.array(at), pa.array(spot[hit][order].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("key"), part.column("positive"), part.column("unlabelled"), held], ["key", "positive", "unlabelled", "held"]
+            )
+
+
+def fit(words: np.ndarray, row: np.ndarray, col: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Classifier:
+    """Trains on documents that hold feature col in row; positive: confirmed; unlabelled: drawn from all, confirmed ones among them."""
+    docs = len(positive)
+    w, b = np.zeros(len(words)), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     share_p, share_u = positive / positive.sum(), unlabelled / unlabelled.sum()
     for t in range(1, ROUNDS + 1):
-        f = np.bincount(row, weights=w[col], minlength=len(docs)) + b
+        f = np.bincount(row, weights=w[col], minlength=docs) + b
         p = 1 / (1 + np.exp(-np.clip(f, -40, 40)))
         loss_neg = np.logaddexp(0, f)
         rest = (share_u * loss_neg).sum() - prior * (share_p * loss_neg).sum()
@@ -113,23 +132,7 @@ def fit(docs: list[np.ndarray], positive: np.ndarray, unlabelled: np.ndarray, pr
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         step = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
-    return Classifier(words[chosen], w, float(b))
-
-
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part, data, offsets in chunks(batch, "text"):
-            hashes, row = row_features(data, offsets)
-            hashes = hashes[np.argsort(row, kind="stable")]
-            at = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(part)))])
-            sets = []
-            for i in range(len(part)):
-                own, times = np.unique(hashes[at[i] : at[i + 1]], return_counts=True)
-                sets.append(np.concatenate([own, own[times > 1] ^ TWICE]).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("positive"), part.column("unlabelled"), pa.array(sets, pa.list_(pa.int64()))],
-                ["doc_id", "positive", "unlabelled", "words"],
-            )
+    return Classifier(words, w, float(b))
 
 
 def _few(key: Column, n: int, sample: int) -> Column:
@@ -139,23 +142,36 @@ def _few(key: Column, n: int, sample: int) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     """From docs(doc_id, text) and labels(doc_id, toxic), all of which may be learned from."""
+    none = Classifier(np.zeros(0, dtype=np.uint64), np.zeros(0), 0.0)
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") == 1).alias("toxic"))
     counts = marked.agg(F.count("*").alias("n"), F.count_if("toxic").alias("p")).first()
     if not counts.p:
-        return fit([], np.zeros(0, dtype=bool), np.zeros(0, dtype=bool), 0.5)
+        return none
     prior = min(max(counts.p / counts.n, 1e-3), 0.9)
     known = marked.where("toxic").where(_few(F.col("doc_id"), counts.p, sample)).select("doc_id", F.lit(True).alias("positive"))
     chosen = _few(F.col("doc_id"), docs.count(), sample)
     # The sample bounds the positives' ids, so they can be broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", "left").where(F.col("positive") | chosen)
-    rows = rows.select("doc_id", "text", F.coalesce("positive", F.lit(False)).alias("positive"), chosen.alias("unlabelled"))
-    got = rows.mapInArrow(_distinct_words, "doc_id long, positive boolean, unlabelled boolean, words array<bigint>").toArrow()
-    lists = got.column("words").combine_chunks()
-    at = lists.offsets.to_numpy()
-    flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
-    positive, unlabelled = (got.column(c).to_numpy().astype(bool)[order] for c in ("positive", "unlabelled"))
-    return fit([flat[at[i] : at[i + 1]] for i in order], positive, unlabelled, prior)
+    rows = rows.select(F.md5("text").alias("key"), "text", F.coalesce("positive", F.lit(False)).alias("positive"), chosen.alias("unlabelled"))
+    # Copies would make any word of theirs look telling.
+    rows = stored(rows.where("text IS NOT NULL").dropDuplicates(["key", "positive", "unlabelled"]), "toxicity-sample")
+    size = rows.agg(F.count_if("positive").alias("p"), F.count_if("unlabelled").alias("u"), F.count("*").alias("n")).first()
+    if not size.p or not size.u:
+        return none
+    found = rows.mapInArrow(_feature_counts, "word long, p long, u long").groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    share = (F.col("p") + F.col("u")) / (size.p + size.u)
+    error = F.sqrt(share * (1 - share) * (1 / size.p + 1 / size.u))
+    apart = found.withColumn("apart", F.abs(F.col("p") / size.p - F.col("u") / size.u) / F.greatest(error, F.lit(1e-12)))
+    apart = apart.where((F.col("p") + F.col("u") >= LEAST_DOCS) & (F.col("apart") >= APART)).orderBy(F.desc("apart"), "word").limit(FEATURES)
+    words = np.sort(np.array([r.word for r in apart.collect()], dtype=np.int64).view(np.uint64))
+    if not len(words):
+        return none
+    got = rows.mapInArrow(lambda b: _chosen_features(b, words), "key string, positive boolean, unlabelled boolean, held array<int>")
+    got = got.orderBy("key", "positive", "unlabelled").toArrow()
+    held = got.column("held").combine_chunks()
+    row = np.repeat(np.arange(len(got)), np.diff(held.offsets.to_numpy()))
+    positive, unlabelled = (got.column(c).to_numpy().astype(bool) for c in ("positive", "unlabelled"))
+    return fit(words, row, held.flatten().to_numpy(), positive, unlabelled, prior)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa.RecordBatch]:
