@@ -115,13 +115,15 @@ def process(raw: DataFrame, cfg: Config) -> DataFrame:
     reason = F.coalesce("shape", "broken", F.when(wordless, F.lit("no_words_in_conversation")), min_length_reason(turns, cfg.min_lines), F.lit("ok"))
     out = out.withColumn("reason", reason).withColumn("ok", F.col("reason") == "ok")
     ok = F.col("ok")
-    return out.select(
+    row = F.struct(
         "conv_id", "ok", "reason",
         F.when(ok, soft_flags(turns, cfg)).otherwise(F.array().cast("array<string>")).alias("flags"),
         F.when(ok, F.col("tag_fixes") + F.col("fixed.n")).otherwise(F.lit(0)).alias("fixes"),
         F.when(ok, turns).otherwise(F.array().cast(TURNS)).alias("turns"),
         F.when(ok, render(turns, cfg.persona)).otherwise(F.lit("")).alias("text"),
     )
+    # Filters on the result stop at a generator; pushed through the projections they would repeat all of their expressions.
+    return out.select(F.explode(F.array(row)).alias("r")).select("r.*")
 
 
 def validate(raw: DataFrame, cfg: Config) -> DataFrame:

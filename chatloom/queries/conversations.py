@@ -77,6 +77,16 @@ def double_tags(spark, d):
     return raw(spark, d).select("conv_id", fixed["n"].cast("long").alias("n_fixed"), fixed["text"].alias("text"))
 
 
+def curate_job(spark, d):
+    """The whole way from raw text to routed chat records; turns are cut out of each conversation twice, so copies occur."""
+    from chatloom.plans.jobs import curate
+
+    own = raw(spark, d).select("conv_id", F.col("conv_id").alias("seq"), "text")
+    both = own.unionByName(own.select((F.col("conv_id") + 1_000_000_000).alias("conv_id"), (F.col("seq") + 1_000_000_000).alias("seq"), F.upper("text").alias("text")))
+    out = curate(both, CFG, PROMPT, DAY)
+    return out.select("conv_id", "ok", "reason", "dup_reason", "bucket", "tag", F.sha2("record", 256).alias("record_hash"))
+
+
 #: Oracle: the closed form of the double-tag rule by running counts, in the place of a fold.
 DT = r"""
 l AS (SELECT conv_id, i, ls[i] AS line FROM (SELECT conv_id, string_split({src}, chr(10)) AS ls, unnest(range(1, len(string_split({src}, chr(10))) + 1)) AS i FROM {rel})),
@@ -313,6 +323,7 @@ QUERIES = {
     "emoji_collapse": (emoji_collapse, f"WITH {T}, e AS (SELECT conv_id, turn, {EMO} AS text FROM t) SELECT conv_id, turn::BIGINT AS turn, regexp_replace(text, '{_RUNSQL}', '\\1\\2\\3', 'g') AS text, len(regexp_extract_all(text, '{_RUNSQL}'))::BIGINT AS n FROM e"),
     "emoji_cap": (emoji_cap, CAPSQL),
     "process": (process, None),
+    "curate_job": (curate_job, None),
     "validate": (validate, VALIDATE),
     "topic_bias": (topic_bias, "SELECT n_nationkey, CASE WHEN regexp_matches(lower(n_name || ' '), 'an|ru') THEN 'heavy' WHEN regexp_matches(lower(n_name || ' '), 'i') THEN 'fun' END AS bias FROM nation"),
     "routed_tags": (routed_tags, f"WITH {FLAGS} SELECT conv_id, CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch' END AS bucket, CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch-{DAY}' END AS tag FROM fl"),

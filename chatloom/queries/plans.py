@@ -9,6 +9,7 @@ from chatloom.queries.base import read
 
 STAGES = [("0", 4), ("1", 8), ("2", 26), ("3", 26), ("4", 20), ("5", 16)]
 TONES = [("fun", 60), ("soft", 25), ("heavy", 15)]
+STYLES = [("short", 3), ("chatty", 3), ("shy", 2)]
 EDGES = [("alone", 20.0, 3), ("real", 10.0, 0), ("tired", 5.0, 0)]
 TYPES = [("banter", "fun", 0), ("care", "heavy", 0), ("warm", "soft", 1), ("deep", "soft", 4), ("open", None, 2)]
 CATEGORIES = [("greet", "banter"), ("tease", "banter"), ("hold", "care"), ("dream", "warm"), ("vow", "deep"), ("story", "open"), ("stray", "none")]
@@ -201,10 +202,19 @@ def prompt(spark, d):
     return out.select("slot_id", text.alias("prompt"))
 
 
+def plan_job(spark, d):
+    """The whole plan: a row per slot with its draws."""
+    from chatloom.plans.jobs import plan
+
+    out = plan(_topics(spark, d), 4000, STAGES, TONES, STYLES, EDGES)
+    return out.select("leaf_path", "slot", F.col("stage").cast("long"), "tone", "style", "edge")
+
+
 EDGE = "CASE" + "".join(f" WHEN stage >= {least} AND {_u(f'edge:{name}')} < {rate / 100.0} THEN '{name}'" for name, rate, least in EDGES) + " END"
 RANK = "md5('42|{0}|' || slot_id || '|' || mood)"
 
 QUERIES = {
+    "plan_job": (plan_job, f"WITH {QUOTA}, sl AS (SELECT leaf_path, slot, leaf_path || '#' || slot AS slot_id FROM (SELECT leaf_path, unnest(range(1, quota + 1))::BIGINT AS slot FROM q)), dr AS (SELECT *, ({_case('stage', STAGES)})::BIGINT AS stage, {_case('tone', TONES)} AS tone, {_case('style', STYLES)} AS style FROM sl) SELECT leaf_path, slot, stage, tone, style, {EDGE} AS edge FROM dr"),
     "flatten_tree": (flatten_tree, f"WITH {LEAF} SELECT * FROM leaf"),
     "seeded_order": (seeded_order, f"WITH {LEAF}, {ORDER} SELECT * FROM p"),
     "quotas": (quotas, f"WITH {QUOTA} SELECT leaf_path, quota::BIGINT AS quota FROM q"),
