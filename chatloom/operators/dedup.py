@@ -109,8 +109,8 @@ def dup_reason(keyed_rows: DataFrame, sig: tuple[int, int] = (9, 10), opn: tuple
     for rank, (rows, reason) in enumerate(marks):
         own = rows.select("seq", F.lit(rank).alias("rank"), F.lit(reason).alias("reason"))
         union = own if union is None else union.unionByName(own)
-    first = union.groupBy("seq").agg(F.min_by("reason", "rank").alias("reason"))
-    return keyed_rows.join(first, "seq", "left").select("conv_id", "seq", F.coalesce("reason", F.lit("unique")).alias("dup_reason"))
+    first = union.groupBy("seq").agg(F.min_by("reason", "rank").alias("_first"))
+    return keyed_rows.select("conv_id", "seq").join(first, "seq", "left").select("conv_id", "seq", F.coalesce("_first", F.lit("unique")).alias("dup_reason"))
 
 
 def resolve(marked: DataFrame, policy: str = "drop") -> DataFrame:
