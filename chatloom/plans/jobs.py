@@ -12,13 +12,15 @@ from chatloom.operators.dedup import dup_reason, keyed
 from chatloom.operators.parsing import clean_llm_text, parse_json_pairs, to_chatml
 from chatloom.operators.validation import process
 from chatloom.sources.conversations import routed
+from chatloom.sources.scratch import stored
 
 
 def curate(raw: DataFrame, cfg: Config, system_prompt: str, day: str) -> DataFrame:
     """(conv_id, ok, reason, dup_reason, bucket, tag, record) of raw(conv_id, seq, text). Dedup sees repaired text; rejects enter no memory."""
     text = parse_json_pairs(clean_llm_text(F.coalesce("text", F.lit(""))), cfg.persona)
-    done = process(raw.select("conv_id", text.alias("text")), cfg).join(raw.select("conv_id", "seq"), "conv_id")
-    good = keyed(done.where("ok"))
+    # Written once: the marks below read the rows from many sides.
+    done = stored(process(raw.select("conv_id", text.alias("text")), cfg).join(raw.select("conv_id", "seq"), "conv_id"), "validated")
+    good = stored(keyed(done.where("ok")).select("seq", "conv_id", "hash", "signature", "opening"), "keyed")
     marks = dup_reason(good, cfg.signature_threshold, cfg.opening_threshold).select("conv_id", "dup_reason")
     out = routed(done.join(marks, "conv_id", "left"), day)
     kept = F.col("dup_reason") == "unique"
