@@ -94,7 +94,7 @@ def test_jaccard_join_odd(odd):
 
 
 def test_runs_reach_the_target():
-    assert 1 - (1 - J.level_recall(depth=J.DEPTH - 1)) ** J.runs_for() >= J.RECALL
+    assert 1 - (1 - J.level_recall()) ** J.runs_for() >= J.RECALL
 
 
 # 2
