@@ -4,9 +4,11 @@ A text's set is its lower-cased five-word shingles. Each set is embedded as T Mi
 tokens of two sets are then the coordinates on which their values agree. A run descends a tree: a node's
 own hash samples about 1/threshold of the T coordinates, and a set goes to one child for each sampled
 coordinate, named by its value there. Nodes with few sets are compared by brute force on the embeddings;
-sets in larger nodes descend again. Runs repeat until a pair at the threshold is met with the target
-recall. Nodes that stay large at the last depth hold sets that agree on every sampled token: these are cut
-into hashed blocks, others in each run, that are compared by brute force.
+sets in larger nodes descend again. Runs repeat until a pair at the threshold shares a node of the last depth
+with the target recall. Larger nodes are first cut into hashed blocks that are compared by brute force, which
+links crowds of near copies; a node whose sets are all connected by then has nothing left to find and goes no
+further. What is still large and not connected at the last depth is compared in full, BLOCK embeddings by
+BLOCK embeddings, so sharing a node is being compared at every size.
 
 What the nodes bring together are groups of candidates; a node reports a spanning forest, so no group is
 expanded into pairs. Inside each group every pair of sets is then compared exactly, in blocks of BLOCK sets
@@ -38,7 +40,7 @@ from chatloom.operators.components import connected
 T = 128
 THRESHOLD = 0.8
 RECALL = 0.999
-DEPTH = 3
+DEPTH = 5
 #: Nodes of this many sets or fewer are compared by brute force.
 SMALL = 48
 #: Sets on either side of a block of exact comparisons.
@@ -192,6 +194,27 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(both.min(axis=0)), pa.array(both.max(axis=0))], ["a", "b"])
 
 
+def _brute_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As _brute within runs of equal block, for pairs of sets that are not connected yet."""
+    least = (THRESHOLD - SLACK) * T
+    for batch in _runs_of_equals(batches, lambda b: b.column("block").to_numpy(zero_copy_only=False), 1000):
+        ids, component = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "component"))
+        side, same = (batch.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("side", "same"))
+        rows = _matrix(batch.column("sketch"))
+        edges = _edges_of(batch.column("block").to_numpy(zero_copy_only=False))
+        pairs = [np.zeros((2, 0), dtype=np.int64)]
+        for s, e in zip(edges[:-1], edges[1:], strict=True):
+            own = rows[s:e]
+            near = np.array([(own == own[i]).sum(axis=1) >= least for i in range(e - s)])
+            near &= component[s:e, None] != component[None, s:e]
+            if not same[s]:
+                near &= side[s:e, None] != side[None, s:e]
+            if links := forest(near):
+                pairs.append(ids[s + np.array(links).T])
+        both = np.concatenate(pairs, axis=1).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(both.min(axis=0)), pa.array(both.max(axis=0))], ["a", "b"])
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's sorted distinct shingle hashes as bytes."""
     for batch in batches:
@@ -258,37 +281,63 @@ def copies_and_sketches(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(_sketches, "doc_id long, copy_key string, has_words boolean, sketch binary")
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def _unsettled(large: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, n, doc_id, component) of the nodes in large(node, n, doc_id) whose sets the links do not connect to one component."""
+    known = connected(links).withColumnRenamed("node", "doc_id")
+    own = stored(large.join(known, "doc_id", "left").select("node", "n", "doc_id", F.coalesce("component", "doc_id").alias("component")), "large-nodes")
+    mixed = own.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return stored(own.join(mixed.select("node"), "node", "left_semi"), "unsettled")
+
+
+def _in_full(large: DataFrame, sketches: DataFrame, n_reduce: int) -> DataFrame:
+    """(a, b) that connect the sets of large(node, n, doc_id, component) that agree enough: all pairs of a node, block by block."""
+    own = large.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    own = own.withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = own.select("*", other).select(
+        F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"),
+        "doc_id", "component", (F.col("mine") > F.col("other")).alias("side"), (F.col("mine") == F.col("other")).alias("same"),
+    )
+    dealt = dealt.join(sketches.select("doc_id", "sketch"), "doc_id")
+    return dealt.repartition(n_reduce, "block").sortWithinPartitions("block", "doc_id").mapInArrow(_brute_blocks, "a long, b long")
+
+
 def candidate_links(sketches: DataFrame, runs: int, n_reduce: int) -> DataFrame:
-    """Distinct (a, b) that connect the distinct texts whose embeddings agree enough in some run's small node or block."""
+    """Distinct (a, b) that connect the distinct texts whose embeddings agree enough in some run's small node, or large one of the last depth."""
     found: list[DataFrame] = []
     rows = stored(sketches.mapInArrow(lambda b: _descend(b, runs), "node long, doc_id long"), "nodes")
     for depth in range(1, DEPTH + 1):
         sizes = stored(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "node-sizes")
         sized = rows.join(sizes, "node")
-        last = depth == DEPTH
-        if last:
-            block = F.xxhash64("node", F.pmod(F.xxhash64("doc_id", "node"), F.ceil(F.col("n") / (SMALL / 2)).cast("long")))
-            small = sized.select(F.when(F.col("n") <= SMALL, F.col("node")).otherwise(block).alias("node"), "doc_id")
-        else:
-            small = sized.where(F.col("n") <= SMALL).select("node", "doc_id")
+        block = F.xxhash64("node", F.pmod(F.xxhash64("doc_id", "node"), F.ceil(F.col("n") / (SMALL / 2)).cast("long")))
+        small = sized.select(F.when(F.col("n") <= SMALL, F.col("node")).otherwise(block).alias("node"), "doc_id")
         near = (
             small.join(sketches.select("doc_id", "sketch"), "doc_id")
             .repartition(n_reduce, "node").sortWithinPartitions("node", "doc_id")
             .mapInArrow(_brute, "a long, b long")
         )
         found.append(stored(near.distinct(), "candidates"))
-        if last or not sizes.where(F.col("n") > SMALL).head(1):
+        if not sizes.where(F.col("n") > SMALL).head(1):
+            break
+        large = _unsettled(sized.where(F.col("n") > SMALL).select("node", "n", "doc_id"), _union(found))
+        if not large.head(1):
+            break
+        if depth == DEPTH:
+            found.append(stored(_in_full(large, sketches, n_reduce).distinct(), "candidates"))
             break
-        large = sized.where(F.col("n") > SMALL).select("node", "doc_id")
         rows = stored(
-            large.join(sketches.select("doc_id", "sketch"), "doc_id")
+            large.select("node", "doc_id").join(sketches.select("doc_id", "sketch"), "doc_id")
             .mapInArrow(lambda b: _descend(b, 0), "node long, doc_id long").distinct(),
             "nodes",
         )
-    out = found[0]
-    for df in found[1:]:
-        out = out.unionByName(df)
-    return out.distinct()
+    return _union(found).distinct()
 
 
 def links_in_groups(docs: DataFrame, groups: DataFrame, copies: DataFrame, n_reduce: int) -> DataFrame:

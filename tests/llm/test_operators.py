@@ -87,6 +87,28 @@ def test_jaccard_join_of_a_large_group(spark):
     assert got == brute_classes(docs)
 
 
+def test_jaccard_join_inside_a_crowd(spark):
+    """Pairs at 0.82 among texts that share a passage and have similarities of 0.4 to 0.6 with each other."""
+    rnd, passage, docs = random.Random(7), [f"p{i}" for i in range(64)], []
+    for i in range(2500):
+        own = rnd.randint(25, 43)
+        docs.append((i, " ".join(passage + [f"u{i}x{k}" for k in range(own)])))
+        if i % 50 == 0:
+            keep = own - (60 + own) // 10
+            docs.append((10_000 + i, " ".join(passage + [f"u{i}x{k}" for k in range(keep)] + [f"v{i}x{k}" for k in range(own - keep)])))
+    number, sets = {}, []
+    for _, text in docs:
+        w = text.split()
+        sets.append({number.setdefault(tuple(w[k : k + 5]), len(number)) for k in range(len(w) - 4)})
+    links = {i: [] for i, _ in docs}
+    for (a, x), (b, y) in itertools.combinations(zip(links, sets, strict=True), 2):
+        if 9 * len(x & y) >= 4 * (len(x) + len(y)):
+            links[a].append(b), links[b].append(a)
+    assert sum(map(len, links.values())) == 100
+    got = {r.doc_id: (r.class_id, r.n_links) for r in J.jaccard_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: (min([i, *near]), len(near)) for i, near in links.items()}
+
+
 def test_jaccard_join_odd(odd):
     got = {r.doc_id: (r.class_id, r.n_links) for r in J.jaccard_classes(odd).collect()}
     assert got == {**{i: (i, 0) for i in range(9)}, 6: (6, 1), 50: (6, 1)}
