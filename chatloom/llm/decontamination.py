@@ -8,8 +8,12 @@ every word of an item; per walk several samples of the steps give LSH keys. Wind
 item are compared on their whole walks, and what stays near is verified by semi-global edit distance.
 
 Items are handled in blocks of BLOCK at most, so what is broadcast has a bound; each block takes one pass
-over the documents, without a shuffle. Items from LEAST to SHORT bytes have walks of their own length from
-every word; shorter items are not searched for.
+over the documents, without a shuffle.
+
+Items under SHORT bytes are found without chance: one that may have k edits is cut into k + 1 pieces of whole
+characters, of which one at least stands in the document unchanged; the beginnings of the pieces are looked up
+at every byte and what they meet is verified in the same way. Items under LEAST bytes count where they stand
+exactly as they are, not inside a longer ASCII word; items without any text are found nowhere.
 
 Defined results: one row per document; null and empty texts are clean; equal rows get equal results; an
 empty benchmark leaves all clean; null item texts count as empty; an item id on several rows stands for all
@@ -33,7 +37,9 @@ from chatloom.llm.textops import chunks, word_spans
 RATE = 0.1
 STEPS, STRIDE = 56, 4
 WALKS, TABLES, SAMPLES = 2, 4, 12
-SHORT, LEAST = 80, 16
+SHORT, LEAST = 160, 16
+#: Bytes of a piece that are looked up.
+SEED = 8
 BLOCK = 2000
 #: Steps that two walks must agree on, as a share, before the edit distance is computed.
 AGREE = 0.6
@@ -99,7 +105,7 @@ def build(items: list[tuple[int, bytes]], steps: int, stride: int, seed: int = 1
     for k, (_, text) in enumerate(items):
         own = np.frombuffer(text, dtype=np.uint8)
         starts, _, _ = word_spans(own, np.array([0, len(own)]))
-        entries += [(k, int(s)) for s in (starts if stride > 1 else starts[:1])]
+        entries += [(k, int(s)) for s in starts]
     entries = np.array(entries, dtype=np.int64).reshape(-1, 2)
     pos = (base[entries[:, 0]] + entries[:, 1]).astype(np.int64)
     ends = base[entries[:, 0]] + np.array([len(t) for _, t in items], dtype=np.int64)[entries[:, 0]]
@@ -167,6 +173,73 @@ def candidates(data: np.ndarray, pos: np.ndarray, index: Index) -> tuple[np.ndar
     return both[0], both[1]
 
 
+@dataclass
+class Seeds:
+    """Beginnings of the pieces of short items: by width the sorted keys, and the item and place of each."""
+
+    items: list[tuple[int, bytes]]
+    widths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def seed_keys(data: np.ndarray, width: int) -> np.ndarray:
+    """The width bytes from each position of data as one number; data is followed by width zeros."""
+    padded = np.concatenate([data, np.zeros(width, dtype=np.uint8)])
+    key = np.zeros(len(data), dtype=np.uint64)
+    for j in range(width):
+        key = key << np.uint64(8) | padded[j : j + len(data)]
+    return key
+
+
+def build_seeds(items: list[tuple[int, bytes]], rate: float) -> Seeds:
+    rows: dict[int, list[tuple[int, int, int]]] = {}
+    for k, (_, item) in enumerate(items):
+        text = item.decode("utf-8")
+        pieces = 1 if len(item) < LEAST else int(rate * len(text)) + 1
+        cuts = [len(text[: len(text) * i // pieces].encode()) for i in range(pieces + 1)]
+        width = min(SEED, *(b - a for a, b in zip(cuts[:-1], cuts[1:], strict=True)))
+        for a in cuts[:-1] if width else [0]:
+            rows.setdefault(width, []).append((int.from_bytes(item[a : a + width], "big"), k, a))
+    widths = {}
+    for width, found in rows.items():
+        keys = np.array([x for x, _, _ in found], dtype=np.uint64)
+        order = np.argsort(keys, kind="stable")
+        owners, places = (np.array([x[i] for x in found], dtype=np.int64)[order] for i in (1, 2))
+        bitmap = np.zeros(1 << _BITS, dtype=bool)
+        bitmap[_slot(keys)] = True
+        widths[width] = keys[order], owners, places, bitmap
+    return Seeds(items, widths)
+
+
+def seeded(data: np.ndarray, offsets: np.ndarray, seeds: Seeds) -> Iterator[tuple[int, int, int]]:
+    """(row, item, place where the item would begin) for the pieces met in data, about once for each 16 bytes."""
+    found = []
+    for width, (known, owners, places, bitmap) in seeds.widths.items():
+        keys = seed_keys(data, width)
+        at = np.flatnonzero(bitmap[_slot(keys)])
+        lo, hi = np.searchsorted(known, keys[at], "left"), np.searchsorted(known, keys[at], "right")
+        n = hi - lo
+        if n.sum():
+            ends = np.cumsum(n)
+            entry = np.arange(ends[-1]) - np.repeat(ends - n - lo, n)
+            where = np.repeat(at, n)
+            found.append(np.stack([np.searchsorted(offsets, where, "right") - 1, owners[entry], where - places[entry]]))
+    if found:
+        row, item, begin = np.concatenate(found, axis=1)
+        # Items that must stand exactly are tried at each place.
+        exact = np.array([len(t) < LEAST for _, t in seeds.items])[item]
+        _, first = np.unique(np.stack([row, item, np.where(exact, begin, begin // 16)]), axis=1, return_index=True)
+        yield from zip(row[first].tolist(), item[first].tolist(), begin[first].tolist(), strict=True)
+
+
+def _stands(item: bytes, text: bytes, begin: int) -> bool:
+    """Whether item stands in text at begin, not as a part of a longer ASCII word."""
+    end = begin + len(item)
+    if begin < 0 or text[begin:end] != item:
+        return False
+    word = lambda b: b.isascii() and b.isalnum()
+    return not (word(item[:1]) and word(text[max(begin - 1, 0) : begin]) or word(item[-1:]) and word(text[end : end + 1]))
+
+
 def least_edits(item: str, text: str) -> int:
     """Least edit distance of item and any stretch of text, by bit vectors over the item's characters."""
     m = len(item)
@@ -200,7 +273,7 @@ def may_hold(item: str, text: str, edits: int, q: int = 4) -> bool:
     return sum(item[i : i + q] in here for i in range(len(item) - q + 1)) >= len(item) - q + 1 - q * edits
 
 
-def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float) -> Iterator[pa.RecordBatch]:
+def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float, seeds: Seeds | None = None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, data, offsets in chunks(batch, "text"):
             padded = np.concatenate([data, np.zeros(SHORT + STEPS + 2, dtype=np.uint8)])
@@ -209,6 +282,21 @@ def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float)
             rows = len(offsets) - 1
             row = np.repeat(np.arange(rows), np.diff(first))
             hits: list[set[int]] = [set() for _ in range(rows)]
+            for r, k, begin in seeded(padded[: len(data)], offsets, seeds) if seeds else ():
+                item_id, item = seeds.items[k]
+                low, high = int(offsets[r]), int(offsets[r + 1])
+                if item_id in hits[r]:
+                    continue
+                if len(item) < LEAST:
+                    if begin >= low and _stands(item, padded[max(low, begin - 1) : min(high, begin + len(item) + 1)].tobytes(), begin - max(low, begin - 1)):
+                        hits[r].add(item_id)
+                    continue
+                slack = int(4 * rate * len(item)) + 32
+                region = padded[max(low, begin - slack) : min(high, begin + len(item) + slack)].tobytes().decode("utf-8", "ignore")
+                word = item.decode("utf-8")
+                most = int(rate * len(word))
+                if may_hold(word, region, most) and least_edits(word, region) <= most:
+                    hits[r].add(item_id)
             for index in indexes:
                 pick = (np.arange(len(starts)) - first[row]) % index.stride == 0 if index.stride > 1 else slice(None)
                 pos, entry = candidates(padded, starts[pick], index)
@@ -241,14 +329,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block:
     for b in range(blocks):
         own = sorted((r.item_id, _plain(r.text)) for r in placed.where(F.col("block") == b).collect())
         indexes = [build([x for x in own if len(x[1]) >= SHORT], STEPS, STRIDE)]
-        short = [x for x in own if LEAST <= len(x[1]) < SHORT]
-        for low in (LEAST, 2 * LEAST, 3 * LEAST):
-            class_ = [x for x in short if low <= len(x[1]) < (low + LEAST if low < 3 * LEAST else SHORT)]
-            if class_:
-                indexes.append(build(class_, low, 1))
-        shared = docs.sparkSession.sparkContext.broadcast([i for i in indexes if i.items])
+        seeds = build_seeds([x for x in own if 0 < len(x[1]) < SHORT and x[1].strip()], rate)
+        shared = docs.sparkSession.sparkContext.broadcast(([i for i in indexes if i.items], seeds))
         got = docs.select("doc_id", "text").mapInArrow(
-            lambda it, shared=shared: search(it, shared.value, rate), "doc_id long, item_ids array<bigint>"
+            lambda it, shared=shared: search(it, shared.value[0], rate, shared.value[1]), "doc_id long, item_ids array<bigint>"
         )
         out = got if out is None else out.unionByName(got)
     if blocks > 1:

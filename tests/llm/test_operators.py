@@ -276,6 +276,27 @@ def test_decontamination_finds_edited_items(spark):
     assert DC.find_items(docs, bench.limit(0)).where("size(item_ids) > 0").count() == 0
 
 
+@pytest.mark.parametrize("size", [18, 30, 60, 75, 85, 140])
+def test_short_items_are_found_at_the_limit_of_edits(spark, size):
+    rnd, lexicon = random.Random(size), texts(40, 5)
+    rows, items = [], []
+    for i in range(80):
+        item = lexicon[i % 40][i : i + size].strip().ljust(size, "x")
+        chars = list(item)
+        for k in rnd.sample(range(size), int(DC.RATE * size)):
+            chars[k] = "#"
+        items.append((i, item))
+        rows.append((i, f"{texts(4, 500 + i)[0]} {''.join(chars)} {texts(4, 900 + i)[0]}"))
+    got = {r.doc_id: r.item_ids for r in DC.find_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert all(i in got[i] for i, _ in items)
+
+
+def test_tiny_items_stand_exactly(spark):
+    docs = spark.createDataFrame([(0, "say yes! now"), (1, "eyes"), (2, "YES"), (3, "眼はい耳"), (4, "ye s")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "yes"), (8, "はい"), (9, " ")], "item_id long, text string")
+    assert {r.doc_id: r.item_ids for r in DC.find_items(docs, bench).collect()} == {0: [7], 1: [], 2: [7], 3: [8], 4: []}
+
+
 # 7
 
 
