@@ -4,7 +4,8 @@ A document is contaminated by an item if some stretch of it lies within RATE * l
 (lower-cased, every white-space character counted as a space). The CGK walk reads a string byte by byte and,
 by random bits that depend on step and byte, stays or goes on; few edits leave most of what it reads equal,
 so edit distance becomes Hamming distance. Several walks start at every STRIDE-th word of a document and at
-every word of an item; per walk several samples of the steps give LSH keys. Windows that share a key with an
+every word of an item, and inside words of over LONG bytes at every EVERY-th character of a document and at
+every character of an item, so text without spaces has windows too; per walk several samples of the steps give LSH keys. Windows that share a key with an
 item are compared on their whole walks, and what stays near is verified by semi-global edit distance.
 
 Items are handled in blocks of BLOCK at most, so what is broadcast has a bound; each block takes one pass
@@ -38,6 +39,8 @@ RATE = 0.1
 STEPS, STRIDE = 56, 4
 WALKS, TABLES, SAMPLES = 2, 4, 12
 SHORT, LEAST = 160, 16
+#: Words of more bytes than LONG have starts inside, in a document one for EVERY characters.
+LONG, EVERY = 24, 8
 #: Bytes of a piece that are looked up.
 SEED = 8
 BLOCK = 2000
@@ -97,6 +100,20 @@ def _keys(read: np.ndarray, sample: list[int]) -> np.ndarray:
     return key
 
 
+def inner_starts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, every: int) -> np.ndarray:
+    """Each every-th character boundary inside the words of over LONG bytes."""
+    long = np.flatnonzero(ends - starts > LONG)
+    if not len(long):
+        return np.zeros(0, dtype=np.int64)
+    n = (ends - starts)[long]
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[long], n)
+    word = np.repeat(np.arange(len(long)), n)
+    head = (data[at] & 0xC0) != 0x80
+    at, word = at[head], word[head]
+    order = np.arange(len(at)) - np.searchsorted(word, word, "left")
+    return at[(order > 0) & (order % every == 0)]
+
+
 def build(items: list[tuple[int, bytes]], steps: int, stride: int, seed: int = 11) -> Index:
     """The index of the items: for each walk and table the sorted keys of the items' windows and their entries."""
     data = np.frombuffer(b"".join(t + b"\0" * (steps + 1) for _, t in items), dtype=np.uint8)
@@ -104,7 +121,8 @@ def build(items: list[tuple[int, bytes]], steps: int, stride: int, seed: int = 1
     entries = []
     for k, (_, text) in enumerate(items):
         own = np.frombuffer(text, dtype=np.uint8)
-        starts, _, _ = word_spans(own, np.array([0, len(own)]))
+        starts, ends, _ = word_spans(own, np.array([0, len(own)]))
+        starts = np.concatenate([starts, inner_starts(own, starts, ends, 1)])
         entries += [(k, int(s)) for s in starts]
     entries = np.array(entries, dtype=np.int64).reshape(-1, 2)
     pos = (base[entries[:, 0]] + entries[:, 1]).astype(np.int64)
@@ -278,7 +296,8 @@ def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float,
         for part, data, offsets in chunks(batch, "text"):
             padded = np.concatenate([data, np.zeros(SHORT + STEPS + 2, dtype=np.uint8)])
             padded[(padded >= 9) & (padded <= 13)] = 32
-            starts, _, first = word_spans(data, offsets)
+            starts, ends, first = word_spans(data, offsets)
+            inner = inner_starts(data, starts, ends, EVERY)
             rows = len(offsets) - 1
             row = np.repeat(np.arange(rows), np.diff(first))
             hits: list[set[int]] = [set() for _ in range(rows)]
@@ -299,7 +318,7 @@ def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float,
                     hits[r].add(item_id)
             for index in indexes:
                 pick = (np.arange(len(starts)) - first[row]) % index.stride == 0 if index.stride > 1 else slice(None)
-                pos, entry = candidates(padded, starts[pick], index)
+                pos, entry = candidates(padded, np.concatenate([starts[pick], inner]), index)
                 tried: set[tuple[int, int, int]] = set()
                 for p, e in zip(pos.tolist(), entry.tolist(), strict=True):
                     k, offset = index.entries[e]

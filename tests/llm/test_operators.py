@@ -291,6 +291,16 @@ def test_short_items_are_found_at_the_limit_of_edits(spark, size):
     assert all(i in got[i] for i, _ in items)
 
 
+def test_items_inside_text_without_spaces_are_found(spark):
+    rnd = random.Random(11)
+    run = lambda n: "".join(chr(rnd.randrange(0x4E00, 0x5E00)) for _ in range(n))
+    items = [(i, run(40 if i % 2 else 80)) for i in range(40)]
+    items += [(40 + i, "".join(rnd.choice("abcdefgh/=<>") for _ in range(200))) for i in range(20)]
+    rows = [(i, f"{run(rnd.randint(30, 90))}{t}{run(60)}") for i, t in items] + [(900, run(500))]
+    got = {r.doc_id: r.item_ids for r in DC.find_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {i: [i] for i, _ in items} | {900: []}
+
+
 def test_tiny_items_stand_exactly(spark):
     docs = spark.createDataFrame([(0, "say yes! now"), (1, "eyes"), (2, "YES"), (3, "眼はい耳"), (4, "ye s")], "doc_id long, text string")
     bench = spark.createDataFrame([(7, "yes"), (8, "はい"), (9, " ")], "item_id long, text string")
