@@ -1,9 +1,9 @@
 """Token counts: delta-maintained rollups by source, language and tokenizer version.
 
 A batch is a feed of signed changes: inserts, deletes and revised counts of documents under a tokenizer
-version. A commit adds the batch up by key and writes only these sums, first under a temporary name; the rename
-to the batch's own name is the commit. A batch id that is already there is not applied again, so a batch may be
-sent any number of times. Totals are the sums over the committed batches; compact() replaces many by one.
+version. A commit adds the batch up by key and writes only these sums; a file that names them, renamed into
+place, is the commit. A batch id that is already there is not applied again, so a batch may be sent any number
+of times. Totals are the sums over the committed batches; compact() replaces many by one.
 
 Defined results: null source or lang is a key of its own; a null count is 0; a key whose documents and tokens
 have both fallen to 0 has no row; an empty feed commits an empty batch; further columns are ignored.
@@ -11,6 +11,10 @@ have both fallen to 0 has no row; an empty feed commits an empty batch; further
 
 from __future__ import annotations
 
+import json
+import uuid
+from urllib.parse import quote, unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,56 +40,87 @@ def revisions(docs: DataFrame, tokenizer: str, old: Column, new: Column) -> Data
 
 
 class TokenRollup:
-    """The totals kept in a folder of the shared file system."""
+    """The totals kept in a folder of the shared file system.
+
+    data/ holds folders of sums, commits/ one small file a batch that names its folder and the batches it
+    replaces. The rename of that file into commits/ is the commit. It is refused where the name is taken, as
+    HDFS does it atomically; on a store without atomic renames, let one writer at a time commit a batch id.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root
 
-    def _batches(self) -> list[str]:
-        fs, path = fs_path(self.spark, f"{self.root}/batches")
-        return [s.getPath().toString() for s in fs.listStatus(path)] if fs.exists(path) else []
+    def _commits(self) -> dict[str, dict]:
+        """The commits in effect, by batch id."""
+        fs, path = fs_path(self.spark, f"{self.root}/commits")
+        every = {}
+        for status in fs.listStatus(path) if fs.exists(path) else []:
+            stream = fs.open(status.getPath())
+            try:
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            every[unquote(status.getPath().getName())] = json.loads(text)
+        gone = {x for c in every.values() for x in c["replaces"]}
+        return {k: c for k, c in every.items() if k not in gone}
 
     def committed(self, batch_id: str) -> bool:
-        fs, path = fs_path(self.spark, f"{self.root}/batches/{batch_id}")
-        folded, mark = fs_path(self.spark, f"{self.root}/folded/{batch_id}")
-        return fs.exists(path) or folded.exists(mark)
-
-    def _commit(self, name: str, sums: DataFrame) -> bool:
-        own = f"{self.root}/_temporary/{scratch(self.spark, name).rpartition('/')[2]}"
-        sums.write.parquet(own)
-        fs, path = fs_path(self.spark, own)
-        _, end = fs_path(self.spark, f"{self.root}/batches/{name}")
+        now = self._commits()
+        return batch_id in now or any(batch_id in c["replaces"] for c in now.values())
+
+    def _commit(self, batch_id: str, sums: DataFrame, replaces: list[str]) -> bool:
+        own = f"data/{uuid.uuid4().hex}"
+        sums.write.parquet(f"{self.root}/{own}")
+        fs, temporary = fs_path(self.spark, f"{self.root}/_temporary/{uuid.uuid4().hex}")
+        out = fs.create(temporary, True)
+        out.write(json.dumps({"data": own, "replaces": replaces}).encode())
+        out.close()
+        _, end = fs_path(self.spark, f"{self.root}/commits/{quote(batch_id, safe='')}")
         fs.mkdirs(end.getParent())
-        if fs.exists(end) or not fs.rename(path, end):
-            fs.delete(path, True)
+        if fs.exists(end) or not fs.rename(temporary, end):
+            fs.delete(temporary, True)
+            self._delete(own)
             return False
         return True
 
+    def _delete(self, name: str) -> None:
+        fs, path = fs_path(self.spark, f"{self.root}/{name}")
+        fs.delete(path, True)
+
     def apply(self, batch_id: str, feed: DataFrame) -> bool:
         """Commits the feed under batch_id; False, with nothing changed, if that batch is there already."""
         if self.committed(batch_id):
             return False
         tokens = F.col("sign") * F.coalesce("tokens", F.lit(0))
         sums = feed.groupBy(*KEYS).agg(F.sum("sign").cast("long").alias("n_docs"), F.sum(tokens).cast("long").alias("n_tokens"))
-        return self._commit(batch_id, sums)
+        return self._commit(batch_id, sums, [])
 
     def totals(self) -> DataFrame:
-        paths = self._batches()
+        return self._totals(self._commits())
+
+    def _totals(self, commits: dict[str, dict]) -> DataFrame:
+        paths = [f"{self.root}/{c['data']}" for c in commits.values()]
         deltas = self.spark.read.schema(DELTA).parquet(*paths) if paths else self.spark.createDataFrame([], DELTA)
         sums = deltas.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return sums.where("n_docs <> 0 OR n_tokens <> 0")
 
-    def compact(self, name: str) -> None:
-        """Replaces the committed batches by one of that name; their ids stay known. Not for use beside commits."""
-        paths = self._batches()
-        own = stored(self.totals(), "compact")
-        fs, _ = fs_path(self.spark, self.root)
-        for p in paths:
-            _, old = fs_path(self.spark, p)
-            _, mark = fs_path(self.spark, f"{self.root}/folded/{p.rpartition('/')[2]}")
-            fs.mkdirs(mark)
-            fs.delete(old, True)
-        self._commit(name, own)
+    def compact(self, name: str) -> bool:
+        """Commits the sum of the batches under a new name that replaces them; their ids stay known.
+
+        The commit takes all of them out of effect at once. Only then are their files deleted, so a crash at
+        any point leaves the totals as they were, and what is committed meanwhile stays.
+        """
+        now = self._commits()
+        known = sorted({x for k, c in now.items() for x in (k, *c["replaces"])})
+        if self.committed(name) or not self._commit(name, self._totals(now), known):
+            return False
+        self._clean(now)
+        return True
+
+    def _clean(self, replaced: dict[str, dict]) -> None:
+        for k, c in replaced.items():
+            self._delete(f"commits/{quote(k, safe='')}")
+            self._delete(c["data"])
 
 
 def counted(docs: DataFrame) -> DataFrame:
