@@ -2,8 +2,8 @@
 
 Learned from all documents dealt to training: the character n-grams (three characters within a word and its
 borders, lower-cased) that make up at least SHARE of a language's n-grams, 1 / SHARE of them a language at
-most. They go into one bit-sliced Bloom filter: each slot is a mask with a bit a language, and the AND of an
-n-gram's slots gives all languages that hold it. A text's n-grams are counted by language; the counts are
+most. They go into one bit-sliced Bloom filter: each slot is a mask with a bit a language, in as many 64-bit words
+as there are languages for, and the AND of an n-gram's slots gives all languages that hold it. A text's n-grams are counted by language; the counts are
 corrected for the filter's false positives, and the greatest decides.
 
 Defined results: `und` with score 0 for texts that are null or have no letter; with letters but no n-gram of
@@ -27,10 +27,10 @@ from chatloom.llm.textops import chunks, mix
 
 SHARE = 5e-5
 HASHES, SLOT_BITS = 3, 20
-#: A mask has this many bits.
-MAX_LANGS = 63
-#: Distinct n-grams that a task holds before it adds equal ones up.
-HELD = 4_000_000
+#: Languages that one word of a mask has bits for.
+WORD = 64
+#: Distinct n-grams that a task holds before it hands their counts on.
+HELD = 2_000_000
 
 
 @lru_cache(maxsize=1)
@@ -72,18 +72,18 @@ class Filter:
 
     def __init__(self, langs: list[str], grams: list[np.ndarray], usual: int) -> None:
         self.langs, self.usual = langs, usual
-        self.masks = np.zeros(1 << SLOT_BITS, dtype=np.uint64)
+        self.masks = np.zeros((-(-len(langs) // WORD), 1 << SLOT_BITS), dtype=np.uint64)
         for b, own in enumerate(grams):
             for slots in _slots(own):
-                self.masks[slots] |= np.uint64(1 << b)
-        fill = np.array([(self.masks >> np.uint64(b) & np.uint64(1)).mean() for b in range(len(langs))])
+                self.masks[b // WORD, slots] |= np.uint64(1 << b % WORD)
+        fill = np.array([(self.masks[b // WORD] >> np.uint64(b % WORD) & np.uint64(1)).mean() for b in range(len(langs))])
         self.false = fill**HASHES
 
     def languages(self, grams: np.ndarray) -> np.ndarray:
-        """For each n-gram the mask of the languages that hold it."""
-        out = np.full(len(grams), ~np.uint64(0), dtype=np.uint64)
+        """For each n-gram the mask of the languages that hold it, a row a word."""
+        out = np.full((len(self.masks), len(grams)), ~np.uint64(0), dtype=np.uint64)
         for slots in _slots(grams):
-            out &= self.masks[slots]
+            out &= self.masks[:, slots]
         return out
 
     def decide(self, grams: np.ndarray, row: np.ndarray, n: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -91,54 +91,57 @@ class Filter:
         if not self.langs:
             return ["und"] * rows, np.zeros(rows)
         masks = self.languages(grams)
-        hits = np.array([np.bincount(row, weights=(masks >> np.uint64(b) & np.uint64(1)).astype(float), minlength=rows) for b in range(len(self.langs))])
-        false = self.false[:, None]
-        true = np.maximum((hits - n * false) / np.maximum(1 - false, 1e-9), 0)
-        best, total = true.argmax(axis=0), true.sum(axis=0)
-        best = np.where(total > 0, best, self.usual)
-        score = np.where(total > 0, true.max(axis=0) / np.maximum(total, 1e-9), 0.0)
+        best, top, total = np.full(rows, self.usual), np.zeros(rows), np.zeros(rows)
+        for b, false in enumerate(self.false):
+            held = masks[b // WORD] >> np.uint64(b % WORD) & np.uint64(1)
+            hits = np.bincount(row, weights=held.astype(float), minlength=rows)
+            true = np.maximum((hits - n * false) / max(1 - false, 1e-9), 0)
+            better = true > top
+            best[better], top[better] = b, true[better]
+            total += true
+        score = np.where(total > 0, top / np.maximum(total, 1e-9), 0.0)
         return [self.langs[b] if k else "und" for b, k in zip(best, n, strict=True)], np.where(n > 0, score, 0.0)
 
 
 def _count(batches: Iterator[pa.RecordBatch], langs: list[str]) -> Iterator[pa.RecordBatch]:
+    """Partial counts of the languages' n-grams, HELD of them at a time."""
     known = {x: i for i, x in enumerate(langs)}
-    held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in langs]
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size = 0
 
-    def add_up(parts):
-        if len(parts) < 2:
-            return parts
-        grams, inverse = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
-        return [(grams, np.bincount(inverse, weights=np.concatenate([n for _, n in parts])).astype(np.int64))]
+    def handed_on() -> Iterator[pa.RecordBatch]:
+        for b, parts in held.items():
+            grams, inverse = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+            n = np.bincount(inverse, weights=np.concatenate([k for _, k in parts])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), b, dtype=np.int32)), pa.array(grams.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
     for batch in batches:
         for part, data, offsets in chunks(batch, "text"):
             grams, row, _ = ngrams(data, offsets)
-            lang = np.array([known[x] for x in part.column("lang").to_pylist()], dtype=np.int64)[row]
-            for b in range(len(langs)):
-                if len(own := grams[lang == b]):
-                    held[b].append(np.unique(own, return_counts=True))
-                if sum(len(g) for g, _ in held[b]) > HELD // len(langs):
-                    held[b] = add_up(held[b])
-    for b, parts in enumerate(held):
-        for grams, n in add_up(parts):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(grams), b, dtype=np.int32)), pa.array(grams.view(np.int64)), pa.array(n)], ["lang", "gram", "n"]
-            )
+            lang = np.array([known[x] for x in part.column("lang").to_pylist()], dtype=np.int64)
+            order = np.argsort(lang[row], kind="stable")
+            grams, of = grams[order], lang[row][order]
+            for b in np.unique(of):
+                own = grams[np.searchsorted(of, b, "left") : np.searchsorted(of, b, "right")]
+                held.setdefault(int(b), []).append(np.unique(own, return_counts=True))
+                size += len(held[int(b)][-1][0])
+            if size > HELD:
+                yield from handed_on()
+                held, size = {}, 0
+    yield from handed_on()
 
 
 def learn(docs: DataFrame) -> Filter:
     """The filter of docs(text, lang), all of whose rows are learned from."""
     docs = docs.select("text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
-    langs = sorted(r.lang for r in docs.select("lang").distinct().limit(MAX_LANGS + 1).collect())
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"a mask holds {MAX_LANGS} languages")
+    langs = sorted(r.lang for r in docs.select("lang").distinct().collect())
     if not langs:
         return Filter([], [], 0)
     counts = docs.mapInArrow(lambda b: _count(b, langs), "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = stored(counts, "ngrams")
-    total = {r.lang: r.total for r in counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
-    least = F.element_at(F.array(*(F.lit(SHARE * total.get(b, 0)) for b in range(len(langs)))), F.col("lang") + 1)
-    kept = counts.where(F.col("n") >= least).select("lang", "gram").toArrow()
+    totals = stored(counts.groupBy("lang").agg(F.sum("n").alias("total")), "ngram-totals")
+    total = {r.lang: r.total for r in totals.collect()}
+    kept = counts.join(totals, "lang").where(F.col("n") >= SHARE * F.col("total")).select("lang", "gram").toArrow()
     lang, gram = kept.column("lang").to_numpy(), kept.column("gram").to_numpy().view(np.uint64)
     usual = max(range(len(langs)), key=lambda b: (total.get(b, 0), -b))
     return Filter(langs, [gram[lang == b] for b in range(len(langs))], usual)
