@@ -1,8 +1,8 @@
 """Deterministic sharded WARC writer, and the reader of what it wrote.
 
-Pages are dealt to shards by ranges of page_id (bounds from a histogram of fixed size, so the same table gives
-the same shards), sorted, and written as one gzip member a record; a file is closed once its compressed size
-passes the roll size. Headers, digests and record ids are made anew from the payload and page_id alone, so a
+Pages are dealt to shards by ranges of (page_id, digest), cut where the running sum of bytes along that order
+passes the shard size, so the same table gives the same shards, whatever the gaps between its ids. Rows are
+sorted and written as one gzip member a record; a file is closed once its compressed size passes the roll size. Headers, digests and record ids are made anew from the payload and page_id alone, so a
 repeated task writes the same bytes. A task writes under a temporary name and renames when the file is whole;
 the manifest of files, written last, is the commit: readers open only what it lists.
 
@@ -15,20 +15,28 @@ first and is written as an empty id; an empty table gives a manifest without fil
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import posixpath
 import uuid
 import zlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import scratch, stored, table
+from chatloom.operators.ordering import running_total
 
 SHARD_BYTES, ROLL_BYTES = 16 << 20, 4 << 20
-BUCKETS = 4096
+#: Shards are larger where there would be more than this many of them, so their bounds can be broadcast.
+MAX_SHARDS = 100_000
+#: Bytes that a record's headers count for, and shards whose files one file of the manifest lists.
+HEAD_BYTES, LISTED = 600, 2000
+#: Where a null page_id sorts.
+NO_PAGE = -(1 << 63)
 LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -137,34 +145,43 @@ def _write(batches: Iterator[pa.RecordBatch], root: str, roll: int) -> Iterator[
     )
 
 
+def shard_bounds(light: DataFrame, shard_bytes: int) -> list[tuple[int, str]]:
+    """The least (page_id, sha1) of each shard of light(page_id, sha1, n), in order: shards are cut by bytes along that order."""
+    amount = F.col("n") + HEAD_BYTES
+    total = light.agg(F.sum(amount)).first()[0] or 0
+    size = max(shard_bytes, -(-total // MAX_SHARDS))
+    placed = running_total(light, ["page_id", "sha1"], amount, "at")
+    lows = placed.groupBy(F.floor(F.col("at") / size).alias("shard")).agg(F.min(F.struct("page_id", "sha1")).alias("low"))
+    return sorted({(r.low.page_id, r.low.sha1) for r in lows.select("low").collect()})
+
+
 def write_archive(pages: DataFrame, root: str, min_bytes: int = 0, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES) -> None:
     """Writes pages(page_id, url, html) under root and commits its manifest."""
+    spark = pages.sparkSession
     payload = F.coalesce("html", F.lit("")).cast("binary")
     own = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("sha1"))
     light = stored(own.select("page_id", "sha1", F.octet_length("payload").alias("n")), "pages")
-    low, high = light.agg(F.min("page_id"), F.max("page_id")).first()
-    low, high = low or 0, high or 0
-    width = (high - low) // BUCKETS + 1
-    bucket = F.coalesce(F.floor((F.col("page_id") - low) / width), F.lit(0)).cast("int")
-    sizes = {r.b: r.s for r in light.groupBy(bucket.alias("b")).agg(F.sum(F.col("n") + 600).alias("s")).collect()}
-    shards, filled, shard_of = 0, 0, []
-    for b in range(BUCKETS):
-        if filled and filled + sizes.get(b, 0) > shard_bytes:
-            shards, filled = shards + 1, 0
-        filled += sizes.get(b, 0)
-        shard_of.append(shards)
-    shard = F.element_at(F.array(*map(F.lit, shard_of)), bucket + 1)
+    place = F.coalesce("page_id", F.lit(NO_PAGE))
+    bounds = spark.sparkContext.broadcast(shard_bounds(light.select(place.alias("page_id"), "sha1", "n"), shard_bytes))
+
+    @F.pandas_udf("int")
+    def shard_of(page_id: pd.Series, sha1: pd.Series) -> pd.Series:
+        return pd.Series([bisect.bisect_right(bounds.value, key) - 1 for key in zip(page_id, sha1, strict=True)], dtype="int32")
+
     copies = light.where(F.col("n") >= min_bytes).groupBy("sha1").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("k"))
     copies = stored(copies.where("k > 1"), "copies").select("sha1", "refers_to")
     notes = light.select("page_id", "sha1").join(copies, "sha1").distinct()
+    shard = shard_of(place, F.col("sha1"))
     rows = (
         own.select(shard.alias("shard"), "page_id", "sha1", "url", "payload", F.lit(None).cast("long").alias("refers_to"))
         .unionByName(notes.select(shard.alias("shard"), "page_id", "sha1", "refers_to"), allowMissingColumns=True)
-        .repartition(shards + 1, "shard")
+        .repartition(max(1, len(bounds.value)), "shard")
         .sortWithinPartitions("shard", "page_id", "sha1", F.col("payload").isNotNull())
     )
     files = rows.select("shard", "page_id", "sha1", "url", "payload", "refers_to").mapInArrow(lambda b: _write(b, root, roll_bytes), MANIFEST)
-    files.coalesce(max(1, min(32, shards + 1))).write.json(f"{root}/manifest")
+    # The list of files is written once by the tasks that write them; bringing it into few files comes after.
+    listed = stored(files, "warc-files")
+    listed.coalesce(len(bounds.value) // LISTED + 1).write.json(f"{root}/manifest")
 
 
 def records_of(stream) -> Iterator[tuple[dict[str, str], bytes]]:
