@@ -4,16 +4,22 @@ A text's set is its lower-cased five-word shingles. Each set is embedded as T Mi
 tokens of two sets are then the coordinates on which their values agree. A run descends a tree: a node's
 own hash samples about 1/threshold of the T coordinates, and a set goes to one child for each sampled
 coordinate, named by its value there. Nodes with few sets are compared by brute force on the embeddings;
-sets in larger nodes descend again. Runs repeat until a pair at the threshold shares a node of the last depth
-with the target recall. Larger nodes are first cut into hashed blocks that are compared by brute force, which
-links crowds of near copies; a node whose sets are all connected by then has nothing left to find and goes no
-further. What is still large and not connected at the last depth is compared in full, BLOCK embeddings by
-BLOCK embeddings, so sharing a node is being compared at every size.
-
-What the nodes bring together are groups of candidates; a node reports a spanning forest, so no group is
-expanded into pairs. Inside each group every pair of sets is then compared exactly, in blocks of BLOCK sets
-by BLOCK sets, and a block reports its sets' numbers of links and a spanning forest of them: rows grow with
-the sets and blocks, not with the pairs. Classes are the connected components of the confirmed links.
+sets in larger nodes descend again. Runs repeat until a pair at the threshold meets with the target recall.
+
+Two sets of runs do this at a cost that follows the data. The first runs end at depth 1, where nodes of most
+texts are small: few runs reach the target there. Sets of larger nodes are first compared in hashed blocks,
+which connects crowds of near copies. What the nodes find are candidate links; a node reports spanning
+forests, one of all of them and one of the sure ones (agreement well over the threshold), so no group is
+expanded into pairs. Candidate groups of up to LOOSE sets stay as they are; larger ones, which common passages
+chain together, are cut to what sure links connect. Only sets that lie in a large node or large group whose
+sets are not all in one group by then take part in the second runs. These are as many as leaves of depth DEEP
+need, begin at depth START (a set's path depends on its own embedding alone, so no data moves for the levels
+above) and go on, inside tasks once a node fits there, until nodes are small or hold one group; there every
+candidate pair of two groups is reported, and confirmed exactly. So their rows grow with the sets, not pairs.
+
+In the groups that result every pair of sets is compared exactly, in blocks of BLOCK sets by BLOCK sets, and a
+block reports its sets' numbers of links and a spanning forest of them. Classes are the connected components
+of the confirmed links.
 
 Equal word sequences are one class of copies from the start (only their first doc_id takes part), so copies
 are never expanded into pairs. A text with one to four words has one shingle of all its words; a text
@@ -40,16 +46,25 @@ from chatloom.operators.components import connected
 T = 128
 THRESHOLD = 0.8
 RECALL = 0.999
-DEPTH = 5
+#: Depth at which the second runs begin, and depth of a leaf that they are enough for.
+START, DEEP = 3, 8
 #: Nodes of this many sets or fewer are compared by brute force.
 SMALL = 48
+#: Nodes of this many sets or fewer are descended from inside one task.
+LOCAL = 4096
+#: Levels that nodes over LOCAL are descended from by shuffles, and levels inside a task, before what is left is compared in full.
+LEVELS, LOCAL_LEVELS = 16, 64
+#: Sets of a candidate group that is compared in full without more ado.
+LOOSE = 1024
 #: Sets on either side of a block of exact comparisons.
 BLOCK = 256
-#: Embeddings that agree on fewer coordinates than this below the threshold are not confirmed (four standard deviations).
+#: Embeddings that agree on fewer coordinates than this below the threshold are not confirmed (four standard deviations);
+#: on more than half of it above, they are sure to be close.
 SLACK = 4 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / T)
+LEAST, SURE = (THRESHOLD - SLACK) * T, (THRESHOLD + SLACK / 2) * T
 
 
-def level_recall(threshold: float = THRESHOLD, depth: int = DEPTH, t: int = T) -> float:
+def level_recall(depth: int, threshold: float = THRESHOLD, t: int = T) -> float:
     """Chance that a pair at the threshold shares a node at the depth, in one run."""
     p = 1.0
     for _ in range(depth):
@@ -57,8 +72,9 @@ def level_recall(threshold: float = THRESHOLD, depth: int = DEPTH, t: int = T) -
     return p
 
 
-def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, depth: int = DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - level_recall(threshold, depth)))
+def runs_for(depth: int, recall: float = RECALL, threshold: float = THRESHOLD) -> int:
+    """Runs after which a pair at the threshold has shared a node of the depth with the target recall."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - level_recall(depth, threshold)))
 
 
 _SEEDS = mix(np.arange(1, T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -99,46 +115,54 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _picks(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index into nodes, coordinate) of the coordinates that each node samples."""
-    limit = np.uint64(int(2**64 / (THRESHOLD * T)))
-    at, picked = [], []
-    for c in range(T):
-        hit = np.flatnonzero(mix(nodes + _SEEDS[c]) < limit)
-        at.append(hit)
-        picked.append(np.full(len(hit), c))
-    return np.concatenate(at), np.concatenate(picked)
+def _sampled(node: np.uint64) -> np.ndarray:
+    """The coordinates that a node samples."""
+    return np.flatnonzero(mix(node + _SEEDS) < np.uint64(int(2**64 / (THRESHOLD * T))))
 
 
-def _child(node: np.ndarray, coordinate: np.ndarray, value: np.ndarray) -> np.ndarray:
-    return mix(mix(node + coordinate.astype(np.uint64)) ^ value.astype(np.uint64))
+def _child(node: np.ndarray, coordinate: int, value: np.ndarray) -> np.ndarray:
+    return mix(mix(node + np.uint64(coordinate)) ^ value.astype(np.uint64))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, T)
 
 
-def _descend(batches: Iterator[pa.RecordBatch], roots: int) -> Iterator[pa.RecordBatch]:
-    """Rows (node, doc_id) one level down; with roots, from that many root nodes."""
+def _children(nodes: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(child, index into rows) of the sets rows[at], each in the node of its place."""
+    out, where = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    unique, inverse = np.unique(nodes, return_inverse=True)
+    order = np.argsort(inverse, kind="stable")
+    begin = np.searchsorted(inverse[order], np.arange(len(unique) + 1))
+    limit = np.uint64(int(2**64 / (THRESHOLD * T)))
+    for c in range(T):
+        for k in np.flatnonzero(mix(unique + _SEEDS[c]) < limit):
+            own = order[begin[k] : begin[k + 1]]
+            out.append(_child(nodes[own], c, rows[at[own], c]))
+            where.append(at[own])
+    return np.concatenate(out), np.concatenate(where)
+
+
+def _paths(batches: Iterator[pa.RecordBatch], first: int, runs: int, depth: int) -> Iterator[pa.RecordBatch]:
+    """Rows (node, doc_id): the nodes of the depth that each set comes to in the runs from the first on."""
+    tops = mix(np.arange(first + 1, first + runs + 1, dtype=np.uint64))
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        rows = _matrix(batch.column("sketch"))
-        if roots:
-            tops = mix(np.arange(1, roots + 1, dtype=np.uint64))
-            at, c = _picks(tops)
-            for k, j in zip(at, c, strict=True):
-                node = _child(np.full(len(ids), tops[k]), np.full(len(ids), j), rows[:, j])
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids)], ["node", "doc_id"])
-        elif len(ids):
-            nodes = batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
-            unique, inverse = np.unique(nodes, return_inverse=True)
-            order = np.argsort(inverse, kind="stable")
-            begin = np.searchsorted(inverse[order], np.arange(len(unique) + 1))
-            at, c = _picks(unique)
-            for k, j in zip(at, c, strict=True):
-                own = order[begin[k] : begin[k + 1]]
-                node = _child(nodes[own], np.full(len(own), j), rows[own, j])
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids[own])], ["node", "doc_id"])
+        ids, rows = batch.column("doc_id").to_numpy(zero_copy_only=False), _matrix(batch.column("sketch"))
+        for top in tops if len(ids) else []:
+            nodes, at = np.full(len(ids), top), np.arange(len(ids))
+            for _ in range(depth):
+                nodes, at = _children(nodes, at, rows)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(ids[at])], ["node", "doc_id"])
+
+
+def _descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, doc_id) one level down."""
+    for batch in batches:
+        if len(batch):
+            ids, nodes = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
+            child, at = _children(nodes, np.arange(len(ids)), _matrix(batch.column("sketch")))
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(ids[at])], ["node", "doc_id"])
 
 
 def _runs_of_equals(batches: Iterator[pa.RecordBatch], key: Callable[[pa.RecordBatch], np.ndarray], rows: int) -> Iterator[pa.RecordBatch]:
@@ -174,45 +198,76 @@ def forest(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _agreements(rows: np.ndarray) -> np.ndarray:
+    """On how many coordinates each two of the embeddings agree; none with itself."""
+    out = np.array([(rows == rows[i]).sum(axis=1) for i in range(len(rows))])
+    np.fill_diagonal(out, 0)
+    return out
+
+
+def _links(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b, sure = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, dtype=np.int64) for k in range(3))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sure.astype(bool))], ["a", "b", "sure"])
+
+
+LINKS = "a long, b long, sure boolean"
+
+
 def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning forests of the embeddings that agree enough, within runs of equal node; no node has over a few SMALL."""
-    least = (THRESHOLD - SLACK) * T
+    """Within runs of equal node spanning forests of the embeddings that agree enough and of those that surely do; no node has over a few SMALL."""
     for batch in _runs_of_equals(batches, lambda b: b.column("node").to_numpy(zero_copy_only=False), 4000):
         nodes, ids = batch.column("node").to_numpy(zero_copy_only=False), batch.column("doc_id").to_numpy(zero_copy_only=False)
         rows = _matrix(batch.column("sketch"))
         edges = _edges_of(nodes)
         sizes = np.diff(edges)
         two = edges[:-1][sizes == 2]
-        two = two[(rows[two] == rows[two + 1]).sum(axis=1) >= least]
-        pairs = [np.stack([ids[two], ids[two + 1]])]
+        agree = (rows[two] == rows[two + 1]).sum(axis=1)
+        two, agree = two[agree >= LEAST], agree[agree >= LEAST]
+        parts = [(ids[two], ids[two + 1], agree >= SURE)]
         for s, n in zip(edges[:-1][sizes > 2], sizes[sizes > 2], strict=True):
-            own = rows[s : s + n]
-            near = np.array([(own == own[i]).sum(axis=1) >= least for i in range(n)])
-            if links := forest(near):
-                pairs.append(ids[s + np.array(links).T])
-        both = np.concatenate(pairs, axis=1).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(both.min(axis=0)), pa.array(both.max(axis=0))], ["a", "b"])
-
-
-def _brute_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """As _brute within runs of equal block, for pairs of sets that are not connected yet."""
-    least = (THRESHOLD - SLACK) * T
-    for batch in _runs_of_equals(batches, lambda b: b.column("block").to_numpy(zero_copy_only=False), 1000):
-        ids, component = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "component"))
-        side, same = (batch.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("side", "same"))
+            agree = _agreements(rows[s : s + n])
+            for sure, least in ((False, LEAST), (True, SURE)):
+                if links := forest(agree >= least):
+                    i, j = ids[s + np.array(links).T]
+                    parts.append((i, j, np.full(len(i), sure)))
+        yield _links(parts)
+
+
+def cross_pairs(node: np.uint64, rows: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, sure) of the embeddings with different labels that agree enough, i before j, found in the small nodes of the tree below node."""
+    found = [np.zeros((3, 0), dtype=np.int64)]
+    todo = [(node, np.arange(len(rows)), 0)]
+    while todo:
+        key, at, depth = todo.pop()
+        if (labels[at] == labels[at[0]]).all():
+            continue
+        if len(at) <= SMALL or depth >= LOCAL_LEVELS:
+            for k in range(len(at) - 1):
+                agree = (rows[at[k + 1 :]] == rows[at[k]]).sum(axis=1)
+                hit = np.flatnonzero((agree >= LEAST) & (labels[at[k + 1 :]] != labels[at[k]]))
+                if len(hit):
+                    found.append(np.stack([np.full(len(hit), at[k]), at[k + 1 + hit], agree[hit] >= SURE]))
+            continue
+        for c in _sampled(key):
+            order = at[np.argsort(rows[at, c], kind="stable")]
+            edges = _edges_of(rows[order, c])
+            for s, e in zip(edges[:-1], edges[1:], strict=True):
+                if e - s > 1:
+                    todo.append((_child(key, c, rows[order[s], c]), np.sort(order[s:e]), depth + 1))
+    i, j, sure = np.unique(np.concatenate(found, axis=1), axis=1)
+    return i, j, sure
+
+
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """cross_pairs within runs of equal node."""
+    for batch in _runs_of_equals(batches, lambda b: b.column("node").to_numpy(zero_copy_only=False), 4000):
+        nodes, ids, labels = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "doc_id", "label"))
         rows = _matrix(batch.column("sketch"))
-        edges = _edges_of(batch.column("block").to_numpy(zero_copy_only=False))
-        pairs = [np.zeros((2, 0), dtype=np.int64)]
+        edges, parts = _edges_of(nodes), []
         for s, e in zip(edges[:-1], edges[1:], strict=True):
-            own = rows[s:e]
-            near = np.array([(own == own[i]).sum(axis=1) >= least for i in range(e - s)])
-            near &= component[s:e, None] != component[None, s:e]
-            if not same[s]:
-                near &= side[s:e, None] != side[None, s:e]
-            if links := forest(near):
-                pairs.append(ids[s + np.array(links).T])
-        both = np.concatenate(pairs, axis=1).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(both.min(axis=0)), pa.array(both.max(axis=0))], ["a", "b"])
+            i, j, sure = cross_pairs(nodes[s : s + 1].view(np.uint64)[0], rows[s:e], labels[s:e])
+            parts.append((ids[s + i], ids[s + j], sure))
+        yield _links(parts)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,63 +336,105 @@ def copies_and_sketches(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(_sketches, "doc_id long, copy_key string, has_words boolean, sketch binary")
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for df in parts[1:]:
-        out = out.unionByName(df)
-    return out
-
-
-def _unsettled(large: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, n, doc_id, component) of the nodes in large(node, n, doc_id) whose sets the links do not connect to one component."""
-    known = connected(links).withColumnRenamed("node", "doc_id")
-    own = stored(large.join(known, "doc_id", "left").select("node", "n", "doc_id", F.coalesce("component", "doc_id").alias("component")), "large-nodes")
-    mixed = own.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return stored(own.join(mixed.select("node"), "node", "left_semi"), "unsettled")
-
-
-def _in_full(large: DataFrame, sketches: DataFrame, n_reduce: int) -> DataFrame:
-    """(a, b) that connect the sets of large(node, n, doc_id, component) that agree enough: all pairs of a node, block by block."""
-    own = large.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    own = own.withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = own.select("*", other).select(
-        F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"),
-        "doc_id", "component", (F.col("mine") > F.col("other")).alias("side"), (F.col("mine") == F.col("other")).alias("same"),
+def first_links(sketches: DataFrame, n_reduce: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, sure) that connect the texts whose embeddings agree enough in the first runs' nodes, and (node, doc_id) of the large nodes."""
+    rows = stored(sketches.mapInArrow(lambda b: _paths(b, 0, runs_for(1), 1), "node long, doc_id long"), "nodes")
+    sizes = stored(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "node-sizes")
+    sized = rows.join(sizes, "node")
+    block = F.xxhash64("node", F.pmod(F.xxhash64("doc_id", "node"), F.ceil(F.col("n") / (SMALL / 2)).cast("long")))
+    near = (
+        sized.select(F.when(F.col("n") <= SMALL, F.col("node")).otherwise(block).alias("node"), "doc_id")
+        .join(sketches.select("doc_id", "sketch"), "doc_id")
+        .repartition(n_reduce, "node").sortWithinPartitions("node", "doc_id")
+        .mapInArrow(_brute, LINKS)
     )
-    dealt = dealt.join(sketches.select("doc_id", "sketch"), "doc_id")
-    return dealt.repartition(n_reduce, "block").sortWithinPartitions("block", "doc_id").mapInArrow(_brute_blocks, "a long, b long")
-
-
-def candidate_links(sketches: DataFrame, runs: int, n_reduce: int) -> DataFrame:
-    """Distinct (a, b) that connect the distinct texts whose embeddings agree enough in some run's small node, or large one of the last depth."""
-    found: list[DataFrame] = []
-    rows = stored(sketches.mapInArrow(lambda b: _descend(b, runs), "node long, doc_id long"), "nodes")
-    for depth in range(1, DEPTH + 1):
-        sizes = stored(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "node-sizes")
-        sized = rows.join(sizes, "node")
-        block = F.xxhash64("node", F.pmod(F.xxhash64("doc_id", "node"), F.ceil(F.col("n") / (SMALL / 2)).cast("long")))
-        small = sized.select(F.when(F.col("n") <= SMALL, F.col("node")).otherwise(block).alias("node"), "doc_id")
+    found = stored(near.groupBy("a", "b").agg(F.max("sure").alias("sure")), "candidates")
+    return found, stored(sized.where(F.col("n") > SMALL).select("node", "doc_id"), "large-nodes")
+
+
+def _mixed(members: DataFrame, group: str) -> DataFrame:
+    """(doc_id,) of the groups of members(group, doc_id, label) that hold several labels."""
+    several = members.groupBy(group).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return members.join(several.select(group), group, "left_semi").select("doc_id")
+
+
+def second_links(hard: DataFrame, n_reduce: int) -> DataFrame:
+    """Distinct (a, b, sure), of different labels, that agree enough in the second runs' nodes over hard(doc_id, label, sketch)."""
+    runs, found = runs_for(DEEP), []
+    rows = stored(hard.select("doc_id", "sketch").mapInArrow(lambda b: _paths(b, 1 << 20, runs, START), "node long, doc_id long").distinct(), "nodes")
+    labels = hard.select("doc_id", "label")
+    for level in range(LEVELS + 1):
+        own = rows.join(labels, "doc_id")
+        live = own.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        own = stored(rows.join(stored(live.select("node", "n"), "live"), "node"), "live-nodes")
+        small = own.where(F.col("n") <= LOCAL).select("node", "doc_id")
+        large = own.where(F.col("n") > LOCAL)
+        if level == LEVELS:
+            # Every two blocks of what is still large make a node of their own.
+            blocks = F.ceil(F.col("n") / (LOCAL / 2)).cast("int")
+            mine = large.select("node", "doc_id", blocks.alias("blocks"), F.pmod(F.xxhash64("doc_id"), blocks).alias("mine"))
+            paired = mine.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+            small = small.unionByName(paired.select(F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("node"), "doc_id"))
         near = (
-            small.join(sketches.select("doc_id", "sketch"), "doc_id")
+            small.join(hard, "doc_id").select("node", "doc_id", "label", "sketch")
             .repartition(n_reduce, "node").sortWithinPartitions("node", "doc_id")
-            .mapInArrow(_brute, "a long, b long")
+            .mapInArrow(_search, LINKS)
         )
-        found.append(stored(near.distinct(), "candidates"))
-        if not sizes.where(F.col("n") > SMALL).head(1):
-            break
-        large = _unsettled(sized.where(F.col("n") > SMALL).select("node", "n", "doc_id"), _union(found))
-        if not large.head(1):
+        found.append(stored(near.groupBy("a", "b").agg(F.max("sure").alias("sure")), "candidates"))
+        if level == LEVELS or not large.head(1):
             break
-        if depth == DEPTH:
-            found.append(stored(_in_full(large, sketches, n_reduce).distinct(), "candidates"))
-            break
-        rows = stored(
-            large.select("node", "doc_id").join(sketches.select("doc_id", "sketch"), "doc_id")
-            .mapInArrow(lambda b: _descend(b, 0), "node long, doc_id long").distinct(),
-            "nodes",
-        )
-    return _union(found).distinct()
+        rows = stored(large.join(hard, "doc_id").select("node", "doc_id", "sketch").mapInArrow(_descend, "node long, doc_id long").distinct(), "nodes")
+    every = found[0]
+    for df in found[1:]:
+        every = every.unionByName(df)
+    return every.distinct()
+
+
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) of the rows whose two sets are similar."""
+    for batch in batches:
+        keep = []
+        for x, y in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist(), strict=True):
+            one, two = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+            shared = len(np.intersect1d(one, two, assume_unique=True))
+            keep.append(5 * shared >= 4 * (len(one) + len(two) - shared))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The (a, b) of pairs whose sets are similar, exactly."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = stored(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "doc_id long, shingles binary"), "sets")
+    one, two = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(n)) for c, n in (("a", "one"), ("b", "two")))
+    return pairs.join(one, "a").join(two, "b").mapInArrow(_confirm, "a long, b long")
+
+
+def candidate_groups(docs: DataFrame, sketches: DataFrame, n_reduce: int) -> DataFrame:
+    """(node, component): groups of sets that hold every two similar ones, but for the recall's rest; sets without a candidate are left out."""
+    found, large = first_links(sketches, n_reduce)
+    loose = connected(found).withColumnRenamed("component", "crowd")
+    crowds = stored(loose.groupBy("crowd").agg(F.count("*").alias("n")).where(F.col("n") > LOOSE).select("crowd"), "crowds")
+    if crowds.head(1):
+        crowded = stored(loose.join(crowds, "crowd", "left_semi"), "crowded")
+        in_crowd = crowded.select(F.col("node").alias("a"), F.lit(True).alias("crowded"))
+        kept = stored(found.join(in_crowd, "a", "left").where(F.col("crowded").isNull() | F.col("sure")).select("a", "b"), "kept")
+        groups = connected(kept)
+    else:
+        crowded, kept, groups = None, found.select("a", "b"), loose.withColumnRenamed("crowd", "component")
+    labels = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("label"))
+
+    def labelled(df: DataFrame) -> DataFrame:
+        return df.join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+
+    hard = _mixed(stored(labelled(large), "labelled"), "node")
+    if crowded is not None:
+        hard = hard.unionByName(_mixed(stored(labelled(crowded.withColumnRenamed("node", "doc_id")), "labelled"), "crowd"))
+    hard = stored(hard.distinct(), "hard")
+    if not hard.head(1):
+        return groups
+    pairs = stored(second_links(stored(labelled(hard).join(sketches.select("doc_id", "sketch"), "doc_id"), "hard-sketches"), n_reduce), "pairs")
+    more = pairs.where("sure").select("a", "b").unionByName(confirmed(docs, pairs.where("NOT sure").select("a", "b")))
+    return connected(kept.unionByName(more))
 
 
 def links_in_groups(docs: DataFrame, groups: DataFrame, copies: DataFrame, n_reduce: int) -> DataFrame:
@@ -359,7 +456,7 @@ def links_in_groups(docs: DataFrame, groups: DataFrame, copies: DataFrame, n_red
     return dealt.repartition(n_reduce, "block").sortWithinPartitions("block", "doc_id").mapInArrow(_count_links, "a long, b long, links long")
 
 
-def jaccard_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+def jaccard_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, n_links) for docs(doc_id, text); see the module's text."""
     spark = docs.sparkSession
     n_reduce = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -373,7 +470,7 @@ def jaccard_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         .groupBy("doc_id").agg(F.first("sketch").alias("sketch")),
         "rep-sketches",
     )
-    groups = connected(candidate_links(sketches, runs_for(recall), n_reduce))
+    groups = candidate_groups(docs, sketches, n_reduce)
     found = stored(links_in_groups(docs, groups, reps, n_reduce), "links")
     classes = connected(found.where("b IS NOT NULL").select("a", "b"))
     linked = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("linked"))
