@@ -116,7 +116,55 @@ def test_jaccard_join_odd(odd):
 
 
 def test_runs_reach_the_target():
-    assert 1 - (1 - J.level_recall()) ** J.runs_for() >= J.RECALL
+    for depth in (1, J.DEEP):
+        assert 1 - (1 - J.level_recall(depth)) ** J.runs_for(depth) >= J.RECALL
+
+
+def crowd(n, seed):
+    """n texts around one passage, with similarities of about 0.6 to each other, and a near copy at 0.8 to 0.86 of every 20th."""
+    rnd, passage, docs, pairs = random.Random(seed), [f"p{i}" for i in range(90)], [], []
+    for i in range(n):
+        own = [f"u{i}x{k}" for k in range(rnd.randint(26, 34))]
+        docs.append((i, " ".join(passage + own)))
+        if i % 20 == 0:
+            keep = len(own) - rnd.randint(8, 12)
+            docs.append((n + i, " ".join(passage + own[:keep] + [f"v{i}x{k}" for k in range(len(own) - keep)])))
+            pairs.append((i, n + i))
+    return docs, pairs
+
+
+def test_rows_grow_with_the_sets_of_a_crowd(spark, monkeypatch):
+    seen, inner = [], J.links_in_groups
+
+    def counted(docs, groups, *rest):
+        sizes = [r.n for r in groups.groupBy("component").agg(F.count("*").alias("n")).collect()]
+        seen.append((sum(sizes), sum(n * -(-n // J.BLOCK) for n in sizes), max(sizes)))
+        return inner(docs, groups, *rest)
+
+    monkeypatch.setattr(J, "links_in_groups", counted)
+    for n in (2000, 8000):
+        docs, pairs = crowd(n, n)
+        got = {r.doc_id: r.class_id for r in J.jaccard_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+        assert sum(got[a] == got[b] for a, b in pairs) >= 0.95 * len(pairs)
+        assert sum(got[i] != i for i, _ in docs) == sum(got[b] == a for a, b in pairs)
+    assert seen[1][1] <= 6 * seen[0][1] and seen[1][2] < 200
+
+
+def test_cross_pairs_are_brute_force():
+    """All pairs over the threshold of a node are found over the runs, none inside a label."""
+    rnd = np.random.default_rng(4)
+    rows = rnd.integers(0, 2**32, (400, J.T), dtype=np.uint32)
+    rows[200:300, :70] = rows[200, :70]
+    for i in range(100):
+        rows[300 + i] = rows[i]
+        rows[300 + i, rnd.choice(J.T, 22, replace=False)] = 0
+    labels = np.arange(400)
+    labels[300:310] = labels[:10]
+    found = set()
+    for run in range(J.runs_for(J.DEEP)):
+        i, j, _ = J.cross_pairs(np.uint64(run * 7919 + 3), rows, labels)
+        found |= set(zip(i.tolist(), j.tolist(), strict=True))
+    assert found == {(i, 300 + i) for i in range(10, 100)}
 
 
 # 2
