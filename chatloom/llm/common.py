@@ -19,4 +19,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Words of a text in order; none for null or blank texts."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WS, -1), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WS, -1), "")

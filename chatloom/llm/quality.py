@@ -3,10 +3,16 @@
 Native: DataFrame functions only. Two passes over the texts: the first counts the words of each
 language, the second makes each document's counts in its own row, without a shuffle of texts.
 
+Character classes are far where their Jensen-Shannon distance from the language's is over a fixed bound. A
+common-word distance cannot pass that of a text without any common word, so it is held to a share of that
+one (or the fixed bound, if less), after the distance that a sample of the text's length has by chance is
+taken out, and to a multiple of the mean among the language's own documents, which spares documents whose
+language is a mixture, as those without one are.
+
 Defined results: a null or blank text has no words, so base_failed is true; a null lang uses the
-reference of the documents without a language; texts under the minimum lengths are judged by the
-base rules alone; equal rows get equal results; an empty table gives no rows; further columns of the
-input are ignored.
+reference of the documents without a language; texts under the minimum lengths, and texts of a language
+without common words, are judged by the other rules alone; equal rows get equal results; an empty table
+gives no rows; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -26,12 +32,12 @@ CLASSES = {
     "punct": r"[!-\"'-),-/:;=?@\[-`{}~]+",
 }
 HISTOGRAM = ["space", *CLASSES, "beyond", "lower"]
-#: A word is common in a language if it has few characters (as function words do) and this share of the
-#: language's words or more, so a language has 200 at most.
+#: A word is common in a language if it has this share of the language's words or more, so a language has 200 at most.
 COMMON_SHARE = 0.005
-COMMON_LENGTH = 6
 MIN_CHARS, MIN_WORDS = 200, 50
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.35, 0.45
+#: Of the distance of a text without common words, the share that is far; and of the mean excess, the multiple that is.
+FAR, USUAL = 0.85, 2
 #: References are broadcast up to this many languages and joined by shuffle beyond.
 BROADCAST_LANGS = 2000
 
@@ -54,36 +60,20 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def common_words(docs: DataFrame, share: float = COMMON_SHARE) -> DataFrame:
-    """(lang_key, common, common_ref): the common words of each language in order, their counts and last the count of all others.
-
-    An empty word carries the number of a text's longer words through the count.
-    """
-    short = docs.select(F.coalesce("lang", F.lit("und")).alias("lang_key"), words(F.col("text")).alias("all")).withColumn(
-        "short", F.filter("all", lambda w: F.octet_length(w) <= COMMON_LENGTH)
-    )
-    counted = F.explode(F.concat(F.array(F.lit("")), "short")).alias("word")
-    counts = (
-        short.select("lang_key", (F.size("all") - F.size("short")).alias("longer"), counted)
-        .groupBy("lang_key", "word")
-        .agg(F.sum(F.when(F.col("word") == "", F.col("longer")).otherwise(1)).alias("count"))
-    )
-    counts = stored(counts, "word-counts")
+    """(lang_key, common, common_ref, most): the common words of each language in order, their counts and last the
+    count of all others, and the distance of a text without common words."""
+    every = docs.select(F.coalesce("lang", F.lit("und")).alias("lang_key"), F.explode(words(F.col("text"))).alias("word"))
+    counts = stored(every.groupBy("lang_key", "word").agg(F.count("*").alias("count")), "word-counts")
     totals = counts.groupBy("lang_key").agg(F.sum("count").alias("total"))
     many = totals.count()
     totals = F.broadcast(totals) if many <= BROADCAST_LANGS else totals
-    kept = counts.join(totals, "lang_key").where((F.col("word") != "") & (F.col("count") >= share * F.col("total")))
-    return (
-        kept.groupBy("lang_key", "total")
-        .agg(F.array_sort(F.collect_list(F.struct("word", "count"))).alias("top"))
-        .select(
-            "lang_key",
-            F.col("top.word").alias("common"),
-            F.concat(
-                F.transform("top.count", lambda c: c.cast("double")),
-                F.array((F.col("total") - F.aggregate("top.count", F.lit(0).cast("long"), lambda s, c: s + c)).cast("double")),
-            ).alias("common_ref"),
-        )
-    )
+    kept = counts.join(totals, "lang_key").where(F.col("count") >= share * F.col("total"))
+    top = kept.groupBy("lang_key", "total").agg(F.array_sort(F.collect_list(F.struct("word", "count"))).alias("top"))
+    rest = F.col("total") - F.aggregate("top.count", F.lit(0).cast("long"), lambda s, c: s + c)
+    ref = F.concat(F.transform("top.count", lambda c: c.cast("double")), F.array(rest.cast("double")))
+    out = top.select("lang_key", F.col("top.word").alias("common"), ref.alias("common_ref"))
+    none = F.concat(F.transform("common", lambda c: F.lit(0.0)), F.array(F.lit(1.0)))
+    return out.withColumn("most", js_distance(none, F.col("common_ref")))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -100,10 +90,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     out = out.withColumns({"c_space": F.col("n_text") - F.col("n_word_chars"), "c_beyond": F.col("n_left") - own})
     out = out.withColumn("c_lower", F.col("n_word_chars") - F.col("n_left"))
     # A window's hash has 64 bits and is compared within one document only.
-    window = F.transform(
-        F.sequence(F.lit(0), F.size("words") - 5),
-        lambda i: F.xxhash64(*(F.get("words", i + k) for k in range(5))),
-    )
+    window = F.transform(F.sequence(F.lit(1), F.size("words") - 4), lambda i: F.xxhash64(F.slice("words", i, F.lit(5))))
     out = out.withColumn("hashes", F.when(F.size("words") >= 5, window))
     out = out.withColumn(
         "sorted",
@@ -143,42 +130,49 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
 
 
+def common_counts(own: Column, common: Column) -> Column:
+    """How often each common word is among the words own: each word stands between two spaces of its own in one
+    string, so taking a word out shortens it by the word and two bytes."""
+    spaced = F.concat(F.lit(" "), F.array_join(own, "  "), F.lit(" "))
+    return F.transform(common, lambda c: (F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.concat(F.lit(" "), c, F.lit(" ")), F.lit("")))) / (F.octet_length(c) + 2))
+
+
 def quality_rules(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """One row per row of docs(doc_id, text, lang): counts, base_failed, both distances (null under the minimum length) and kept."""
     docs = docs.select("doc_id", "text", "lang")
-    refs = common_words(docs)
+    refs = stored(common_words(docs), "common-words")
     few = refs.count() <= BROADCAST_LANGS
     near = F.broadcast if few else (lambda x: x)
     own = base_counts(
         docs.select("doc_id", F.coalesce("lang", F.lit("und")).alias("lang_key"), F.coalesce("text", F.lit("")).alias("text"))
     )
-    own = own.join(near(refs), "lang_key", "left").withColumn(
-        "hits", F.filter("words", lambda w: F.array_contains("common", w))
-    )
-    found = F.transform("common", lambda c: F.size(F.filter("hits", lambda w: w == c)).cast("double"))
-    own = own.select(
-        *(c for c in own.columns if c not in ("words", "hits", "common")),
-        F.concat(found, F.array((F.size("words") - F.size("hits")).cast("double"))).alias("common_own"),
+    own = own.join(near(refs), "lang_key", "left")
+    own = own.withColumn("found", F.when(F.col("n_words") >= MIN_WORDS, common_counts(F.col("words"), F.col("common"))))
+    rest = F.col("n_words") - F.aggregate("found", F.lit(0.0), lambda s, x: s + x)
+    own = own.withColumn("word_distance", js_distance(F.concat("found", F.array(rest)), F.col("common_ref")))
+    # A sample of n words from k + 1 kinds is k / (8 n ln 2) away by chance, as a square.
+    chance = F.size("common") / (8 * F.col("n_words") * F.lit(0.6931471805599453))
+    own = own.withColumn("excess", F.greatest(F.pow("word_distance", 2) - chance, F.lit(0.0)))
+    own = stored(own.drop("words", "common", "common_ref", "found"), "quality-counts")
+    of_langs = own.groupBy("lang_key").agg(
+        F.array(*(F.sum(F.col("classes")[i]) for i in range(len(HISTOGRAM)))).alias("classes_ref"),
+        (USUAL * F.avg("excess")).alias("usual"),
     )
-    own = stored(own, "quality-counts")
-    classes = own.groupBy("lang_key").agg(
-        F.array(*(F.sum(F.col("classes")[i]) for i in range(len(HISTOGRAM)))).alias("classes_ref")
+    out = own.join(near(of_langs), "lang_key", "left").withColumn(
+        "char_distance", F.when(F.col("n_text") >= MIN_CHARS, js_distance(F.col("classes"), F.col("classes_ref")))
     )
-    out = own.join(near(classes), "lang_key", "left").withColumns({
-        "char_distance": F.when(F.col("n_text") >= MIN_CHARS, F.round(js_distance(F.col("classes"), F.col("classes_ref")), 9)),
-        "word_distance": F.when(F.col("n_words") >= MIN_WORDS, F.round(js_distance(F.col("common_own"), F.col("common_ref")), 9)),
-    })
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    far = (F.coalesce("char_distance", F.lit(0.0)) > max_char) | (F.coalesce("word_distance", F.lit(0.0)) > max_word)
+    bound = F.greatest(F.pow(F.least(FAR * F.col("most"), F.lit(max_word)), 2), F.col("usual"))
+    far = (F.coalesce("char_distance", F.lit(0.0)) > max_char) | F.coalesce(F.col("excess") > bound, F.lit(False))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & ~far).alias("kept"), "char_distance", "word_distance",
+        failed.alias("base_failed"), (~failed & ~far).alias("kept"),
+        F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"),
     )
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_rules(table(spark, sf_dir, "documents"))
-    return out.drop("char_distance", "word_distance")
+    return quality_rules(table(spark, sf_dir, "documents"))
 
 
 ORACLE = r"""
@@ -198,7 +192,7 @@ r AS (SELECT rid, i FROM v QUALIFY count(*) OVER (PARTITION BY rid, five) > 1),
 g AS (SELECT rid, sum(least(5, i - before)) AS n FROM (SELECT rid, i, coalesce(lag(i) OVER (PARTITION BY rid ORDER BY i), i - 5) AS before FROM r) GROUP BY rid),
 one AS (SELECT rid, k, unnest(ws) AS word FROM b),
 tot AS (SELECT k, count(*) AS total FROM one GROUP BY k),
-cm AS (SELECT k, word, count(*) AS n FROM one WHERE strlen(word) <= 6 GROUP BY k, word),
+cm AS (SELECT k, word, count(*) AS n FROM one GROUP BY k, word),
 com AS (SELECT cm.k, word, n, total FROM cm JOIN tot USING (k) WHERE n >= 0.005 * total),
 own AS (SELECT rid, k, word, count(*) AS n FROM one GROUP BY ALL),
 wp AS (SELECT b.rid, coalesce(own.n, 0) / b.n_words::DOUBLE AS p, com.n / com.total::DOUBLE AS q
@@ -211,10 +205,15 @@ cr AS (SELECT k, j, sum(n) AS n FROM cu GROUP BY k, j),
 cp AS (SELECT cu.rid, cu.n / cu.n_text AS p, cr.n / sum(cr.n) OVER (PARTITION BY cu.rid) AS q FROM cu JOIN cr USING (k, j) WHERE n_text >= 200),
 jw AS (SELECT rid, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS x FROM wp GROUP BY rid),
 jc AS (SELECT rid, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS x FROM cp GROUP BY rid),
-f AS (SELECT b.*, coalesce(g.n, 0)::BIGINT AS n_repeat_words, coalesce(round(jc.x, 9), 0) AS dc, coalesce(round(jw.x, 9), 0) AS dw
-    FROM b LEFT JOIN g USING (rid) LEFT JOIN jc USING (rid) LEFT JOIN jw USING (rid))
+mw AS (SELECT k, n / total::DOUBLE AS q, 0 AS p FROM com UNION ALL SELECT k, 1 - sum(n) / any_value(total)::DOUBLE, 1 FROM com GROUP BY k),
+mx AS (SELECT k, count(*) - 1 AS kinds, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS most FROM mw GROUP BY k),
+ex AS (SELECT b.rid, b.k, most, greatest(jw.x ** 2 - kinds / (8 * n_words * ln(2)), 0) AS excess FROM b JOIN jw USING (rid) JOIN mx ON mx.k = b.k),
+us AS (SELECT k, 2 * avg(excess) AS usual FROM ex GROUP BY k),
+f AS (SELECT b.*, coalesce(g.n, 0)::BIGINT AS n_repeat_words, jc.x AS dc, jw.x AS dw, coalesce(excess > greatest(least(0.85 * most, 0.45) ** 2, usual), false) AS far
+    FROM b LEFT JOIN g USING (rid) LEFT JOIN jc USING (rid) LEFT JOIN jw USING (rid) LEFT JOIN ex USING (rid) LEFT JOIN us ON us.k = b.k)
 SELECT doc_id, n_words, word_chars, c_symbol AS n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND dc <= 0.35 AND dw <= 0.45 AS kept
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND coalesce(dc, 0) <= 0.35 AND NOT far AS kept,
+  round(dc, 6) AS char_distance, round(dw, 6) AS word_distance
 FROM f
 """
