@@ -175,7 +175,7 @@ def write_archive(pages: DataFrame, root: str, min_bytes: int = 0, shard_bytes:
     rows = (
         own.select(shard.alias("shard"), "page_id", "sha1", "url", "payload", F.lit(None).cast("long").alias("refers_to"))
         .unionByName(notes.select(shard.alias("shard"), "page_id", "sha1", "refers_to"), allowMissingColumns=True)
-        .repartition(max(1, len(bounds.value)), "shard")
+        .repartitionByRange(max(1, len(bounds.value)), "shard")
         .sortWithinPartitions("shard", "page_id", "sha1", F.col("payload").isNotNull())
     )
     files = rows.select("shard", "page_id", "sha1", "url", "payload", "refers_to").mapInArrow(lambda b: _write(b, root, roll_bytes), MANIFEST)
