@@ -8,17 +8,20 @@ every word of an item, and inside words of over LONG bytes at every EVERY-th cha
 every character of an item, so text without spaces has windows too; per walk several samples of the steps give LSH keys. Windows that share a key with an
 item are compared on their whole walks, and what stays near is verified by semi-global edit distance.
 
-Items are handled in blocks of BLOCK at most, so what is broadcast has a bound; each block takes one pass
-over the documents, without a shuffle.
-
-Items under SHORT bytes are found without chance: one that may have k edits is cut into k + 1 pieces of whole
-characters, of which one at least stands in the document unchanged; the beginnings of the pieces are looked up
-at every byte and what they meet is verified in the same way. Items under LEAST bytes count where they stand
-exactly as they are, not inside a longer ASCII word; items without any text are found nowhere.
-
-Defined results: one row per document; null and empty texts are clean; equal rows get equal results; an
-empty benchmark leaves all clean; null item texts count as empty; an item id on several rows stands for all
-of their texts; further columns are ignored.
+Items of SHORT bytes or more have walks of STEPS steps, shorter ones, down to LEAST bytes, of FEW steps, which every
+word of a document starts. Items under PIECED bytes have few words to start a walk at, so beside their walks their pieces
+are looked up, which leaves nothing to chance: one that may have k edits is cut into k + 1 pieces of whole characters, of
+which one at least stands in the document unchanged; what the beginnings of the pieces meet is verified in the same
+way. Items under LEAST bytes count where they stand exactly as they are, not inside a longer ASCII word; items
+without any text are found nowhere.
+
+Items are handled in blocks of at most BLOCK bytes and the last one's, an item counting for EACH bytes at least, so what
+is broadcast has a bound; each block takes one pass over the documents.
+
+Defined results: one row per row of the documents, for any number of blocks; null and empty texts are clean; equal
+rows get equal results; an empty benchmark leaves all clean, and empty documents give no rows; null item texts count
+as empty; an item id on several rows stands for all of their texts; further columns are ignored; a very long text is
+searched whole.
 """
 
 from __future__ import annotations
@@ -31,19 +34,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import table
+from chatloom.llm.common import stored, table
 from chatloom.llm.textops import chunks, word_spans
+from chatloom.operators.ordering import running_total
 
 #: Edits per character of an item that still count as the item.
 RATE = 0.1
 STEPS, STRIDE = 56, 4
 WALKS, TABLES, SAMPLES = 2, 4, 12
-SHORT, LEAST = 160, 16
+PIECED, SHORT, LEAST = 160, 80, 16
+#: Steps of the walks of short items, about as many as they have bytes from a word on.
+FEW = 24
 #: Words of more bytes than LONG have starts inside, in a document one for EVERY characters.
 LONG, EVERY = 24, 8
 #: Bytes of a piece that are looked up.
 SEED = 8
-BLOCK = 2000
+BLOCK, EACH = 4 << 20, 400
 #: Steps that two walks must agree on, as a share, before the edit distance is computed.
 AGREE = 0.6
 _BITS = 20
@@ -291,17 +297,17 @@ def may_hold(item: str, text: str, edits: int, q: int = 4) -> bool:
     return sum(item[i : i + q] in here for i in range(len(item) - q + 1)) >= len(item) - q + 1 - q * edits
 
 
-def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float, seeds: Seeds | None = None) -> Iterator[pa.RecordBatch]:
+def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float, seeds: Seeds, keys: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, data, offsets in chunks(batch, "text"):
-            padded = np.concatenate([data, np.zeros(SHORT + STEPS + 2, dtype=np.uint8)])
+            padded = np.concatenate([data, np.zeros(PIECED + STEPS + 2, dtype=np.uint8)])
             padded[(padded >= 9) & (padded <= 13)] = 32
             starts, ends, first = word_spans(data, offsets)
             inner = inner_starts(data, starts, ends, EVERY)
             rows = len(offsets) - 1
             row = np.repeat(np.arange(rows), np.diff(first))
             hits: list[set[int]] = [set() for _ in range(rows)]
-            for r, k, begin in seeded(padded[: len(data)], offsets, seeds) if seeds else ():
+            for r, k, begin in seeded(padded[: len(data)], offsets, seeds):
                 item_id, item = seeds.items[k]
                 low, high = int(offsets[r]), int(offsets[r + 1])
                 if item_id in hits[r]:
@@ -335,27 +341,34 @@ def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float,
                     if may_hold(word, region, most) and least_edits(word, region) <= most:
                         hits[r].add(item_id)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([sorted(h) for h in hits], pa.list_(pa.int64()))], ["doc_id", "item_ids"]
+                [*(part.column(k) for k in keys), pa.array([sorted(h) for h in hits], pa.list_(pa.int64()))], [*keys, "item_ids"]
             )
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_ids): for each row of docs the ids of the items that contaminate it, in order."""
+    spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    blocks = max(1, -(-items.count() // block))
-    placed = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    counted = running_total(items, ["item_id", "text"], F.greatest(F.octet_length("text"), F.lit(EACH)), "before")
+    placed = stored(counted.select("item_id", "text", F.floor(F.col("before") / block).alias("block")), "items")
+    blocks = sorted(r.block for r in placed.select("block").distinct().collect()) or [0]
+    own, keys = docs.select("doc_id", "text"), ["doc_id"]
+    if len(blocks) > 1:
+        # The blocks' results meet again by row.
+        own, keys = stored(own.withColumn("row", F.monotonically_increasing_id()), "numbered-documents"), ["row", "doc_id"]
     out = None
-    for b in range(blocks):
-        own = sorted((r.item_id, _plain(r.text)) for r in placed.where(F.col("block") == b).collect())
-        indexes = [build([x for x in own if len(x[1]) >= SHORT], STEPS, STRIDE)]
-        seeds = build_seeds([x for x in own if 0 < len(x[1]) < SHORT and x[1].strip()], rate)
-        shared = docs.sparkSession.sparkContext.broadcast(([i for i in indexes if i.items], seeds))
-        got = docs.select("doc_id", "text").mapInArrow(
-            lambda it, shared=shared: search(it, shared.value[0], rate, shared.value[1]), "doc_id long, item_ids array<bigint>"
+    for b in blocks:
+        rows = sorted({(r.item_id, _plain(r.text)) for r in placed.where(F.col("block") == b).collect()})
+        classes = [([x for x in rows if len(x[1]) >= SHORT], STEPS, STRIDE), ([x for x in rows if LEAST <= len(x[1]) < SHORT], FEW, 1)]
+        indexes = [build(x, steps, stride) for x, steps, stride in classes if x]
+        seeds = build_seeds([x for x in rows if len(x[1]) < PIECED and x[1].strip()], rate)
+        shared = spark.sparkContext.broadcast((indexes, seeds))
+        got = own.mapInArrow(
+            lambda it, shared=shared: search(it, shared.value[0], rate, shared.value[1], keys), ", ".join(f"{k} long" for k in keys) + ", item_ids array<bigint>"
         )
         out = got if out is None else out.unionByName(got)
-    if blocks > 1:
-        out = out.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
+    if len(blocks) > 1:
+        out = out.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids")).drop("row")
     return out
 
 
