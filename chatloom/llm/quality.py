@@ -6,8 +6,8 @@ language, the second makes each document's counts in its own row, without a shuf
 Character classes are far where their Jensen-Shannon distance from the language's is over a fixed bound. A
 common-word distance cannot pass that of a text without any common word, so it is held to a share of that
 one (or the fixed bound, if less), after the distance that a sample of the text's length has by chance is
-taken out, and to a multiple of the mean among the language's own documents, which spares documents whose
-language is a mixture, as those without one are.
+taken out. Neither is far, as a square, up to a multiple of the mean among the language's own documents, which
+spares documents whose language is a mixture, as those without one are.
 
 Defined results: a null or blank text has no words, so base_failed is true; a null lang uses the
 reference of the documents without a language; texts under the minimum lengths, and texts of a language
@@ -36,7 +36,7 @@ HISTOGRAM = ["space", *CLASSES, "beyond", "lower"]
 COMMON_SHARE = 0.005
 MIN_CHARS, MIN_WORDS = 200, 50
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.35, 0.45
-#: Of the distance of a text without common words, the share that is far; and of the mean excess, the multiple that is.
+#: Of the distance of a text without common words, the share that is far; and of the mean square, the multiple that is.
 FAR, USUAL = 0.85, 2
 #: References are broadcast up to this many languages and joined by shuffle beyond.
 BROADCAST_LANGS = 2000
@@ -161,9 +161,12 @@ def quality_rules(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE, max_word
     out = own.join(near(of_langs), "lang_key", "left").withColumn(
         "char_distance", F.when(F.col("n_text") >= MIN_CHARS, js_distance(F.col("classes"), F.col("classes_ref")))
     )
+    usual = out.groupBy("lang_key").agg((USUAL * F.avg(F.pow("char_distance", 2))).alias("usual_chars"))
+    out = out.join(near(usual), "lang_key", "left")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    bound = F.greatest(F.pow(F.least(FAR * F.col("most"), F.lit(max_word)), 2), F.col("usual"))
-    far = (F.coalesce("char_distance", F.lit(0.0)) > max_char) | F.coalesce(F.col("excess") > bound, F.lit(False))
+    word_bound = F.greatest(F.pow(F.least(FAR * F.col("most"), F.lit(max_word)), 2), F.col("usual"))
+    char_bound = F.greatest(F.lit(max_char**2), F.col("usual_chars"))
+    far = F.coalesce(F.pow("char_distance", 2) > char_bound, F.lit(False)) | F.coalesce(F.col("excess") > word_bound, F.lit(False))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~far).alias("kept"),
@@ -208,12 +211,14 @@ jc AS (SELECT rid, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q)
 mw AS (SELECT k, n / total::DOUBLE AS q, 0 AS p FROM com UNION ALL SELECT k, 1 - sum(n) / any_value(total)::DOUBLE, 1 FROM com GROUP BY k),
 mx AS (SELECT k, count(*) - 1 AS kinds, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS most FROM mw GROUP BY k),
 ex AS (SELECT b.rid, b.k, most, greatest(jw.x ** 2 - kinds / (8 * n_words * ln(2)), 0) AS excess FROM b JOIN jw USING (rid) JOIN mx ON mx.k = b.k),
+uc AS (SELECT k, 2 * avg(jc.x ** 2) AS usual_chars FROM b JOIN jc USING (rid) GROUP BY k),
 us AS (SELECT k, 2 * avg(excess) AS usual FROM ex GROUP BY k),
-f AS (SELECT b.*, coalesce(g.n, 0)::BIGINT AS n_repeat_words, jc.x AS dc, jw.x AS dw, coalesce(excess > greatest(least(0.85 * most, 0.45) ** 2, usual), false) AS far
-    FROM b LEFT JOIN g USING (rid) LEFT JOIN jc USING (rid) LEFT JOIN jw USING (rid) LEFT JOIN ex USING (rid) LEFT JOIN us ON us.k = b.k)
+f AS (SELECT b.*, coalesce(g.n, 0)::BIGINT AS n_repeat_words, jc.x AS dc, jw.x AS dw, coalesce(excess > greatest(least(0.85 * most, 0.45) ** 2, usual), false)
+    OR coalesce(jc.x ** 2 > greatest(0.35 ** 2, usual_chars), false) AS far
+    FROM b LEFT JOIN g USING (rid) LEFT JOIN jc USING (rid) LEFT JOIN jw USING (rid) LEFT JOIN ex USING (rid) LEFT JOIN us ON us.k = b.k LEFT JOIN uc ON uc.k = b.k)
 SELECT doc_id, n_words, word_chars, c_symbol AS n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND coalesce(dc, 0) <= 0.35 AND NOT far AS kept,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT far AS kept,
   round(dc, 6) AS char_distance, round(dw, 6) AS word_distance
 FROM f
 """
