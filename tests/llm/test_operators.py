@@ -239,6 +239,25 @@ def test_divergent_texts_go(spark):
     assert [r.doc_id for r in out if not r.kept] == [100] and len(out) > 30
 
 
+def test_a_text_without_common_words_goes(spark):
+    """A language with a fifth of common words, all of five letters and more, in Cyrillic; and a mixture that has no name."""
+    rnd = random.Random(9)
+    common = ["также", "потому", "которые", "сегодня", "человек", "может", "очень"]
+    letters = "абвгдежзиклмнопрстуфхцчшыэюя"
+    word = lambda: "".join(rnd.choice(letters) for _ in range(rnd.randint(3, 9)))
+    say = lambda n, share: " ".join(rnd.choice(common) if rnd.random() < share else word() for _ in range(n))
+    rows = [(i, say(rnd.choice([60, 150, 400]), 0.2), "ru") for i in range(120)] + [(500 + i, say(200, 0), "ru") for i in range(5)]
+    english = ["therefore", "because", "which", "today", "human"]
+    rows += [(600 + i, say(200, 0.2) if i % 2 else " ".join(rnd.choice(english) if rnd.random() < 0.2 else f"w{rnd.randrange(10**6)}" for _ in range(200)), None) for i in range(60)]
+    out = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(out[i].word_distance is not None for i in range(120)) and {i for i, r in out.items() if not r.kept} == set(range(500, 505))
+
+
+def test_common_counts_are_the_words(spark):
+    df = spark.createDataFrame([(["a", "a", "ab", "a", "é", "b"], ["a", "b", "c", "é"])], "w array<string>, c array<string>")
+    assert df.select(quality.common_counts(F.col("w"), F.col("c"))).first()[0] == [3.0, 1.0, 0.0, 1.0]
+
+
 # 4
 
 
@@ -406,19 +425,70 @@ def test_decontamination_finds_edited_items(spark):
     assert sum(want[n] in got[n] for n in planted) >= 0.97 * len(planted)
     assert not [n for n in range(200) if want[n] is None and got[n]]
     assert got[300] == [20] and got[301] == [] and 3 in got[302]
-    blocks = {r.doc_id: r.item_ids for r in DC.find_items(docs, bench, block=5).collect()}
+    blocks = {r.doc_id: r.item_ids for r in DC.find_items(docs, bench, block=5 * DC.EACH).collect()}
     assert sum(blocks[n] == got[n] for n in got) >= 0.97 * len(got)
     assert DC.find_items(docs, bench.limit(0)).where("size(item_ids) > 0").count() == 0
 
 
-@pytest.mark.parametrize("size", [18, 30, 60, 75, 85, 140])
+def test_decontamination_is_brute_force(spark):
+    """Every document with every item, of all length classes, at all edit rates up to and over the limit."""
+    rnd = random.Random(21)
+    lexicon = texts(60, 77)
+    items = [(i, lexicon[i % 60][: rnd.choice([20, 40, 70, 100, 170, 260])].strip()) for i in range(36)]
+    rows = []
+    for n in range(140):
+        item, other = list(rnd.choice(items)[1]), texts(4, 3000 + n)[0]
+        for _ in range(int(rnd.choice([0, 0.03, 0.06, 0.1, 0.2]) * len(item))):
+            k = rnd.randrange(len(item))
+            item[k : k + 1] = rnd.choice(["", rnd.choice("abcdefgh"), item[k] + rnd.choice("abcdefgh")])
+        rows.append((n, f"{other} {''.join(item)} {other}" if n % 3 else other))
+    want = {(n, i) for n, t in rows for i, x in items if DC.least_edits(x, t) <= int(DC.RATE * len(x))}
+    got = {(r.doc_id, i) for r in DC.find_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect() for i in r.item_ids}
+    assert got <= want and len(got) >= 0.97 * len(want) and len(want) > 60
+    for low, high in ((0, 80), (80, 160), (160, 999)):
+        own = {(n, i) for n, i in want if low <= len(items[i][1]) < high}
+        assert len(got & own) >= 0.95 * len(own) and own
+
+
+def test_walks_find_items_without_the_pieces(monkeypatch):
+    """The walks alone: exact and lightly edited items of every class down to LEAST bytes."""
+    rnd, lexicon = random.Random(2), texts(40, 5)
+    for size, steps, stride, least in ((30, DC.FEW, 1, 0.8), (60, DC.FEW, 1, 0.9), (100, DC.STEPS, DC.STRIDE, 0.8), (200, DC.STEPS, DC.STRIDE, 0.95)):
+        items = [(i, lexicon[i][:size].encode()) for i in range(40)]
+        index, found = DC.build(items, steps, stride), 0
+        for i, item in items:
+            raw = bytearray(item)
+            for k in rnd.sample(range(len(raw)), int(0.03 * len(raw))):
+                raw[k] = 35
+            data = np.frombuffer(b"some words before it " + bytes(raw) + b" and some after" + b"\0" * 80, dtype=np.uint8)
+            starts = np.array([m.start() for m in re.finditer(rb"[^\x20\0]+", data.tobytes())])[::stride]
+            _, entry = DC.candidates(data, starts, index)
+            found += i in {int(index.entries[e][0]) for e in entry}
+        assert found >= least * len(items), size
+
+
+@pytest.mark.parametrize("block", [DC.BLOCK, 50 * DC.EACH])
+def test_decontamination_rows_do_not_depend_on_blocks(spark, odd, block):
+    """2,001 items, repeated rows, blank and very long texts: a row for every row, in one block or many."""
+    items = [(i, f"item number {i} of the list") for i in range(2001)]
+    rows = [(1, "here is item number 1999 of the list"), (1, "here is item number 1999 of the list"), (1, "item number 5 of the list"), (2, None), (3, "")]
+    rows += [(4, "word " * 40_000 + "item number 77 of the list"), (None, "item number 6 of the list")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1)), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_ids) for r in DC.find_items(docs, bench, block=block).collect()), key=str)
+    near = lambda k: sorted(i for i, t in items if DC.least_edits(t, f"item number {k} of the list") <= int(DC.RATE * len(t)))
+    want = [(1, near(1999)), (1, near(1999)), (1, near(5)), (2, []), (3, []), (4, near(77)), (None, near(6))]
+    assert got == sorted(want, key=str)
+    assert DC.find_items(odd, bench, block=block).count() == len(ODD) + 2 and DC.find_items(docs.limit(0), bench, block=block).count() == 0
+
+
+@pytest.mark.parametrize("size", [15, 16, 18, 30, 60, 75, 85, 140])
 def test_short_items_are_found_at_the_limit_of_edits(spark, size):
     rnd, lexicon = random.Random(size), texts(40, 5)
     rows, items = [], []
     for i in range(80):
         item = lexicon[i % 40][i : i + size].strip().ljust(size, "x")
         chars = list(item)
-        for k in rnd.sample(range(size), int(DC.RATE * size)):
+        for k in rnd.sample(range(size), int(DC.RATE * size) if size >= DC.LEAST else 0):
             chars[k] = "#"
         items.append((i, item))
         rows.append((i, f"{texts(4, 500 + i)[0]} {''.join(chars)} {texts(4, 900 + i)[0]}"))
@@ -465,6 +535,54 @@ def test_toxicity(spark, odd):
     assert scores[0] == scores[1] and all(0 <= s <= 1 for s in scores.values())
 
 
+def plain_nnpu(x, positive, unlabelled, prior, rounds, rate, decay):
+    """The non-negative risk document by document, gradients by hand, Adam."""
+    n, d = x.shape
+    w, b = np.zeros(d), np.log(prior / (1 - prior))
+    m = v = np.zeros(d + 1)
+    p, u = np.flatnonzero(positive), np.flatnonzero(unlabelled)
+    for t in range(1, rounds + 1):
+        gw, gb, up, un = np.zeros(d), 0.0, 0.0, 0.0
+        rest = []
+        for side, own, sign in (("p", p, prior / len(p)), ("u", u, 1 / len(u))):
+            for i in own:
+                f = x[i] @ w + b
+                s = 1 / (1 + np.exp(-f))
+                rest.append((-sign if side == "p" else sign, np.log1p(np.exp(f)), s, i))
+        total = sum(k * loss for k, loss, *_ in rest)
+        for k, _, s, i in rest:
+            g = k * s if total >= 0 else -k * s
+            gw, gb = gw + g * x[i], gb + g
+        if total >= 0:
+            for i in p:
+                s = 1 / (1 + np.exp(-(x[i] @ w + b)))
+                gw, gb = gw + prior / len(p) * (s - 1) * x[i], gb + prior / len(p) * (s - 1)
+        g = np.append(gw + decay * w, gb)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
+        step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    return w, b
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.6])
+def test_the_fit_is_the_plain_non_negative_risk(monkeypatch, prior):
+    rnd = np.random.default_rng(4)
+    x = (rnd.random((40, 6)) < 0.3).astype(float)
+    positive, unlabelled = np.arange(40) < 10, np.arange(40) >= 6
+    monkeypatch.setattr(toxicity, "ROUNDS", 60)
+    row, col = np.nonzero(x)
+    got = toxicity.fit(np.arange(6, dtype=np.uint64), row, col, positive, unlabelled, prior)
+    w, b = plain_nnpu(x, positive, unlabelled, prior, 60, toxicity.RATE, toxicity.DECAY)
+    assert np.allclose(got.weights, w) and abs(got.bias - b) < 1e-9
+
+
+def test_toxicity_of_empty_tables(spark, odd):
+    labels = spark.createDataFrame([(1, 1), (2, None), (None, 1)], "doc_id long, toxic int")
+    for docs, marks in ((odd.limit(0), labels), (odd, labels.limit(0)), (odd, labels)):
+        model = toxicity.learn(docs, marks)
+        assert toxicity.score(odd, model).count() == len(ODD) + 2 and toxicity.score(odd.limit(0), model).count() == 0
+
+
 # 8
 
 
