@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from chatloom.llm.common import table
 from chatloom.llm.textops import chunks, span_hashes
@@ -408,18 +409,19 @@ def decode_rows(ids: np.ndarray, at: np.ndarray, voc: Vocabulary) -> tuple[np.nd
 
 
 def prefixed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The batch with (doc_id, raw, text): text has the dummy space and plain spaces, raw is what decoding must give."""
+    """The batch with (raw, text) and its own columns under their places: text has the dummy space and plain spaces, raw is what decoding must give."""
     text = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
     raw = pc.replace_substring(text, "▁", " ")
     some = pc.greater(pc.binary_length(raw), 0)
     space = pa.scalar(" ", pa.large_string())
     full = pc.if_else(some, pc.binary_join_element_wise(space, raw, pa.scalar("", pa.large_string())), raw)
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), raw, full], ["doc_id", "raw", "text"])
+    return pa.RecordBatch.from_arrays([raw, full, *batch.columns], ["raw", "text", *map(str, range(batch.num_columns))])
 
 
-def encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def encode_batches(batches: Iterator[pa.RecordBatch], path: str, carried: list[str]) -> Iterator[pa.RecordBatch]:
     encoder = Encoder(path)
     for batch in batches:
+        places = [str(batch.schema.get_field_index(c)) for c in carried]
         for part, data, offsets in chunks(prefixed(batch), "text", lower=False):
             ids, at = encoder.encode(data, offsets)
             back, ends = decode_rows(ids, at, encoder.voc)
@@ -433,20 +435,24 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
                 same = wrong[ends[1:]] == wrong[ends[:-1]]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"),
+                    *(part.column(k) for k in places),
                     pa.array(np.diff(at)),
                     pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids)),
                     pa.array(same),
                 ],
-                ["doc_id", "n_tokens", "token_ids", "decodes_back"],
+                [*carried, *RESULT],
             )
 
 
-def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """(doc_id, n_tokens, token_ids, decodes_back) of docs(doc_id, text)."""
-    return docs.select("doc_id", "text").mapInArrow(
-        lambda b: encode_batches(b, path), "doc_id long, n_tokens long, token_ids array<int>, decodes_back boolean"
-    )
+RESULT = ["n_tokens", "token_ids", "decodes_back"]
+
+
+def encode(docs: DataFrame, path: str = MODEL, carried: list[str] | None = None) -> DataFrame:
+    """(doc_id, n_tokens, token_ids, decodes_back) of docs(doc_id, text), or the carried columns in the place of doc_id."""
+    carried = carried or ["doc_id"]
+    found = StructType.fromDDL("n_tokens long, token_ids array<int>, decodes_back boolean")
+    schema = StructType([docs.schema[c] for c in carried] + found.fields)
+    return docs.select(*dict.fromkeys([*carried, "text"])).mapInArrow(lambda b: encode_batches(b, path, carried), schema)
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
