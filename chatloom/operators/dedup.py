@@ -2,24 +2,36 @@
 
 Order is the column seq (arrival). Rule for similarity: a row goes if any earlier row is similar, which is
 set-based, deterministic and stricter than the order-dependent rule that only accepted rows block others;
-greedy=True in resolve_greedy gives that rule on the pairs.
+resolve_greedy gives that rule on the pairs. Equal strings are similar to each other; a string without words
+is similar to none. Strings are compared once each, by their first rows, and rows follow by membership, so no
+group of equal rows is expanded into pairs.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import content_hash, normalize, tokens
+from chatloom.operators.ordering import numbered
 from chatloom.operators.validation import assistant_texts
+from chatloom.sources.scratch import stored
 
 SEPARATOR = "|||"
 
 
-def signature(turns: Column, text: Column) -> Column:
+#: Entries of one prefix word that a task pairs with as many on the other side.
+HEAVY = 2000
+MAX_ROUNDS = 1000
+
+
+def replies_of(turns: Column) -> Column:
+    """The assistant's replies, normalised, without blank ones."""
+    return F.filter(F.transform(assistant_texts(turns), normalize), lambda x: x != "")
+
+
+def signature(replies: Column, text: Column) -> Column:
     """First 30 words of the first reply, a separator, last 20 of the last; without replies 200 characters of the text."""
-    replies = F.filter(F.transform(assistant_texts(turns), normalize), lambda x: x != "")
     n = F.size(replies)
     first, last = F.split(F.get(replies, F.lit(0)), " "), F.split(F.get(replies, n - 1), " ")
     tail = F.slice(last, F.greatest(F.size(last) - 19, F.lit(1)), F.lit(20))
@@ -27,28 +39,28 @@ def signature(turns: Column, text: Column) -> Column:
     return F.when(n > 0, own).otherwise(F.substring(normalize(text), 1, 200))
 
 
-def opening(turns: Column) -> Column:
-    """The first reply, normalised; '' without one."""
-    replies = F.filter(F.transform(assistant_texts(turns), normalize), lambda x: x != "")
+def opening(replies: Column) -> Column:
+    """The first reply; '' without one."""
     return F.coalesce(F.get(replies, F.lit(0)), F.lit(""))
 
 
 def keyed(convs: DataFrame) -> DataFrame:
     """convs(seq, conv_id, turns, text) with hash, signature and opening."""
-    turns, text = F.col("turns"), F.col("text")
-    return convs.withColumns({"hash": content_hash(text), "signature": signature(turns, text), "opening": opening(turns)})
+    # A generator in between keeps the optimizer from making the replies anew in every place that names them.
+    own = convs.select("*", F.explode(F.array(replies_of(F.col("turns")))).alias("_replies"))
+    text, replies = F.col("text"), F.col("_replies")
+    return own.withColumns({"hash": content_hash(text), "signature": signature(replies, text), "opening": opening(replies)}).drop("_replies")
 
 
-def repeats(df: DataFrame, key: str) -> DataFrame:
-    """(seq, key) rows that an earlier row of equal key precedes; the earliest of each key is found by partial aggregation."""
-    first = df.groupBy(key).agg(F.min("seq").alias("first"), F.count("*").alias("n")).where("n > 1").select(key, "first")
-    return df.join(first, key).where(F.col("seq") > F.col("first")).select("seq", key)
+def repeats(df: DataFrame, key: str, first: str = "first") -> DataFrame:
+    """(seq, key, first) rows that an earlier row of equal key precedes, and its seq; the earliest of each key is found by partial aggregation."""
+    known = df.groupBy(key).agg(F.min("seq").alias(first), F.count("*").alias("_n")).where("_n > 1").select(key, first)
+    return df.join(known, key).where(F.col("seq") > F.col(first)).select("seq", key, first)
 
 
 def exact_dups(df: DataFrame, key: str = "hash") -> DataFrame:
     """(conv_id, seq, dup_rank): rank of each row among the rows of its key, 1 the earliest."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy("seq"))
-    return df.select("conv_id", "seq", rank.alias("dup_rank"))
+    return numbered(df.select("conv_id", "seq", key), ["seq"], "dup_rank", [key]).select("conv_id", "seq", (F.col("dup_rank") + 1).alias("dup_rank"))
 
 
 def exact_against(df: DataFrame, seen: DataFrame) -> DataFrame:
@@ -56,61 +68,112 @@ def exact_against(df: DataFrame, seen: DataFrame) -> DataFrame:
     return df.join(seen.select("hash"), "hash", "left_semi")
 
 
-def similar_values(values: DataFrame, num: int, den: int) -> DataFrame:
+def similar_values(values: DataFrame, num: int, den: int, banded: bool = False) -> DataFrame:
     """Pairs (a, b, common, either), a < b, of distinct strings values(id, value) with Jaccard over num / den, strictly.
 
     Prefix filter: words are ordered from rare to frequent; two sets over the threshold share one of their first
-    n - ceil(t * n) + 1 words. Candidates meet on such a word, are cut by length, then compared exactly.
+    n - ceil(t * n) + 1 words. Candidates meet on such a word's hash, carrying their length and the word's place;
+    length and place bound what they can share. Ids alone are made distinct, and only then the words are compared
+    exactly. Words that many prefixes hold are dealt over several tasks. With banded, values(id, value, block) of
+    one block are compared with those of the same block and the one before, and ids grow with the blocks.
     """
-    own = values.select("id", tokens(F.col("value")).alias("words")).where(F.size("words") > 0)
+    block = F.col("block") if banded else F.lit(0)
+    words = tokens(F.col("value"))
+    own = values.select("id", block.cast("long").alias("block"), words.alias("words")).where(F.size("words") > 0)
     count = own.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    ranked = own.select("id", F.size("words").alias("n"), F.explode("words").alias("word")).join(count, "word")
-    ordered = ranked.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("w")).select("id", "n", F.col("w.word").alias("words"))
+    ranked = own.select("id", "block", F.explode("words").alias("word")).join(count, "word")
+    ordered = ranked.groupBy("id", "block").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("w"))
+    ordered = stored(ordered.select("id", "block", F.col("w.word").alias("words"), F.size("w").cast("long").alias("n")), "ordered-words")
     # n - ceil(t n) + 1 in whole numbers.
     head = (F.col("n") - F.floor((F.col("n") * num + den - 1) / den) + 1).cast("int")
-    entries = ordered.select("id", "n", "words", F.explode(F.slice("words", F.lit(1), head)).alias("word"))
-    left = entries.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("words").alias("wa"), "word")
-    right = entries.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("words").alias("wb"), "word")
-    near = (F.col("a") < F.col("b")) & (F.col("na") * den > F.col("nb") * num) & (F.col("nb") * den > F.col("na") * num)
+    entries = ordered.select("id", "block", "n", F.posexplode(F.slice("words", F.lit(1), head)).alias("at", "word"))
+    entries = entries.select("id", "block", "n", "at", F.xxhash64("word").alias("h"))
+    shared = entries.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
+    met = stored(entries.join(shared, "h").withColumn("salts", F.ceil(F.col("k") / HEAVY).cast("int")), "prefix-words")
+    left = met.select("h", "block", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
+    right = met.select("h", "block", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    if banded:
+        right = right.withColumn("own", F.col("block")).withColumn("block", F.explode(F.array(F.col("block"), F.col("block") + 1)))
+        order = (F.col("own") < F.col("block")) | (F.col("y") < F.col("x"))
+    else:
+        order = F.col("y") < F.col("x")
+    # Common words after this one, which is the first that the two share, are no more than either has left.
+    most = F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
+    near = order & (most * (num + den) > F.lit(num) * (F.col("nx") + F.col("ny")))
+    found = stored(left.join(right, ["h", "block", "salt"]).where(near).select(F.col("y").alias("a"), F.col("x").alias("b")).distinct(), "candidates")
+    of = lambda i, w: ordered.select(F.col("id").alias(i), F.col("words").alias(w))
     common = F.size(F.array_intersect("wa", "wb"))
-    pairs = left.join(right, "word").where(near).select("a", "b", common.alias("common"), (F.col("na") + F.col("nb") - common).alias("either"))
-    return pairs.where(F.col("common") * den > F.col("either") * num).distinct()
+    both = found.join(of("a", "wa"), "a").join(of("b", "wb"), "b").select("a", "b", common.alias("common"), (F.size("wa") + F.size("wb")).alias("sum"))
+    pairs = both.select("a", "b", "common", (F.col("sum") - F.col("common")).alias("either"))
+    return pairs.where(F.col("common") * den > F.col("either") * num)
 
 
-def similar_pairs(df: DataFrame, column: str, num: int, den: int, within: int | None = None) -> DataFrame:
-    """(a, b, sim): seq pairs, a earlier, of rows whose strings are over the threshold but not equal; optionally b within so many rows after a."""
-    firsts = df.groupBy(column).agg(F.min("seq").alias("id"))
+def _firsts(df: DataFrame, column: str) -> DataFrame:
+    return df.groupBy(column).agg(F.min("seq").alias("id"))
+
+
+def similar_pairs(df: DataFrame, column: str, num: int, den: int) -> DataFrame:
+    """(a, b, sim): the similar pairs of different strings, by their first rows' seq, and for every later row of a string
+    its first row, at 1: pairs of representatives and the membership of all others."""
+    firsts = stored(_firsts(df, column), "firsts")
     pairs = similar_values(firsts.select("id", F.col(column).alias("value")), num, den)
-    rows = df.join(firsts, column).select("seq", "id")
-    both = pairs.join(rows.select(F.col("id").alias("a"), F.col("seq").alias("sa")), "a").join(rows.select(F.col("id").alias("b"), F.col("seq").alias("sb")), "b")
-    out = both.select(F.least("sa", "sb").alias("a"), F.greatest("sa", "sb").alias("b"), F.round(F.col("common") / F.col("either"), 6).alias("sim"))
-    return out if within is None else out.where(F.col("b") - F.col("a") <= within)
+    out = pairs.select("a", "b", F.round(F.col("common") / F.col("either"), 6).alias("sim"))
+    return out.unionByName(repeats(df.where(F.size(tokens(F.col(column))) > 0), column, "a").select("a", F.col("seq").alias("b"), F.lit(1.0).alias("sim")))
 
 
 def similar_to_earlier(df: DataFrame, column: str, num: int, den: int) -> DataFrame:
     """(seq,) of the rows that an earlier row with another, similar string precedes; only each string's first row is compared."""
-    firsts = df.groupBy(column).agg(F.min("seq").alias("id"))
+    firsts = stored(_firsts(df, column), "firsts")
     pairs = similar_values(firsts.select("id", F.col(column).alias("value")), num, den)
-    earliest = pairs.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("blocker")).unionByName(
-        pairs.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("blocker"))
-    ).groupBy("id").agg(F.min("blocker").alias("blocker"))
-    return df.join(firsts, column).join(earliest, "id").where(F.col("seq") > F.col("blocker")).select("seq")
+    both = F.explode(F.array(F.struct(F.col("b").alias("id"), F.col("a").alias("blocker")), F.struct(F.col("a").alias("id"), F.col("b").alias("blocker")))).alias("x")
+    earliest = pairs.select(both).groupBy(F.col("x.id").alias("id")).agg(F.min("x.blocker").alias("blocker"))
+    blocked = firsts.join(earliest, "id").select(column, "blocker")
+    return df.join(blocked, column).where(F.col("seq") > F.col("blocker")).select("seq")
+
+
+def similar_within(df: DataFrame, column: str, num: int, den: int, n: int, blank_equal: bool = False) -> DataFrame:
+    """(seq,) of the rows that one of the n rows before, by number in the order of arrival, is similar or equal to.
+
+    Rows are numbered in order and cut into blocks of n, so what a row is compared with lies in its block or the one
+    before. A string stands once a block, by its first and last row there. Strings without words equal each other
+    only with blank_equal.
+    """
+    rows = numbered(df.select("seq", F.col(column).alias("value")), ["seq"], "number").withColumn("block", F.floor(F.col("number") / n))
+    rows = stored(rows, "numbered-rows")
+    strings = rows.groupBy("block", "value").agg(F.min("number").alias("id"), F.max("number").alias("last"))
+    strings = stored(strings, "strings-of-blocks")
+    pairs = similar_values(strings.select("id", "value", "block"), num, den, banded=True).select("a", "b")
+    span = lambda i, p: strings.select(F.col("id").alias(i), F.col("block").alias(f"{p}_block"), F.col("last").alias(f"{p}_last"))
+    met = pairs.join(span("a", "a"), "a").join(span("b", "b"), "b")
+    same = F.col("a_block") == F.col("b_block")
+    # In one block the later string's rows follow the other's first row, and the other's rows after the later one's first follow that.
+    one = met.select(F.col("b").alias("id"), F.when(same, F.col("a")).otherwise(F.col("a_last")).alias("earlier"))
+    two = met.where(same).select(F.col("a").alias("id"), F.col("b").alias("earlier"))
+    has_words = F.size(tokens(F.col("value"))) > 0
+    equal = strings if blank_equal else strings.where(has_words)
+    before = equal.select("value", (F.col("block") + 1).alias("block"), F.col("last").alias("earlier"))
+    own = equal.select("id", F.col("id").alias("earlier")).unionByName(equal.join(before, ["value", "block"]).select("id", "earlier"))
+    near = one.unionByName(two).unionByName(own).groupBy("id").agg(F.collect_set("earlier").alias("earlier"))
+    hit = F.exists("earlier", lambda e: (e < F.col("number")) & (F.col("number") - e <= n))
+    ids = strings.join(near, "id").select("block", "value", "earlier")
+    return rows.join(ids, ["block", "value"]).where(hit).select("seq")
 
 
 def dup_reason(keyed_rows: DataFrame, sig: tuple[int, int] = (9, 10), opn: tuple[int, int] = (19, 20)) -> DataFrame:
     """(conv_id, seq, dup_reason): exact hash, similar signature, equal opening, similar opening, else unique; equal signatures are similar."""
+    rows = stored(keyed_rows.select("conv_id", "seq", "hash", "signature", "opening"), "keyed")
     marks = [
-        (repeats(keyed_rows, "hash").select("seq"), "exact_hash_duplicate"),
-        (repeats(keyed_rows.where(F.size(tokens(F.col("signature"))) > 0), "signature").select("seq").unionByName(similar_to_earlier(keyed_rows, "signature", *sig)), f"signature_similarity>{sig[0] / sig[1]:.2f}"),
-        (repeats(keyed_rows, "opening").select("seq"), "exact_opening_duplicate"),
-        (similar_to_earlier(keyed_rows, "opening", *opn), f"opening_similarity>{opn[0] / opn[1]:.2f}"),
+        (repeats(rows, "hash").select("seq"), "exact_hash_duplicate"),
+        (repeats(rows.where(F.size(tokens(F.col("signature"))) > 0), "signature").select("seq").unionByName(similar_to_earlier(rows, "signature", *sig)), f"signature_similarity>{sig[0] / sig[1]:.2f}"),
+        (repeats(rows, "opening").select("seq"), "exact_opening_duplicate"),
+        (similar_to_earlier(rows, "opening", *opn), f"opening_similarity>{opn[0] / opn[1]:.2f}"),
     ]
     union = None
-    for rank, (rows, reason) in enumerate(marks):
-        own = rows.select("seq", F.lit(rank).alias("rank"), F.lit(reason).alias("reason"))
+    for rank, (found, reason) in enumerate(marks):
+        own = found.select("seq", F.lit(rank).alias("rank"), F.lit(reason).alias("reason"))
         union = own if union is None else union.unionByName(own)
     first = union.groupBy("seq").agg(F.min_by("reason", "rank").alias("_first"))
-    return keyed_rows.select("conv_id", "seq").join(first, "seq", "left").select("conv_id", "seq", F.coalesce("_first", F.lit("unique")).alias("dup_reason"))
+    return rows.select("conv_id", "seq").join(first, "seq", "left").select("conv_id", "seq", F.coalesce("_first", F.lit("unique")).alias("dup_reason"))
 
 
 def resolve(marked: DataFrame, policy: str = "drop") -> DataFrame:
@@ -121,37 +184,50 @@ def resolve(marked: DataFrame, policy: str = "drop") -> DataFrame:
     return marked.withColumn("dup_reason", kept)
 
 
-def resolve_greedy(components: DataFrame) -> DataFrame:
-    """(component, seq, kept) of components(component, seq, blockers array<long>): a row goes if an earlier kept row blocks it.
+def resolve_greedy(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(seq, kept) of all rows(seq): in order of arrival a row goes if a kept earlier one is similar, by pairs(a, b), a < b.
 
-    One group is one connected component of the similar pairs, as found by any component operator.
+    pairs as of similar_pairs: a later row of a string is blocked by what its first row is, kept or not, so its
+    one pair stands for all of the string's. Rounds of joins: a row is kept once nothing undecided is before it,
+    and what it blocks goes; pairs of decided rows leave the table.
     """
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, kept = rows.sort_values("seq"), set()
-        for seq, blockers in zip(rows["seq"], rows["blockers"], strict=True):
-            if not kept.intersection(blockers if blockers is not None else ()):
-                kept.add(seq)
-        return rows[["component", "seq"]].assign(kept=rows["seq"].isin(kept))
-
-    return components.groupBy("component").applyInPandas(walk, "component long, seq long, kept boolean")
+    left = stored(pairs.select("a", "b").distinct(), "undecided")
+    gone: DataFrame | None = None
+    for _ in range(MAX_ROUNDS):
+        if not left.head(1):
+            break
+        waiting = left.select(F.col("b").alias("a")).distinct()
+        kept = stored(left.join(waiting, "a", "left_anti").select("a").distinct(), "kept")
+        blocked = stored(left.join(kept, "a").select("b").distinct(), "blocked")
+        gone = blocked if gone is None else gone.unionByName(blocked)
+        rest = left.join(kept, "a", "left_anti").join(blocked, "b", "left_anti")
+        left = stored(rest.join(blocked.withColumnRenamed("b", "a"), "a", "left_anti"), "undecided")
+    else:
+        raise RuntimeError("pairs are left undecided; raise MAX_ROUNDS")
+    if gone is None:
+        return rows.select("seq", F.lit(True).alias("kept"))
+    marked = gone.select(F.col("b").alias("seq"), F.lit(False).alias("kept"))
+    return rows.select("seq").join(marked, "seq", "left").select("seq", F.coalesce("kept", F.lit(True)).alias("kept"))
 
 
 def ttl_anchor(df: DataFrame, days: int = 90) -> DataFrame:
-    """(hash, created_at, duplicate): sightings by time; one within days of its anchor repeats it, a later one is the next anchor."""
-    span = F.lit(days * 86_400_000_000)
-    times = F.array_sort(F.collect_list(F.unix_micros("created_at")))
-
-    def step(a: Column, t: Column) -> Column:
-        fresh = a["anchor"].isNull() | (t >= a["anchor"] + span)
-        return F.struct(
-            F.when(fresh, t).otherwise(a["anchor"]).alias("anchor"),
-            F.concat(a["out"], F.array(F.struct(t.alias("t"), (~fresh).alias("duplicate")))).alias("out"),
-        )
-
-    start = F.struct(F.lit(None).cast("long").alias("anchor"), F.array().cast("array<struct<t:bigint,duplicate:boolean>>").alias("out"))
-    own = df.groupBy("hash").agg(times.alias("times")).select("hash", F.explode(F.aggregate("times", start, step, lambda a: a["out"])).alias("x"))
-    return own.select("hash", F.timestamp_micros("x.t").alias("created_at"), "x.duplicate")
+    """(hash, created_at, duplicate): sightings by time; one within days of its anchor repeats it, a later one is the next anchor.
+
+    A round finds every hash's next anchor by partial aggregation and settles the sightings that it remembers, so
+    there are as many rounds as anchors of a hash, and no task sees all sightings of one.
+    """
+    span = days * 86_400_000_000
+    left = df.select("hash", F.unix_micros("created_at").alias("us")).groupBy("hash", "us").agg(F.count("*").alias("n"))
+    left, out = stored(left, "sightings"), None
+    while out is None or left.head(1):
+        anchors = left.groupBy("hash").agg(F.min("us").alias("anchor"))
+        placed = stored(left.join(anchors, "hash"), "anchored")
+        done = placed.where(F.col("us") < F.col("anchor") + span)
+        out = done if out is None else out.unionByName(done)
+        left = placed.where(F.col("us") >= F.col("anchor") + span).select("hash", "us", "n")
+    each = F.explode(F.sequence(F.lit(1), F.col("n"))).alias("k")
+    again = (F.col("us") > F.col("anchor")) | (F.col("k") > 1)
+    return out.select("hash", "us", "anchor", each).select("hash", F.timestamp_micros("us").alias("created_at"), again.alias("duplicate"))
 
 
 def against_history(df: DataFrame, history: DataFrame, days: int = 90) -> DataFrame:

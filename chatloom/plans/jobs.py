@@ -20,8 +20,7 @@ def curate(raw: DataFrame, cfg: Config, system_prompt: str, day: str) -> DataFra
     text = parse_json_pairs(clean_llm_text(F.coalesce("text", F.lit(""))), cfg.persona)
     # Written once: the marks below read the rows from many sides.
     done = stored(process(raw.select("conv_id", text.alias("text")), cfg).join(raw.select("conv_id", "seq"), "conv_id"), "validated")
-    good = stored(keyed(done.where("ok")).select("seq", "conv_id", "hash", "signature", "opening"), "keyed")
-    marks = dup_reason(good, cfg.signature_threshold, cfg.opening_threshold).select("conv_id", "dup_reason")
+    marks = dup_reason(keyed(done.where("ok")), cfg.signature_threshold, cfg.opening_threshold).select("conv_id", "dup_reason")
     out = routed(done.join(marks, "conv_id", "left"), day)
     kept = F.col("dup_reason") == "unique"
     return out.select(

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import text as X
 from chatloom.operators import dedup as D
-from chatloom.operators.components import connected
 from chatloom.queries.base import read
 from chatloom.sources.scratch import stored
 
@@ -19,10 +18,19 @@ def _docs(spark, d):
     return read(spark, d, "documents").select(F.col("doc_id").alias("seq"), F.col("doc_id").alias("conv_id"), "text", turns.alias("turns"))
 
 
+#: The reference memory: newest signatures and openings that a row is compared with.
+RECENT = {"signature": 5000, "opening": 500}
+
+
 def _keyed(spark, d):
     return D.keyed(_docs(spark, d)).select("seq", "conv_id", "hash", "signature", "opening")
 
 
+def _written(spark, d):
+    """_keyed for queries that read it from several sides."""
+    return stored(_keyed(spark, d), "keyed")
+
+
 #: Oracle: k(seq, hash, signature, opening) and sets of distinct words.
 K = f"""r AS (SELECT doc_id AS seq, {NORM.format('text')} AS norm, [{NORM.format('x')} FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '\\S')] AS ls FROM documents),
 k AS (SELECT seq, sha256(norm) AS hash, CASE WHEN len(ls) > 0 THEN array_to_string(string_split(ls[1], ' ')[1:30], ' ') || ' ||| ' || array_to_string(string_split(ls[-1], ' ')[greatest(len(string_split(ls[-1], ' ')) - 19, 1):], ' ') ELSE substr(norm, 1, 200) END AS signature,
@@ -65,24 +73,31 @@ def jaccard_neighbours(spark, d):
 
 
 def similar_pairs(spark, d):
-    return D.similar_pairs(_keyed(spark, d), "signature", 9, 10)
+    return D.similar_pairs(_written(spark, d), "signature", 9, 10)
 
 
 def opening_dups(spark, d):
-    own = _keyed(spark, d)
+    own = _written(spark, d)
     equal = D.repeats(own, "opening").select("seq", F.lit("exact_opening_duplicate").alias("reason"))
     near = D.similar_to_earlier(own, "opening", 19, 20).select("seq", F.lit("opening_similarity>0.95").alias("reason"))
     return equal.unionByName(near.join(equal, "seq", "left_anti"))
 
 
 def recent_band(spark, d):
-    return D.similar_pairs(_keyed(spark, d), "signature", 9, 10, within=200)
+    """Rows that one of the newest signatures or openings before them repeats."""
+    own = _written(spark, d)
+    signatures = D.similar_within(own, "signature", 9, 10, RECENT["signature"]).select("seq", F.lit("signature").alias("memory"))
+    return signatures.unionByName(D.similar_within(own, "opening", 19, 20, RECENT["opening"], blank_equal=True).select("seq", F.lit("opening").alias("memory")))
 
 
 def dup_reason(spark, d):
     return D.dup_reason(_keyed(spark, d)).select("conv_id", "dup_reason")
 
 
+def resolve_drop(spark, d):
+    return D.resolve(D.dup_reason(_keyed(spark, d)), "drop").select("conv_id")
+
+
 def resolve_marked(spark, d):
     return D.resolve(D.dup_reason(_keyed(spark, d)), "keep_marked").groupBy("dup_reason").agg(F.count("*").alias("n"))
 
@@ -123,17 +138,14 @@ def update_state(spark, d):
     own = _keyed(spark, d).select("seq", "hash", "signature", "opening", F.timestamp_seconds(F.col("seq") + 1704067200).alias("created_at"))
     rows = own.select("seq", "created_at", F.expr("stack(3, 'hash', hash, 'signature', signature, 'opening', opening) AS (kind, value)"))
     state, new = rows.where("seq % 3 <> 0"), rows.where("seq % 3 = 0")
-    out = D.update_state(state.drop("seq"), new.drop("seq"), {"signature": 400, "opening": 50})
+    out = D.update_state(state.drop("seq"), new.drop("seq"), RECENT)
     return out.groupBy("kind").agg(F.count("*").alias("n"), F.min("created_at").alias("oldest"))
 
 
 def greedy(spark, d):
-    """Signatures' similar pairs, each component walked in order of arrival: a row goes only if a kept one blocks it."""
-    pairs = D.similar_pairs(_keyed(spark, d), "signature", 9, 10).select("a", "b")
-    pairs = stored(pairs, "pairs")
-    labels = connected(pairs).withColumnRenamed("node", "seq")
-    blockers = pairs.groupBy(F.col("b").alias("seq")).agg(F.collect_set("a").alias("blockers"))
-    return D.resolve_greedy(labels.join(blockers, "seq", "left").select("component", "seq", "blockers"))
+    """Every document, kept unless a kept earlier one's signature is equal or similar."""
+    own = _written(spark, d)
+    return D.resolve_greedy(own, D.similar_pairs(own, "signature", 9, 10))
 
 
 DUP = f"""WITH {K}, {_sets('signature', 's')}, {_sets('opening', 'u')},
@@ -142,14 +154,26 @@ sb AS (SELECT id, min(m) AS m FROM (SELECT b AS id, a AS m FROM sp WHERE common
 ob AS (SELECT id, min(m) AS m FROM (SELECT b AS id, a AS m FROM up WHERE common * 20 > either * 19 UNION ALL SELECT a, b FROM up WHERE common * 20 > either * 19) GROUP BY id),
 dr AS (SELECT h1.seq AS conv_id, CASE WHEN eh THEN 'exact_hash_duplicate' WHEN es OR h1.seq > sb.m THEN 'signature_similarity>0.90' WHEN eo THEN 'exact_opening_duplicate' WHEN h1.seq > ob.m THEN 'opening_similarity>0.95' ELSE 'unique' END AS dup_reason
  FROM h1 JOIN sf ON sf.v = h1.signature LEFT JOIN sb ON sb.id = sf.id JOIN uf ON uf.v = h1.opening LEFT JOIN ob ON ob.id = uf.id)"""
-PAIR = f"""WITH {K}, {_sets('signature', 's')}, x AS (SELECT k.seq, sf.id FROM k JOIN sf ON sf.v = k.signature)
-SELECT least(p.seq, q.seq) AS a, greatest(p.seq, q.seq) AS b, round(common / either, 6) AS sim FROM sp JOIN x p ON p.id = sp.a JOIN x q ON q.id = sp.b WHERE common * 10 > either * 9"""
+PAIRED = f"""{K}, {_sets('signature', 's')},
+g AS (SELECT a, b, round(common / either, 6) AS sim FROM sp WHERE common * 10 > either * 9
+ UNION ALL SELECT sf.id, k.seq, 1.0 FROM k JOIN sf ON sf.v = k.signature WHERE k.seq > sf.id AND regexp_matches(k.signature, '\\S'))"""
+PAIR = f"WITH {PAIRED} SELECT a, b, sim FROM g"
+GREEDY = f"""WITH RECURSIVE {PAIRED}, nb AS (SELECT b, list(a) AS blockers, row_number() OVER (ORDER BY b) AS i FROM g GROUP BY b),
+w(i, gone) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL
+ SELECT w.i + 1, CASE WHEN len([x FOR x IN blockers IF NOT list_contains(gone, x)]) > 0 THEN list_append(gone, b) ELSE gone END FROM w JOIN nb ON nb.i = w.i + 1)
+SELECT seq, NOT list_contains((SELECT arg_max(gone, i) FROM w), seq) AS kept FROM k"""
+BAND = f"""WITH {K}, {_sets('signature', 's')}, {_sets('opening', 'u')},
+o AS (SELECT seq, row_number() OVER (ORDER BY seq) AS i, signature, opening, sf.id AS s, uf.id AS u FROM k JOIN sf ON sf.v = k.signature JOIN uf ON uf.v = k.opening),
+ss AS (SELECT a, b FROM sp WHERE common * 10 > either * 9 UNION ALL SELECT b, a FROM sp WHERE common * 10 > either * 9),
+uu AS (SELECT a, b FROM up WHERE common * 20 > either * 19 UNION ALL SELECT b, a FROM up WHERE common * 20 > either * 19)
+SELECT DISTINCT x.seq, 'signature' AS memory FROM o x JOIN o y ON x.i - y.i BETWEEN 1 AND {RECENT['signature']} WHERE (x.s = y.s AND regexp_matches(x.signature, '\\S')) OR (x.s, y.s) IN (SELECT (a, b) FROM ss)
+UNION ALL SELECT DISTINCT x.seq, 'opening' FROM o x JOIN o y ON x.i - y.i BETWEEN 1 AND {RECENT['opening']} WHERE x.u = y.u OR (x.u, y.u) IN (SELECT (a, b) FROM uu)"""
 OPEN = f"""WITH {K}, {_sets('opening', 'u')}, e AS (SELECT seq, opening, row_number() OVER (PARTITION BY opening ORDER BY seq) > 1 AS eo FROM k),
 ob AS (SELECT id, min(m) AS m FROM (SELECT b AS id, a AS m FROM up WHERE common * 20 > either * 19 UNION ALL SELECT a, b FROM up WHERE common * 20 > either * 19) GROUP BY id)
 SELECT e.seq, CASE WHEN eo THEN 'exact_opening_duplicate' ELSE 'opening_similarity>0.95' END AS reason FROM e JOIN uf ON uf.v = e.opening LEFT JOIN ob ON ob.id = uf.id WHERE eo OR e.seq > ob.m"""
 STATE = f"""WITH {K}, x AS (SELECT seq, to_timestamp(seq + 1704067200)::TIMESTAMP AS created_at, hash, signature, opening FROM k),
 h AS (SELECT 'hash' AS kind, hash AS value, min(created_at) AS created_at FROM x GROUP BY hash),
-s AS (SELECT 'signature' AS kind, signature AS value, created_at FROM x ORDER BY created_at DESC LIMIT 400), o AS (SELECT 'opening' AS kind, opening AS value, created_at FROM x ORDER BY created_at DESC LIMIT 50)
+s AS (SELECT 'signature' AS kind, signature AS value, created_at FROM x ORDER BY created_at DESC LIMIT 5000), o AS (SELECT 'opening' AS kind, opening AS value, created_at FROM x ORDER BY created_at DESC LIMIT 500)
 SELECT kind, count(*) AS n, min(created_at) AS oldest FROM (SELECT * FROM h UNION ALL SELECT * FROM s UNION ALL SELECT * FROM o) GROUP BY kind"""
 
 QUERIES = {
@@ -161,12 +185,13 @@ QUERIES = {
     "jaccard": (jaccard_neighbours, f"WITH {K}, x AS (SELECT seq, list_distinct([x FOR x IN string_split(opening, ' ') IF x <> '']) AS a, list_distinct([x FOR x IN string_split(signature, ' ') IF x <> '']) AS b FROM k) SELECT seq AS conv_id, CASE WHEN len(a) > 0 AND len(b) > 0 THEN round(len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))), 6) ELSE 0.0 END AS sim FROM x"),
     "similar_pairs": (similar_pairs, PAIR),
     "opening_dups": (opening_dups, OPEN),
-    "recent_band": (recent_band, f"SELECT * FROM ({PAIR}) WHERE b - a <= 200"),
+    "recent_band": (recent_band, BAND),
     "dup_reason": (dup_reason, f"{DUP} SELECT * FROM dr"),
+    "resolve_drop": (resolve_drop, f"{DUP} SELECT conv_id FROM dr WHERE dup_reason = 'unique'"),
     "resolve_marked": (resolve_marked, f"{DUP} SELECT CASE WHEN dup_reason = 'unique' THEN dup_reason ELSE 'accepted_after_dedup_retries_exhausted' END AS dup_reason, count(*) AS n FROM dr GROUP BY 1"),
     "ttl_dups": (ttl_dups, TTL),
     "against_history": (against_history, f"WITH {SIGHT}, h AS (SELECT hash, min(created_at) AS created_at FROM s WHERE created_at < TIMESTAMP '2024-07-01 00:00:00' GROUP BY hash) SELECT event_id FROM s WHERE created_at >= TIMESTAMP '2024-07-01 00:00:00' AND EXISTS (SELECT 1 FROM h WHERE h.hash = s.hash AND s.created_at < h.created_at + INTERVAL 90 DAYS)"),
     "distinct_hashes": (distinct_hashes, f"WITH {K} SELECT count(*) AS n_rows, count(DISTINCT hash) AS n_hashes FROM k"),
     "update_state": (update_state, STATE),
-    "greedy_dedup": (greedy, None),
+    "greedy_dedup": (greedy, GREEDY),
 }
