@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +15,11 @@ SENTENCE_END = r"[.!?\x{2026}]+(\s|$)"
 LETTER = r"[A-Za-z\x{0900}-\x{097F}]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body's lambdas name it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     return F.regexp_replace(col, r"^\s+|\s+$", "")
 
@@ -56,7 +62,9 @@ def any_of(words: tuple[str, ...] | list[str]) -> str:
 def topic_bias(topic: Column, definition: Column, heavy: list[str], fun: list[str]) -> Column:
     """heavy if a heavy keyword is a substring, else fun if a fun one is, else null."""
     text = F.lower(F.concat_ws(" ", topic, definition))
-    return F.when(text.rlike(any_of(heavy)), F.lit("heavy")).when(text.rlike(any_of(fun)), F.lit("fun"))
+    # No keywords match nothing; the empty pattern would match everything.
+    hit = lambda words: text.rlike(any_of([w.lower() for w in words])) if words else F.lit(False)
+    return F.when(hit(heavy), F.lit("heavy")).when(hit(fun), F.lit("fun"))
 
 
 def _parts(col: Column) -> Column:

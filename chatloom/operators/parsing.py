@@ -5,10 +5,12 @@ Turns are an array of struct(role, text) with roles user and assistant. Line end
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.functions.text import strip
+from chatloom.functions.text import let, strip
 
 TURNS = "array<struct<role:string,text:string>>"
 FENCE = "```"
@@ -45,12 +47,28 @@ def parse_json_pairs(col: Column, persona: str) -> Column:
     return F.when(joined != "", joined).otherwise(col)
 
 
+#: The speaker tags of the transcript format, bold or not, and two of them in one line.
+TAG = r"(?is)^\s*\**(user|{0})\**\s*:\s*\**\s*(.*)$"
+DOUBLE_TAG = r"(?is)^\s*\**(user|{0})\**\s*:\s*\**\s*\**(user|{0})\**\s*:\s*(.*)$"
+
+
 def _tag(persona: str) -> str:
-    return rf"(?is)^\s*\**(user|{persona})\**\s*:\s*\**\s*(.*)$"
+    return TAG.format(persona)
 
 
 def _double(persona: str) -> str:
-    return rf"(?is)^\s*\**(user|{persona})\**\s*:\s*\**\s*\**(user|{persona})\**\s*:\s*(.*)$"
+    return DOUBLE_TAG.format(persona)
+
+
+def _sections(lines: Column, starts: Column) -> Column:
+    """The lines after each line whose place (from 0) starts lists, up to the next such line."""
+    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(lines)))
+    return F.zip_with(starts, ends, lambda s, e: F.slice(lines, s + 2, e - s - 1))
+
+
+def _places(rows: Column, wanted: Callable[[Column], Column]) -> Column:
+    """Places, from 0, of the rows that are wanted."""
+    return F.filter(F.transform(rows, lambda x, i: F.when(wanted(x), i)), lambda i: i.isNotNull())
 
 
 def tag_of(col: Column, persona: str) -> Column:
@@ -61,7 +79,12 @@ def tag_of(col: Column, persona: str) -> Column:
 
 
 def fix_double_tags(col: Column, persona: str) -> Column:
-    """struct(text, n): lines with two tags get one. Equal tags stand; else the speaker is not the previous one; without a previous the first stands."""
+    """struct(text, n): lines with two tags get one. Equal tags stand; else the speaker is not the previous one; without a previous the first stands.
+
+    Lines whose speaker is given (one tag, or two equal ones) start runs; the lines with unequal tags after one take
+    turns from its speaker on, and those before any take turns from the first's first tag on. So a line of letters,
+    upper case for a given speaker, is cut into runs and every run alternates: linear in the lines.
+    """
     role = lambda x: F.when(x == "", F.lit(None)).when(x == "user", F.lit("user")).otherwise(F.lit("assistant"))
     seen = F.transform(
         F.split(col, "\n"),
@@ -73,20 +96,39 @@ def fix_double_tags(col: Column, persona: str) -> Column:
             role(F.lower(F.regexp_extract(x, _tag(persona), 1))).alias("tag"),
         ),
     )
+    letter = lambda r: F.substring(r, 1, 1)
+    other = lambda c: F.when(c == "u", F.lit("a")).otherwise(F.lit("u"))
+
+    def mark(x: Column) -> Column:
+        given = F.when(x["one"].isNull(), x["tag"]).when(x["one"] == x["two"], x["one"])
+        return F.coalesce(F.upper(letter(given)), letter(x["one"]))
 
-    def step(a: Column, x: Column) -> Column:
-        other = F.when(a["last"] == "user", F.lit("assistant")).when(a["last"] == "assistant", F.lit("user")).otherwise(x["one"])
-        final = F.when(x["one"] == x["two"], x["one"]).otherwise(other)
-        shown = F.when(final == "user", F.lit("user: ")).otherwise(F.lit(f"{persona}: "))
-        double = x["one"].isNotNull()
-        return F.struct(
-            F.when(double, final).otherwise(F.coalesce(x["tag"], a["last"])).alias("last"),
-            (a["n"] + double.cast("int")).alias("n"),
-            F.concat(a["lines"], F.array(F.when(double, F.concat(shown, x["content"])).otherwise(x["line"]))).alias("lines"),
-        )
+    def turned(run: Column) -> Column:
+        first = F.lower(F.substring(run, 1, 1))
+        return F.transform(F.sequence(F.lit(0), F.length(run) - 1), lambda k: F.when(k % 2 == 0, first).otherwise(other(first)))
 
-    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("lines"))
-    return F.aggregate(seen, start, step, lambda a: F.struct(F.array_join(a["lines"], "\n").alias("text"), a["n"].alias("n")))
+    def shown(x: Column, r: Column) -> Column:
+        tag = F.when(r == "u", F.lit("user: ")).otherwise(F.lit(f"{persona}: "))
+        return F.when(x["one"].isNotNull(), F.concat(tag, x["content"])).otherwise(x["line"])
+
+    def fixed(rows: Column) -> Column:
+        tagged = F.filter(rows, lambda x: x["tag"].isNotNull())
+        marks = F.array_join(F.transform(tagged, mark), "")
+        speakers = F.flatten(F.transform(F.regexp_extract_all(marks, F.lit("[UA]?[ua]+|[UA]"), F.lit(0)), turned))
+        lines = F.transform(rows, lambda x: x["line"])
+
+        def joined(lines: Column, starts: Column) -> Column:
+            heads = F.zip_with(tagged, speakers, shown)
+            parts = F.zip_with(heads, _sections(lines, starts), lambda h, rest: F.concat(F.array(h), rest))
+            return F.array_join(F.concat(F.slice(lines, F.lit(1), F.get(starts, F.lit(0))), F.flatten(parts)), "\n")
+
+        return let(lines, lambda ls: let(_places(rows, lambda x: x["tag"].isNotNull()), lambda at: joined(ls, at)))
+
+    def whole(rows: Column) -> Column:
+        n = F.size(F.filter(rows, lambda x: x["one"].isNotNull()))
+        return F.struct(F.when(n > 0, fixed(rows)).otherwise(col).alias("text"), n.alias("n"))
+
+    return let(seen, whole)
 
 
 def body_lines(col: Column) -> Column:
@@ -101,31 +143,36 @@ def explode_lines(df: DataFrame) -> DataFrame:
 
 
 def lines_to_turns(lines: Column, persona: str) -> Column:
-    """Tagged lines open turns, others continue them; empty turns go; null if a line stands before the first tag."""
+    """Tagged lines open turns, others continue them; empty turns go; null if a line stands before the first tag. Linear in the lines."""
     tagged = F.transform(lines, lambda x: F.struct(x.alias("line"), tag_of(x, persona).alias("t")))
 
-    def step(a: Column, x: Column) -> Column:
-        turns, n = a["turns"], F.size(a["turns"])
-        last = F.get(turns, n - 1)
-        longer = F.struct(last["role"].alias("role"), F.when(last["text"] == "", x["line"]).otherwise(F.concat_ws("\n", last["text"], x["line"])).alias("text"))
-        opened = F.concat(turns, F.array(F.struct(x["t"]["role"].alias("role"), strip(x["t"]["content"]).alias("text"))))
-        grown = F.concat(F.slice(turns, F.lit(1), F.greatest(n - 1, F.lit(0))), F.array(longer))
-        tag = x["t"]["role"].isNotNull()
-        return F.struct(
-            (a["bad"] | (~tag & (n == 0))).alias("bad"),
-            F.when(tag, opened).when(n > 0, grown).otherwise(turns).alias("turns"),
-        )
+    def turn(head: Column, rest: Column) -> Column:
+        own = F.filter(F.concat(F.array(strip(head["t"]["content"])), rest), lambda x: x != "")
+        return F.struct(head["t"]["role"].alias("role"), F.array_join(own, "\n").alias("text"))
+
+    def turns(rows: Column) -> Column:
+        is_head = lambda x: x["t"]["role"].isNotNull()
+        plain = F.transform(rows, lambda x: x["line"])
+        rest = let(plain, lambda ls: let(_places(rows, is_head), lambda at: _sections(ls, at)))
+        own = F.filter(F.zip_with(F.filter(rows, is_head), rest, turn), lambda t: t["text"] != "")
+        bad = (F.size(rows) > 0) & F.get(rows, F.lit(0))["t"]["role"].isNull()
+        return F.when(~bad, own)
 
-    start = F.struct(F.lit(False).alias("bad"), F.array().cast(TURNS).alias("turns"))
-    return F.aggregate(tagged, start, step, lambda a: F.when(~a["bad"], F.filter(a["turns"], lambda t: t["text"] != "")))
+    return let(tagged, turns)
 
 
 def parse_turns(df: DataFrame, persona: str) -> DataFrame:
     """df(text, …) with tag_fixes (of the first pass) and turns (null: no valid format). Triple tags take the second pass."""
     one = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "\r\n?", "\n")
-    out = df.withColumn("_one", fix_double_tags(one, persona)).withColumn("_two", fix_double_tags(F.col("_one.text"), persona))
-    out = out.withColumn("turns", lines_to_turns(body_lines(F.col("_two.text")), persona)).withColumn("tag_fixes", F.col("_one.n"))
-    return out.drop("_one", "_two")
+
+    # A generator after each step keeps the optimizer from repeating it wherever its result is named.
+    def step(rows: DataFrame, value: Column, name: str) -> DataFrame:
+        return rows.select("*", F.explode(F.array(value)).alias(name))
+
+    out = step(df, fix_double_tags(one, persona), "_one")
+    out = step(out, fix_double_tags(F.col("_one.text"), persona), "_two")
+    out = step(out.withColumn("tag_fixes", F.col("_one.n")).drop("_one"), body_lines(F.col("_two.text")), "_lines").drop("_two")
+    return step(out, lines_to_turns(F.col("_lines"), persona), "turns").drop("_lines")
 
 
 def nest(turns: DataFrame) -> DataFrame:

@@ -102,14 +102,15 @@ def apply_fixes(turns: Column, cfg: Config) -> Column:
 
 def process(raw: DataFrame, cfg: Config) -> DataFrame:
     """(conv_id, ok, reason, flags, fixes, turns, text) of raw(conv_id, text): parse, check, repair, check again, flag; no shuffle."""
-    out = parse_turns(raw.select("conv_id", "text"), cfg.persona)
+    out = parse_turns(raw.select("conv_id", "text"), cfg.persona).drop("text")
     out = out.withColumn("own", F.when(F.size("turns") > 0, trimmed(F.col("turns"))))
     shape = F.coalesce(structure_reason(F.col("own"), cfg.min_turns, cfg.max_turns), alternation_reason(F.col("own")))
     out = out.withColumn("shape", shape)
     rules = F.transform("own", lambda t: turn_reason(t["role"], t["text"], cfg))
     out = out.withColumn("broken", F.when(F.col("shape").isNull(), F.get(F.array_compact(rules), F.lit(0))))
     good = F.col("shape").isNull() & F.col("broken").isNull()
-    out = out.withColumn("fixed", F.when(good, apply_fixes(F.col("own"), cfg)))
+    # Here too a generator keeps what follows from repeating the repair.
+    out = out.select("*", F.explode(F.array(F.when(good, apply_fixes(F.col("own"), cfg)))).alias("fixed"))
     turns = F.col("fixed.turns")
     wordless = ~F.array_join(assistant_texts(turns), "\n").rlike(LETTER)
     reason = F.coalesce("shape", "broken", F.when(wordless, F.lit("no_words_in_conversation")), min_length_reason(turns, cfg.min_lines), F.lit("ok"))
