@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatloom.operators.ordering import numbered
+from chatloom.sources.scratch import stored
+
 PATH = " > "
 
 
@@ -17,43 +20,50 @@ def uniform(seed: int | str, axis: str, key: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
-def flatten_tree(topics: DataFrame, max_depth: int = 32) -> DataFrame:
+def flatten_tree(topics: DataFrame, max_depth: int = 1000) -> DataFrame:
     """Leaves of topics(id, parent_id, name, definition, pos): leaf_path, ancestors' definitions, own ones, and order, depth first.
 
-    One join a level: the parents found so far with the rest of the tree.
+    One join a level: the topics found last with the rest of the tree; each level is written once. Topics that no
+    root leads to (a cycle, a missing parent, or more than max_depth levels) are an error, not left out.
     """
     place = F.format_string("%09d", F.col("pos"))
-    level = topics.where("parent_id IS NULL").select(
+    tree = stored(topics.select("id", "parent_id", "name", "definition", place.alias("place")), "topics")
+    level = tree.where("parent_id IS NULL").select(
         "id", F.col("name").alias("leaf_path"), F.array().cast("array<string>").alias("above"), F.col("name").alias("core_topic"),
-        F.col("definition").alias("core_definition"), place.alias("sort_key"),
+        F.col("definition").alias("core_definition"), F.col("place").alias("sort_key"),
     )
-    out = level
+    below = tree.where("parent_id IS NOT NULL").select(F.col("id").alias("child"), F.col("parent_id").alias("id"), "name", "definition", "place")
+    level = stored(level, "tree-level")
+    found, out = level.count(), level
     for _ in range(max_depth):
-        t = topics.select(F.col("id").alias("child"), F.col("parent_id").alias("id"), "name", "definition", place.alias("place"))
-        level = level.join(t, "id").select(
+        level = level.join(below, "id").select(
             F.col("child").alias("id"), F.concat_ws(PATH, "leaf_path", "name").alias("leaf_path"), F.concat("above", F.array("core_definition")).alias("above"),
             F.col("name").alias("core_topic"), F.col("definition").alias("core_definition"), F.concat_ws(".", "sort_key", "place").alias("sort_key"),
         )
-        if not level.head(1):
+        level = stored(level, "tree-level")
+        n = level.count()
+        if not n:
             break
-        out = out.unionByName(level)
-    leaves = out.join(topics.select(F.col("parent_id").alias("id")).where("id IS NOT NULL"), "id", "left_anti")
+        found, out = found + n, out.unionByName(level)
+    if found != tree.count():
+        raise ValueError(f"{tree.count() - found} topics are not within {max_depth} levels of a root")
+    leaves = out.join(below.select("id").distinct(), "id", "left_anti")
     text = F.when(F.size("above") > 0, F.concat(F.array_join("above", ". "), F.lit("."))).otherwise(F.lit(""))
     return leaves.select("id", "leaf_path", text.alias("main_subtopics_string"), "core_topic", "core_definition", "sort_key")
 
 
 def seeded_order(leaves: DataFrame, seed: int = 42) -> DataFrame:
-    """leaves with pos, a fixed pseudo-random order from 0. Leaves are few: one sort of them."""
+    """leaves with pos, a fixed pseudo-random order from 0."""
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), "leaf_path"))
-    return leaves.withColumn("pos", F.row_number().over(Window.orderBy(key, "leaf_path")) - 1)
+    return numbered(leaves.withColumn("_key", key), ["_key", "leaf_path"], "pos").drop("_key")
 
 
 def allocate_quotas(leaves: DataFrame, total: int, existing: DataFrame | None = None) -> DataFrame:
     """(leaf_path, quota): an equal share each, one more for the first ones in depth-first order; existing leaves are left out."""
-    n = F.count("*").over(Window.partitionBy())
-    rank = F.row_number().over(Window.orderBy("sort_key"))
-    quota = F.floor(F.lit(total) / n) + F.when(rank <= F.lit(total) % n, 1).otherwise(0)
-    out = leaves.select("leaf_path", quota.cast("long").alias("quota"))
+    placed = stored(numbered(leaves.select("leaf_path", "sort_key"), ["sort_key"], "rank"), "numbered-leaves")
+    n = max(placed.count(), 1)
+    quota = F.lit(total // n) + F.when(F.col("rank") < total % n, 1).otherwise(0)
+    out = placed.select("leaf_path", quota.cast("long").alias("quota"))
     return out if existing is None else out.join(existing.select("leaf_path"), "leaf_path", "left_anti")
 
 
@@ -100,32 +110,32 @@ def allowed_categories(cells: DataFrame, categories: DataFrame, types: DataFrame
     """cells(stage, tone) with allowed, the sorted categories(category, conv_type) that types(conv_type, tone_class, min_stage) permits; all if none."""
     own = categories.join(types, "conv_type", "left")
     fits = (F.col("tone_class").isNull() | (F.col("tone_class") == F.col("tone"))) & (F.col("stage") >= F.coalesce("min_stage", F.lit(0)))
-    found = cells.join(F.broadcast(own), fits, "left").groupBy("stage", "tone").agg(F.array_sort(F.collect_set("category")).alias("allowed"))
+    found = cells.join(own, fits, "left").groupBy("stage", "tone").agg(F.array_sort(F.collect_set("category")).alias("allowed"))
     every = categories.agg(F.array_sort(F.collect_set("category")).alias("every"))
-    return found.join(F.broadcast(every), F.lit(True)).select("stage", "tone", F.when(F.size("allowed") > 0, F.col("allowed")).otherwise(F.col("every")).alias("allowed"))
+    return found.join(every, F.lit(True)).select("stage", "tone", F.when(F.size("allowed") > 0, F.col("allowed")).otherwise(F.col("every")).alias("allowed"))
 
 
 def category_type(df: DataFrame, categories: DataFrame, default: str) -> DataFrame:
     """df(category, …) with conv_type, the default where the category is not mapped."""
-    return df.join(F.broadcast(categories), "category", "left").withColumn("conv_type", F.coalesce("conv_type", F.lit(default)))
+    return df.join(categories, "category", "left").withColumn("conv_type", F.coalesce("conv_type", F.lit(default)))
 
 
 def conflict_filter(cands: DataFrame, rules: DataFrame, left: str, right: str) -> DataFrame:
     """cands without those that rules(left_key, forbidden array) forbid: right forbidden for left."""
     pairs = rules.select(F.col("left_key").alias(left), F.explode("forbidden").alias(right)).distinct()
-    return cands.join(F.broadcast(pairs), [left, right], "left_anti")
+    return cands.join(pairs, [left, right], "left_anti")
 
 
 def contains_filter(cands: DataFrame, rules: DataFrame, text: str, right: str) -> DataFrame:
     """cands without those whose lower-cased text holds a rule's left_key that forbids right."""
-    pairs = F.broadcast(rules.select("left_key", F.explode("forbidden").alias("_bad")))
+    pairs = rules.select("left_key", F.explode("forbidden").alias("_bad"))
     return cands.join(pairs, F.lower(text).contains(F.col("left_key")) & (F.col(right) == F.col("_bad")), "left_anti")
 
 
 def allow_filter(cands: DataFrame, rules: DataFrame, left: str, right: str) -> DataFrame:
     """cands that rules(left_key, forbidden) list: here the list allows."""
     pairs = rules.select(F.col("left_key").alias(left), F.explode("forbidden").alias(right)).distinct()
-    return cands.join(F.broadcast(pairs), [left, right], "left_semi")
+    return cands.join(pairs, [left, right], "left_semi")
 
 
 def _rank(seed: int, axis: str, key: str, cand: str) -> Column:

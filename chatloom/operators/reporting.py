@@ -102,27 +102,47 @@ def key_health(states: DataFrame) -> DataFrame:
 
 
 def first_seen(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The earliest row of each key."""
-    w = Window.partitionBy(key).orderBy(order)
-    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    """The earliest row of each key; of rows at one time that with the least other columns. Found by partial aggregation."""
+    rest = [c for c in df.columns if c not in (key, order)]
+    first = df.groupBy(key).agg(F.min(F.struct(order, *rest)).alias("_first"))
+    return first.select(key, "_first.*").select(*df.columns)
 
 
 def latest_n(df: DataFrame, n: int, order: str = "created_at", tie: str = "value") -> DataFrame:
     return df.orderBy(F.desc(order), F.desc(tie)).limit(n)
 
 
-def latest_n_per_kind(df: DataFrame, caps: dict[str, int]) -> DataFrame:
-    """The newest rows of each kind, as many as its cap."""
+def _newest_first() -> list[Column]:
+    return [F.desc("created_at"), F.desc("value")]
+
+
+def latest_n_per_kind(df: DataFrame, caps: dict[str, int], salts: int | None = None) -> DataFrame:
+    """The newest rows of each kind, as many as its cap; kinds without a cap have none.
+
+    Each kind's rows are dealt to salts (as many as there are shuffle partitions), which keep their newest ones, and the
+    kind's newest are among these: no task sees more than salts times the cap of a kind that holds most rows.
+    """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = F.element_at(F.create_map(*(F.lit(x) for pair in caps.items() for x in pair)), F.col("kind"))
-    w = Window.partitionBy("kind").orderBy(F.desc("created_at"), F.desc("value"))
-    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= limit).drop("_rank")
+    salted = Window.partitionBy("kind", "_salt").orderBy(*_newest_first())
+    salt = F.pmod(F.xxhash64("created_at", "value"), F.lit(salts))
+    few = df.where(F.col("kind").isin(*caps)).withColumn("_salt", salt).withColumn("_rank", F.row_number().over(salted)).where(F.col("_rank") <= limit)
+    whole = Window.partitionBy("kind").orderBy(*_newest_first())
+    return few.withColumn("_rank", F.row_number().over(whole)).where(F.col("_rank") <= limit).drop("_rank", "_salt")
 
 
 def trim_oldest(df: DataFrame, caps: dict[str, int]) -> DataFrame:
-    """The rows that latest_n_per_kind leaves out."""
-    limit = F.element_at(F.create_map(*(F.lit(x) for pair in caps.items() for x in pair)), F.col("kind"))
-    w = Window.partitionBy("kind").orderBy(F.desc("created_at"), F.desc("value"))
-    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") > limit).drop("_rank")
+    """The rows that latest_n_per_kind leaves out, of the kinds with a cap: those older than the oldest that it keeps, and
+    of rows equal to that one as many as it leaves out."""
+    kept = latest_n_per_kind(df, caps).groupBy("kind").agg(F.min(F.struct("created_at", "value")).alias("_least"), F.count("*").alias("_kept"))
+    place = F.struct("created_at", "value")
+    own = df.join(kept, "kind")
+    older = own.where(place < F.col("_least"))
+    ties = own.where(place == F.col("_least"))
+    above = own.where(place > F.col("_least")).groupBy("kind").agg(F.count("*").alias("_above"))
+    ranked = ties.join(above, "kind", "left").withColumn("_rank", F.row_number().over(Window.partitionBy("kind").orderBy(F.lit(0))))
+    left = ranked.where(F.col("_rank") > F.col("_kept") - F.coalesce("_above", F.lit(0)))
+    return older.select(*df.columns).unionByName(left.select(*df.columns))
 
 
 def distinct_hashes(df: DataFrame, approximate: bool = False) -> DataFrame:

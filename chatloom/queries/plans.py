@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators import planning as P
 from chatloom.queries.base import read
+from chatloom.sources.scratch import stored
 
 STAGES = [("0", 4), ("1", 8), ("2", 26), ("3", 26), ("4", 20), ("5", 16)]
 TONES = [("fun", 60), ("soft", 25), ("heavy", 15)]
@@ -29,7 +30,8 @@ LEAF = """leaf AS (SELECT r_name || ' > ' || n_name || ' > ' || c_name AS leaf_p
  printf('%09d.%09d.%09d', r_regionkey, n_nationkey, c_custkey) AS sort_key FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
  UNION ALL SELECT r_name || ' > ' || n_name, 'about ' || r_name || '.', n_name, 'of ' || n_name, printf('%09d.%09d', r_regionkey, n_nationkey) FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer)
  UNION ALL SELECT r_name, '', r_name, 'about ' || r_name, printf('%09d', r_regionkey) FROM region WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation))"""
-QUOTA = LEAF + ", q AS (SELECT leaf_path, (4000 // count(*) OVER ()) + CASE WHEN row_number() OVER (ORDER BY sort_key) <= 4000 % count(*) OVER () THEN 1 ELSE 0 END AS quota FROM leaf)"
+#: A plan has as many slots as there are orders.
+QUOTA = LEAF + ", n AS (SELECT count(*) AS n FROM orders), q AS (SELECT leaf_path, (n // count(*) OVER ()) + CASE WHEN row_number() OVER (ORDER BY sort_key) <= n % count(*) OVER () THEN 1 ELSE 0 END AS quota FROM leaf, n)"
 ORDER = "p AS (SELECT leaf_path, row_number() OVER (ORDER BY md5('42|' || leaf_path), leaf_path) - 1 AS pos FROM leaf)"
 
 
@@ -41,13 +43,23 @@ def seeded_order(spark, d):
     return P.seeded_order(P.flatten_tree(_topics(spark, d))).select("leaf_path", F.col("pos").cast("long"))
 
 
+def _total(spark, d):
+    return read(spark, d, "orders").count()
+
+
 def quotas(spark, d):
-    return P.allocate_quotas(P.flatten_tree(_topics(spark, d)), 4000)
+    return P.allocate_quotas(P.flatten_tree(_topics(spark, d)), _total(spark, d))
+
+
+def quotas_of_new(spark, d):
+    """Quotas where every third topic has one already."""
+    leaves = stored(P.flatten_tree(_topics(spark, d)), "leaves")
+    return P.allocate_quotas(leaves, _total(spark, d), leaves.where(F.length("leaf_path") % 3 == 0))
 
 
 def _state(spark, d):
-    leaves = P.flatten_tree(_topics(spark, d)).cache()
-    q = P.allocate_quotas(leaves, 4000).withColumn("generated", F.pmod(F.length("leaf_path"), F.lit(3)).cast("long"))
+    leaves = stored(P.flatten_tree(_topics(spark, d)), "leaves")
+    q = P.allocate_quotas(leaves, _total(spark, d)).withColumn("generated", F.pmod(F.length("leaf_path"), F.lit(3)).cast("long"))
     return P.seeded_order(leaves).select("leaf_path", "pos").join(q, "leaf_path")
 
 
@@ -118,7 +130,7 @@ def _values(rows: list[tuple], names: str) -> str:
 def allowed_categories(spark, d):
     cells = _drawn(spark, d).select("stage", "tone").distinct()
     out = P.allowed_categories(cells, *_tables(spark))
-    return _drawn(spark, d).join(F.broadcast(out), ["stage", "tone"]).select("slot_id", F.array_join("allowed", ",").alias("allowed"))
+    return _drawn(spark, d).join(out, ["stage", "tone"]).select("slot_id", F.array_join("allowed", ",").alias("allowed"))
 
 
 ALLOWED = DRAWN + f""", ca AS (SELECT * FROM {_values(CATEGORIES, 'category, conv_type')} LEFT JOIN {_values(TYPES, 'conv_type, tone_class, min_stage')} USING (conv_type)),
@@ -206,10 +218,17 @@ def plan_job(spark, d):
     """The whole plan: a row per slot with its draws."""
     from chatloom.plans.jobs import plan
 
-    out = plan(_topics(spark, d), 4000, STAGES, TONES, STYLES, EDGES)
+    out = plan(_topics(spark, d), _total(spark, d), STAGES, TONES, STYLES, EDGES)
     return out.select("leaf_path", "slot", F.col("stage").cast("long"), "tone", "style", "edge")
 
 
+#: One pick a round in every run: of the least rank among the categories that the last 25 picks do not hold.
+PICKED = """WITH RECURSIVE e AS (SELECT user_id::BIGINT AS run_id, event_id::BIGINT AS step, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+c AS (SELECT list(printf('c%02d', i)) AS every FROM range(40) t(i)),
+w(run_id, k, step, category, recent) AS (SELECT DISTINCT run_id, 0::BIGINT, NULL::BIGINT, NULL::VARCHAR, []::VARCHAR[] FROM e UNION ALL
+ SELECT run_id, k, step, best, list_append(recent, best)[-25:] FROM (SELECT e.run_id, e.k, e.step, w.recent,
+  list_min([md5('42|category|' || e.step || '|' || x) || x FOR x IN every IF NOT list_contains(w.recent, x)])[33:] AS best FROM w JOIN e ON e.run_id = w.run_id AND e.k = w.k + 1, c))
+SELECT run_id, step, category FROM w WHERE k > 0"""
 EDGE = "CASE" + "".join(f" WHEN stage >= {least} AND {_u(f'edge:{name}')} < {rate / 100.0} THEN '{name}'" for name, rate, least in EDGES) + " END"
 RANK = "md5('42|{0}|' || slot_id || '|' || mood)"
 
@@ -218,6 +237,7 @@ QUERIES = {
     "flatten_tree": (flatten_tree, f"WITH {LEAF} SELECT * FROM leaf"),
     "seeded_order": (seeded_order, f"WITH {LEAF}, {ORDER} SELECT * FROM p"),
     "quotas": (quotas, f"WITH {QUOTA} SELECT leaf_path, quota::BIGINT AS quota FROM q"),
+    "quotas_of_new": (quotas_of_new, f"WITH {QUOTA} SELECT leaf_path, quota::BIGINT AS quota FROM q WHERE length(leaf_path) % 3 <> 0"),
     "expand_plan": (expand_plan, f"WITH {STATE} SELECT pos, leaf_path, unnest(range(generated + 1, quota + 1))::BIGINT AS slot FROM st WHERE quota > generated"),
     "next_leaf": (next_leaf, f"WITH {STATE} SELECT arg_min(leaf_path, pos) AS leaf_path FROM st WHERE generated < quota"),
     "leaf_lookup": (leaf_lookup, f"WITH {STATE} SELECT core_topic, main_subtopics_string, sum(quota - generated)::BIGINT AS slots FROM st JOIN leaf USING (leaf_path) WHERE quota > generated GROUP BY ALL"),
@@ -233,6 +253,6 @@ QUERIES = {
     "pick_n": (pick_n, f"WITH {CANDS}, r AS (SELECT slot_id, mood, row_number() OVER (PARTITION BY slot_id ORDER BY {RANK.format('vibe')}) AS rank FROM cd) SELECT * FROM r WHERE rank <= 2"),
     "ending_candidates": (ending_candidates, ENDINGS),
     "recent_repeats": (audit_recent_repeats, "WITH e AS (SELECT user_id::BIGINT AS run_id, event_id::BIGINT AS step, event_type || '-' || floor(value)::BIGINT % 7 AS category FROM events), n AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step) AS k FROM e), p AS (SELECT *, k - lag(k) OVER (PARTITION BY run_id, category ORDER BY k) AS gap FROM n) SELECT run_id, step, category FROM p WHERE gap <= 25"),
-    "recent_pick": (recent_pick, None),
+    "recent_pick": (recent_pick, PICKED),
     "prompt": (prompt, f"WITH {DRAWN} SELECT slot_id, concat_ws(chr(10) || chr(10), 'Rules', 'Tone: ' || tone, CASE WHEN tone = 'heavy' THEN 'Be gentle' END, 'Edge: ' || {EDGE}) AS prompt FROM dr"),
 }

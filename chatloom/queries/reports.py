@@ -214,7 +214,7 @@ QUERIES = {
     "requests_per_key": (requests_per_key, "SELECT 'key_' || substr(sha256(user_id::VARCHAR), 1, 12) AS key_id, ts::DATE::VARCHAR AS day, count(*) AS requests, epoch_us(max(ts)) AS last_used_us FROM events GROUP BY user_id, ts::DATE"),
     "key_states": (key_states, f"WITH {KEYS} SELECT * FROM ks"),
     "key_health": (key_health, f"WITH {KEYS} SELECT state, count(*) AS n, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ids FROM ks GROUP BY state"),
-    "first_seen": (first_seen, "SELECT event_id % 97 AS key, arg_min(event_id, ts) AS value FROM events GROUP BY 1"),
+    "first_seen": (first_seen, "SELECT key, value FROM (SELECT event_id % 97 AS key, event_id AS value, row_number() OVER (PARTITION BY event_id % 97 ORDER BY ts, event_type, event_id) AS k FROM events) WHERE k = 1"),
     "latest_n": (latest_n, "SELECT event_id AS value FROM events ORDER BY ts DESC, event_id DESC LIMIT 100"),
     "latest_per_kind": (latest_per_kind, f"WITH {RANKED} SELECT kind, value FROM rk WHERE k <= {_CAP}"),
     "trim_oldest": (trim_oldest, f"WITH {RANKED} SELECT kind, count(*) AS n, sum(value)::BIGINT AS ids FROM rk WHERE k > {_CAP} GROUP BY kind"),

@@ -12,7 +12,10 @@ LOCAL_SCRATCH = "file:///tmp/checkpoints"
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name in the folder that the cluster shares."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SCRATCH
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    root = root or LOCAL_SCRATCH
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
