@@ -8,14 +8,15 @@ sets in larger nodes descend again. Runs repeat until a pair at the threshold me
 
 Two sets of runs do this at a cost that follows the data. The first runs end at depth 1, where nodes of most
 texts are small: few runs reach the target there. Sets of larger nodes are first compared in hashed blocks,
-which connects crowds of near copies. What the nodes find are candidate links; a node reports spanning
-forests, one of all of them and one of the sure ones (agreement well over the threshold), so no group is
-expanded into pairs. Candidate groups of up to LOOSE sets stay as they are; larger ones, which common passages
+which connects crowds of near copies. What the nodes find are candidate links; a node reports the spanning
+forest of the greatest agreements, which also connects what its sure links (agreement over the threshold by
+some) connect, so no group is expanded into pairs. Candidate groups of up to LOOSE sets stay as they are; larger ones, which common passages
 chain together, are cut to what sure links connect. Only sets that lie in a large node or large group whose
 sets are not all in one group by then take part in the second runs. These are as many as leaves of depth DEEP
 need, begin at depth START (a set's path depends on its own embedding alone, so no data moves for the levels
-above) and go on, inside tasks once a node fits there, until nodes are small or hold one group; there every
-candidate pair of two groups is reported, and confirmed exactly. So their rows grow with the sets, not pairs.
+above) and go on, inside tasks once a node fits there, until nodes are small or hold one group; there the
+candidates that connect different groups, again spanning forests of the greatest agreements, are reported, and
+confirmed exactly. So their rows grow with the sets, not pairs.
 
 In the groups that result every pair of sets is compared exactly, in blocks of BLOCK sets by BLOCK sets, and a
 block reports its sets' numbers of links and a spanning forest of them. Classes are the connected components
@@ -59,9 +60,11 @@ LOOSE = 1024
 #: Sets on either side of a block of exact comparisons.
 BLOCK = 256
 #: Embeddings that agree on fewer coordinates than this below the threshold are not confirmed (four standard deviations);
-#: on more than half of it above, they are sure to be close.
+#: on more than a quarter of it above, they are taken as close.
 SLACK = 4 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / T)
-LEAST, SURE = (THRESHOLD - SLACK) * T, (THRESHOLD + SLACK / 2) * T
+LEAST, SURE = (THRESHOLD - SLACK) * T, (THRESHOLD + SLACK / 4) * T
+#: Spanning forests of a leaf's candidates that the second runs confirm, one after the other.
+FORESTS = 2
 
 
 def level_recall(depth: int, threshold: float = THRESHOLD, t: int = T) -> float:
@@ -115,8 +118,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sampled(node: np.uint64) -> np.ndarray:
-    """The coordinates that a node samples."""
+def _sampled(node: np.ndarray) -> np.ndarray:
+    """The coordinates that a node, an array of one, samples."""
     return np.flatnonzero(mix(node + _SEEDS) < np.uint64(int(2**64 / (THRESHOLD * T))))
 
 
@@ -131,15 +134,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _children(nodes: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(child, index into rows) of the sets rows[at], each in the node of its place."""
     out, where = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
-    unique, inverse = np.unique(nodes, return_inverse=True)
-    order = np.argsort(inverse, kind="stable")
-    begin = np.searchsorted(inverse[order], np.arange(len(unique) + 1))
     limit = np.uint64(int(2**64 / (THRESHOLD * T)))
     for c in range(T):
-        for k in np.flatnonzero(mix(unique + _SEEDS[c]) < limit):
-            own = order[begin[k] : begin[k + 1]]
-            out.append(_child(nodes[own], c, rows[at[own], c]))
-            where.append(at[own])
+        own = np.flatnonzero(mix(nodes + _SEEDS[c]) < limit)
+        out.append(_child(nodes[own], c, rows[at[own], c]))
+        where.append(at[own])
     return np.concatenate(out), np.concatenate(where)
 
 
@@ -148,9 +147,12 @@ def _paths(batches: Iterator[pa.RecordBatch], first: int, runs: int, depth: int)
     tops = mix(np.arange(first + 1, first + runs + 1, dtype=np.uint64))
     for batch in batches:
         ids, rows = batch.column("doc_id").to_numpy(zero_copy_only=False), _matrix(batch.column("sketch"))
-        for top in tops if len(ids) else []:
-            nodes, at = np.full(len(ids), top), np.arange(len(ids))
-            for _ in range(depth):
+        for k in range(len(tops)) if len(ids) else []:
+            # All sets stand at the top, whose coordinates are sampled once.
+            picked, every = _sampled(tops[k : k + 1]), np.arange(len(ids))
+            nodes = np.concatenate([np.zeros(0, dtype=np.uint64), *(_child(tops[k : k + 1], c, rows[:, c]) for c in picked)])
+            at = np.tile(every, len(picked))
+            for _ in range(depth - 1):
                 nodes, at = _children(nodes, at, rows)
             if len(at):
                 yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(ids[at])], ["node", "doc_id"])
@@ -198,6 +200,20 @@ def forest(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def spanning(agree: np.ndarray, least: float) -> list[tuple[int, int, int]]:
+    """(i, j, agreement) of the spanning forest of the greatest agreements of at least least."""
+    best, parent, out = agree[0].copy(), np.zeros(len(agree), dtype=np.int64), []
+    best[0] = -1
+    for _ in range(len(agree) - 1):
+        j = int(best.argmax())
+        if best[j] >= least:
+            out.append((int(parent[j]), j, int(best[j])))
+        closer = (agree[j] > best) & (best >= 0)
+        parent[closer], best[closer] = j, agree[j][closer]
+        best[j] = -1
+    return out
+
+
 def _agreements(rows: np.ndarray) -> np.ndarray:
     """On how many coordinates each two of the embeddings agree; none with itself."""
     out = np.array([(rows == rows[i]).sum(axis=1) for i in range(len(rows))])
@@ -214,7 +230,7 @@ LINKS = "a long, b long, sure boolean"
 
 
 def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within runs of equal node spanning forests of the embeddings that agree enough and of those that surely do; no node has over a few SMALL."""
+    """Within runs of equal node the spanning forest of the embeddings that agree enough; no node has over a few SMALL."""
     for batch in _runs_of_equals(batches, lambda b: b.column("node").to_numpy(zero_copy_only=False), 4000):
         nodes, ids = batch.column("node").to_numpy(zero_copy_only=False), batch.column("doc_id").to_numpy(zero_copy_only=False)
         rows = _matrix(batch.column("sketch"))
@@ -225,35 +241,36 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         two, agree = two[agree >= LEAST], agree[agree >= LEAST]
         parts = [(ids[two], ids[two + 1], agree >= SURE)]
         for s, n in zip(edges[:-1][sizes > 2], sizes[sizes > 2], strict=True):
-            agree = _agreements(rows[s : s + n])
-            for sure, least in ((False, LEAST), (True, SURE)):
-                if links := forest(agree >= least):
-                    i, j = ids[s + np.array(links).T]
-                    parts.append((i, j, np.full(len(i), sure)))
+            if links := spanning(_agreements(rows[s : s + n]), LEAST):
+                i, j, agree = np.array(links).T
+                parts.append((ids[s + i], ids[s + j], agree >= SURE))
         yield _links(parts)
 
 
 def cross_pairs(node: np.uint64, rows: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, sure) of the embeddings with different labels that agree enough, i before j, found in the small nodes of the tree below node."""
+    """(i, j, sure) that connect the embeddings with different labels that agree enough, found in the small nodes of the tree below node."""
     found = [np.zeros((3, 0), dtype=np.int64)]
-    todo = [(node, np.arange(len(rows)), 0)]
+    todo = [(np.array([node]), np.arange(len(rows)), 0)]
     while todo:
         key, at, depth = todo.pop()
         if (labels[at] == labels[at[0]]).all():
             continue
         if len(at) <= SMALL or depth >= LOCAL_LEVELS:
-            for k in range(len(at) - 1):
-                agree = (rows[at[k + 1 :]] == rows[at[k]]).sum(axis=1)
-                hit = np.flatnonzero((agree >= LEAST) & (labels[at[k + 1 :]] != labels[at[k]]))
-                if len(hit):
-                    found.append(np.stack([np.full(len(hit), at[k]), at[k + 1 + hit], agree[hit] >= SURE]))
+            agree = _agreements(rows[at])
+            # One label's sets are together before all else.
+            agree[labels[at][:, None] == labels[at][None, :]] = T + 1
+            for _ in range(FORESTS):
+                links = np.array([x for x in spanning(agree, LEAST) if x[2] <= T], dtype=np.int64).reshape(-1, 3)
+                i, j = links[:, 0], links[:, 1]
+                agree[i, j] = agree[j, i] = 0
+                found.append(np.stack([np.minimum(at[i], at[j]), np.maximum(at[i], at[j]), links[:, 2] >= SURE]))
             continue
         for c in _sampled(key):
             order = at[np.argsort(rows[at, c], kind="stable")]
             edges = _edges_of(rows[order, c])
             for s, e in zip(edges[:-1], edges[1:], strict=True):
                 if e - s > 1:
-                    todo.append((_child(key, c, rows[order[s], c]), np.sort(order[s:e]), depth + 1))
+                    todo.append((_child(key, c, rows[order[s : s + 1], c]), np.sort(order[s:e]), depth + 1))
     i, j, sure = np.unique(np.concatenate(found, axis=1), axis=1)
     return i, j, sure
 
