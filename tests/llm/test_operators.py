@@ -150,6 +150,19 @@ def test_rows_grow_with_the_sets_of_a_crowd(spark, monkeypatch):
     assert seen[1][1] <= 6 * seen[0][1] and seen[1][2] < 200
 
 
+def test_spanning_forests_have_the_greatest_agreements():
+    rnd = np.random.default_rng(2)
+    for _ in range(30):
+        n = int(rnd.integers(2, 20))
+        agree = np.triu(rnd.integers(0, 100, (n, n)), 1)
+        agree = agree + agree.T
+        got, label, want = J.spanning(agree, 80), list(range(n)), 0
+        for w, i, j in sorted(((agree[i, j], i, j) for i in range(n) for j in range(i)), reverse=True):
+            if w >= 80 and label[i] != label[j]:
+                want, label = want + w, [label[i] if x == label[j] else x for x in label]
+        assert sum(w for *_, w in got) == want and all(agree[i, j] == w for i, j, w in got)
+
+
 def test_cross_pairs_are_brute_force():
     """All pairs over the threshold of a node are found over the runs, none inside a label."""
     rnd = np.random.default_rng(4)
