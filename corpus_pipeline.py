@@ -1,6 +1,9 @@
 """Documents through the stages of a training-data pipeline: each stage's rows are written and read again as the next one's input.
 
-Rows without a doc_id can be named by no verdict: they pass the filtering stages.
+Every stage judges rows, not ids: rows that share a doc_id, or have none, are judged each by its own text, and of
+repeated rows one stays, as of all near duplicates. Defined for all stages: an empty table gives no rows; a null or
+blank text is rejected by the quality rules and is otherwise no near copy, clean, without personal data and without
+tokens; a very long text is worked on whole; columns beyond those of documents pass, whatever their names.
 """
 
 from __future__ import annotations
@@ -13,37 +16,61 @@ from chatloom.llm.decontamination import find_items
 from chatloom.llm.jaccard_join import jaccard_classes
 from chatloom.llm.pii import mask_pii
 from chatloom.llm.quality import quality_rules
-from chatloom.llm.sentencepieces import encode
+from chatloom.llm.sentencepieces import RESULT, encode
 
 
-def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """docs but for those whose ids are listed."""
-    return docs.join(stored(ids.select("doc_id").distinct(), name), "doc_id", "left_anti").select(*docs.columns)
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs, written once, with a number of its own for every row, and that column's name."""
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
+def _by_row(rows: DataFrame, row: str) -> DataFrame:
+    """rows with their numbers in the place of doc_id, as the operators' input."""
+    return rows.withColumn("doc_id", F.col(row)).drop(row)
+
+
+def _without(rows: DataFrame, row: str, gone: DataFrame, name: str) -> DataFrame:
+    """rows but for those whose numbers gone(doc_id) lists."""
+    listed = stored(gone.select(F.col("doc_id").alias(row)), name)
+    return rows.join(listed, row, "left_anti").drop(row)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules don't reject."""
-    return _without(docs, quality_rules(docs).where(~F.col("kept")), "rejected")
+    """Documents that the quality rules don't reject; ties and repeated rows get equal verdicts."""
+    rows, row = _numbered(docs)
+    gone = quality_rules(_by_row(rows, row)).where(~F.col("kept"))
+    return _without(rows, row, gone, "rejected").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of similar documents that with the least doc_id."""
-    return _without(docs, jaccard_classes(docs).where("class_id <> doc_id"), "copies")
+    """Of each class of similar documents the row with the least doc_id, one of them where it is repeated; null ids come last."""
+    rows, row = _numbered(docs)
+    classes = jaccard_classes(_by_row(rows, row)).select(F.col("doc_id").alias(row), "class_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row"))
+    placed = stored(rows.select("doc_id", row).join(classes, row), "classes-of-rows")
+    first = placed.groupBy("class_id").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = placed.join(first, "class_id").where(F.col(row) != F.col("first.row")).select(F.col(row).alias("doc_id"))
+    return _without(rows, row, gone, "copies").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return _without(docs, find_items(docs, table(spark, sf_dir, "benchmark")).where(F.size("item_ids") > 0), "contaminated")
+    """Documents that hold no benchmark item; an empty benchmark leaves all."""
+    rows, row = _numbered(docs)
+    gone = find_items(_by_row(rows, row), table(spark, sf_dir, "benchmark")).where(F.size("item_ids") > 0)
+    return _without(rows, row, gone, "contaminated").select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data masked."""
+    """All documents, personal data masked and n_chars brought up to date."""
     return mask_pii(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
-    return encode(docs)
+    """All documents with n_tokens, token_ids and decodes_back, which replace columns of those names."""
+    return encode(docs, carried=[c for c in docs.columns if c not in RESULT])
 
 
 STAGES = [
