@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.functions.text import let
 from chatloom.llm.common import stored, table, words
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -133,8 +134,9 @@ def base_counts(docs: DataFrame) -> DataFrame:
 def common_counts(own: Column, common: Column) -> Column:
     """How often each common word is among the words own: each word stands between two spaces of its own in one
     string, so taking a word out shortens it by the word and two bytes."""
-    spaced = F.concat(F.lit(" "), F.array_join(own, "  "), F.lit(" "))
-    return F.transform(common, lambda c: (F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.concat(F.lit(" "), c, F.lit(" ")), F.lit("")))) / (F.octet_length(c) + 2))
+    without = lambda s, c: F.replace(s, F.concat(F.lit(" "), c, F.lit(" ")), F.lit(""))
+    counts = lambda s: F.transform(common, lambda c: (F.octet_length(s) - F.octet_length(without(s, c))) / (F.octet_length(c) + 2))
+    return let(F.concat(F.lit(" "), F.array_join(own, "  "), F.lit(" ")), counts)
 
 
 def quality_rules(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
