@@ -8,8 +8,11 @@ from chatloom.functions import text as X
 from chatloom.operators import parsing as P
 from chatloom.operators import validation as V
 from chatloom.queries.base import CFG, DAY, PROMPT, RAW, RENDERED, T, TRIM, WORDS, convs, raw, read, rendered, turns
+from chatloom.queries.duplicates import MARKED
 from chatloom.sources import conversations as S
 
+#: Oracle: the tag patterns of the parser, for the persona of the queries, which both engines read alike.
+TAG_SQL, DOUBLE_SQL = P.TAG.format("assistant"), P.DOUBLE_TAG.format("assistant")
 #: Oracle: V6 on a column called text.
 LINES = """CASE WHEN len([x FOR x IN string_split(text, chr(10)) IF trim(x, ' ' || chr(9) || chr(13)) <> '']) = 1
  THEN greatest(1, len(regexp_extract_all([x FOR x IN string_split(text, chr(10)) IF trim(x, ' ' || chr(9) || chr(13)) <> ''][1], '[.!?\\x{2026}]+(?:\\s|$)')))
@@ -77,30 +80,32 @@ def double_tags(spark, d):
     return raw(spark, d).select("conv_id", fixed["n"].cast("long").alias("n_fixed"), fixed["text"].alias("text"))
 
 
+#: A second copy of every conversation that differs in spaces only.
+COPY = "replace(text, 'e ', 'e  ')"
+
+
 def curate_job(spark, d):
-    """The whole way from raw text to routed chat records; turns are cut out of each conversation twice, so copies occur."""
+    """The whole way from raw text to routed chat records; every conversation comes twice, so copies occur."""
     from chatloom.plans.jobs import curate
 
     own = raw(spark, d).select("conv_id", F.col("conv_id").alias("seq"), "text")
-    both = own.unionByName(own.select((F.col("conv_id") + 1_000_000_000).alias("conv_id"), (F.col("seq") + 1_000_000_000).alias("seq"), F.upper("text").alias("text")))
-    out = curate(both, CFG, PROMPT, DAY)
+    again = own.select((F.col("conv_id") + 1_000_000_000).alias("conv_id"), (F.col("seq") + 1_000_000_000).alias("seq"), F.expr(COPY).alias("text"))
+    out = curate(own.unionByName(again), CFG, PROMPT, DAY)
     return out.select("conv_id", "ok", "reason", "dup_reason", "bucket", "tag", F.sha2("record", 256).alias("record_hash"))
 
 
 #: Oracle: the closed form of the double-tag rule by running counts, in the place of a fold.
 DT = r"""
 l AS (SELECT conv_id, i, ls[i] AS line FROM (SELECT conv_id, string_split({src}, chr(10)) AS ls, unnest(range(1, len(string_split({src}, chr(10))) + 1)) AS i FROM {rel})),
-m AS (SELECT *, lower(regexp_extract(line, '(?is)^\s*\**(user|assistant)\**\s*:\s*\**\s*\**(user|assistant)\**\s*:\s*(.*)$', 1)) AS a,
-  lower(regexp_extract(line, '(?is)^\s*\**(user|assistant)\**\s*:\s*\**\s*\**(user|assistant)\**\s*:\s*(.*)$', 2)) AS b,
-  regexp_extract(line, '(?is)^\s*\**(user|assistant)\**\s*:\s*\**\s*\**(user|assistant)\**\s*:\s*(.*)$', 3) AS c,
-  lower(regexp_extract(line, '(?is)^\s*\**(user|assistant)\**\s*:\s*\**\s*(.*)$', 1)) AS s FROM l),
+m AS (SELECT *, lower(regexp_extract(line, '<DOUBLE>', 1)) AS a, lower(regexp_extract(line, '<DOUBLE>', 2)) AS b,
+  regexp_extract(line, '<DOUBLE>', 3) AS c, lower(regexp_extract(line, '<TAG>', 1)) AS s FROM l),
 k AS (SELECT *, CASE WHEN a <> '' THEN CASE WHEN a = b THEN a END WHEN s <> '' THEN s END AS fixed_role, a <> '' AND a <> b AS mismatch FROM m),
 g AS (SELECT *, count(fixed_role) OVER (PARTITION BY conv_id ORDER BY i) AS grp FROM k),
 h AS (SELECT *, sum(mismatch::INT) OVER (PARTITION BY conv_id, grp ORDER BY i) AS j, first(fixed_role) OVER (PARTITION BY conv_id, grp ORDER BY i) AS base,
   first_value(a) OVER (PARTITION BY conv_id, grp ORDER BY CASE WHEN mismatch THEN i ELSE 1000000 + i END) AS f FROM g),
 e AS (SELECT *, CASE WHEN a = '' THEN NULL WHEN a = b THEN a
   WHEN grp > 0 THEN CASE WHEN j % 2 = 0 THEN base WHEN base = 'user' THEN 'assistant' ELSE 'user' END
-  ELSE CASE WHEN j % 2 = 1 THEN f WHEN f = 'user' THEN 'assistant' ELSE 'user' END END AS final FROM h)"""
+  ELSE CASE WHEN j % 2 = 1 THEN f WHEN f = 'user' THEN 'assistant' ELSE 'user' END END AS final FROM h)""".replace("<DOUBLE>", DOUBLE_SQL).replace("<TAG>", TAG_SQL)
 DOUBLE = f"WITH {RAW}, {DT.format(src='text', rel='raw')} SELECT conv_id, sum((a <> '')::INT)::BIGINT AS n_fixed, string_agg(CASE WHEN a <> '' THEN final || ': ' || c ELSE line END, chr(10) ORDER BY i) AS text FROM e GROUP BY conv_id"
 
 
@@ -116,17 +121,21 @@ def _second(sql: str) -> str:
     return sql
 
 
-PARSE = f"""WITH {RAW}, {DT.format(src='text', rel='raw')},
+def _parsed(rel: str) -> str:
+    """Oracle: from rel(conv_id, text), p1 with the fixes, q3(conv_id, turn, role, text) with turn 0 for lines before a tag, and q4 by conversation."""
+    return rf"""{DT.format(src='text', rel=rel)},
 p1 AS (SELECT conv_id, sum((a <> '')::INT) AS fixes, string_agg(CASE WHEN a <> '' THEN final || ': ' || c ELSE line END, chr(10) ORDER BY i) AS text FROM e GROUP BY conv_id),
 {_second(DT.format(src='text', rel='p1'))},
 p2 AS (SELECT conv_id, string_agg(CASE WHEN a <> '' THEN final || ': ' || c ELSE line END, chr(10) ORDER BY i) AS text FROM e2 GROUP BY conv_id),
-p3 AS (SELECT conv_id, regexp_replace(array_to_string([x FOR x IN string_split(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), chr(10)) IF NOT starts_with(ltrim(x), '```')], chr(10)), '^\\s+|\\s+$', '', 'g') AS text FROM p2),
-p4 AS (SELECT conv_id, [trim(x) FOR x IN string_split(regexp_replace(regexp_replace(text, '^\\{{', ''), '\\}}$', ''), chr(10)) IF trim(x) <> ''] AS ls FROM p3),
-q1 AS (SELECT conv_id, i, ls[i] AS line, lower(regexp_extract(ls[i], '(?is)^\\s*\\**(user|assistant)\\**\\s*:\\s*\\**\\s*(.*)$', 1)) AS who,
-  regexp_extract(ls[i], '(?is)^\\s*\\**(user|assistant)\\**\\s*:\\s*\\**\\s*(.*)$', 2) AS said FROM (SELECT conv_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM p4)),
+p3 AS (SELECT conv_id, regexp_replace(array_to_string([x FOR x IN string_split(regexp_replace(text, '^\s+|\s+$', '', 'g'), chr(10)) IF NOT starts_with(ltrim(x), '```')], chr(10)), '^\s+|\s+$', '', 'g') AS text FROM p2),
+p4 AS (SELECT conv_id, [trim(x) FOR x IN string_split(regexp_replace(regexp_replace(text, '^\{{', ''), '\}}$', ''), chr(10)) IF trim(x) <> ''] AS ls FROM p3),
+q1 AS (SELECT conv_id, i, ls[i] AS line, lower(regexp_extract(ls[i], '{TAG_SQL}', 1)) AS who, regexp_extract(ls[i], '{TAG_SQL}', 2) AS said FROM (SELECT conv_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM p4)),
 q2 AS (SELECT *, sum((who <> '')::INT) OVER (PARTITION BY conv_id ORDER BY i) AS turn FROM q1),
 q3 AS (SELECT conv_id, turn, max(who) AS role, string_agg(CASE WHEN who <> '' THEN nullif(trim(said), '') ELSE line END, chr(10) ORDER BY i) AS text FROM q2 GROUP BY conv_id, turn),
-q4 AS (SELECT conv_id, bool_or(turn = 0) AS bad, count(*) FILTER (text <> '') AS n, string_agg(role || ': ' || text, chr(10) || chr(10) ORDER BY turn) FILTER (text <> '') AS text FROM q3 GROUP BY conv_id)
+q4 AS (SELECT conv_id, bool_or(turn = 0) AS bad, count(*) FILTER (text <> '') AS n, string_agg(role || ': ' || text, chr(10) || chr(10) ORDER BY turn) FILTER (text <> '') AS text FROM q3 GROUP BY conv_id)"""
+
+
+PARSE = f"""WITH {RAW}, {_parsed('raw')}
 SELECT p1.conv_id, fixes::BIGINT AS tag_fixes, CASE WHEN bad THEN -1 ELSE coalesce(n, 0) END::BIGINT AS n_turns, CASE WHEN bad THEN NULL ELSE coalesce(q4.text, '') END AS text
 FROM p1 LEFT JOIN q4 USING (conv_id)"""
 
@@ -146,8 +155,8 @@ def tag_of(spark, d):
 
 
 TAGS = EXPLODE.rpartition("SELECT conv_id, (i")[0] + """, c AS (SELECT unnest(ls) AS line FROM b),
-f AS (SELECT nullif(lower(regexp_extract(line, '(?is)^\\s*\\**(user|assistant)\\**\\s*:\\s*\\**\\s*(.*)$', 1)), '') AS role, regexp_extract(line, '(?is)^\\s*\\**(user|assistant)\\**\\s*:\\s*\\**\\s*(.*)$', 2) AS content FROM c)
-SELECT role, count(*) AS n, sum(length(content))::BIGINT AS chars FROM f GROUP BY role"""
+f AS (SELECT nullif(lower(regexp_extract(line, '@TAG@', 1)), '') AS role, regexp_extract(line, '@TAG@', 2) AS content FROM c)
+SELECT role, count(*) AS n, sum(length(content))::BIGINT AS chars FROM f GROUP BY role""".replace("@TAG@", TAG_SQL)
 
 def json_pairs(spark, d):
     """Turns as pairs with repeated keys; each fourth conversation stays plain."""
@@ -233,6 +242,62 @@ def process(spark, d):
     return out.select("conv_id", "ok", "reason", F.array_join("flags", ",").alias("flags"), F.col("fixes").cast("long"), F.size("turns").cast("long").alias("n_turns"), F.sha2("text", 256).alias("text_hash"))
 
 
+def _processed(rel: str) -> str:
+    """Oracle: from rel(conv_id, text) res(conv_id, ok, reason, flags, fixes, n_turns, text, replies, messages): parse, check, repair, check again, flag."""
+    hits = HITS.partition(", hit AS")[2].replace("FROM t WHERE", "FROM xw WHERE")
+    norm = NORM.replace("(text,", "(f5.text,")
+    return rf"""{_parsed(rel)},
+xt AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turn, role, text FROM q3 WHERE text <> '' AND conv_id IN (SELECT conv_id FROM q4 WHERE NOT bad)),
+xz AS (SELECT conv_id, count(*) AS n0, arg_max(role, turn) AS last FROM xt GROUP BY conv_id),
+xo AS (SELECT xt.*, n0 - CASE WHEN n0 % 2 = 1 AND last = 'user' THEN 1 ELSE 0 END AS n FROM xt JOIN xz USING (conv_id)),
+xw AS (SELECT * FROM xo WHERE turn < n),
+xs AS (SELECT conv_id, max(n) AS n, min(CASE WHEN turn < n AND role <> CASE WHEN turn % 2 = 0 THEN 'user' ELSE 'assistant' END THEN turn END) AS off FROM xo GROUP BY conv_id),
+shape AS (SELECT r.conv_id, CASE WHEN coalesce(n, 0) = 0 THEN 'invalid_format' WHEN n < 4 THEN 'too_few_turns(' || n || ')' WHEN n > 24 THEN 'too_many_turns(' || n || ')'
+ WHEN n % 2 = 1 THEN 'odd_turns(' || n || ')' WHEN off IS NOT NULL THEN 'bad_alternation(turn ' || off || ')' END AS reason FROM {rel} r LEFT JOIN xs USING (conv_id)),
+hit AS{hits},
+broken AS (SELECT conv_id, arg_min(reason, turn * 10 + rank) AS reason FROM hit GROUP BY conv_id),
+good AS (SELECT conv_id FROM shape WHERE reason IS NULL AND conv_id NOT IN (SELECT conv_id FROM broken)),
+f0 AS (SELECT conv_id, turn, role, text, regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+') AS ps FROM xw JOIN good USING (conv_id)),
+f1 AS (SELECT conv_id, turn, role, CASE WHEN role = 'assistant' THEN len([x FOR x IN ps IF {_MAP}[lower(x)] IS NOT NULL]) ELSE 0 END AS n1,
+  CASE WHEN role = 'assistant' THEN array_to_string([CASE WHEN {_MAP}[lower(x)] IS NULL THEN x WHEN length(x) > 1 AND x = upper(x) THEN upper({_MAP}[lower(x)])
+   WHEN substr(x, 1, 1) = upper(substr(x, 1, 1)) THEN upper(substr({_MAP}[lower(x)], 1, 1)) || substr({_MAP}[lower(x)], 2) ELSE {_MAP}[lower(x)] END FOR x IN ps], '') ELSE text END AS text FROM f0),
+f2 AS (SELECT conv_id, turn, role, n1, CASE WHEN role = 'assistant' THEN len(regexp_extract_all(text, '{_RUNSQL}')) ELSE 0 END AS n2,
+  CASE WHEN role = 'assistant' THEN regexp_replace(text, '{_RUNSQL}', '\1\2\3', 'g') ELSE text END AS text FROM f1),
+f3 AS (SELECT *, CASE WHEN role = 'assistant' THEN greatest(len(regexp_extract_all(text, '{_E}')) - 4, 0) ELSE 0 END AS n3, regexp_extract_all(text, '{_E}') AS em, regexp_split_to_array(text, '{_E}') AS gs FROM f2),
+f4 AS (SELECT conv_id, turn, role, n1 + n2 + n3 AS fixed, n2 + n3 AS changed, CASE WHEN n3 > 0 THEN array_to_string([gs[i] || CASE WHEN i <= least(len(em), 4) THEN em[i] ELSE '' END FOR i IN range(1, len(gs) + 1)], '') ELSE text END AS text FROM f3),
+f5 AS (SELECT conv_id, turn, role, fixed, CASE WHEN changed > 0 THEN regexp_replace(regexp_replace(text, '[ \t]{{2,}}', ' ', 'g'), '(?m)[^\S\n]+$', '', 'g') ELSE text END AS text FROM f4),
+sums AS (SELECT conv_id, count(*) AS n_turns, sum(fixed) AS fixed, bool_or(role = 'assistant' AND regexp_matches(f5.text, '[A-Za-z\x{{0900}}-\x{{097F}}]')) AS worded,
+  coalesce(max(CASE WHEN role = 'assistant' THEN {LINES.replace('(text,', '(f5.text,')} END), 0) AS best, coalesce(string_agg(f5.text, chr(10) ORDER BY turn) FILTER (role = 'assistant'), '') AS said,
+  string_agg(role || ': ' || f5.text, chr(10) || chr(10) ORDER BY turn) AS text, list({{'role': role, 'content': f5.text}} ORDER BY turn) AS messages,
+  coalesce(list({norm} ORDER BY turn) FILTER (role = 'assistant' AND regexp_matches(f5.text, '\S')), []) AS replies FROM f5 GROUP BY conv_id),
+verdict AS (SELECT shape.conv_id, coalesce(shape.reason, broken.reason, CASE WHEN NOT worded THEN 'no_words_in_conversation' WHEN best < 3 THEN 'no_turn_reaches_min_length(best=' || best || ')' END, 'ok') AS reason
+ FROM shape LEFT JOIN broken USING (conv_id) LEFT JOIN sums USING (conv_id)),
+res AS (SELECT conv_id, reason = 'ok' AS ok, reason,
+ CASE WHEN reason = 'ok' THEN concat_ws(',', CASE WHEN regexp_matches(said, '(?i)thth[a-z]+') THEN 'scene:thth[a-z]+' END, CASE WHEN len(regexp_extract_all(said, '(?i)tion')) > 3 THEN 'overused:tion' END,
+  CASE WHEN len(regexp_extract_all(said, '(?i)keit')) > 3 THEN 'overused:keit' END, CASE WHEN regexp_matches(lower(said), 'on the|in der') THEN 'refusal' END) ELSE '' END AS flags,
+ CASE WHEN reason = 'ok' THEN fixes + fixed ELSE 0 END::BIGINT AS fixes, CASE WHEN reason = 'ok' THEN n_turns ELSE 0 END::BIGINT AS n_turns, CASE WHEN reason = 'ok' THEN sums.text ELSE '' END AS text, replies, messages
+ FROM verdict JOIN p1 USING (conv_id) LEFT JOIN sums USING (conv_id))"""
+
+
+PROCESS = f"WITH {RAW}, {_processed('raw')} SELECT conv_id, ok, reason, flags, fixes, n_turns, sha256(text) AS text_hash FROM res"
+ROUTED = f"""WITH {RENDERED}, {_processed('r')} SELECT CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch' END AS bucket, CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch-{DAY}' END AS tag, count(*) AS n FROM res WHERE ok GROUP BY ALL"""
+#: The copies' raw text, then what an answer's fences and outer braces leave of it.
+CURATED = rf"""WITH {RAW}, raw2 AS (SELECT conv_id, text FROM raw UNION ALL SELECT conv_id + 1000000000, {COPY} FROM raw),
+c1 AS (SELECT conv_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS text FROM raw2),
+c2 AS (SELECT conv_id, CASE WHEN starts_with(text, '```') THEN regexp_replace(array_to_string([x FOR x IN string_split(text, chr(10)) IF NOT starts_with(ltrim(x), '```')], chr(10)), '^\s+|\s+$', '', 'g') ELSE text END AS text FROM c1),
+clean AS (SELECT conv_id, regexp_replace(regexp_replace(regexp_replace(text, '^\{{', ''), '\}}$', ''), '^\s+|\s+$', '', 'g') AS text FROM c2),
+{_processed('clean')} SELECT * FROM res"""
+#: Similarity of the accepted conversations by their replies, with the same SQL as the dedup queries.
+CURATE = f"""WITH res AS MATERIALIZED ({CURATED}),
+k AS (SELECT conv_id AS seq, sha256({NORM}) AS hash, CASE WHEN len(replies) > 0 THEN array_to_string(string_split(replies[1], ' ')[1:30], ' ') || ' ||| ' || array_to_string(string_split(replies[-1], ' ')[greatest(len(string_split(replies[-1], ' ')) - 19, 1):], ' ')
+  ELSE substr({NORM}, 1, 200) END AS signature, CASE WHEN len(replies) > 0 THEN replies[1] ELSE '' END AS opening FROM res WHERE ok),
+{MARKED}
+SELECT res.conv_id, ok, reason, dup_reason, CASE WHEN dup_reason = 'unique' THEN CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch' END END AS bucket,
+ CASE WHEN dup_reason = 'unique' THEN CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch-{DAY}' END END AS tag,
+ CASE WHEN dup_reason = 'unique' THEN sha256(to_json({{'messages': [{{'role': 'system', 'content': '{PROMPT}'}}] || messages}})::VARCHAR) END AS record_hash
+FROM res LEFT JOIN dr ON dr.conv_id = res.conv_id"""
+
+
 def validate(spark, d):
     return V.validate(rendered(spark, d), CFG)
 
@@ -322,8 +387,8 @@ QUERIES = {
     "word_replace": (word_replace, WORDSQL),
     "emoji_collapse": (emoji_collapse, f"WITH {T}, e AS (SELECT conv_id, turn, {EMO} AS text FROM t) SELECT conv_id, turn::BIGINT AS turn, regexp_replace(text, '{_RUNSQL}', '\\1\\2\\3', 'g') AS text, len(regexp_extract_all(text, '{_RUNSQL}'))::BIGINT AS n FROM e"),
     "emoji_cap": (emoji_cap, CAPSQL),
-    "process": (process, None),
-    "curate_job": (curate_job, None),
+    "process": (process, PROCESS),
+    "curate_job": (curate_job, CURATE),
     "validate": (validate, VALIDATE),
     "topic_bias": (topic_bias, "SELECT n_nationkey, CASE WHEN regexp_matches(lower(n_name || ' '), 'an|ru') THEN 'heavy' WHEN regexp_matches(lower(n_name || ' '), 'i') THEN 'fun' END AS bias FROM nation"),
     "routed_tags": (routed_tags, f"WITH {FLAGS} SELECT conv_id, CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch' END AS bucket, CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch-{DAY}' END AS tag FROM fl"),

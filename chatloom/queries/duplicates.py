@@ -148,12 +148,14 @@ def greedy(spark, d):
     return D.resolve_greedy(own, D.similar_pairs(own, "signature", 9, 10))
 
 
-DUP = f"""WITH {K}, {_sets('signature', 's')}, {_sets('opening', 'u')},
+#: Oracle: dr(conv_id, dup_reason) of k.
+MARKED = f"""{_sets('signature', 's')}, {_sets('opening', 'u')},
 h1 AS (SELECT seq, row_number() OVER (PARTITION BY hash ORDER BY seq) > 1 AS eh, row_number() OVER (PARTITION BY signature ORDER BY seq) > 1 AND signature <> '' AS es, row_number() OVER (PARTITION BY opening ORDER BY seq) > 1 AS eo, signature, opening FROM k),
 sb AS (SELECT id, min(m) AS m FROM (SELECT b AS id, a AS m FROM sp WHERE common * 10 > either * 9 UNION ALL SELECT a, b FROM sp WHERE common * 10 > either * 9) GROUP BY id),
 ob AS (SELECT id, min(m) AS m FROM (SELECT b AS id, a AS m FROM up WHERE common * 20 > either * 19 UNION ALL SELECT a, b FROM up WHERE common * 20 > either * 19) GROUP BY id),
 dr AS (SELECT h1.seq AS conv_id, CASE WHEN eh THEN 'exact_hash_duplicate' WHEN es OR h1.seq > sb.m THEN 'signature_similarity>0.90' WHEN eo THEN 'exact_opening_duplicate' WHEN h1.seq > ob.m THEN 'opening_similarity>0.95' ELSE 'unique' END AS dup_reason
  FROM h1 JOIN sf ON sf.v = h1.signature LEFT JOIN sb ON sb.id = sf.id JOIN uf ON uf.v = h1.opening LEFT JOIN ob ON ob.id = uf.id)"""
+DUP = f"WITH {K}, {MARKED}"
 PAIRED = f"""{K}, {_sets('signature', 's')},
 g AS (SELECT a, b, round(common / either, 6) AS sim FROM sp WHERE common * 10 > either * 9
  UNION ALL SELECT sf.id, k.seq, 1.0 FROM k JOIN sf ON sf.v = k.signature WHERE k.seq > sf.id AND regexp_matches(k.signature, '\\S'))"""

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chatloom.operators import reporting as R
-from chatloom.queries.base import read
+from chatloom.operators.ordering import numbered
+from chatloom.queries.base import CFG, DAY, PROMPT, read, rendered
+from chatloom.queries.conversations import ROUTED
+from chatloom.queries.duplicates import BAND, RECENT, _keyed
 from chatloom.queries.duplicates import TTL as _TTL
-from chatloom.sources.scratch import scratch
+from chatloom.sources.scratch import scratch, stored
 from chatloom.streaming import jobs as J
 
 AS_OF = "2024-01-28 12:00:00"
@@ -141,65 +144,68 @@ def curation_report(spark, d):
     return out.select("total_all", "total_batches", "leaves_completed", "total_leaves", "keys_working", "keys_dead", "keys_cooling", "keys_unknown")
 
 
-def _stream(spark, d):
-    """The events table as a stream of files."""
-    static = spark.read.parquet(f"{d}/events.parquet")
-    return spark.readStream.schema(static.schema).option("pathGlobFilter", "events*.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
+#: Micro-batches that a streamed table is cut into.
+PARTS = 4
 
 
-def _ran(spark, stream, name: str, mode: str = "append"):
-    if mode == "append":
-        out = scratch(spark, name)
-        J.run_once(stream, scratch(spark, f"{name}-checkpoint"), mode, path=out)
+def _stream(spark, df, order: str):
+    """df as a stream of PARTS micro-batches in order: its ranges by the order, each written after the one before."""
+    src = scratch(spark, "stream-in")
+    placed = stored(numbered(df, [order], "_number"), "numbered")
+    n = placed.count()
+    for k in range(PARTS):
+        own = placed.where((F.col("_number") >= n * k // PARTS) & (F.col("_number") < n * (k + 1) // PARTS)).drop("_number")
+        own.coalesce(1).write.mode("append").parquet(src)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+
+
+def _ran(spark, stream, name: str, keys: list[str] | None = None):
+    """What a stream gives in append mode, or with keys in update mode, the last row of each key."""
+    out = scratch(spark, name)
+    if keys is None:
+        J.run_once(stream, scratch(spark, f"{name}-checkpoint"), path=out)
         return spark.read.schema(stream.schema).parquet(out)
-    rows: list = []
-    J.run_once(stream, scratch(spark, f"{name}-checkpoint"), mode, sink=lambda batch, _: rows.append(batch.write.parquet(path := scratch(spark, name)) or path))
-    return spark.read.schema(stream.schema).parquet(rows[-1])
+    J.run_once(stream, scratch(spark, f"{name}-checkpoint"), "update", sink=lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"))
+    rows = spark.read.parquet(out)
+    rest = [c for c in stream.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last")).select(*keys, "last.*")
 
 
 def stream_dedup(spark, d):
     stretched = F.timestamp_seconds(F.lit(1704067200) + (F.unix_seconds("ts") - 1704067200) * 18)
-    own = _stream(spark, d).select(F.concat_ws(":", "user_id", "event_type").alias("hash"), stretched.alias("created_at"))
-    return _ran(spark, J.dedup_with_memory(own, DAYS), "stream-dedup").groupBy("hash").agg(F.count("*").alias("anchors"))
+    own = _events(spark, d).select(F.concat_ws(":", "user_id", "event_type").alias("hash"), stretched.alias("created_at"))
+    return _ran(spark, J.dedup_with_memory(_stream(spark, own, "created_at"), DAYS), "stream-dedup").groupBy("hash").agg(F.count("*").alias("anchors"))
 
 
 def stream_daily(spark, d):
-    own = _stream(spark, d).select(F.col("ts").alias("created_at"), (F.col("event_type") != "error").alias("ok"))
-    return _ran(spark, J.daily_counters(own), "stream-daily", "complete").withColumn("day", F.col("day").cast("string"))
+    own = _events(spark, d).select(F.col("ts").alias("created_at"), (F.col("event_type") != "error").alias("ok"))
+    return _ran(spark, J.daily_counters(_stream(spark, own, "created_at")), "stream-daily", ["day"]).withColumn("day", F.col("day").cast("string"))
 
 
 def stream_rate(spark, d):
-    own = _stream(spark, d).select(F.col("ts").alias("created_at"))
-    out = _ran(spark, J.trailing_rate(own), "stream-rate", "complete")
+    own = _events(spark, d).select(F.col("ts").alias("created_at"))
+    out = _ran(spark, J.trailing_rate(_stream(spark, own, "created_at")), "stream-rate", ["until"])
     return out.select(F.col("until").cast("string"), F.round("per_day", 6).alias("per_day"))
 
 
 def stream_leaves(spark, d):
-    own = _stream(spark, d).select(F.concat_ws(" > ", "event_type", "user_id").alias("leaf_path"))
-    return _ran(spark, J.leaf_counters(own), "stream-leaves", "complete")
+    own = _events(spark, d).select("ts", F.concat_ws(" > ", "event_type", "user_id").alias("leaf_path"))
+    return _ran(spark, J.leaf_counters(_stream(spark, own, "ts").select("leaf_path")), "stream-leaves", ["leaf_path"])
 
 
 def stream_route(spark, d):
     """Raw conversations through the validating, routing sink; how many records each bucket got."""
-    from chatloom.operators.parsing import render
-    from chatloom.queries.base import CFG, DAY, PROMPT, convs
-
-    src, out = scratch(spark, "route-in"), scratch(spark, "route-out")
-    convs(spark, d).select("conv_id", render(F.col("turns"), "assistant").alias("text")).write.parquet(src)
-    stream = spark.readStream.schema("conv_id long, text string").parquet(src)
+    stream, out = _stream(spark, rendered(spark, d), "conv_id"), scratch(spark, "route-out")
     J.run_once(stream, scratch(spark, "route-checkpoint"), sink=J.routed_sink(out, DAY, PROMPT, CFG))
-    return spark.read.option("recursiveFileLookup", "false").text(out).groupBy("bucket", "tag").agg(F.count("*").alias("n"))
+    return spark.read.text(out).groupBy("bucket", "tag").agg(F.count("*").alias("n"))
 
 
 def stream_near(spark, d):
-    """Signatures of documents against the newest 500, in one micro-batch: those that an earlier one blocks."""
-    from chatloom.queries.duplicates import _keyed
-
-    src, state, out = (scratch(spark, f"near-{x}") for x in ("in", "state", "out"))
-    _keyed(spark, d).select("seq", "signature").write.parquet(src)
-    stream = spark.readStream.schema("seq long, signature string").parquet(src)
-    J.run_once(stream, scratch(spark, "near-checkpoint"), sink=J.near_duplicate_sink(state, out, 500))
-    return spark.read.parquet(f"{out}/0")
+    """Documents that one of the newest signatures or openings before them repeats, over several micro-batches."""
+    stream = _stream(spark, _keyed(spark, d).select("seq", "signature", "opening"), "seq")
+    state, out = scratch(spark, "near-state"), scratch(spark, "near-out")
+    J.run_once(stream, scratch(spark, "near-checkpoint"), sink=J.near_duplicate_sink(state, out, RECENT))
+    return spark.read.parquet(f"{out}/*").select("seq", "memory")
 
 
 _ANCHORS = "SELECT hash, anchors FROM (" + _TTL + ")"
@@ -223,6 +229,6 @@ QUERIES = {
     "stream_daily": (stream_daily, DAILY),
     "stream_rate": (stream_rate, "WITH w AS (SELECT (ts::DATE + k) AS until FROM events, (SELECT unnest([1, 2, 3]) AS k)) SELECT until::DATE::VARCHAR AS until, round(count(*) / 3, 6) AS per_day FROM w GROUP BY 1"),
     "stream_leaves": (stream_leaves, "SELECT event_type || ' > ' || user_id AS leaf_path, count(*) AS n FROM events GROUP BY ALL"),
-    "stream_route": (stream_route, None),
-    "stream_near": (stream_near, None),
+    "stream_route": (stream_route, ROUTED),
+    "stream_near": (stream_near, BAND),
 }

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.config import Config, Rule
 from chatloom.functions.text import strip
+from chatloom.operators.ordering import numbered
 from chatloom.operators.parsing import parse_turns, to_chatml
 
 TURN_SCHEMA = "conv_id long, turn long, role string, text string"
@@ -21,24 +22,34 @@ def record_text(line: Column) -> Column:
 
 
 def read_conversations(spark: SparkSession, path: str) -> DataFrame:
-    """(conv_id, text): one a line that is not blank. conv_id is unique within one reading, not a row number."""
-    lines = spark.read.text(path).where(strip(F.col("value")) != "")
-    return lines.select(F.monotonically_increasing_id().alias("conv_id"), record_text(F.col("value")).alias("text"))
+    """(conv_id, text): one a line that is not blank. conv_id is the line's number, from 0, in the order of paths and lines."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    own = lines.where(strip(F.col("value")) != "")
+    return numbered(own, ["file", "start", "at"], "conv_id").select("conv_id", record_text(F.col("value")).alias("text"))
 
 
 def read_turns(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TURN_SCHEMA).parquet(path)
 
 
+#: Rows of a rules table that become patterns in the plan; a longer one is no configuration.
+MAX_RULES = 10_000
+
+
 def load_rules(spark: SparkSession, lists: dict[str, list[str]], scopes: dict[str, str]) -> DataFrame:
     """(rank, scope, kind, pattern): pattern lists by kind as a table, ranked in the order of scopes; a missing kind has no rows."""
-    rows = [(rank, scope, kind, f"(?i){p}") for rank, (kind, scope) in enumerate(scopes.items()) for p in lists.get(kind, [])]
+    rows = [(rank, scope, kind, p) for rank, (kind, scope) in enumerate(scopes.items()) for p in lists.get(kind, [])]
     return spark.createDataFrame(rows, "rank int, scope string, kind string, pattern string")
 
 
-def rules_of(lists: dict[str, list[str]], scopes: dict[str, str]) -> tuple[Rule, ...]:
-    """One rule a kind: the alternation of its patterns."""
-    return tuple(Rule(rank, scope, "|".join(f"(?:{p})" for p in lists[kind]), kind) for rank, (kind, scope) in enumerate(scopes.items()) if lists.get(kind))
+def rules_of(table: DataFrame) -> tuple[Rule, ...]:
+    """One rule a kind of a rules table, for Config: the alternation of its patterns, case-insensitive on the text as it is."""
+    rows = table.limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"over {MAX_RULES} rules")
+    kinds = sorted({(r.rank, r.scope, r.kind) for r in rows})
+    patterns = lambda k: sorted(r.pattern for r in rows if (r.rank, r.scope, r.kind) == k)
+    return tuple(Rule(k[0], k[1], "(?iu)" + "|".join(f"(?:{p})" for p in patterns(k)), k[2], raw=True) for k in kinds)
 
 
 def write_chatml(convs: DataFrame, path: str, system_prompt: str) -> None:
@@ -59,8 +70,9 @@ def routed(df: DataFrame, day: str) -> DataFrame:
     })
 
 
-def write_routed(df: DataFrame, path: str, day: str, system_prompt: str, batch_size: int = 15, salts: int = 1) -> None:
-    """Chat records by bucket and tag, at most batch_size a file. salts spreads each tag over that many tasks."""
+def write_routed(df: DataFrame, path: str, day: str, system_prompt: str, batch_size: int = 15, salts: int | None = None) -> None:
+    """Chat records by bucket and tag, at most batch_size a file. Each tag's rows are dealt to salts tasks, as many as there are shuffle partitions."""
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = routed(df, day).select("bucket", "tag", to_chatml(F.col("turns"), system_prompt).alias("value"), F.pmod(F.xxhash64("conv_id"), F.lit(salts)).alias("salt"))
     dealt = out.repartition("bucket", "tag", "salt").drop("salt")
     dealt.write.partitionBy("bucket", "tag").option("maxRecordsPerFile", batch_size).text(path)
@@ -68,8 +80,7 @@ def write_routed(df: DataFrame, path: str, day: str, system_prompt: str, batch_s
 
 def assign_batches(df: DataFrame, n: int = 15) -> DataFrame:
     """df(bucket, day, seq, …) with batch_no and batch_id: every n rows of a bucket and day in order of arrival."""
-    rank = F.row_number().over(Window.partitionBy("bucket", "day").orderBy("seq"))
-    out = df.withColumn("batch_no", F.floor((rank - 1) / n).cast("long"))
+    out = numbered(df, ["seq"], "_number", ["bucket", "day"]).withColumn("batch_no", F.floor(F.col("_number") / n).cast("long")).drop("_number")
     return out.withColumn("batch_id", F.concat_ws("-", "bucket", "day", "batch_no"))
 
 

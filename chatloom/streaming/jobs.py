@@ -1,4 +1,7 @@
-"""Structured Streaming forms of validation, deduplication and counting. Each takes a streaming DataFrame; starting it is the caller's."""
+"""Structured Streaming forms of validation, deduplication and counting. Each takes a streaming DataFrame; starting it is the caller's.
+
+Rows later than the watermark are dropped by the stateful jobs, so that their state can expire.
+"""
 
 from __future__ import annotations
 
@@ -6,24 +9,30 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chatloom.config import Config
-from chatloom.operators.dedup import similar_values
+from chatloom.operators.dedup import similar_within
+from chatloom.operators.reporting import latest_n_per_kind
 from chatloom.operators.validation import process
 from chatloom.sources.conversations import write_routed
+from chatloom.sources.scratch import fs_path, stored
 
 
-def dedup_with_memory(stream: DataFrame, days: int = 90) -> DataFrame:
+def dedup_with_memory(stream: DataFrame, days: int = 90, late: str = "1 day") -> DataFrame:
     """(hash, created_at): sightings of stream(hash, created_at) that no sighting within days before, counted from its anchor, precedes.
 
-    The state of a hash is its anchor alone, so memory is a number a hash. Within a micro-batch sightings are taken by time.
+    The state of a hash is its anchor alone and is dropped once the watermark is days past it: what comes then is a new
+    anchor anyway. Within a micro-batch sightings are taken by time.
     """
     span = days * 86_400_000_000
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         anchor = state.get[0] if state.exists else None
         kept = []
         for t in sorted(x for b in batches for x in b["us"]):
@@ -32,10 +41,12 @@ def dedup_with_memory(stream: DataFrame, days: int = 90) -> DataFrame:
                 kept.append(anchor)
         if anchor is not None:
             state.update((anchor,))
+            # The first millisecond that no sighting can fall into the memory of.
+            state.setTimeoutTimestamp(max((anchor + span) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"hash": [key[0]] * len(kept), "us": kept})
 
-    own = stream.select("hash", F.unix_micros("created_at").alias("us"))
-    out = own.groupBy("hash").applyInPandasWithState(update, "hash string, us long", "anchor long", "append", GroupStateTimeout.NoTimeout)
+    own = stream.select("hash", "created_at", F.unix_micros("created_at").alias("us")).withWatermark("created_at", late)
+    out = own.groupBy("hash").applyInPandasWithState(update, "hash string, us long", "anchor long", "append", GroupStateTimeout.EventTimeTimeout)
     return out.select("hash", F.timestamp_micros("us").alias("created_at"))
 
 
@@ -58,30 +69,42 @@ def routed_sink(path: str, day: str, system_prompt: str, cfg: Config, batch_size
     return write
 
 
-def near_duplicate_sink(state_path: str, out_path: str, cap: int, num: int = 9, den: int = 10) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function over (seq, signature): marks rows similar to remembered or earlier ones and keeps the newest cap signatures.
+def _before(spark: SparkSession, path: str, number: int) -> str | None:
+    """The folder of the last micro-batch before number that left a state."""
+    fs, root = fs_path(spark, path)
+    numbers = [int(s.getPath().getName()) for s in fs.listStatus(root)] if fs.exists(root) else []
+    earlier = [n for n in numbers if n < number]
+    return f"{path}/{max(earlier)}" if earlier else None
+
+
+MEMORY = "kind string, value string, seq long"
+
+
+def near_duplicate_sink(state_path: str, out_path: str, caps: dict[str, int], sig: tuple[int, int] = (9, 10), opn: tuple[int, int] = (19, 20)) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function over (seq, signature, opening), seq growing over the batches: marks the rows that one of the
+    newest signatures or openings before them is similar or equal to, caps of each, in this micro-batch or remembered.
 
-    State and output of a micro-batch go to folders named by its number; a repeat overwrites them from the state before.
+    State and output of a micro-batch go to folders named by its number; a repeat overwrites them, from the state before.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        schema = "seq long, signature string"
-        memory = spark.read.schema(schema).parquet(f"{state_path}/{number - 1}") if number else spark.createDataFrame([], schema)
-        own = batch.select("seq", "signature")
-        every = memory.unionByName(own)
-        firsts = every.groupBy("signature").agg(F.min("seq").alias("id"))
-        pairs = similar_values(firsts.select("id", F.col("signature").alias("value")), num, den)
-        blocked = pairs.select(F.greatest("a", "b").alias("id")).distinct().withColumn("similar", F.lit(True))
-        marked = own.join(firsts, "signature").join(blocked, "id", "left")
-        marked.select("seq", ((F.col("id") < F.col("seq")) | F.coalesce("similar", F.lit(False))).alias("duplicate")).write.mode("overwrite").parquet(f"{out_path}/{number}")
-        every.orderBy(F.desc("seq")).limit(cap).write.mode("overwrite").parquet(f"{state_path}/{number}")
+        own = stored(batch.select("seq", "signature", "opening"), "micro-batch")
+        new = own.select("seq", F.expr("stack(2, 'signature', signature, 'opening', opening) AS (kind, value)")).select("kind", "value", "seq")
+        last = _before(spark, state_path, number)
+        every = stored(spark.read.schema(MEMORY).parquet(last).unionByName(new) if last else new, "memory")
+        of = lambda kind: every.where(F.col("kind") == kind).select("seq", F.col("value").alias(kind))
+        near = similar_within(of("signature"), "signature", *sig, caps["signature"]).withColumn("memory", F.lit("signature"))
+        near = near.unionByName(similar_within(of("opening"), "opening", *opn, caps["opening"], blank_equal=True).withColumn("memory", F.lit("opening")))
+        near.join(own.select("seq"), "seq", "left_semi").write.mode("overwrite").parquet(f"{out_path}/{number}")
+        kept = latest_n_per_kind(every.withColumnRenamed("seq", "created_at"), caps).withColumnRenamed("created_at", "seq")
+        kept.select("kind", "value", "seq").write.mode("overwrite").parquet(f"{state_path}/{number}")
 
     return step
 
 
 def daily_counters(stream: DataFrame, late: str = "1 day") -> DataFrame:
-    """(day, generated, rejected) of stream(created_at, ok), a tumbling day; rows later than the watermark are dropped."""
+    """(day, generated, rejected) of stream(created_at, ok), a tumbling day; rows later than the watermark are dropped, and in append mode a day comes out once it has passed."""
     own = stream.withWatermark("created_at", late).groupBy(F.window("created_at", "1 day"))
     return own.agg(F.count_if("ok").alias("generated"), F.count_if(~F.col("ok")).alias("rejected")).select(F.to_date("window.start").alias("day"), "generated", "rejected")
 
