@@ -20,8 +20,10 @@ from chatloom.sources.scratch import stored
 SEPARATOR = "|||"
 
 
-#: Entries of one prefix word that a task pairs with as many on the other side.
+#: Entries of one key that a task pairs with all on the other side.
 HEAVY = 2000
+#: Sets of this many words or fewer meet on two words of their beginnings, larger ones on one.
+PAIRED = 120
 MAX_ROUNDS = 1000
 
 
@@ -71,12 +73,16 @@ def exact_against(df: DataFrame, seen: DataFrame) -> DataFrame:
 def similar_values(values: DataFrame, num: int, den: int, banded: bool = False) -> DataFrame:
     """Pairs (a, b, common, either), a < b, of distinct strings values(id, value) with Jaccard over num / den, strictly.
 
-    Prefix filter: words are ordered from rare to frequent; two sets over the threshold share one of their first
-    n - ceil(t * n) + 1 words. Candidates meet on such a word's hash, carrying their length and the word's place;
-    length and place bound what they can share. Ids alone are made distinct, and only then the words are compared
-    exactly. Words that many prefixes hold are dealt over several tasks. With banded, values(id, value, block) of
-    one block are compared with those of the same block and the one before, and ids grow with the blocks.
+    Prefix filter: words are ordered from rare to frequent; two sets over the threshold, which is a half or more, share
+    l of their first n - ceil(t * n) + l words. Sets of up to PAIRED words meet on two such words (single words on
+    themselves), larger ones, whose pairs would be many, on one, and those that a partner on either side may have on
+    both. Keys carry the set's length and the last word's place; both bound what two sets can share. Ids alone are
+    made distinct, and only then the words are compared exactly. Keys that many sets hold are dealt over several tasks.
+    With banded, values(id, value, block) of one block are compared with those of the same block and the one before,
+    and ids grow with the blocks.
     """
+    if 2 * num < den:
+        raise ValueError("the threshold must be a half or more")
     block = F.col("block") if banded else F.lit(0)
     words = tokens(F.col("value"))
     own = values.select("id", block.cast("long").alias("block"), words.alias("words")).where(F.size("words") > 0)
@@ -86,19 +92,28 @@ def similar_values(values: DataFrame, num: int, den: int, banded: bool = False)
     ordered = stored(ordered.select("id", "block", F.col("w.word").alias("words"), F.size("w").cast("long").alias("n")), "ordered-words")
     # n - ceil(t n) + 1 in whole numbers.
     head = (F.col("n") - F.floor((F.col("n") * num + den - 1) / den) + 1).cast("int")
-    entries = ordered.select("id", "block", "n", F.posexplode(F.slice("words", F.lit(1), head)).alias("at", "word"))
-    entries = entries.select("id", "block", "n", "at", F.xxhash64("word").alias("h"))
+    two = F.least(head + 1, F.col("n").cast("int"))
+    word = lambda i: F.get("words", i)
+    key = lambda h, at, before: F.struct(h.alias("h"), at.alias("at"), F.lit(before).alias("before"))
+    inner = lambda i: F.transform(F.sequence(i + 1, two - 1), lambda j: key(F.xxhash64(word(i), word(j)), j, 1))
+    pairs = F.flatten(F.transform(F.sequence(F.lit(0), two - 2), inner))
+    singles = F.transform(F.sequence(F.lit(0), head - 1), lambda i: key(F.xxhash64(word(i)), i, 0))
+    none = F.slice(singles, 1, 0)
+    alone = F.array(key(F.xxhash64(word(F.lit(0)), word(F.lit(0))), F.lit(0), 0))
+    small = F.when(F.col("n") == 1, alone).when(F.col("n") <= PAIRED, pairs).otherwise(none)
+    keys = F.concat(small, F.when(F.col("n") * den >= PAIRED * num, singles).otherwise(none))
+    entries = ordered.select("id", "block", "n", F.explode(keys).alias("key")).select("id", "block", "n", "key.*")
     shared = entries.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
-    met = stored(entries.join(shared, "h").withColumn("salts", F.ceil(F.col("k") / HEAVY).cast("int")), "prefix-words")
-    left = met.select("h", "block", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
+    met = stored(entries.join(shared, "h").withColumn("salts", F.ceil(F.col("k") / HEAVY).cast("int")), "prefix-keys")
+    left = met.select("h", "block", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), "before", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
     right = met.select("h", "block", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     if banded:
         right = right.withColumn("own", F.col("block")).withColumn("block", F.explode(F.array(F.col("block"), F.col("block") + 1)))
         order = (F.col("own") < F.col("block")) | (F.col("y") < F.col("x"))
     else:
         order = F.col("y") < F.col("x")
-    # Common words after this one, which is the first that the two share, are no more than either has left.
-    most = F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
+    # Of the first words that the two share the key's last one is the last; from it on they share no more than either has left.
+    most = F.col("before") + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
     near = order & (most * (num + den) > F.lit(num) * (F.col("nx") + F.col("ny")))
     found = stored(left.join(right, ["h", "block", "salt"]).where(near).select(F.col("y").alias("a"), F.col("x").alias("b")).distinct(), "candidates")
     of = lambda i, w: ordered.select(F.col("id").alias(i), F.col("words").alias(w))

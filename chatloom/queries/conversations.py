@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chatloom.config import Config
 from chatloom.functions import text as X
 from chatloom.operators import parsing as P
 from chatloom.operators import validation as V
 from chatloom.queries.base import CFG, DAY, PROMPT, RAW, RENDERED, T, TRIM, WORDS, convs, raw, read, rendered, turns
 from chatloom.queries.duplicates import MARKED
 from chatloom.sources import conversations as S
+from chatloom.sources.scratch import scratch
 
 #: Oracle: the tag patterns of the parser, for the persona of the queries, which both engines read alike.
 TAG_SQL, DOUBLE_SQL = P.TAG.format("assistant"), P.DOUBLE_TAG.format("assistant")
@@ -310,7 +312,47 @@ SELECT conv_id, reason = 'ok' AS ok, CASE WHEN reason = 'ok' THEN 'ok' ELSE 'rej
 
 
 def topic_bias(spark, d):
-    return read(spark, d, "nation").select("n_nationkey", X.topic_bias(F.col("n_name"), F.lit(""), ["an", "ru"], ["i"]).alias("bias"))
+    """Bias of every topic of the hierarchy; and none at all where there are no keywords."""
+    from chatloom.queries.plans import _topics
+
+    own = _topics(spark, d)
+    bias = X.topic_bias(F.col("name"), F.col("definition"), ["An", "ru"], ["i"])
+    return own.select("id", bias.alias("bias"), X.topic_bias(F.col("name"), F.col("definition"), [], []).alias("none"))
+
+
+#: Rule lists as a configuration file gives them, in any case.
+LISTS = {"abuse": ["IDIOT", "moron", "Scum"], "abuse_assistant": ["Trash", "LOSER"], "denies_ai": ["onHAha", "ENßte"], "claims_ai": ["Ouaux", "ingTHE"], "human_claim": []}
+SCOPES = {"abuse": "any", "narration": "assistant", "abuse_assistant": "assistant", "human_claim": "assistant", "denies_ai": "assistant", "claims_ai": "assistant"}
+
+
+def rule_table(spark, d):
+    """The scan with rules that a table of patterns gives."""
+    rules = S.rules_of(S.load_rules(spark, LISTS, SCOPES))
+    return V.scan_rules(turns(spark, d), Config(rules=rules)).select("conv_id", F.col("turn").cast("long"), F.col("rank").cast("long"), "reason")
+
+
+def chatml_file(spark, d):
+    """Chat records written as JSON lines and read back."""
+    path = scratch(spark, "chatml")
+    S.write_chatml(convs(spark, d), path, PROMPT)
+    return spark.read.text(path).select(F.col("value").alias("record"))
+
+
+def routed_files(spark, d):
+    """Records by bucket and tag as written, and whether every file holds a batch at most."""
+    path = scratch(spark, "routed")
+    S.write_routed(convs(spark, d).withColumn("flags", V.soft_flags(F.col("turns"), CFG)), path, DAY, PROMPT)
+    files = spark.read.text(path).groupBy("bucket", "tag", F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    return files.groupBy("bucket", "tag").agg(F.sum("n").alias("n"), F.bool_and(F.col("n") <= 15).alias("fits"))
+
+
+def convert_file(spark, d):
+    """A file of JSON lines, every fifth without a conversation, to chat records: lines converted and skipped."""
+    src, dst = scratch(spark, "lines"), scratch(spark, "converted")
+    line = F.when(F.col("conv_id") % 5 == 0, F.lit('{"other": 1}')).otherwise(S.wrap_legacy(F.col("text")))
+    rendered(spark, d).select(line.alias("value")).write.text(src)
+    ok, bad = S.convert_file(spark, src, dst, CFG, PROMPT)
+    return spark.read.text(dst).agg(F.count("*").alias("written")).select("written", F.lit(ok).cast("long").alias("ok"), F.lit(bad).cast("long").alias("bad"))
 
 
 def routed_tags(spark, d):
@@ -366,6 +408,10 @@ SELECT phrase, count(*) AS convs FROM g GROUP BY phrase HAVING count(*) >= 2"""
 
 MESSAGES = f"""WITH {T} SELECT conv_id, to_json({{'messages': [{{'role': 'system', 'content': '{PROMPT}'}}] || list({{'role': role, 'content': text}} ORDER BY turn)}})::VARCHAR AS record FROM t GROUP BY conv_id"""
 
+TOPICS = """WITH tp AS (SELECT r_regionkey AS id, r_name AS name, 'about ' || r_name AS definition FROM region UNION ALL SELECT n_nationkey + 1000, n_name, 'of ' || n_name FROM nation
+ UNION ALL SELECT c_custkey + 1000000, c_name, 'with ' || c_name FROM customer)
+SELECT id::BIGINT AS id, CASE WHEN regexp_matches(lower(name || ' ' || definition), 'an|ru') THEN 'heavy' WHEN regexp_matches(lower(name || ' ' || definition), 'i') THEN 'fun' END AS bias, NULL::VARCHAR AS none FROM tp"""
+
 QUERIES = {
     "structure_check": (structure_check, f"WITH {STRUCTURE} SELECT conv_id, n::BIGINT AS n_turns, reason FROM st"),
     "alternation_check": (alternation_check, f"WITH {T}, s AS (SELECT conv_id, turn, CASE WHEN conv_id % 3 = 0 AND turn = conv_id % 4 THEN 'user' ELSE role END AS role FROM t) SELECT conv_id, 'bad_alternation(turn ' || min(CASE WHEN role <> CASE WHEN turn % 2 = 0 THEN 'user' ELSE 'assistant' END THEN turn END) || ')' AS reason FROM s GROUP BY conv_id"),
@@ -390,7 +436,11 @@ QUERIES = {
     "process": (process, PROCESS),
     "curate_job": (curate_job, CURATE),
     "validate": (validate, VALIDATE),
-    "topic_bias": (topic_bias, "SELECT n_nationkey, CASE WHEN regexp_matches(lower(n_name || ' '), 'an|ru') THEN 'heavy' WHEN regexp_matches(lower(n_name || ' '), 'i') THEN 'fun' END AS bias FROM nation"),
+    "topic_bias": (topic_bias, TOPICS),
+    "rule_table": (rule_table, f"WITH {HITS} SELECT conv_id, turn::BIGINT AS turn, rank::BIGINT AS rank, reason FROM hit WHERE reason NOT IN ('narration_detected', 'human_claim')"),
+    "chatml_file": (chatml_file, f"SELECT record FROM ({MESSAGES})"),
+    "routed_files": (routed_files, f"WITH {FLAGS} SELECT CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch' END AS bucket, CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch-{DAY}' END AS tag, count(*) AS n, true AS fits FROM fl GROUP BY ALL"),
+    "convert_file": (convert_file, f"WITH {RENDERED}, {_parsed('r')}, c AS (SELECT conv_id % 5 <> 0 AND coalesce(NOT bad AND n >= 2, false) AS fine FROM r LEFT JOIN q4 USING (conv_id)) SELECT count(*) FILTER (fine) AS written, count(*) FILTER (fine) AS ok, count(*) FILTER (NOT fine) AS bad FROM c"),
     "routed_tags": (routed_tags, f"WITH {FLAGS} SELECT conv_id, CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch' END AS bucket, CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch-{DAY}' END AS tag FROM fl"),
     "assign_batches": (assign_batches, f"{BATCHES} SELECT conv_id, batch_no, batch_id FROM bi"),
     "batch_log": (batch_log, f"{BATCHES} SELECT batch_id, bucket AS tag_prefix, count(*) AS count FROM bi GROUP BY ALL"),

@@ -4,12 +4,14 @@ import datetime as dt
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from chatloom.operators import dedup as D
 from chatloom.operators import planning as P
 from chatloom.operators import reporting as R
 from chatloom.operators.components import connected
+from chatloom.operators.ordering import numbered, running_total
 
 
 def test_similar_values_is_brute_force(spark):
@@ -41,12 +43,135 @@ def test_ttl_moves_only_on_expiry(spark):
     rows = [("h", t0 + dt.timedelta(days=x)) for x in (0, 89, 91, 170, 182)]
     out = [r.duplicate for r in D.ttl_anchor(spark.createDataFrame(rows, "hash string, created_at timestamp")).orderBy("created_at").collect()]
     assert out == [False, True, False, True, False]
+    twice = D.ttl_anchor(spark.createDataFrame([rows[0]] * 3, "hash string, created_at timestamp"))
+    assert sorted(r.duplicate for r in twice.collect()) == [False, True, True]
+    assert D.ttl_anchor(spark.createDataFrame([], "hash string, created_at timestamp")).count() == 0
+
+
+def test_equal_strings_are_similar(spark):
+    rows = spark.createDataFrame([(0, "a b c"), (1, "a b c"), (2, ""), (3, ""), (4, "a b c")], "seq long, signature string")
+    assert sorted((r.a, r.b, r.sim) for r in D.similar_pairs(rows, "signature", 9, 10).collect()) == [(0, 1, 1.0), (0, 4, 1.0)]
+
+
+def near_rows(n, seed, words=30):
+    """n rows over a few texts with small changes, equal ones among them."""
+    rnd = random.Random(seed)
+    base = [[f"w{rnd.randrange(300)}" for _ in range(words)] for _ in range(6)]
+    rows = []
+    for i in range(n):
+        w = list(rnd.choice(base))
+        for _ in range(rnd.choice([0, 0, 1, 2])):
+            w[rnd.randrange(words)] = f"x{rnd.randrange(6)}"
+        rows.append((i * 3 + 1, " ".join(w) if rnd.random() > 0.1 else rnd.choice(["", "one two"])))
+    return rows
+
+
+def alike(a, b, num, den, blank=False):
+    x, y = set(a.split()), set(b.split())
+    return bool(x and y and den * len(x & y) > num * len(x | y)) or (a == b and (bool(x) or blank))
+
+
+def test_a_band_compares_with_the_rows_before(spark):
+    rows = near_rows(160, 8)
+    df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "seq long, signature string")
+    for n, blank in ((1, False), (7, True), (50, False), (500, True)):
+        want = {rows[i][0] for i in range(len(rows)) if any(alike(rows[i][1], rows[j][1], 9, 10, blank) for j in range(max(0, i - n), i))}
+        assert {r.seq for r in D.similar_within(df, "signature", 9, 10, n, blank).collect()} == want, n
+
+
+@pytest.mark.parametrize("words", [2, 9, 30, 116, 140])
+def test_similar_values_of_any_length_are_brute_force(spark, words):
+    """Sets on both sides of the length from which they meet on one word, and next to it."""
+    rnd = random.Random(words)
+    base = [[f"w{rnd.randrange(4000)}" for _ in range(words + k)] for k in range(8)]
+    rows = {"one", "one one", "two"}
+    for _ in range(120):
+        w = list(rnd.choice(base))
+        for _ in range(rnd.choice([0, 1, 2, 5])):
+            k = rnd.randrange(len(w))
+            w[k : k + 1] = [f"x{rnd.randrange(50)}"] * rnd.choice([1, 1, 2])
+        rows.add(" ".join(w))
+    values = list(enumerate(sorted(rows)))
+    df = spark.createDataFrame(values, "id long, value string")
+    for num, den in ((9, 10), (19, 20), (1, 2)):
+        want = {(i, j) for (i, a), (j, b) in itertools.combinations(values, 2) if alike(a, b, num, den)}
+        assert {(r.a, r.b) for r in D.similar_values(df, num, den).collect()} == want and want
+    with pytest.raises(ValueError, match="half"):
+        D.similar_values(df, 1, 3)
+
+
+def test_heavy_prefix_words_are_dealt_without_loss(spark, monkeypatch):
+    rows = near_rows(150, 3)
+    values = [(i, v) for i, v in enumerate(dict.fromkeys(v for _, v in rows))]
+    df = spark.createDataFrame(values, "id long, value string")
+    want = {(i, j) for (i, a), (j, b) in itertools.combinations(values, 2) if alike(a, b, 9, 10)}
+    for heavy in (2, 5, 2000):
+        monkeypatch.setattr(D, "HEAVY", heavy)
+        assert {(r.a, r.b) for r in D.similar_values(df, 9, 10).collect()} == want and want
+
+
+def test_candidates_stay_few_over_a_fixed_vocabulary(spark, monkeypatch):
+    """Four times the texts over a vocabulary that stays: next to none meet."""
+    seen = []
+    inner = D.stored
+    monkeypatch.setattr(D, "stored", lambda df, name: (out := inner(df, name), seen.append(out.count()) if name == "candidates" else None)[0])
+    for n in (1000, 4000):
+        rnd = random.Random(n)
+        rows = [(i, " ".join(f"v{rnd.randrange(3000)}" for _ in range(40))) for i in range(n)]
+        assert D.similar_values(spark.createDataFrame(rows, "id long, value string"), 9, 10).count() == 0
+    assert seen[0] < 250 and seen[1] < 4000
+
+
+def test_greedy_is_the_walk_in_order(spark):
+    rows = near_rows(200, 5)
+    df = spark.createDataFrame(rows, "seq long, signature string")
+    kept = []
+    for seq, text in rows:
+        if not any(alike(text, t, 9, 10) for _, t in kept):
+            kept.append((seq, text))
+    got = {r.seq: r.kept for r in D.resolve_greedy(df, D.similar_pairs(df, "signature", 9, 10)).collect()}
+    assert got == {seq: (seq, text) in kept for seq, text in rows}
 
 
 def test_greedy_keeps_what_only_dropped_rows_block(spark):
-    rows = [(1, 1, None), (1, 2, [1]), (1, 3, [2])]
-    out = D.resolve_greedy(spark.createDataFrame(rows, "component long, seq long, blockers array<long>"))
-    assert {r.seq: r.kept for r in out.collect()} == {1: True, 2: False, 3: True}
+    rows, chain = spark.range(1, 30).withColumnRenamed("id", "seq"), [(i, i + 1) for i in range(1, 28)]
+    out = {r.seq: r.kept for r in D.resolve_greedy(rows, spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert out == {i: i % 2 == 1 or i == 29 for i in range(1, 30)}
+    assert D.resolve_greedy(rows, spark.createDataFrame([], "a long, b long")).where("NOT kept").count() == 0
+
+
+def test_a_hot_key_is_numbered_in_ranges(spark):
+    """One key with nine tenths of the rows: numbers, batches and caps are those of a plain sort, and no window sees all of it."""
+    rnd = random.Random(3)
+    rows = [("hot" if i % 10 else f"k{i}", x) for i, x in enumerate(rnd.sample(range(10_000), 2000))] + [(None, 3), (None, 1)]
+    df = spark.createDataFrame(rows, "k string, seq long")
+    got = {(r.k, r.seq): r.n for r in numbered(df, ["seq"], "n", ["k"]).collect()}
+    groups = {k: sorted(x for a, x in rows if a == k) for k, _ in rows}
+    assert got == {(k, x): i for k, xs in groups.items() for i, x in enumerate(xs)}
+    seen = running_total(df, ["seq"], F.lit(1), "n", ["k"]).groupBy("k").count()
+    assert seen.where("k = 'hot'").first()["count"] == 1800
+    whole = numbered(df.where("k IS NOT NULL").repartition(7), ["seq"], "n").orderBy("n").collect()
+    assert [r.n for r in whole] == list(range(2000)) and [r.seq for r in whole] == sorted(x for k, x in rows if k)
+
+
+def test_caps_keep_the_newest_of_a_hot_kind(spark):
+    rnd, t0 = random.Random(6), dt.datetime(2024, 1, 1)
+    rows = [("hot", rnd.randrange(900), t0 + dt.timedelta(seconds=rnd.randrange(300))) for _ in range(900)] + [("b", i, t0) for i in range(5)] + [("other", 1, t0)]
+    df = spark.createDataFrame(rows, "kind string, value long, created_at timestamp")
+    caps = {"hot": 100, "b": 50}
+    order = lambda k: sorted(((t, v) for kind, v, t in rows if kind == k), reverse=True)
+    for salts in (1, 7):
+        got = sorted((r.kind, r.created_at, r.value) for r in R.latest_n_per_kind(df, caps, salts).collect())
+        assert got == sorted((k, t, v) for k, n in caps.items() for t, v in order(k)[:n])
+    left = sorted((r.kind, r.created_at, r.value) for r in R.trim_oldest(df.unionByName(df), {"hot": 150}).collect())
+    twice = sorted([x for x in order("hot") for _ in range(2)], reverse=True)
+    assert left == sorted(("hot", t, v) for t, v in twice[150:])
+
+
+def test_first_seen_breaks_ties(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, 5, t0), (1, 3, t0), (1, 1, t0 + dt.timedelta(1)), (2, 9, t0)], "key long, value long, created_at timestamp")
+    assert sorted((r.key, r.value) for r in R.first_seen(df, "key", "created_at").collect()) == [(1, 3), (2, 9)]
 
 
 def test_components(spark):
@@ -72,6 +197,27 @@ def test_quotas(spark):
     assert [r.quota for r in P.allocate_quotas(leaves, 10).orderBy("leaf_path").collect()] == [4, 3, 3]
 
 
+def test_quotas_of_new_leaves(spark):
+    leaves = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "leaf_path string, sort_key string")
+    out = P.allocate_quotas(leaves, 10, spark.createDataFrame([("a",)], "leaf_path string")).orderBy("leaf_path").collect()
+    assert [(r.leaf_path, r.quota) for r in out] == [("b", 3), ("c", 3)]
+    assert P.allocate_quotas(leaves.limit(0), 10).count() == 0
+
+
+TOPIC = "id long, parent_id long, name string, definition string, pos int"
+
+
+def test_deep_trees_are_whole_and_broken_ones_an_error(spark):
+    chain = [(i, i - 1 if i else None, f"n{i}", f"d{i}", 0) for i in range(41)]
+    leaf = P.flatten_tree(spark.createDataFrame(chain, TOPIC)).collect()
+    assert len(leaf) == 1 and leaf[0].leaf_path.count(" > ") == 40 and leaf[0].main_subtopics_string.startswith("d0. d1. ")
+    for bad in ([*chain[:3], (7, 8, "a", "", 0), (8, 7, "b", "", 0)], [*chain[:3], (9, 99, "orphan", "", 0)]):
+        with pytest.raises(ValueError, match="root"):
+            P.flatten_tree(spark.createDataFrame(bad, TOPIC))
+    with pytest.raises(ValueError, match="within 5"):
+        P.flatten_tree(spark.createDataFrame(chain, TOPIC), 5)
+
+
 def test_no_recent_repeat_where_there_is_a_choice(spark):
     plan = spark.createDataFrame([(r, s, [f"c{k}" for k in range(30)]) for r in (1, 2) for s in range(60)], "run_id long, step long, allowed array<string>")
     picked = P.pick_without_recent(plan).cache()

@@ -65,3 +65,19 @@ def test_count_lines(spark, text, n):
 def test_first_reason_takes_the_earlier_turn(spark):
     t = spark.createDataFrame([(1, 3, "assistant", "*x*"), (1, 1, "assistant", "i am an ai"), (2, 0, "user", "rude")], "conv_id long, turn long, role string, text string")
     assert [tuple(r) for r in V.first_reason(V.scan_rules(t, CFG)).collect()] == [(1, "claims_ai")]
+
+
+def test_topic_bias_without_keywords_is_none(spark):
+    df = spark.createDataFrame([("Grief and loss", "hard talk"), ("Games", None)], "t string, d string")
+    bias = lambda heavy, fun: [r[0] for r in df.select(X.topic_bias(F.col("t"), F.col("d"), heavy, fun)).collect()]
+    assert bias([], []) == [None, None] and bias([], ["GAME"]) == [None, "fun"] and bias(["rief"], ["g"]) == ["heavy", "fun"]
+
+
+def test_long_texts_parse_in_time(spark):
+    """Twenty thousand lines with double tags: the time grows with the lines."""
+    import time
+
+    rows = [(1, "\n".join("user: Bot: hi" if i % 3 == 0 else f"Bot: line {i}" if i % 3 == 1 else "more" for i in range(20_000)))]
+    start = time.time()
+    row = V.process(spark.createDataFrame(rows, "conv_id long, text string"), CFG).first()
+    assert row.reason.startswith("too_many_turns") and time.time() - start < 60
