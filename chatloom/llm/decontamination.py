@@ -10,9 +10,9 @@ item are compared on their whole walks, and what stays near is verified by semi-
 
 Items of SHORT bytes or more have walks of STEPS steps, shorter ones, down to LEAST bytes, of FEW steps, which every
 word of a document starts. Items under PIECED bytes have few words to start a walk at, so beside their walks their pieces
-are looked up, which leaves nothing to chance: one that may have k edits is cut into k + 1 pieces of whole characters, of
-which one at least stands in the document unchanged; what the beginnings of the pieces meet is verified in the same
-way. Items under LEAST bytes count where they stand exactly as they are, not inside a longer ASCII word; items
+are looked up, which leaves nothing to chance: one that may have k edits is cut into k + 2 pieces of whole characters, of
+which two at least stand in the document unchanged, about as far apart; what the beginnings of two pieces meet is
+verified in the same way. Items under LEAST bytes count where they stand exactly as they are, not inside a longer ASCII word; items
 without any text are found nowhere.
 
 Items are handled in blocks of at most BLOCK bytes and the last one's, an item counting for EACH bytes at least, so what
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -203,6 +204,8 @@ class Seeds:
 
     items: list[tuple[int, bytes]]
     widths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    #: Bytes that an item's edits can move its pieces by.
+    spread: np.ndarray
 
 
 def seed_keys(data: np.ndarray, width: int) -> np.ndarray:
@@ -218,7 +221,7 @@ def build_seeds(items: list[tuple[int, bytes]], rate: float) -> Seeds:
     rows: dict[int, list[tuple[int, int, int]]] = {}
     for k, (_, item) in enumerate(items):
         text = item.decode("utf-8")
-        pieces = 1 if len(item) < LEAST else int(rate * len(text)) + 1
+        pieces = 1 if len(item) < LEAST else int(rate * len(text)) + 2
         cuts = [len(text[: len(text) * i // pieces].encode()) for i in range(pieces + 1)]
         width = min(SEED, *(b - a for a, b in zip(cuts[:-1], cuts[1:], strict=True)))
         for a in cuts[:-1] if width else [0]:
@@ -231,14 +234,14 @@ def build_seeds(items: list[tuple[int, bytes]], rate: float) -> Seeds:
         bitmap = np.zeros(1 << _BITS, dtype=bool)
         bitmap[_slot(keys)] = True
         widths[width] = keys[order], owners, places, bitmap
-    return Seeds(items, widths)
+    return Seeds(items, widths, np.array([int(4 * rate * len(t)) + 1 for _, t in items], dtype=np.int64))
 
 
 def seeded(data: np.ndarray, offsets: np.ndarray, seeds: Seeds) -> Iterator[tuple[int, int, int]]:
     """(row, item, place where the item would begin) for the pieces met in data, about once for each 16 bytes."""
-    found = []
+    found, whole = [], seed_keys(data, SEED) if seeds.widths else None
     for width, (known, owners, places, bitmap) in seeds.widths.items():
-        keys = seed_keys(data, width)
+        keys = whole >> np.uint64(8 * (SEED - width))
         at = np.flatnonzero(bitmap[_slot(keys)])
         lo, hi = np.searchsorted(known, keys[at], "left"), np.searchsorted(known, keys[at], "right")
         n = hi - lo
@@ -246,15 +249,32 @@ def seeded(data: np.ndarray, offsets: np.ndarray, seeds: Seeds) -> Iterator[tupl
             ends = np.cumsum(n)
             entry = np.arange(ends[-1]) - np.repeat(ends - n - lo, n)
             where = np.repeat(at, n)
-            found.append(np.stack([np.searchsorted(offsets, where, "right") - 1, owners[entry], where - places[entry]]))
+            found.append(np.stack([np.searchsorted(offsets, where, "right") - 1, owners[entry], where - places[entry], places[entry]]))
     if found:
-        row, item, begin = np.concatenate(found, axis=1)
-        # Items that must stand exactly are tried at each place.
+        row, item, begin, place = np.unique(np.concatenate(found, axis=1), axis=1)
         exact = np.array([len(t) < LEAST for _, t in seeds.items])[item]
+        hit = np.flatnonzero(exact | in_company(row, item, begin, place, seeds.spread))
+        row, item, begin, exact = row[hit], item[hit], begin[hit], exact[hit]
+        # Items that must stand exactly are tried at each place.
         _, first = np.unique(np.stack([row, item, np.where(exact, begin, begin // 16)]), axis=1, return_index=True)
         yield from zip(row[first].tolist(), item[first].tolist(), begin[first].tolist(), strict=True)
 
 
+def in_company(row: np.ndarray, item: np.ndarray, begin: np.ndarray, place: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Whether another piece of the same item is met about as far from the item's beginning; hits sorted by row, item and begin."""
+    n = len(row)
+    other = np.concatenate([[True], (row[1:] != row[:-1]) | (item[1:] != item[:-1])])
+    starts = np.flatnonzero(other | np.concatenate([[True], place[1:] != place[:-1]]))
+    run = np.searchsorted(starts, np.arange(n), "right") - 1
+    before, after = starts[run] - 1, np.concatenate([starts, [n]])[run + 1]
+    out = np.zeros(n, dtype=bool)
+    for near in (before, after):
+        ok = (near >= 0) & (near < n)
+        at = np.where(ok, near, 0)
+        out |= ok & (row[at] == row) & (item[at] == item) & (np.abs(begin[at] - begin) <= spread[item])
+    return out
+
+
 def _stands(item: bytes, text: bytes, begin: int) -> bool:
     """Whether item stands in text at begin, not as a part of a longer ASCII word."""
     end = begin + len(item)
@@ -291,10 +311,16 @@ def least_edits(item: str, text: str) -> int:
     return best
 
 
+@lru_cache(maxsize=20_000)
+def _grams(item: str, q: int) -> frozenset[str]:
+    return frozenset(item[i : i + q] for i in range(len(item) - q + 1))
+
+
 def may_hold(item: str, text: str, edits: int, q: int = 4) -> bool:
     """False only if no stretch of text can be within the edits: each edit breaks q of the item's q-grams at most."""
-    here = {text[i : i + q] for i in range(len(text) - q + 1)}
-    return sum(item[i : i + q] in here for i in range(len(item) - q + 1)) >= len(item) - q + 1 - q * edits
+    own = _grams(item, q)
+    least = len(own) - q * edits
+    return least <= 0 or len(own.intersection([text[i : i + q] for i in range(len(text) - q + 1)])) >= least
 
 
 def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float, seeds: Seeds, keys: list[str]) -> Iterator[pa.RecordBatch]:
