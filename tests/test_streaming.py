@@ -55,13 +55,14 @@ def test_late_rows_are_dropped_and_days_come_out_once(spark, tmp_path):
     day = lambda n, h=1: T0 + dt.timedelta(days=n, hours=h)
     add([(day(0), True), (day(0), False), (day(1), True)])
     add([(day(5), True)])
+    add([(day(5, 2), True)])
     add([(day(0, 2), True), (day(4, 12), False)])
     add([(day(9), True)])
     out = str(tmp_path / "out")
     J.run_once(J.daily_counters(stream()), str(tmp_path / "check"), path=out)
     got = {(r.day.isoformat(), r.generated, r.rejected) for r in spark.read.parquet(out).collect()}
-    # The third file's first row is older than the watermark; the last day is still open.
-    assert got == {("2024-01-01", 1, 1), ("2024-01-02", 1, 0), ("2024-01-05", 0, 1), ("2024-01-06", 1, 0)}
+    # The fourth file's first row is older than the watermark; the last day is still open.
+    assert got == {("2024-01-01", 1, 1), ("2024-01-02", 1, 0), ("2024-01-05", 0, 1), ("2024-01-06", 2, 0)}
 
 
 def rows_of(n, seed):
