@@ -54,7 +54,7 @@ SMALL = 48
 #: Nodes of this many sets or fewer are descended from inside one task.
 LOCAL = 4096
 #: Levels that nodes over LOCAL are descended from by shuffles, and levels inside a task, before what is left is compared in full.
-LEVELS, LOCAL_LEVELS = 16, 64
+LEVELS, LOCAL_LEVELS = 16, 24
 #: Sets of a candidate group that is compared in full without more ado.
 LOOSE = 1024
 #: Sets on either side of a block of exact comparisons.
