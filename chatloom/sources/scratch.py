@@ -10,13 +10,28 @@ from pyspark.sql import DataFrame, SparkSession
 LOCAL_SCRATCH = "file:///tmp/checkpoints"
 
 
+#: Folders handed out by this process.
+_MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name in the folder that the cluster shares."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     root = root or LOCAL_SCRATCH
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
+    return _MADE[-1]
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the folders handed out so far, and says how many; for the end of a job, when no result that reads them is needed any more."""
+    paths, n = list(_MADE), 0
+    _MADE.clear()
+    for path in paths:
+        fs, folder = fs_path(spark, path)
+        n += bool(fs.delete(folder, True))
+    return n
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from chatloom.config import Config
 from chatloom.operators import validation as V
 from chatloom.sources import conversations as S
-from chatloom.sources.scratch import scratch
+from chatloom.sources.scratch import clear, scratch, stored
 
 
 def test_convert_file(spark, tmp_path):
@@ -63,3 +63,9 @@ def test_a_cluster_needs_a_shared_folder(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch(Session(), "x")
+
+
+def test_scratch_tables_are_cleared(spark):
+    df = stored(spark.range(3), "mine")
+    assert df.count() == 3 and clear(spark) >= 1 and clear(spark) == 0
+    assert scratch(spark, "x").rpartition("/")[2].startswith("x-")
