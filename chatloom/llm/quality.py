@@ -91,7 +91,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     out = out.withColumns({"c_space": F.col("n_text") - F.col("n_word_chars"), "c_beyond": F.col("n_left") - own})
     out = out.withColumn("c_lower", F.col("n_word_chars") - F.col("n_left"))
     # A window's hash has 64 bits and is compared within one document only.
-    window = F.transform(F.sequence(F.lit(1), F.size("words") - 4), lambda i: F.xxhash64(F.slice("words", i, F.lit(5))))
+    window = F.transform(F.sequence(F.lit(0), F.size("words") - 5), lambda i: F.xxhash64(*(F.get("words", i + k) for k in range(5))))
     out = out.withColumn("hashes", F.when(F.size("words") >= 5, window))
     out = out.withColumn(
         "sorted",
@@ -132,11 +132,9 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 
 def common_counts(own: Column, common: Column) -> Column:
-    """How often each common word is among the words own: each word stands between two spaces of its own in one
-    string, so taking a word out shortens it by the word and two bytes."""
-    without = lambda s, c: F.replace(s, F.concat(F.lit(" "), c, F.lit(" ")), F.lit(""))
-    counts = lambda s: F.transform(common, lambda c: (F.octet_length(s) - F.octet_length(without(s, c))) / (F.octet_length(c) + 2))
-    return let(F.concat(F.lit(" "), F.array_join(own, "  "), F.lit(" ")), counts)
+    """How often each common word is among the words own: those that are common are picked once, and taken out word by word."""
+    counts = lambda hits: F.transform(common, lambda c: (F.size(hits) - F.size(F.array_remove(hits, c))).cast("double"))
+    return let(F.filter(own, lambda w: F.array_contains(common, w)), counts)
 
 
 def quality_rules(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
