@@ -47,7 +47,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 def test_stages_keep_the_columns(spark, tmp_path):
     docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(50)), None, None, None)], SCHEMA)
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    clashing = docs.withColumns({c: F.lit(1) for c in ("kept", "_row", "class_id", "first", "row", "token_ids")})
+    clashing = docs.withColumns({c: F.lit(1) for c in ("kept", "_row", "_gone", "class_id", "first", "row", "token_ids")})
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, clashing, str(tmp_path))
         assert out.columns == clashing.columns and out.count() == 1
