@@ -1,9 +1,10 @@
 """Documents through the stages of a training-data pipeline: each stage's rows are written and read again as the next one's input.
 
 Every stage judges rows, not ids: rows that share a doc_id, or have none, are judged each by its own text, and of
-repeated rows one stays, as of all near duplicates. Defined for all stages: an empty table gives no rows; a null or
-blank text is rejected by the quality rules and is otherwise no near copy, clean, without personal data and without
-tokens; a very long text is worked on whole; columns beyond those of documents pass, whatever their names.
+repeated rows the near-duplicate stage keeps one, as of all near duplicates. Defined for all stages: an empty table
+gives no rows; a null or blank text is rejected by the quality rules and is otherwise no near copy, clean, without
+personal data and without tokens; a very long text is worked on whole; columns beyond those of documents pass,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -19,11 +20,16 @@ from chatloom.llm.quality import quality_rules
 from chatloom.llm.sentencepieces import RESULT, encode
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """docs, written once, with a number of its own for every row, and that column's name."""
-    name = "_row"
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't use."""
     while name in docs.columns:
         name += "_"
+    return name
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs, written once, with a number of its own for every row, and that column's name."""
+    name = _free(docs, "_row")
     return stored(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
 
 
@@ -39,10 +45,12 @@ def _without(rows: DataFrame, row: str, gone: DataFrame, name: str) -> DataFrame
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules don't reject; ties and repeated rows get equal verdicts."""
-    rows, row = _numbered(docs)
-    gone = quality_rules(_by_row(rows, row)).where(~F.col("kept"))
-    return _without(rows, row, gone, "rejected").select(*docs.columns)
+    """Documents that the quality rules don't reject; ties and repeated rows get equal verdicts, so a digest of what a verdict depends on names them."""
+    told = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    digest = F.md5(F.concat_ws("|", told("doc_id"), told("lang"), told("text")))
+    name = _free(docs, "_gone")
+    gone = quality_rules(docs.withColumn("doc_id", digest)).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(stored(gone, "rejected"), digest == F.col(name), "left_anti").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
