@@ -199,28 +199,27 @@ def resolve(marked: DataFrame, policy: str = "drop") -> DataFrame:
     return marked.withColumn("dup_reason", kept)
 
 
-def resolve_greedy(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(seq, kept) of all rows(seq): in order of arrival a row goes if a kept earlier one is similar, by pairs(a, b), a < b.
+def resolve_greedy(rows: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
+    """(seq, kept) of all rows(seq, column): in order of arrival a row goes if a kept earlier one is similar or equal, by pairs(a, b), a < b.
 
-    pairs as of similar_pairs: a later row of a string is blocked by what its first row is, kept or not, so its
-    one pair stands for all of the string's. Rounds of joins: a row is kept once nothing undecided is before it,
-    and what it blocks goes; pairs of decided rows leave the table.
+    pairs as of similar_pairs over the column. A later row of a string always goes: either the string's first row is
+    kept, or what that one goes for is kept. The first rows are settled by rounds of joins: a row is kept once nothing
+    undecided is before it, and what it blocks goes; pairs of decided rows leave the table.
     """
-    left = stored(pairs.select("a", "b").distinct(), "undecided")
-    gone: DataFrame | None = None
+    copies = stored(repeats(rows.where(F.size(tokens(F.col(column))) > 0), column).select(F.col("seq").alias("b")), "copies")
+    left = stored(pairs.select("a", "b").distinct().join(copies, "b", "left_anti").select("a", "b"), "undecided")
+    gone = copies
     for _ in range(MAX_ROUNDS):
         if not left.head(1):
             break
         waiting = left.select(F.col("b").alias("a")).distinct()
         kept = stored(left.join(waiting, "a", "left_anti").select("a").distinct(), "kept")
         blocked = stored(left.join(kept, "a").select("b").distinct(), "blocked")
-        gone = blocked if gone is None else gone.unionByName(blocked)
+        gone = gone.unionByName(blocked)
         rest = left.join(kept, "a", "left_anti").join(blocked, "b", "left_anti")
         left = stored(rest.join(blocked.withColumnRenamed("b", "a"), "a", "left_anti"), "undecided")
     else:
         raise RuntimeError("pairs are left undecided; raise MAX_ROUNDS")
-    if gone is None:
-        return rows.select("seq", F.lit(True).alias("kept"))
     marked = gone.select(F.col("b").alias("seq"), F.lit(False).alias("kept"))
     return rows.select("seq").join(marked, "seq", "left").select("seq", F.coalesce("kept", F.lit(True)).alias("kept"))
 

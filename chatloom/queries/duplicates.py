@@ -145,7 +145,7 @@ def update_state(spark, d):
 def greedy(spark, d):
     """Every document, kept unless a kept earlier one's signature is equal or similar."""
     own = _written(spark, d)
-    return D.resolve_greedy(own, D.similar_pairs(own, "signature", 9, 10))
+    return D.resolve_greedy(own, D.similar_pairs(own, "signature", 9, 10), "signature")
 
 
 #: Oracle: dr(conv_id, dup_reason) of k.
@@ -160,10 +160,11 @@ PAIRED = f"""{K}, {_sets('signature', 's')},
 g AS (SELECT a, b, round(common / either, 6) AS sim FROM sp WHERE common * 10 > either * 9
  UNION ALL SELECT sf.id, k.seq, 1.0 FROM k JOIN sf ON sf.v = k.signature WHERE k.seq > sf.id AND regexp_matches(k.signature, '\\S'))"""
 PAIR = f"WITH {PAIRED} SELECT a, b, sim FROM g"
-GREEDY = f"""WITH RECURSIVE {PAIRED}, nb AS (SELECT b, list(a) AS blockers, row_number() OVER (ORDER BY b) AS i FROM g GROUP BY b),
+GREEDY = f"""WITH RECURSIVE {PAIRED}, again AS (SELECT k.seq FROM k JOIN sf ON sf.v = k.signature WHERE k.seq > sf.id AND regexp_matches(k.signature, '\\S')),
+nb AS (SELECT b, list(a) AS blockers, row_number() OVER (ORDER BY b) AS i FROM g WHERE b NOT IN (SELECT seq FROM again) GROUP BY b),
 w(i, gone) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL
  SELECT w.i + 1, CASE WHEN len([x FOR x IN blockers IF NOT list_contains(gone, x)]) > 0 THEN list_append(gone, b) ELSE gone END FROM w JOIN nb ON nb.i = w.i + 1)
-SELECT seq, NOT list_contains((SELECT arg_max(gone, i) FROM w), seq) AS kept FROM k"""
+SELECT seq, NOT list_contains((SELECT arg_max(gone, i) FROM w), seq) AND seq NOT IN (SELECT seq FROM again) AS kept FROM k"""
 BAND = f"""WITH {K}, {_sets('signature', 's')}, {_sets('opening', 'u')},
 o AS (SELECT seq, row_number() OVER (ORDER BY seq) AS i, signature, opening, sf.id AS s, uf.id AS u FROM k JOIN sf ON sf.v = k.signature JOIN uf ON uf.v = k.opening),
 ss AS (SELECT a, b FROM sp WHERE common * 10 > either * 9 UNION ALL SELECT b, a FROM sp WHERE common * 10 > either * 9),

@@ -129,15 +129,15 @@ def test_greedy_is_the_walk_in_order(spark):
     for seq, text in rows:
         if not any(alike(text, t, 9, 10) for _, t in kept):
             kept.append((seq, text))
-    got = {r.seq: r.kept for r in D.resolve_greedy(df, D.similar_pairs(df, "signature", 9, 10)).collect()}
+    got = {r.seq: r.kept for r in D.resolve_greedy(df, D.similar_pairs(df, "signature", 9, 10), "signature").collect()}
     assert got == {seq: (seq, text) in kept for seq, text in rows}
 
 
 def test_greedy_keeps_what_only_dropped_rows_block(spark):
-    rows, chain = spark.range(1, 30).withColumnRenamed("id", "seq"), [(i, i + 1) for i in range(1, 28)]
-    out = {r.seq: r.kept for r in D.resolve_greedy(rows, spark.createDataFrame(chain, "a long, b long")).collect()}
+    rows, chain = spark.range(1, 30).select(F.col("id").alias("seq"), F.concat(F.lit("t"), "id").alias("t")), [(i, i + 1) for i in range(1, 28)]
+    out = {r.seq: r.kept for r in D.resolve_greedy(rows, spark.createDataFrame(chain, "a long, b long"), "t").collect()}
     assert out == {i: i % 2 == 1 or i == 29 for i in range(1, 30)}
-    assert D.resolve_greedy(rows, spark.createDataFrame([], "a long, b long")).where("NOT kept").count() == 0
+    assert D.resolve_greedy(rows, spark.createDataFrame([], "a long, b long"), "t").where("NOT kept").count() == 0
 
 
 def test_a_hot_key_is_numbered_in_ranges(spark):
