@@ -77,8 +77,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with n_tokens, token_ids and decodes_back, which replace columns of those names."""
-    return encode(docs, carried=[c for c in docs.columns if c not in RESULT])
+    """All documents with n_tokens, token_ids and decodes_back in the place of text and of columns of those names."""
+    return encode(docs, carried=[c for c in docs.columns if c != "text" and c not in RESULT])
 
 
 STAGES = [
