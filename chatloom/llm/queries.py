@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import jaccard_join, pii, quality, token_counts, warc
+from chatloom.llm import jaccard_join, pii, quality, search, token_counts, warc
 from chatloom.llm.decontamination import op6_decontamination
 from chatloom.llm.jaccard_join import op1_jaccard_join
 from chatloom.llm.langid import op5_language_id
 from chatloom.llm.lmscore import op10_lm_score
 from chatloom.llm.pii import op4_pii
 from chatloom.llm.quality import op3_quality_rules
+from chatloom.llm.search import op11_lexical_search
 from chatloom.llm.sentencepieces import op9_sentencepiece
 from chatloom.llm.token_counts import op2_token_counts
 from chatloom.llm.toxicity import op7_toxicity
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_lm_score": op10_lm_score,
+    "op11_lexical_search": op11_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -37,4 +39,5 @@ ORACLES: dict[str, str] = {
     "op3_quality_rules": quality.ORACLE,
     "op4_pii": pii.ORACLE,
     "op8_warc": warc.ORACLE,
+    "op11_lexical_search": search.ORACLE,
 }

@@ -14,6 +14,9 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between plain words: ASCII but its letters and digits.
+_PLAIN = np.arange(256) < 0x80
+_PLAIN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = False
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -76,6 +79,12 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPA
     return starts, ends, np.searchsorted(starts, offsets, "left")
 
 
+def plain_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes with A-Z lower-cased, and as word_spans the runs of letters, digits and characters beyond ASCII."""
+    low = np.where((data >= 0x41) & (data <= 0x5A), data + np.uint8(0x20), data).astype(np.uint8)
+    return low, *word_spans(low, offsets, _PLAIN)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte spans."""
     up, down = _Powers.to(len(data) + 1)
