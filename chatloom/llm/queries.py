@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import jaccard_join, pii, quality, search, token_counts, warc
+from chatloom.llm import filter_audit, jaccard_join, pii, quality, search, token_counts, warc
 from chatloom.llm.decontamination import op6_decontamination
+from chatloom.llm.filter_audit import op12_filter_audit
 from chatloom.llm.jaccard_join import op1_jaccard_join
 from chatloom.llm.langid import op5_language_id
 from chatloom.llm.lmscore import op10_lm_score
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_lm_score": op10_lm_score,
     "op11_lexical_search": op11_lexical_search,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -40,4 +42,5 @@ ORACLES: dict[str, str] = {
     "op4_pii": pii.ORACLE,
     "op8_warc": warc.ORACLE,
     "op11_lexical_search": search.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
