@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import filter_audit, jaccard_join, pii, quality, search, token_counts, warc
+from chatloom.llm import filter_audit, jaccard_join, licenses, pii, quality, search, token_counts, warc
 from chatloom.llm.decontamination import op6_decontamination
 from chatloom.llm.filter_audit import op12_filter_audit
 from chatloom.llm.jaccard_join import op1_jaccard_join
 from chatloom.llm.langid import op5_language_id
+from chatloom.llm.licenses import op13_license_scan
 from chatloom.llm.lmscore import op10_lm_score
 from chatloom.llm.pii import op4_pii
 from chatloom.llm.quality import op3_quality_rules
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_score": op10_lm_score,
     "op11_lexical_search": op11_lexical_search,
     "op12_filter_audit": op12_filter_audit,
+    "op13_license_scan": op13_license_scan,
 }
 
 ORACLES: dict[str, str] = {
@@ -43,4 +45,5 @@ ORACLES: dict[str, str] = {
     "op8_warc": warc.ORACLE,
     "op11_lexical_search": search.ORACLE,
     "op12_filter_audit": filter_audit.ORACLE,
+    "op13_license_scan": licenses.ORACLE,
 }
