@@ -14,7 +14,7 @@ without restriction, including without limitation the rights to use, copy, modif
 persons to whom the Software is furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the Software.
 THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE
-AND NONINFRINGEMENT. IN NO EVENT SHALL THE <<var;name="holders";original="AUTHORS OR COPYRIGHT HOLDERS";match=".{{1,20}}">> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;name="holders";original="THE AUTHORS OR COPYRIGHT HOLDERS";match=".{{1,20}}">> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
 WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
 """
 
