@@ -62,7 +62,7 @@ def repeats(df: DataFrame, key: str, first: str = "first") -> DataFrame:
 
 def exact_dups(df: DataFrame, key: str = "hash") -> DataFrame:
     """(conv_id, seq, dup_rank): rank of each row among the rows of its key, 1 the earliest."""
-    return numbered(df.select("conv_id", "seq", key), ["seq"], "dup_rank", [key]).select("conv_id", "seq", (F.col("dup_rank") + 1).alias("dup_rank"))
+    return numbered(df.select("conv_id", "seq", key), ["seq"], "dup_rank", [key], lazy=True).select("conv_id", "seq", (F.col("dup_rank") + 1).alias("dup_rank"))
 
 
 def exact_against(df: DataFrame, seen: DataFrame) -> DataFrame:

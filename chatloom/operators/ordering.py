@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from chatloom.sources.scratch import stored
 
 
-def running_total(df: DataFrame, order: list[str], amount: Column, name: str, keys: list[str] | None = None) -> DataFrame:
+def running_total(df: DataFrame, order: list[str], amount: Column, name: str, keys: list[str] | None = None, lazy: bool = False) -> DataFrame:
     """df with the column name: the sum of amount over the rows of equal keys that come before each row by order.
 
     Rows are dealt by ranges of (keys, order), so a hot key has many ranges; sums are taken within a range and
     the sums of the ranges before are added, of which there is one row a range and key. Rows that are equal in
-    keys and order are in one range, in any order among themselves. Null keys are one group.
+    keys and order are in one range, in any order among themselves. Null keys are one group. Dealing by ranges reads df
+    twice; with lazy it is written once before.
     """
     keys = keys or []
+    df = stored(df, "unordered") if lazy else df
     placed = stored(df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()), "slices")
     first = Window.unboundedPreceding
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(first, -1)
@@ -31,6 +33,6 @@ def running_total(df: DataFrame, order: list[str], amount: Column, name: str, ke
     return own.join(offsets, same).select(*df.columns, (F.col("_before") + F.col("_own")).alias(name))
 
 
-def numbered(df: DataFrame, order: list[str], name: str, keys: list[str] | None = None) -> DataFrame:
+def numbered(df: DataFrame, order: list[str], name: str, keys: list[str] | None = None, lazy: bool = False) -> DataFrame:
     """df with the column name: the row's number among the rows of equal keys by order, from 0."""
-    return running_total(df, order, F.lit(1), name, keys)
+    return running_total(df, order, F.lit(1), name, keys, lazy)

@@ -55,7 +55,7 @@ def flatten_tree(topics: DataFrame, max_depth: int = 1000) -> DataFrame:
 def seeded_order(leaves: DataFrame, seed: int = 42) -> DataFrame:
     """leaves with pos, a fixed pseudo-random order from 0."""
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), "leaf_path"))
-    return numbered(leaves.withColumn("_key", key), ["_key", "leaf_path"], "pos").drop("_key")
+    return numbered(leaves.withColumn("_key", key), ["_key", "leaf_path"], "pos", lazy=True).drop("_key")
 
 
 def allocate_quotas(leaves: DataFrame, total: int, existing: DataFrame | None = None) -> DataFrame:

@@ -54,7 +54,7 @@ def exact_dups(spark, d):
 
 
 def exact_against(spark, d):
-    own = _keyed(spark, d)
+    own = stored(_keyed(spark, d).select("seq", "conv_id", "hash"), "hashes")
     return D.exact_against(own.where("seq % 2 = 1"), own.where("seq % 2 = 0")).select("conv_id")
 
 
@@ -135,7 +135,7 @@ def distinct_hashes(spark, d):
 
 
 def update_state(spark, d):
-    own = _keyed(spark, d).select("seq", "hash", "signature", "opening", F.timestamp_seconds(F.col("seq") + 1704067200).alias("created_at"))
+    own = _written(spark, d).select("seq", "hash", "signature", "opening", F.timestamp_seconds(F.col("seq") + 1704067200).alias("created_at"))
     rows = own.select("seq", "created_at", F.expr("stack(3, 'hash', hash, 'signature', signature, 'opening', opening) AS (kind, value)"))
     state, new = rows.where("seq % 3 <> 0"), rows.where("seq % 3 = 0")
     out = D.update_state(state.drop("seq"), new.drop("seq"), RECENT)

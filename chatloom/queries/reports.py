@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chatloom.operators import reporting as R
+from chatloom.operators import validation as V
 from chatloom.operators.ordering import numbered
-from chatloom.queries.base import CFG, DAY, PROMPT, read, rendered
-from chatloom.queries.conversations import ROUTED
+from chatloom.operators.parsing import to_chatml
+from chatloom.queries.base import CFG, DAY, PROMPT, convs, read, rendered
+from chatloom.queries.conversations import BATCHES, ROUTED
 from chatloom.queries.duplicates import BAND, RECENT, _keyed
 from chatloom.queries.duplicates import TTL as _TTL
+from chatloom.sources import conversations as S
 from chatloom.sources.scratch import scratch, stored
 from chatloom.streaming import jobs as J
+from chatloom.streaming.batches import BatchSink
 
 AS_OF = "2024-01-28 12:00:00"
 TARGET = 600_000
@@ -144,17 +148,18 @@ def curation_report(spark, d):
     return out.select("total_all", "total_batches", "leaves_completed", "total_leaves", "keys_working", "keys_dead", "keys_cooling", "keys_unknown")
 
 
-#: Micro-batches that a streamed table is cut into.
-PARTS = 4
+#: Micro-batches that a streamed table is cut into at least, and rows that one has at most.
+PARTS, PART_ROWS = 4, 1_000_000
 
 
 def _stream(spark, df, order: str):
-    """df as a stream of PARTS micro-batches in order: its ranges by the order, each written after the one before."""
+    """df as a stream of micro-batches in order: its ranges by the order, each written after the one before."""
     src = scratch(spark, "stream-in")
-    placed = stored(numbered(df, [order], "_number"), "numbered")
+    placed = stored(numbered(df, [order], "_number", lazy=True), "numbered")
     n = placed.count()
-    for k in range(PARTS):
-        own = placed.where((F.col("_number") >= n * k // PARTS) & (F.col("_number") < n * (k + 1) // PARTS)).drop("_number")
+    parts = max(PARTS, -(-n // PART_ROWS))
+    for k in range(parts):
+        own = placed.where((F.col("_number") >= n * k // parts) & (F.col("_number") < n * (k + 1) // parts)).drop("_number")
         own.coalesce(1).write.mode("append").parquet(src)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
 
@@ -200,6 +205,16 @@ def stream_route(spark, d):
     return spark.read.text(out).groupBy("bucket", "tag").agg(F.count("*").alias("n"))
 
 
+def stream_batches(spark, d):
+    """Routed conversations through the sink that carries what fills no batch over to the next micro-batch: the batches' sizes and files."""
+    own = S.routed(convs(spark, d).withColumn("flags", V.soft_flags(F.col("turns"), CFG)), DAY)
+    own = own.select("bucket", F.lit(DAY).alias("day"), F.col("conv_id").alias("seq"), to_chatml(F.col("turns"), PROMPT).alias("value"))
+    sink = BatchSink(scratch(spark, "batches"), 15)
+    J.run_once(_stream(spark, own, "seq"), scratch(spark, "batches-checkpoint"), sink=sink)
+    sink.close(spark)
+    return sink.records(spark).groupBy("bucket", "batch_no").agg(F.count("*").alias("n"), F.count_distinct("file").alias("files"))
+
+
 def stream_near(spark, d):
     """Documents that one of the newest signatures or openings before them repeats, over several micro-batches."""
     stream = _stream(spark, _keyed(spark, d).select("seq", "signature", "opening"), "seq")
@@ -230,5 +245,6 @@ QUERIES = {
     "stream_rate": (stream_rate, "WITH w AS (SELECT (ts::DATE + k) AS until FROM events, (SELECT unnest([1, 2, 3]) AS k)) SELECT until::DATE::VARCHAR AS until, round(count(*) / 3, 6) AS per_day FROM w GROUP BY 1"),
     "stream_leaves": (stream_leaves, "SELECT event_type || ' > ' || user_id AS leaf_path, count(*) AS n FROM events GROUP BY ALL"),
     "stream_route": (stream_route, ROUTED),
+    "stream_batches": (stream_batches, f"{BATCHES} SELECT bucket, batch_no, count(*) AS n, 1::BIGINT AS files FROM bi GROUP BY ALL"),
     "stream_near": (stream_near, BAND),
 }

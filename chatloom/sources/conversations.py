@@ -25,7 +25,7 @@ def read_conversations(spark: SparkSession, path: str) -> DataFrame:
     """(conv_id, text): one a line that is not blank. conv_id is the line's number, from 0, in the order of paths and lines."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
     own = lines.where(strip(F.col("value")) != "")
-    return numbered(own, ["file", "start", "at"], "conv_id").select("conv_id", record_text(F.col("value")).alias("text"))
+    return numbered(own, ["file", "start", "at"], "conv_id", lazy=True).select("conv_id", record_text(F.col("value")).alias("text"))
 
 
 def read_turns(spark: SparkSession, path: str) -> DataFrame:
@@ -80,7 +80,7 @@ def write_routed(df: DataFrame, path: str, day: str, system_prompt: str, batch_s
 
 def assign_batches(df: DataFrame, n: int = 15) -> DataFrame:
     """df(bucket, day, seq, …) with batch_no and batch_id: every n rows of a bucket and day in order of arrival."""
-    out = numbered(df, ["seq"], "_number", ["bucket", "day"]).withColumn("batch_no", F.floor(F.col("_number") / n).cast("long")).drop("_number")
+    out = numbered(df, ["seq"], "_number", ["bucket", "day"], lazy=True).withColumn("batch_no", F.floor(F.col("_number") / n).cast("long")).drop("_number")
     return out.withColumn("batch_id", F.concat_ws("-", "bucket", "day", "batch_no"))
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from chatloom.config import Config
 from chatloom.operators import dedup as D
+from chatloom.sources import conversations as S
 from chatloom.streaming import jobs as J
+from chatloom.streaming.batches import BatchSink, routed_batches
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -109,3 +111,71 @@ def test_routing_over_batches(spark, tmp_path):
     J.run_once(stream(), str(tmp_path / "check"), sink=J.routed_sink(str(tmp_path / "out"), "2024-01-01", "be kind", Config(persona="Bot")))
     parts = spark.read.text(str(tmp_path / "out")).groupBy("part", "bucket").agg(F.count("*").alias("n")).collect()
     assert sorted((r.part, r.bucket, r.n) for r in parts) == [(k, "batch", 2) for k in range(3)]
+
+
+RECORDS = "bucket string, day string, seq long, value string"
+
+
+def records(n, start=0):
+    return [("flagged" if i % 5 == 0 else "batch", f"2024-01-0{1 + i % 2}", i, f"r{i}") for i in range(start, start + n)]
+
+
+def test_batches_are_filled_across_micro_batches(spark, tmp_path):
+    add, stream = feed(spark, tmp_path, RECORDS)
+    sink = BatchSink(str(tmp_path / "out"), 7)
+    sizes = (23, 3, 40, 11)
+    for k, n in enumerate(sizes):
+        add(records(n, sum(sizes[:k])))
+        J.run_once(stream(), str(tmp_path / "check"), sink=sink)
+        # Until the end all files are full.
+        assert {r.n for r in sink.records(spark).groupBy("file").agg(F.count("*").alias("n")).collect()} == {7}
+    sink.close(spark)
+    sink.close(spark)
+    got = {(r.bucket, r.day, r.batch_no): sorted(r.values) for r in sink.records(spark).groupBy("bucket", "day", "batch_no").agg(F.collect_list("value").alias("values")).collect()}
+    whole = S.assign_batches(spark.createDataFrame(records(sum(sizes)), RECORDS), 7)
+    want = {(r.bucket, r.day, r.batch_no): sorted(r.values) for r in whole.groupBy("bucket", "day", "batch_no").agg(F.collect_list("value").alias("values")).collect()}
+    assert got == want
+    log = {(r.batch_id, r.tag_prefix, r["count"]) for r in sink.log(spark).collect()}
+    assert log == {(r.batch_id, r.tag_prefix, r["count"]) for r in S.batch_log(whole, F.lit(None).cast("timestamp")).collect()}
+    # What comes after the end starts batches of its own.
+    sink(spark.createDataFrame([("batch", "2024-01-01", 900 + i, "x") for i in range(8)], RECORDS), 9)
+    assert sink.records(spark).where("value = 'x'").select("batch_no").distinct().count() == 1
+
+
+def test_a_step_that_failed_is_written_anew_and_a_done_one_is_not(spark, tmp_path, monkeypatch):
+    sink = BatchSink(str(tmp_path / "out"), 4)
+    rows = lambda a, b: spark.createDataFrame(records(b - a, a), RECORDS)
+    values = lambda: sorted(r.value for r in sink.records(spark).collect())
+    sink(rows(0, 30), 0)
+    first = values()
+    monkeypatch.setattr(BatchSink, "_commit", lambda *x: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        sink(rows(30, 50), 1)
+    monkeypatch.undo()
+    assert values() == first
+    sink(rows(30, 50), 1)
+    second = values()
+    sink(rows(30, 50), 1)
+    sink(rows(0, 30), 0)
+    assert values() == second and len(second) == len(set(second)) > len(first)
+    sink.close(spark)
+    assert values() == sorted(f"r{i}" for i in range(50))
+
+
+def test_an_empty_stream_has_no_batches(spark, tmp_path):
+    sink = BatchSink(str(tmp_path / "out"))
+    sink.close(spark)
+    sink(spark.createDataFrame([], RECORDS), 0)
+    sink.close(spark)
+    assert sink.records(spark).count() == 0 and sink.log(spark).count() == 0
+
+
+def test_routing_into_batches(spark, tmp_path):
+    text = "\n\n".join(f"{'user' if i % 2 == 0 else 'Bot'}: One. Two. Three." for i in range(8))
+    add, stream = feed(spark, tmp_path, "conv_id long, text string")
+    for k in range(3):
+        add([(10 * k + i, text if i else "nothing") for i in range(3)])
+    sink = BatchSink(str(tmp_path / "out"), 4)
+    J.run_once(stream(), str(tmp_path / "check"), sink=routed_batches(sink, "2024-01-01", "be kind", Config(persona="Bot")))
+    sink.close(spark)
+    assert sorted((r.batch_id, r["count"]) for r in sink.log(spark).collect()) == [("batch-2024-01-01-0", 4), ("batch-2024-01-01-1", 2)]
