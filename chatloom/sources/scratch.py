@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,18 @@ def clear(spark: SparkSession) -> int:
     return n
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Folders handed out within are deleted at the end: for steps whose result is in a folder that was handed out before."""
+    n = len(_MADE)
+    yield
+    gone = _MADE[n:]
+    del _MADE[n:]
+    for path in gone:
+        fs, folder = fs_path(spark, path)
+        fs.delete(folder, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: lineage ends here, and lost executors cost no recomputation."""
     spark = df.sparkSession

@@ -69,3 +69,15 @@ def test_scratch_tables_are_cleared(spark):
     df = stored(spark.range(3), "mine")
     assert df.count() == 3 and clear(spark) >= 1 and clear(spark) == 0
     assert scratch(spark, "x").rpartition("/")[2].startswith("x-")
+
+
+def test_passing_tables_go_and_others_stay(spark, tmp_path, monkeypatch):
+    from chatloom.sources import scratch as T
+
+    monkeypatch.setattr(T, "LOCAL_SCRATCH", f"file://{tmp_path}")
+    before = T.stored(spark.range(3), "before")
+    end = T.scratch(spark, "end")
+    with T.passing(spark):
+        T.stored(before, "inner").write.parquet(end)
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["before", "end"]
+    assert spark.read.parquet(end).count() == before.count() == 3
