@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import stored, table
+from chatloom.llm.common import scratch, stored, table
 from chatloom.llm.decontamination import find_items
 from chatloom.llm.jaccard_join import jaccard_classes
 from chatloom.llm.pii import mask_pii
 from chatloom.llm.quality import quality_rules
 from chatloom.llm.sentencepieces import RESULT, encode
+from chatloom.sources.scratch import passing
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -38,9 +39,9 @@ def _by_row(rows: DataFrame, row: str) -> DataFrame:
     return rows.withColumn("doc_id", F.col(row)).drop(row)
 
 
-def _without(rows: DataFrame, row: str, gone: DataFrame, name: str) -> DataFrame:
-    """rows but for those whose numbers gone(doc_id) lists."""
-    listed = stored(gone.select(F.col("doc_id").alias(row)), name)
+def _without(rows: DataFrame, row: str, path: str) -> DataFrame:
+    """rows but for those whose numbers the table in path lists."""
+    listed = rows.sparkSession.read.schema(rows.select(row).schema).parquet(path)
     return rows.join(listed, row, "left_anti").drop(row)
 
 
@@ -48,27 +49,36 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules don't reject; ties and repeated rows get equal verdicts, so a digest of what a verdict depends on names them."""
     told = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
     digest = F.md5(F.concat_ws("|", told("doc_id"), told("lang"), told("text")))
-    name = _free(docs, "_gone")
-    gone = quality_rules(docs.withColumn("doc_id", digest)).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(stored(gone, "rejected"), digest == F.col(name), "left_anti").select(*docs.columns)
+    name, path = _free(docs, "_gone"), scratch(spark, "rejected")
+    with passing(spark):
+        gone = quality_rules(docs.withColumn("doc_id", digest)).where(~F.col("kept"))
+        gone.select(F.col("doc_id").alias(name)).distinct().write.parquet(path)
+    listed = spark.read.schema(f"`{name}` string").parquet(path)
+    # A shuffle at every size: whether the list is short enough to broadcast must not change what the join costs.
+    return docs.join(listed.hint("merge"), digest == F.col(name), "left_anti").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of similar documents the row with the least doc_id, one of them where it is repeated; null ids come last."""
     rows, row = _numbered(docs)
-    classes = jaccard_classes(_by_row(rows, row)).select(F.col("doc_id").alias(row), "class_id")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row"))
-    placed = stored(rows.select("doc_id", row).join(classes, row), "classes-of-rows")
-    first = placed.groupBy("class_id").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
-    gone = placed.join(first, "class_id").where(F.col(row) != F.col("first.row")).select(F.col(row).alias("doc_id"))
-    return _without(rows, row, gone, "copies").select(*docs.columns)
+    path = scratch(spark, "copies")
+    with passing(spark):
+        classes = jaccard_classes(_by_row(rows, row)).select(F.col("doc_id").alias(row), "class_id")
+        order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row"))
+        placed = stored(rows.select("doc_id", row).join(classes, row), "classes-of-rows")
+        first = placed.groupBy("class_id").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+        placed.join(first, "class_id").where(F.col(row) != F.col("first.row")).select(row).write.parquet(path)
+    return _without(rows, row, path).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item; an empty benchmark leaves all."""
     rows, row = _numbered(docs)
-    gone = find_items(_by_row(rows, row), table(spark, sf_dir, "benchmark")).where(F.size("item_ids") > 0)
-    return _without(rows, row, gone, "contaminated").select(*docs.columns)
+    path = scratch(spark, "contaminated")
+    with passing(spark):
+        gone = find_items(_by_row(rows, row), table(spark, sf_dir, "benchmark")).where(F.size("item_ids") > 0)
+        gone.select(F.col("doc_id").alias(row)).write.parquet(path)
+    return _without(rows, row, path).select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
