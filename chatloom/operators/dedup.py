@@ -9,7 +9,14 @@ group of equal rows is expanded into pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import bisect
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import content_hash, normalize, tokens
@@ -24,7 +31,6 @@ SEPARATOR = "|||"
 HEAVY = 2000
 #: Sets of this many words or fewer meet on two words of their beginnings, larger ones on one.
 PAIRED = 120
-MAX_ROUNDS = 1000
 
 
 def replies_of(turns: Column) -> Column:
@@ -199,49 +205,198 @@ def resolve(marked: DataFrame, policy: str = "drop") -> DataFrame:
     return marked.withColumn("dup_reason", kept)
 
 
+#: Similar pairs that a sweep's task takes in order, and undecided neighbours of one row that it holds at once.
+SLICE_PAIRS, HELD = 500_000, 100_000
+#: What is known of a row: its own fate, or that it is kept as root is (flip: as root is not).
+KNOWN = "row long, root long, flip boolean, kept boolean"
+
+
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """KNOWN rows of what a slice of (b, a, flip), sorted by b, settles, and with edge true what it leaves: b is kept unless for some of its rows a's fate
+    (flip: its opposite) is to be kept; without a, flip itself says whether b is blocked."""
+    fates: dict[int, tuple[int | None, bool]] = {}
+    out: list[tuple] = []
+
+    def settle(b: int, blockers: set[tuple[int, bool]], blocked: bool, parts: bool) -> None:
+        opposite = any((root, not flip) in blockers for root, flip in blockers)
+        if blocked or opposite:
+            fates[b] = None, False
+        elif parts or len(blockers) > 1:
+            out.extend((b, root, flip, None, True) for root, flip in blockers)
+            return
+        elif blockers:
+            (root, flip), = blockers
+            fates[b] = root, not flip
+        else:
+            fates[b] = None, True
+        root, flip = fates[b]
+        out.append((b, root, None if root is None else flip, flip if root is None else None, False))
+
+    def rows() -> Iterator[tuple[int, int | None, bool]]:
+        for batch in batches:
+            yield from zip(*(batch.column(c).to_pylist() for c in ("b", "a", "flip")), strict=True)
+
+    for b, own in itertools.groupby(rows(), key=lambda x: x[0]):
+        blockers: set[tuple[int, bool]] = set()
+        blocked = parts = False
+        for _, a, flip in own:
+            root, other = (None, False) if a is None else fates.get(a, (a, False))
+            if root is None:
+                blocked |= other != flip
+            elif not blocked:
+                blockers.add((root, other != flip))
+            if len(blockers) > HELD:
+                out.extend((b, x, f, None, True) for x, f in blockers)
+                blockers, parts = set(), True
+        settle(b, blockers, blocked, parts)
+        if len(out) > HELD:
+            yield pa.RecordBatch.from_pylist([dict(zip(SWEPT.names, x, strict=True)) for x in out], SWEPT)
+            out.clear()
+    yield pa.RecordBatch.from_pylist([dict(zip(SWEPT.names, x, strict=True)) for x in out], SWEPT)
+
+
+SWEPT = pa.schema([("row", pa.int64()), ("root", pa.int64()), ("flip", pa.bool_()), ("kept", pa.bool_()), ("edge", pa.bool_())])
+
+
 def resolve_greedy(rows: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     """(seq, kept) of all rows(seq, column): in order of arrival a row goes if a kept earlier one is similar or equal, by pairs(a, b), a < b.
 
     pairs as of similar_pairs over the column. A later row of a string always goes: either the string's first row is
-    kept, or what that one goes for is kept. The first rows are settled by rounds of joins: a row is kept once nothing
-    undecided is before it, and what it blocks goes; pairs of decided rows leave the table.
+    kept, or what that one goes for is kept. The first rows are settled by sweeps: the pairs are dealt in slices by the
+    order of b, and a task goes through its slice once. A row with one undecided earlier neighbour is kept just if that
+    one is not, so chains of any length end as a row before the slice and a parity; these are followed from slice
+    to slice, each step twice as far. Rows with several such neighbours wait. Every sweep settles the first slice that
+    has any rows left, and all that depends on one row alone.
     """
     copies = stored(repeats(rows.where(F.size(tokens(F.col(column))) > 0), column).select(F.col("seq").alias("b")), "copies")
-    left = stored(pairs.select("a", "b").distinct().join(copies, "b", "left_anti").select("a", "b"), "undecided")
-    gone = copies
-    for _ in range(MAX_ROUNDS):
-        if not left.head(1):
-            break
-        waiting = left.select(F.col("b").alias("a")).distinct()
-        kept = stored(left.join(waiting, "a", "left_anti").select("a").distinct(), "kept")
-        blocked = stored(left.join(kept, "a").select("b").distinct(), "blocked")
-        gone = gone.unionByName(blocked)
-        rest = left.join(kept, "a", "left_anti").join(blocked, "b", "left_anti")
-        left = stored(rest.join(blocked.withColumnRenamed("b", "a"), "a", "left_anti"), "undecided")
-    else:
-        raise RuntimeError("pairs are left undecided; raise MAX_ROUNDS")
-    marked = gone.select(F.col("b").alias("seq"), F.lit(False).alias("kept"))
-    return rows.select("seq").join(marked, "seq", "left").select("seq", F.coalesce("kept", F.lit(True)).alias("kept"))
+    left = pairs.select("a", "b").distinct().join(copies, "b", "left_anti").select("b", "a", F.lit(False).alias("flip"))
+    left = stored(left, "undecided")
+    heads = left.select("a").distinct().join(left.select(F.col("b").alias("a")), "a", "left_anti")
+    known = stored(heads.select(F.col("a").alias("row"), F.lit(None).cast("long").alias("root"), F.lit(None).cast("boolean").alias("flip"), F.lit(True).alias("kept")), "known")
+    n = left.count()
+    while n:
+        of = lambda name: known.select(F.col("row").alias(name), F.col("root").alias("_root"), F.col("flip").alias("_flip"), F.col("kept").alias("_kept"))
+        told = F.coalesce(F.col("_flip"), F.col("_kept"), F.lit(False)) != F.col("flip")
+        root = F.when(F.col("_kept").isNull(), F.coalesce("_root", "a"))
+        dealt = left.join(of("a"), "a", "left").select("b", root.alias("a"), told.alias("flip"))
+        dealt = dealt.repartitionByRange(-(-n // SLICE_PAIRS), "b").sortWithinPartitions("b", "a")
+        swept = stored(dealt.mapInArrow(_sweep, KNOWN + ", edge boolean"), "swept")
+        known = stored(known.unionByName(swept.where("NOT edge").drop("edge")), "known")
+        while known.where("root IS NOT NULL").head(1):
+            # A root that waits, and is known of no more, stays.
+            new_root = F.when(F.col("_kept").isNull(), F.coalesce("_root", "root"))
+            both = F.coalesce("_flip", "_kept", F.lit(False)) != F.col("flip")
+            loose, settled = known.where("root IS NOT NULL"), known.where("root IS NULL")
+            jumped = loose.join(of("root"), "root", "left").select("row", new_root.alias("root"), F.when(F.col("_kept").isNull(), both).alias("flip"), F.when(F.col("_kept").isNotNull(), both).alias("kept"), F.col("_root").isNotNull().alias("_more"))
+            jumped = stored(jumped, "jumped")
+            known = stored(settled.unionByName(jumped.drop("_more")), "known")
+            if not jumped.where("_more").head(1):
+                break
+        rest = swept.where("edge").select(F.col("row").alias("b"), F.col("root").alias("a"), "flip").join(known.select(F.col("row").alias("b")), "b", "left_anti")
+        left = stored(rest.select("b", "a", "flip"), "undecided")
+        n = left.count()
+    gone = copies.unionByName(known.where("NOT kept").select(F.col("row").alias("b"))).select(F.col("b").alias("seq"), F.lit(False).alias("kept"))
+    return rows.select("seq").join(gone, "seq", "left").select("seq", F.coalesce("kept", F.lit(True)).alias("kept"))
+
+
+#: A hash of more sightings than LONG, and than one in LONG_HASHES of all, is dealt over several tasks; there are LONG_HASHES of these at most.
+LONG, LONG_HASHES = 10_000, 100_000
+
+
+def _walk(cells: np.ndarray, offsets: np.ndarray, enter: int) -> Iterator[tuple[int, int]]:
+    """(cell, offset) of the anchors of a slice, sorted by cell and offset, from its first sighting of cell enter on, for as long as the slice has the next one."""
+    cell, offset = enter, -1
+    while True:
+        low, high = np.searchsorted(cells, [cell, cell + 1])
+        at = low + int(np.searchsorted(offsets[low:high], offset))
+        if at == high:
+            return
+        offset = int(offsets[at])
+        yield cell, offset
+        cell += 1
+
+
+def _leads(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+    """Where a walk that enters the slice by a cell ends."""
+    own = own.sort_values(["cell", "offset"])
+    cells, offsets = own["cell"].to_numpy(), own["offset"].to_numpy()
+    every = np.unique(cells)
+    ends = [c + sum(1 for _ in _walk(cells, offsets, c)) - 1 for c in every]
+    return pd.DataFrame({"hash": [key[0]] * len(every), "slice": key[1], "cell": every, "last": ends})
+
+
+def _route(key: tuple, leads: pd.DataFrame) -> pd.DataFrame:
+    """The cells by which the walk from the hash's first sighting enters slices: after its last cell of a slice it goes to the next
+    slice above that has the cell after, else to the lowest slice of the first cell after that one."""
+    last = {(s, c): e for s, c, e in zip(leads["slice"], leads["cell"], leads["last"], strict=True)}
+    slices: dict[int, list[int]] = {}
+    for s, c in sorted(last):
+        slices.setdefault(c, []).append(s)
+    cells = sorted(slices)
+    at: tuple[int, int] | None = (slices[cells[0]][0], cells[0])
+    out = []
+    while at:
+        out.append(at)
+        end = last[at]
+        above = slices.get(end + 1, [])
+        k = bisect.bisect_right(above, at[0])
+        j = bisect.bisect_left(cells, end + 2)
+        at = (above[k], end + 1) if k < len(above) else (slices[cells[j]][0], cells[j]) if j < len(cells) else None
+    return pd.DataFrame({"hash": [key[0]] * len(out), "slice": [s for s, _ in out], "cell": [c for _, c in out]})
+
+
+def _long_anchors(sightings: DataFrame, span: int) -> DataFrame:
+    """(hash, us) of the anchors of sightings(hash, us) of which each hash has many.
+
+    Time is cut into cells as long as the memory, so a cell has one anchor at most, and an anchor stands at the next
+    cell's first sighting of no smaller offset: while the cells go on, offsets only grow. The sightings are dealt
+    in slices by offset. A walk enters a slice from below, or anew after a gap, so by its first sighting of a cell; a
+    slice is summed up as a map from that cell to where the walk leaves. The maps are composed hash by hash, and
+    the slices then walked from the cells that are entered.
+    """
+    own = sightings.select("hash", F.expr(f"us - pmod(us, {span}L)").alias("start"), F.expr(f"pmod(us, {span}L)").alias("offset"))
+    own = own.select("hash", F.expr(f"start div {span}L").alias("cell"), "offset")
+    placed = stored(own.repartitionByRange("hash", "offset").withColumn("slice", F.spark_partition_id()), "slices-of-sightings")
+    leads = placed.groupBy("hash", "slice").applyInPandas(_leads, "hash string, slice int, cell long, last long")
+    route = stored(leads.groupBy("hash").applyInPandas(_route, "hash string, slice int, cell long"), "routes")
+
+    def apply(key: tuple, slice_rows: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
+        slice_rows = slice_rows.sort_values(["cell", "offset"])
+        cells, offsets = slice_rows["cell"].to_numpy(), slice_rows["offset"].to_numpy()
+        found = [c * span + x for enter in entered["cell"] for c, x in _walk(cells, offsets, enter)]
+        return pd.DataFrame({"hash": [key[0]] * len(found), "us": np.array(found, dtype=np.int64)})
+
+    return placed.groupBy("hash", "slice").cogroup(route.groupBy("hash", "slice")).applyInPandas(apply, "hash string, us long")
 
 
 def ttl_anchor(df: DataFrame, days: int = 90) -> DataFrame:
     """(hash, created_at, duplicate): sightings by time; one within days of its anchor repeats it, a later one is the next anchor.
 
-    A round finds every hash's next anchor by partial aggregation and settles the sightings that it remembers, so
-    there are as many rounds as anchors of a hash, and no task sees all sightings of one.
+    A hash's sightings are gone through in order, in its own row; those of hashes with very many are dealt over tasks.
+    However long the time, the jobs are the same. Sightings without a time are left out.
     """
     span = days * 86_400_000_000
-    left = df.select("hash", F.unix_micros("created_at").alias("us")).groupBy("hash", "us").agg(F.count("*").alias("n"))
-    left, out = stored(left, "sightings"), None
-    while out is None or left.head(1):
-        anchors = left.groupBy("hash").agg(F.min("us").alias("anchor"))
-        placed = stored(left.join(anchors, "hash"), "anchored")
-        done = placed.where(F.col("us") < F.col("anchor") + span)
-        out = done if out is None else out.unionByName(done)
-        left = placed.where(F.col("us") >= F.col("anchor") + span).select("hash", "us", "n")
-    each = F.explode(F.sequence(F.lit(1), F.col("n"))).alias("k")
-    again = (F.col("us") > F.col("anchor")) | (F.col("k") > 1)
-    return out.select("hash", "us", "anchor", each).select("hash", F.timestamp_micros("us").alias("created_at"), again.alias("duplicate"))
+    us = F.unix_micros("created_at").alias("us")
+    sightings = stored(df.where("created_at IS NOT NULL").select("hash", us).groupBy("hash", "us").agg(F.count("*").alias("n")), "sightings")
+    by_hash = sightings.groupBy("hash").agg(F.count("*").alias("times"))
+    long = stored(by_hash.where(F.col("times") > max(LONG, sightings.count() // LONG_HASHES)).select("hash"), "long-hashes")
+    some = bool(long.head(1))
+    known = F.broadcast(long.select(F.col("hash").alias("_long")))
+    is_long = F.col("hash").eqNullSafe(F.col("_long"))
+    short = sightings.join(known, is_long, "left_anti") if some else sightings
+    rows = short.groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("us", "n"))).alias("s"))
+    newest = lambda a: F.get(a, F.size(a) - 1)
+    walk = lambda a, t: F.when((F.size(a) == 0) | (t >= newest(a) + span), F.concat(a, F.array(t))).otherwise(a)
+    rows = rows.withColumn("anchors", F.aggregate("s.us", F.array().cast("array<bigint>"), walk))
+    out = rows.select("hash", "anchors", F.explode("s").alias("x")).select("hash", "x.us", "x.n", F.array_contains("anchors", F.col("x.us")).alias("anchor"))
+    if some:
+        own = sightings.join(known, is_long, "left_semi")
+        anchors = _long_anchors(own.select("hash", "us"), span).select(F.col("hash").alias("_hash"), F.col("us").alias("_us"), F.lit(True).alias("anchor"))
+        marked = own.join(anchors, F.col("hash").eqNullSafe(F.col("_hash")) & (F.col("us") == F.col("_us")), "left")
+        out = out.unionByName(marked.select("hash", "us", "n", F.coalesce("anchor", F.lit(False)).alias("anchor")))
+    again = ~F.col("anchor") | (F.col("k") > 1)
+    each = out.select("hash", "us", "anchor", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("k"))
+    return each.select("hash", F.timestamp_micros("us").alias("created_at"), again.alias("duplicate"))
 
 
 def against_history(df: DataFrame, history: DataFrame, days: int = 90) -> DataFrame:

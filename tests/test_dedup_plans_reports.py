@@ -48,6 +48,47 @@ def test_ttl_moves_only_on_expiry(spark):
     assert D.ttl_anchor(spark.createDataFrame([], "hash string, created_at timestamp")).count() == 0
 
 
+def anchors_of(rows, days):
+    """By the walk in order: (hash, time) of the anchors."""
+    out, last = set(), {}
+    for t, h in sorted({(t, h) for h, t in rows}, key=lambda x: (x[0], str(x[1]))):
+        if h not in last or t >= last[h] + dt.timedelta(days=days):
+            last[h] = t
+            out.add((h, t))
+    return out
+
+
+@pytest.mark.parametrize(("days", "long"), [(1, 10_000), (1, 5), (7, 40), (90, 20), (400, 5)])
+def test_anchors_are_the_walk_in_order(spark, monkeypatch, days, long):
+    """Hashes within a task and dealt over several, one with most of the rows; gaps, equal times, a null hash, times before 1970."""
+    monkeypatch.setattr(D, "LONG", long)
+    rnd, t0 = random.Random(days), dt.datetime(1969, 6, 1)
+    some = lambda: t0 + dt.timedelta(minutes=rnd.randrange(60 * 24 * 900)) + dt.timedelta(days=rnd.choice([0, 0, 3000]))
+    rows = [(rnd.choice(["hot", "hot", "hot", "b", "c", None, f"h{i % 90}"]), some()) for i in range(1200)]
+    rows += rows[:50] + [("hot", t0)] * 5
+    out = D.ttl_anchor(spark.createDataFrame(rows, "hash string, created_at timestamp"), days).collect()
+    assert sorted((str(r.hash), r.created_at) for r in out) == sorted((str(h), t) for h, t in rows)
+    first = [(r.hash, r.created_at) for r in out if not r.duplicate]
+    assert len(first) == len(set(first)) and set(first) == anchors_of(rows, days)
+
+
+def jobs_of(spark, group, action):
+    spark.sparkContext.setJobGroup(group, group)
+    out = action()
+    n = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, n
+
+
+def test_jobs_do_not_grow_with_the_years(spark):
+    t0, jobs = dt.datetime(2020, 1, 1), []
+    for years in (1, 20):
+        rows = [(f"h{i % 3}", t0 + dt.timedelta(days=i)) for i in range(365 * years)]
+        df = spark.createDataFrame(rows, "hash string, created_at timestamp")
+        jobs.append(jobs_of(spark, f"ttl-{years}", lambda df=df: D.ttl_anchor(df).count())[1])
+    assert jobs[0] == jobs[1]
+
+
 def test_equal_strings_are_similar(spark):
     rows = spark.createDataFrame([(0, "a b c"), (1, "a b c"), (2, ""), (3, ""), (4, "a b c")], "seq long, signature string")
     assert sorted((r.a, r.b, r.sim) for r in D.similar_pairs(rows, "signature", 9, 10).collect()) == [(0, 1, 1.0), (0, 4, 1.0)]
@@ -133,6 +174,32 @@ def test_greedy_is_the_walk_in_order(spark):
     assert got == {seq: (seq, text) in kept for seq, text in rows}
 
 
+@pytest.mark.parametrize(("slice_pairs", "held"), [(500_000, 100_000), (13, 3)])
+def test_greedy_over_any_pairs_is_the_walk(spark, monkeypatch, slice_pairs, held):
+    """Chains, stars, dense groups and long loops, in one task and over many."""
+    monkeypatch.setattr(D, "SLICE_PAIRS", slice_pairs)
+    monkeypatch.setattr(D, "HELD", held)
+    rnd = random.Random(held)
+    pairs = {(i, i + 1) for i in range(120)} | {(200, i) for i in range(201, 215)} | {(i, 240) for i in range(215, 232)}
+    pairs |= {tuple(sorted(rnd.sample(range(300, 340), 2))) for _ in range(150)} | {(i, i + rnd.choice([1, 2, 7])) for i in range(400, 460)}
+    kept = {}
+    for i in range(500):
+        kept[i] = not any(kept[a] for a, b in pairs if b == i)
+    rows = spark.range(500).select(F.col("id").alias("seq"), F.concat(F.lit("t"), "id").alias("t"))
+    got = {r.seq: r.kept for r in D.resolve_greedy(rows, spark.createDataFrame(sorted(pairs), "a long, b long"), "t").collect()}
+    assert got == kept
+
+
+@pytest.mark.parametrize("slice_pairs", [500_000, 700])
+def test_a_chain_of_thousands_takes_few_jobs(spark, monkeypatch, slice_pairs):
+    monkeypatch.setattr(D, "SLICE_PAIRS", slice_pairs)
+    rows = spark.range(5000).select(F.col("id").alias("seq"), F.concat(F.lit("t"), "id").alias("t"))
+    chain = spark.range(4999).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got, jobs = jobs_of(spark, f"chain-{slice_pairs}", lambda: D.resolve_greedy(rows, chain, "t").where(F.col("kept") != (F.col("seq") % 2 == 0)).count())
+    assert got == 0
+    assert jobs < 40 or slice_pairs < 1000
+
+
 def test_greedy_keeps_what_only_dropped_rows_block(spark):
     rows, chain = spark.range(1, 30).select(F.col("id").alias("seq"), F.concat(F.lit("t"), "id").alias("t")), [(i, i + 1) for i in range(1, 28)]
     out = {r.seq: r.kept for r in D.resolve_greedy(rows, spark.createDataFrame(chain, "a long, b long"), "t").collect()}
