@@ -76,6 +76,29 @@ def exact_against(df: DataFrame, seen: DataFrame) -> DataFrame:
     return df.join(seen.select("hash"), "hash", "left_semi")
 
 
+def prefix_keys(num: int, den: int) -> Column:
+    """An array of (h, at, before) for columns words, in order from rare to frequent, and n: the keys that a set meets others on, the place of the key's last word and how many of it come before."""
+    # n - ceil(t n) + 1 in whole numbers.
+    head = (F.col("n") - F.floor((F.col("n") * num + den - 1) / den) + 1).cast("int")
+    two = F.least(head + 1, F.col("n").cast("int"))
+    word = lambda i: F.get("words", i)
+    key = lambda h, at, before: F.struct(h.alias("h"), at.alias("at"), F.lit(before).alias("before"))
+    inner = lambda i: F.transform(F.sequence(i + 1, two - 1), lambda j: key(F.xxhash64(word(i), word(j)), j, 1))
+    pairs = F.flatten(F.transform(F.sequence(F.lit(0), two - 2), inner))
+    singles = F.transform(F.sequence(F.lit(0), head - 1), lambda i: key(F.xxhash64(word(i)), i, 0))
+    none = F.slice(singles, 1, 0)
+    alone = F.array(key(F.xxhash64(word(F.lit(0)), word(F.lit(0))), F.lit(0), 0))
+    small = F.when(F.col("n") == 1, alone).when(F.col("n") <= PAIRED, pairs).otherwise(none)
+    return F.concat(small, F.when(F.col("n") * den >= PAIRED * num, singles).otherwise(none))
+
+
+def reachable(nx: str, ax: str, ny: str, ay: str, num: int, den: int) -> Column:
+    """Whether two sets that meet on a key with column before can be similar, by their sizes and the key's places in them."""
+    # Of the first words that the two share the key's last one is the last; from it on they share no more than either has left.
+    most = F.col("before") + F.least(F.col(nx) - F.col(ax), F.col(ny) - F.col(ay))
+    return most * (num + den) > F.lit(num) * (F.col(nx) + F.col(ny))
+
+
 def similar_values(values: DataFrame, num: int, den: int, banded: bool = False) -> DataFrame:
     """Pairs (a, b, common, either), a < b, of distinct strings values(id, value) with Jaccard over num / den, strictly.
 
@@ -96,19 +119,7 @@ def similar_values(values: DataFrame, num: int, den: int, banded: bool = False)
     ranked = own.select("id", "block", F.explode("words").alias("word")).join(count, "word")
     ordered = ranked.groupBy("id", "block").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("w"))
     ordered = stored(ordered.select("id", "block", F.col("w.word").alias("words"), F.size("w").cast("long").alias("n")), "ordered-words")
-    # n - ceil(t n) + 1 in whole numbers.
-    head = (F.col("n") - F.floor((F.col("n") * num + den - 1) / den) + 1).cast("int")
-    two = F.least(head + 1, F.col("n").cast("int"))
-    word = lambda i: F.get("words", i)
-    key = lambda h, at, before: F.struct(h.alias("h"), at.alias("at"), F.lit(before).alias("before"))
-    inner = lambda i: F.transform(F.sequence(i + 1, two - 1), lambda j: key(F.xxhash64(word(i), word(j)), j, 1))
-    pairs = F.flatten(F.transform(F.sequence(F.lit(0), two - 2), inner))
-    singles = F.transform(F.sequence(F.lit(0), head - 1), lambda i: key(F.xxhash64(word(i)), i, 0))
-    none = F.slice(singles, 1, 0)
-    alone = F.array(key(F.xxhash64(word(F.lit(0)), word(F.lit(0))), F.lit(0), 0))
-    small = F.when(F.col("n") == 1, alone).when(F.col("n") <= PAIRED, pairs).otherwise(none)
-    keys = F.concat(small, F.when(F.col("n") * den >= PAIRED * num, singles).otherwise(none))
-    entries = ordered.select("id", "block", "n", F.explode(keys).alias("key")).select("id", "block", "n", "key.*")
+    entries = ordered.select("id", "block", "n", F.explode(prefix_keys(num, den)).alias("key")).select("id", "block", "n", "key.*")
     shared = entries.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
     met = stored(entries.join(shared, "h").withColumn("salts", F.ceil(F.col("k") / HEAVY).cast("int")), "prefix-keys")
     left = met.select("h", "block", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), "before", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
@@ -118,9 +129,7 @@ def similar_values(values: DataFrame, num: int, den: int, banded: bool = False)
         order = (F.col("own") < F.col("block")) | (F.col("y") < F.col("x"))
     else:
         order = F.col("y") < F.col("x")
-    # Of the first words that the two share the key's last one is the last; from it on they share no more than either has left.
-    most = F.col("before") + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
-    near = order & (most * (num + den) > F.lit(num) * (F.col("nx") + F.col("ny")))
+    near = order & reachable("nx", "ax", "ny", "ay", num, den)
     found = stored(left.join(right, ["h", "block", "salt"]).where(near).select(F.col("y").alias("a"), F.col("x").alias("b")).distinct(), "candidates")
     of = lambda i, w: ordered.select(F.col("id").alias(i), F.col("words").alias(w))
     common = F.size(F.array_intersect("wa", "wb"))

@@ -9,16 +9,15 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chatloom.config import Config
-from chatloom.operators.dedup import similar_within
-from chatloom.operators.reporting import latest_n_per_kind
 from chatloom.operators.validation import process
 from chatloom.sources.conversations import write_routed
-from chatloom.sources.scratch import fs_path, stored
+from chatloom.sources.scratch import stored
+from chatloom.streaming.near_index import NearIndex
 
 
 def dedup_with_memory(stream: DataFrame, days: int = 90, late: str = "1 day") -> DataFrame:
@@ -69,36 +68,22 @@ def routed_sink(path: str, day: str, system_prompt: str, cfg: Config, batch_size
     return write
 
 
-def _before(spark: SparkSession, path: str, number: int) -> str | None:
-    """The folder of the last micro-batch before number that left a state."""
-    fs, root = fs_path(spark, path)
-    numbers = [int(s.getPath().getName()) for s in fs.listStatus(root)] if fs.exists(root) else []
-    earlier = [n for n in numbers if n < number]
-    return f"{path}/{max(earlier)}" if earlier else None
-
-
-MEMORY = "kind string, value string, seq long"
-
-
 def near_duplicate_sink(state_path: str, out_path: str, caps: dict[str, int], sig: tuple[int, int] = (9, 10), opn: tuple[int, int] = (19, 20)) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function over (seq, signature, opening), seq growing over the batches: marks the rows that one of the
     newest signatures or openings before them is similar or equal to, caps of each, in this micro-batch or remembered.
 
-    State and output of a micro-batch go to folders named by its number; a repeat overwrites them, from the state before.
+    The memories are indexes that only the micro-batch's rows are shuffled to. State and output of a micro-batch are
+    named by its number; a repeat replaces them, from the state before.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        own = stored(batch.select("seq", "signature", "opening"), "micro-batch")
-        new = own.select("seq", F.expr("stack(2, 'signature', signature, 'opening', opening) AS (kind, value)")).select("kind", "value", "seq")
-        last = _before(spark, state_path, number)
-        every = stored(spark.read.schema(MEMORY).parquet(last).unionByName(new) if last else new, "memory")
-        of = lambda kind: every.where(F.col("kind") == kind).select("seq", F.col("value").alias(kind))
-        near = similar_within(of("signature"), "signature", *sig, caps["signature"]).withColumn("memory", F.lit("signature"))
-        near = near.unionByName(similar_within(of("opening"), "opening", *opn, caps["opening"], blank_equal=True).withColumn("memory", F.lit("opening")))
-        near.join(own.select("seq"), "seq", "left_semi").write.mode("overwrite").parquet(f"{out_path}/{number}")
-        kept = latest_n_per_kind(every.withColumnRenamed("seq", "created_at"), caps).withColumnRenamed("created_at", "seq")
-        kept.select("kind", "value", "seq").write.mode("overwrite").parquet(f"{state_path}/{number}")
+        own, near = stored(batch.select("seq", "signature", "opening"), "micro-batch"), None
+        for kind, (num, den) in {"signature": sig, "opening": opn}.items():
+            index = NearIndex(spark, f"{state_path}/{kind}", num, den, caps[kind], blank_equal=kind == "opening")
+            found = index.step(number, own.select("seq", F.col(kind).alias("value"))).withColumn("memory", F.lit(kind))
+            near = found if near is None else near.unionByName(found)
+        near.write.mode("overwrite").parquet(f"{out_path}/{number}")
 
     return step
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import random
 
 import pytest
@@ -12,6 +13,7 @@ from chatloom.config import Config
 from chatloom.operators import dedup as D
 from chatloom.sources import conversations as S
 from chatloom.streaming import jobs as J
+from chatloom.streaming import near_index as N
 from chatloom.streaming.batches import BatchSink, routed_batches
 
 T0 = dt.datetime(2024, 1, 1)
@@ -179,3 +181,59 @@ def test_routing_into_batches(spark, tmp_path):
     J.run_once(stream(), str(tmp_path / "check"), sink=routed_batches(sink, "2024-01-01", "be kind", Config(persona="Bot")))
     sink.close(spark)
     assert sorted((r.batch_id, r["count"]) for r in sink.log(spark).collect()) == [("batch-2024-01-01-0", 4), ("batch-2024-01-01-1", 2)]
+
+
+def near_by(df, cap, blank=False):
+    return {r.seq for r in D.similar_within(df.select("seq", F.col("value").alias("signature")), "signature", 9, 10, cap, blank).collect()}
+
+
+@pytest.mark.parametrize(("cap", "blank", "rebuild"), [(25, False, 3), (7, True, 50)])
+def test_the_index_finds_what_the_band_of_the_whole_does(spark, tmp_path, monkeypatch, cap, blank, rebuild):
+    monkeypatch.setattr(N, "REBUILD", rebuild)
+    rows = [(i, s if i % 9 else rnd_blank) for (i, s, _), rnd_blank in zip(rows_of(130, 7), itertools.cycle(["", " ", "solo"]))]
+    index = N.NearIndex(spark, str(tmp_path / "index"), 9, 10, cap, blank, buckets=3)
+    got, at = set(), 0
+    for k, n in enumerate((30, 1, 44, 0, 20, 35)):
+        part = spark.createDataFrame(rows[at : at + n], "seq long, value string")
+        found = {r.seq for r in index.step(2 * k, part).collect()}
+        # The same again, and in another session that doesn't know the tables.
+        if k % 2:
+            assert {r.seq for r in N.NearIndex(spark.newSession(), str(tmp_path / "index"), 9, 10, cap, blank).step(2 * k, spark.createDataFrame(rows[at : at + n], "seq long, value string")).collect()} == found
+        got |= found
+        at += n
+    assert got == near_by(spark.createDataFrame(rows, "seq long, value string"), cap, blank) and len(got) > 20
+    assert len(index._manifest(99)["parts"]) <= rebuild + 1
+
+
+def shuffled(spark, action):
+    """Records written to shuffles by what action runs."""
+    gateway, store = spark.sparkContext._gateway, spark.sparkContext._jsc.sc().statusStore()
+    stages = lambda: {s.stageId(): s.shuffleWriteRecords() for s in _all(store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList()))}
+    before = stages()
+    action()
+    return sum(n for k, n in stages().items() if k not in before)
+
+
+def _all(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def test_what_a_micro_batch_shuffles_does_not_follow_the_memory(spark, tmp_path):
+    monkey = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in monkey}
+    for k, v in monkey.items():
+        spark.conf.set(k, v)
+    try:
+        seen = []
+        for size in (300, 3000):
+            rnd = random.Random(size)
+            text = lambda: " ".join(f"w{rnd.randrange(5000)}" for _ in range(20))  # noqa: E731, B023
+            df = lambda a, b: spark.createDataFrame([(i, text()) for i in range(a, b)], "seq long, value string")  # noqa: E731, B023
+            index = N.NearIndex(spark, str(tmp_path / f"index-{size}"), 9, 10, 10 * size, buckets=2)
+            index.step(0, df(0, size))
+            new = df(size, size + 50)
+            seen.append(shuffled(spark, lambda index=index, new=new: index.step(1, new).count()))
+        assert 0 < seen[1] < 1.2 * seen[0] + 500, seen
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
