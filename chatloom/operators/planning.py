@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.operators.ordering import numbered
+from chatloom.operators.ordering import numbered, running_total
 from chatloom.sources.scratch import stored
 
 PATH = " > "
@@ -23,33 +23,31 @@ def uniform(seed: int | str, axis: str, key: Column) -> Column:
 def flatten_tree(topics: DataFrame, max_depth: int = 1000) -> DataFrame:
     """Leaves of topics(id, parent_id, name, definition, pos): leaf_path, ancestors' definitions, own ones, and order, depth first.
 
-    One join a level: the topics found last with the rest of the tree; each level is written once. Topics that no
-    root leads to (a cycle, a missing parent, or more than max_depth levels) are an error, not left out.
+    Every topic carries the stretch of its path up to the ancestor it knows of; a round puts that ancestor's own stretch
+    before it, so stretches double and the rounds follow the logarithm of the depth. Topics that no root leads to (a
+    cycle, a missing parent, or more than max_depth levels) are an error, not left out.
     """
-    place = F.format_string("%09d", F.col("pos"))
-    tree = stored(topics.select("id", "parent_id", "name", "definition", place.alias("place")), "topics")
-    level = tree.where("parent_id IS NULL").select(
-        "id", F.col("name").alias("leaf_path"), F.array().cast("array<string>").alias("above"), F.col("name").alias("core_topic"),
-        F.col("definition").alias("core_definition"), F.col("place").alias("sort_key"),
-    )
-    below = tree.where("parent_id IS NOT NULL").select(F.col("id").alias("child"), F.col("parent_id").alias("id"), "name", "definition", "place")
-    level = stored(level, "tree-level")
-    found, out = level.count(), level
-    for _ in range(max_depth):
-        level = level.join(below, "id").select(
-            F.col("child").alias("id"), F.concat_ws(PATH, "leaf_path", "name").alias("leaf_path"), F.concat("above", F.array("core_definition")).alias("above"),
-            F.col("name").alias("core_topic"), F.col("definition").alias("core_definition"), F.concat_ws(".", "sort_key", "place").alias("sort_key"),
-        )
-        level = stored(level, "tree-level")
-        n = level.count()
-        if not n:
+    part = F.struct("name", "definition", F.format_string("%09d", F.col("pos")).alias("place"))
+    tree = stored(topics.select("id", F.col("parent_id").alias("up"), F.col("parent_id").alias("parent"), F.array(part).alias("path")), "topics")
+    whole = tree.count()
+    own = tree
+    for _ in range(max_depth.bit_length() + 1):
+        if not own.where("up IS NOT NULL").head(1):
             break
-        found, out = found + n, out.unionByName(level)
-    if found != tree.count():
-        raise ValueError(f"{tree.count() - found} topics are not within {max_depth} levels of a root")
-    leaves = out.join(below.select("id").distinct(), "id", "left_anti")
-    text = F.when(F.size("above") > 0, F.concat(F.array_join("above", ". "), F.lit("."))).otherwise(F.lit(""))
-    return leaves.select("id", "leaf_path", text.alias("main_subtopics_string"), "core_topic", "core_definition", "sort_key")
+        above = own.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"))
+        grown = own.where("up IS NOT NULL").join(above, "up").select("id", F.col("_up").alias("up"), "parent", F.concat("_path", "path").alias("path"))
+        own = stored(own.where("up IS NULL").unionByName(grown), "stretches")
+    fine = own.where(F.col("up").isNull() & (F.size("path") <= max_depth + 1))
+    found = fine.count()
+    if found != whole:
+        raise ValueError(f"{whole - found} topics are not within {max_depth} levels of a root")
+    leaves = fine.join(tree.select(F.col("parent").alias("id")).distinct(), "id", "left_anti")
+    above, last = F.slice("path", F.lit(1), F.size("path") - 1), F.get("path", F.size("path") - 1)
+    text = F.when(F.size("path") > 1, F.concat(F.array_join(F.transform(above, lambda x: x["definition"]), ". "), F.lit("."))).otherwise(F.lit(""))
+    return leaves.select(
+        "id", F.array_join("path.name", PATH).alias("leaf_path"), text.alias("main_subtopics_string"), last["name"].alias("core_topic"),
+        last["definition"].alias("core_definition"), F.array_join("path.place", ".").alias("sort_key"),
+    )
 
 
 def seeded_order(leaves: DataFrame, seed: int = 42) -> DataFrame:
@@ -91,6 +89,55 @@ def weighted_pick(df: DataFrame, options: list[tuple[str, float]], axis: str, se
     return df.withColumn("_u", uniform(seed, axis, F.col(key))).withColumn(axis, out).drop("_u")
 
 
+#: Options of a group that stand in one row, and units that a weight of 1 counts.
+CHUNK, UNITS = 4096, 1_000_000
+
+
+def fine_uniform(seed: int | str, axis: str, key: Column) -> Column:
+    """As uniform, in steps of 2^-52."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(axis), key.cast("string")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
+def _first_above(tops: Column, target: Column) -> Column:
+    """The index, from 0, of the first of the growing numbers that is above the target, by binary search; their number if none is."""
+    n = F.size(tops)
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int") + 1)
+    start = F.struct(F.lit(0).alias("low"), n.alias("high"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = ((at["low"] + at["high"]) / 2).cast("int")
+        left = F.get(tops, middle) > target
+        done = at["low"] >= at["high"]
+        return F.when(done, at).when(left, F.struct(at["low"].alias("low"), middle.alias("high"))).otherwise(F.struct((middle + 1).alias("low"), at["high"].alias("high")))
+
+    return F.aggregate(steps, start, halve, lambda at: at["low"])
+
+
+def weighted_draw(df: DataFrame, options: DataFrame, group: str, axis: str, seed: int, key: str = "slot_id") -> DataFrame:
+    """df with a column axis: one id of options(group, id, pos, weight) of the row's group, in proportion to its weight, in the order of pos and id.
+
+    Weights count in millionths; null, negative and zero weights are never drawn, and rows of a group without any other
+    have no option. A group's weights are added up over slices of its options and laid out in rows of CHUNK: a draw
+    searches the rows' ends, then one row, by halving, so a group may have millions of options.
+    """
+    units = F.round(F.coalesce(F.col("weight"), F.lit(0)).cast("double") * UNITS).cast("long")
+    own = options.select(group, "id", "pos", units.alias("units")).where(F.col("units") > 0)
+    placed = running_total(own, ["pos", "id"], F.col("units"), "before", [group], lazy=True)
+    placed = numbered(placed.withColumn("top", F.col("before") + F.col("units")), ["top"], "number", [group], lazy=True)
+    chunk = F.floor(F.col("number") / CHUNK).cast("long").alias("chunk")
+    each = F.array_sort(F.collect_list(F.struct("top", "id")))
+    chunks = stored(placed.select(group, chunk, "top", "id").groupBy(group, "chunk").agg(each.alias("own")), "option-chunks")
+    ends = F.array_sort(F.collect_list(F.get("own", F.size("own") - 1)["top"]))
+    heads = chunks.groupBy(group).agg(ends.alias("_ends"))
+    total = F.get("_ends", F.size("_ends") - 1)
+    target = F.floor(fine_uniform(seed, axis, F.col(key)) * total).cast("long")
+    out = df.join(heads, group, "left").withColumn("_target", target).withColumn("_chunk", _first_above(F.col("_ends"), F.col("_target")).cast("long"))
+    rows = chunks.select(F.col(group).alias("_group"), F.col("chunk").alias("_no"), "own")
+    out = out.drop("_ends").join(rows, (F.col(group) == F.col("_group")) & (F.col("_chunk") == F.col("_no")), "left")
+    return out.select(*df.columns, F.get("own.id", _first_above(F.col("own.top"), F.col("_target"))).alias(axis))
+
+
 def edge_pick(df: DataFrame, edges: list[tuple[str, float, int]], seed: int, key: str = "slot_id", stage: str = "stage") -> DataFrame:
     """df with edge: the first (id, rate in percent, least stage) that the stage allows and the draw hits, else null."""
     hits = [

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import reason_family
+from chatloom.operators.ordering import numbered
 
 TAGS = ("batch", "flagged")
 
@@ -140,8 +141,9 @@ def trim_oldest(df: DataFrame, caps: dict[str, int]) -> DataFrame:
     older = own.where(place < F.col("_least"))
     ties = own.where(place == F.col("_least"))
     above = own.where(place > F.col("_least")).groupBy("kind").agg(F.count("*").alias("_above"))
-    ranked = ties.join(above, "kind", "left").withColumn("_rank", F.row_number().over(Window.partitionBy("kind").orderBy(F.lit(0))))
-    left = ranked.where(F.col("_rank") > F.col("_kept") - F.coalesce("_above", F.lit(0)))
+    # Equal rows in any order: some of them stay, and no task sees all of a kind's.
+    ranked = numbered(ties.join(above, "kind", "left").withColumn("_any", F.monotonically_increasing_id()), ["_any"], "_rank", ["kind"], lazy=True)
+    left = ranked.where(F.col("_rank") >= F.col("_kept") - F.coalesce("_above", F.lit(0)))
     return older.select(*df.columns).unionByName(left.select(*df.columns))
 
 
@@ -149,3 +151,25 @@ def distinct_hashes(df: DataFrame, approximate: bool = False) -> DataFrame:
     """One row: the number of rows and of different hashes."""
     count = F.approx_count_distinct("hash") if approximate else F.count_distinct("hash")
     return df.agg(F.count("*").alias("n_rows"), count.alias("n_hashes"))
+
+
+#: Size of a sketch of different hashes: 2^14 registers, an error of under 1 %.
+SKETCH = 14
+DAY_SKETCHES = "n_rows long, sketch binary, day date"
+
+
+def day_sketches(df: DataFrame) -> DataFrame:
+    """(day, n_rows, sketch) of df(created_at, hash): what a day adds to counts of different hashes, mergeable."""
+    own = df.groupBy(F.to_date("created_at").alias("day"))
+    return own.agg(F.count("*").alias("n_rows"), F.hll_sketch_agg("hash", SKETCH).alias("sketch")).select("n_rows", "sketch", "day")
+
+
+def put_days(sketches: DataFrame, path: str) -> None:
+    """Writes days' sketches into the table at path; a day that is there already, as after late rows, is replaced."""
+    dealt = sketches.repartition("day")
+    dealt.write.partitionBy("day").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def distinct_over(sketches: DataFrame, *by: Column) -> DataFrame:
+    """(by, n_rows, n_hashes): rows and the estimated number of different hashes, merged from day_sketches; rows are not read again."""
+    return sketches.groupBy(*by).agg(F.sum("n_rows").alias("n_rows"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_hashes"))

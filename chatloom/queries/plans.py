@@ -109,6 +109,22 @@ def weighted_pick(spark, d):
     return _drawn(spark, d).select("slot_id", "stage", "tone")
 
 
+def weighted_table(spark, d):
+    """A part for every slot, drawn by price from half of the parts; slots of a third group have none."""
+    weight = F.when(F.col("p_partkey") % 10 == 3, F.lit(None)).when(F.col("p_partkey") % 10 == 4, F.lit(0)).otherwise(F.col("p_retailprice").cast("double"))
+    options = read(spark, d, "part").select((F.col("p_partkey") % 2).cast("long").alias("grp"), F.col("p_partkey").alias("id"), F.col("p_size").alias("pos"), weight.alias("weight"))
+    slots = _slots(spark, d).select("slot_id", F.pmod(F.col("slot_id"), F.lit(3)).cast("long").alias("grp"))
+    return P.weighted_draw(slots, options, "grp", "part", 42).select("slot_id", F.col("part").cast("long").alias("part"))
+
+
+#: Draws by the cumulative weights of a window.
+DRAWN_PART = """WITH o AS (SELECT p_partkey % 2 AS grp, p_partkey AS id, p_size AS pos, round(CASE p_partkey % 10 WHEN 3 THEN NULL WHEN 4 THEN 0 ELSE p_retailprice::DOUBLE END * 1000000)::BIGINT AS units FROM part),
+c AS (SELECT grp, id, sum(units) OVER (PARTITION BY grp ORDER BY pos, id)::BIGINT AS top FROM o WHERE units > 0), t AS (SELECT grp, max(top) AS total FROM c GROUP BY grp),
+s AS (SELECT o_orderkey AS slot_id, o_orderkey % 3 AS grp FROM orders),
+g AS (SELECT slot_id, s.grp, floor(('0x' || substr(md5('42|part|' || slot_id), 1, 13))::BIGINT / 4503599627370496.0 * total)::BIGINT AS target FROM s LEFT JOIN t ON t.grp = s.grp)
+SELECT slot_id, id::BIGINT AS part FROM g ASOF LEFT JOIN c ON g.grp = c.grp AND g.target < c.top"""
+
+
 def edge_pick(spark, d):
     return P.edge_pick(_drawn(spark, d), EDGES, 42).select("slot_id", "edge")
 
@@ -242,6 +258,7 @@ QUERIES = {
     "next_leaf": (next_leaf, f"WITH {STATE} SELECT arg_min(leaf_path, pos) AS leaf_path FROM st WHERE generated < quota"),
     "leaf_lookup": (leaf_lookup, f"WITH {STATE} SELECT core_topic, main_subtopics_string, sum(quota - generated)::BIGINT AS slots FROM st JOIN leaf USING (leaf_path) WHERE quota > generated GROUP BY ALL"),
     "weighted_pick": (weighted_pick, f"WITH {DRAWN} SELECT slot_id, stage, tone FROM dr"),
+    "weighted_table": (weighted_table, DRAWN_PART),
     "edge_pick": (edge_pick, f"WITH {DRAWN} SELECT slot_id, {EDGE} AS edge FROM dr"),
     "bias_tone": (bias_tone, f"WITH {DRAWN} SELECT slot_id, CASE WHEN (cust % 3 = 0 AND tone = 'fun') OR (cust % 3 = 1 AND tone = 'heavy') THEN 'soft' ELSE tone END AS tone FROM dr"),
     "allowed_categories": (allowed_categories, f"WITH {ALLOWED} SELECT slot_id, coalesce(allowed, (SELECT string_agg(category, ',' ORDER BY category) FROM ca)) AS allowed FROM dr LEFT JOIN al USING (stage, tone)"),

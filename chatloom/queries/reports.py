@@ -148,6 +148,23 @@ def curation_report(spark, d):
     return out.select("total_all", "total_batches", "leaves_completed", "total_leaves", "keys_working", "keys_dead", "keys_cooling", "keys_unknown")
 
 
+def _day_hashes(spark, d):
+    return _events(spark, d).select(F.col("ts").alias("created_at"), F.concat_ws(":", "user_id", "event_type", F.floor(F.col("value"))).alias("hash"), "event_id")
+
+
+def distinct_sketches(spark, d):
+    """Different hashes a month from days' sketches, the last of which are replaced once late rows are in; whether they are within 3 % of the exact count."""
+    own, path = _day_hashes(spark, d), scratch(spark, "day-sketches")
+    R.put_days(R.day_sketches(own.where("event_id % 10 > 0")), path)
+    # Rows that come late: their days are written anew.
+    R.put_days(R.day_sketches(own), path)
+    sketches = spark.read.schema(R.DAY_SKETCHES).parquet(path)
+    month = F.date_format("day", "yyyy-MM").alias("month")
+    exact = own.groupBy(F.date_format("created_at", "yyyy-MM").alias("month")).agg(F.count_distinct("hash").alias("exact"))
+    out = R.distinct_over(sketches, month).join(exact, "month")
+    return out.select("month", "n_rows", F.col("exact").alias("n_hashes"), (F.abs(F.col("n_hashes") - F.col("exact")) <= 0.03 * F.col("exact")).alias("close"))
+
+
 #: Micro-batches that a streamed table is cut into at least, and rows that one has at most.
 PARTS, PART_ROWS = 4, 1_000_000
 
@@ -240,6 +257,7 @@ QUERIES = {
     "latest_per_kind": (latest_per_kind, f"WITH {RANKED} SELECT kind, value FROM rk WHERE k <= {_CAP}"),
     "trim_oldest": (trim_oldest, f"WITH {RANKED} SELECT kind, count(*) AS n, sum(value)::BIGINT AS ids FROM rk WHERE k > {_CAP} GROUP BY kind"),
     "report_job": (curation_report, f"WITH {LOG}, {LEAVES}, {KEYS} SELECT (SELECT sum(cnt)::BIGINT FROM lg) AS total_all, (SELECT count(*) FROM lg) AS total_batches, (SELECT count(*) FROM lp WHERE generated >= quota) AS leaves_completed, (SELECT count(*) FROM lp) AS total_leaves, count(*) FILTER (state = 'working') AS keys_working, count(*) FILTER (state = 'dead') AS keys_dead, count(*) FILTER (state = 'cooling') AS keys_cooling, count(*) FILTER (state = 'unknown') AS keys_unknown FROM ks"),
+    "distinct_sketches": (distinct_sketches, "SELECT strftime(ts, '%Y-%m') AS month, count(*) AS n_rows, count(DISTINCT user_id || ':' || event_type || ':' || floor(value)::BIGINT) AS n_hashes, true AS close FROM events GROUP BY 1"),
     "stream_dedup": (stream_dedup, _ANCHORS),
     "stream_daily": (stream_daily, DAILY),
     "stream_rate": (stream_rate, "WITH w AS (SELECT (ts::DATE + k) AS until FROM events, (SELECT unnest([1, 2, 3]) AS k)) SELECT until::DATE::VARCHAR AS until, round(count(*) / 3, 6) AS per_day FROM w GROUP BY 1"),

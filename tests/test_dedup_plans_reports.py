@@ -285,6 +285,72 @@ def test_deep_trees_are_whole_and_broken_ones_an_error(spark):
         P.flatten_tree(spark.createDataFrame(chain, TOPIC), 5)
 
 
+def test_a_thousand_levels_take_few_rounds(spark, monkeypatch):
+    """Rounds follow the logarithm of the depth; the tree has two deep branches."""
+    rounds, inner = [], P.stored
+    monkeypatch.setattr(P, "stored", lambda df, name: (rounds.append(name), inner(df, name))[1])
+    chain = [(i, i - 1 if i else None, f"n{i}", f"d{i}", 0) for i in range(1001)]
+    chain += [(5000 + i, 4999 + i if i else 500, f"m{i}", None, 1) for i in range(300)]
+    out = {r.core_topic: r for r in P.flatten_tree(spark.createDataFrame(chain, TOPIC)).collect()}
+    assert rounds.count("stretches") <= 12 and set(out) == {"n1000", "m299"}
+    assert out["n1000"].leaf_path == " > ".join(f"n{i}" for i in range(1001))
+    assert out["m299"].leaf_path.split(" > ")[499:503] == ["n499", "n500", "m0", "m1"] and out["m299"].main_subtopics_string.endswith("d499. d500.")
+    assert P.flatten_tree(spark.createDataFrame([], TOPIC)).count() == 0
+
+
+OPTION = "grp string, id long, pos int, weight double"
+
+
+@pytest.mark.parametrize("chunk", [4096, 3])
+def test_draws_from_a_table_are_those_of_a_walk(spark, monkeypatch, chunk):
+    """Equal places, null, negative and zero weights, a group of zeros, a null group, a group without options."""
+    monkeypatch.setattr(P, "CHUNK", chunk)
+    rnd = random.Random(chunk)
+    options = [(rnd.choice(["a", "b"]), i, rnd.randrange(9), rnd.choice([None, -2.0, 0.0, 0.5, 3.25, 1e-6])) for i in range(60)]
+    options += [("zero", 1, 1, 0.0), (None, 7, 1, 2.0)]
+    df = spark.range(500).select(F.col("id").alias("slot_id"), F.element_at(F.array(*(F.lit(x) for x in ("a", "b", "zero", "none"))), (F.col("id") % 4 + 1).cast("int")).alias("grp"), F.lit("x").alias("id"))
+    out = P.weighted_draw(df, spark.createDataFrame(options, OPTION), "grp", "axis", 5)
+    assert out.columns == ["slot_id", "grp", "id", "axis"]
+    rows = out.withColumn("u", P.fine_uniform(5, "axis", F.col("slot_id"))).collect()
+    assert len(rows) == 500
+    for r in rows:
+        own = sorted((pos, i, round(w * P.UNITS)) for g, i, pos, w in options if g == r.grp and w and w > 0)
+        total, at, want = sum(w for _, _, w in own), 0, None
+        for _, i, w in own:
+            at += w
+            if at > int(r.u * total):
+                want = i
+                break
+        assert r.axis == want
+    share = sum(r.axis is None for r in rows)
+    assert share == 250
+
+
+def test_many_options_a_group(spark):
+    """10,000 options a group over several rows of them; what is drawn follows the weights."""
+    options = spark.range(20_000).select((F.col("id") % 2).cast("string").alias("grp"), "id", F.lit(0).alias("pos"), F.when(F.col("id") < 2000, F.lit(9.0)).otherwise(F.lit(1.0)).alias("weight"))
+    df = spark.range(4000).select(F.col("id").alias("slot_id"), (F.col("id") % 2).cast("string").alias("grp"))
+    out = P.weighted_draw(df, options, "grp", "axis", 1)
+    low, odd = out.agg(F.avg((F.col("axis") < 2000).cast("int")), F.count_if(F.col("axis") % 2 != F.col("grp").cast("int"))).first()
+    assert abs(low - 0.5) < 0.04 and odd == 0
+
+
+def test_sketches_by_day_merge_and_late_days_are_replaced(spark, tmp_path):
+    rows = spark.range(60_000).select(F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 20 * 86400).alias("created_at"), (F.col("id") % 25_000).cast("string").alias("hash"))
+    path = str(tmp_path / "days")
+    R.put_days(R.day_sketches(rows.where("created_at < TIMESTAMP '2024-01-11'")), path)
+    R.put_days(R.day_sketches(rows.where("created_at >= TIMESTAMP '2024-01-10' AND hash > '5'")), path)
+    R.put_days(R.day_sketches(rows.where("created_at >= TIMESTAMP '2024-01-09'")), path)
+    read = lambda: spark.read.schema(R.DAY_SKETCHES).parquet(path)
+    assert read().count() == 20
+    whole = R.distinct_over(read()).first()
+    assert whole.n_rows == 60_000 and abs(whole.n_hashes - 25_000) < 0.03 * 25_000
+    by_half = {r.half: r for r in R.distinct_over(read(), (F.dayofmonth("day") > 10).alias("half")).collect()}
+    exact = rows.groupBy((F.dayofmonth("created_at") > 10).alias("half")).agg(F.count_distinct("hash").alias("n")).collect()
+    assert all(abs(by_half[r.half].n_hashes - r.n) < 0.03 * r.n for r in exact)
+    assert R.distinct_over(R.day_sketches(rows.limit(0))).first().n_rows is None
+
+
 def test_no_recent_repeat_where_there_is_a_choice(spark):
     plan = spark.createDataFrame([(r, s, [f"c{k}" for k in range(30)]) for r in (1, 2) for s in range(60)], "run_id long, step long, allowed array<string>")
     picked = P.pick_without_recent(plan).cache()
