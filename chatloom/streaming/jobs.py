@@ -8,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from chatloom.config import Config
 from chatloom.operators.validation import process
@@ -20,32 +21,59 @@ from chatloom.sources.scratch import stored
 from chatloom.streaming.near_index import NearIndex
 
 
+#: State in RocksDB, which holds more keys than an executor's heap; set on the session before a stream with timers starts.
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+class Memory(StatefulProcessor):
+    """A hash's anchor, and a timer that drops it once no sighting can fall into its memory any more."""
+
+    def __init__(self, span: int) -> None:
+        self.span = span
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.anchor = handle.getValueState("anchor", "us long")
+
+    def _timer(self, anchor: int) -> int:
+        return (anchor + self.span) // 1000 + 1
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        times = np.unique(np.concatenate([b["us"].to_numpy(dtype=np.int64) for b in rows]))
+        old = self.anchor.get()[0] if self.anchor.exists() else None
+        # From anchor to anchor: each one's next is the first sighting that it doesn't remember.
+        kept, at = [], 0 if old is None else int(np.searchsorted(times, old + self.span))
+        while at < len(times):
+            kept.append(int(times[at]))
+            at = int(np.searchsorted(times, kept[-1] + self.span))
+        if kept:
+            if old is not None:
+                self.handle.deleteTimer(self._timer(old))
+            self.anchor.update((kept[-1],))
+            self.handle.registerTimer(self._timer(kept[-1]))
+        yield self._rows(key, kept)
+
+    def _rows(self, key: tuple, kept: list[int]) -> pd.DataFrame:
+        return pd.DataFrame({"hash": np.array([key[0]] * len(kept), dtype=object), "us": np.array(kept, dtype=np.int64)}).astype({"hash": object})
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
+        self.anchor.clear()
+        yield self._rows(key, [])
+
+    def close(self) -> None:
+        pass
+
+
 def dedup_with_memory(stream: DataFrame, days: int = 90, late: str = "1 day") -> DataFrame:
     """(hash, created_at): sightings of stream(hash, created_at) that no sighting within days before, counted from its anchor, precedes.
 
-    The state of a hash is its anchor alone and is dropped once the watermark is days past it: what comes then is a new
-    anchor anyway. Within a micro-batch sightings are taken by time.
+    The state of a hash is its anchor alone, a value in RocksDB, and a timer drops it once the watermark is days past
+    it: what comes then is a new anchor anyway. Within a micro-batch sightings are taken by time. Equal sightings are one.
     """
-    span = days * 86_400_000_000
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        anchor = state.get[0] if state.exists else None
-        kept = []
-        for t in sorted(x for b in batches for x in b["us"]):
-            if anchor is None or t >= anchor + span:
-                anchor = int(t)
-                kept.append(anchor)
-        if anchor is not None:
-            state.update((anchor,))
-            # The first millisecond that no sighting can fall into the memory of.
-            state.setTimeoutTimestamp(max((anchor + span) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"hash": [key[0]] * len(kept), "us": kept})
-
-    own = stream.select("hash", "created_at", F.unix_micros("created_at").alias("us")).withWatermark("created_at", late)
-    out = own.groupBy("hash").applyInPandasWithState(update, "hash string, us long", "anchor long", "append", GroupStateTimeout.EventTimeTimeout)
+    for k, v in ROCKSDB.items():
+        stream.sparkSession.conf.set(k, v)
+    own = stream.select("hash", "created_at", F.unix_micros("created_at").alias("us")).where("created_at IS NOT NULL").withWatermark("created_at", late)
+    out = own.groupBy("hash").transformWithStateInPandas(Memory(days * 86_400_000_000), "hash string, us long", "Append", "EventTime")
     return out.select("hash", F.timestamp_micros("us").alias("created_at"))
 
 
