@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
+from collections import deque
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -209,22 +210,33 @@ def ending_candidates(prefs: Column, lean: Column, known: list[str], default: li
     return F.array_sort(F.coalesce(some(F.array_intersect(first, names)), names))
 
 
+def _picks(batches: Iterator[pa.RecordBatch], history: int) -> Iterator[pa.RecordBatch]:
+    """The picks of runs that come one after the other, step by step; only the last ones of the present run are held."""
+    run: object = _picks
+    recent: deque = deque(maxlen=history)
+    for batch in batches:
+        out = []
+        for run_id, choices in zip(batch.column("run_id").to_pylist(), batch.column("choices").to_pylist(), strict=True):
+            if run_id != run:
+                run = run_id
+                recent.clear()
+            choices = choices or [None]
+            pick = next((c for c in choices if c not in recent), choices[0])
+            recent.append(pick)
+            out.append(pick)
+        yield pa.RecordBatch.from_arrays([batch.column("run_id"), batch.column("step"), pa.array(out, pa.string())], ["run_id", "step", "category"])
+
+
 def pick_without_recent(plan: DataFrame, history: int = 25, seed: int = 42) -> DataFrame:
     """(run_id, step, category) of plan(run_id, step, allowed array): a category not among the run's last picks where one is allowed.
 
-    Sequential within a run and runs are short, so each run is one group of a pandas function.
+    Each pick follows from those before, so a run is gone through in order, as batches of a sorted partition: a run of
+    any length takes the memory of a batch. The choices' ranks are made beforehand.
     """
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, recent, out = rows.sort_values("step"), [], []
-        for step, allowed in zip(rows["step"], rows["allowed"], strict=True):
-            fresh = [c for c in allowed if c not in recent[-history:]] or list(allowed)
-            rank = lambda c, s=step: hashlib.md5(f"{seed}|category|{s}|{c}".encode()).hexdigest()
-            out.append(min(fresh, key=lambda c: (rank(c), c)) if fresh else None)
-            recent.append(out[-1])
-        return rows[["run_id", "step"]].assign(category=out)
-
-    return plan.select("run_id", "step", "allowed").groupBy("run_id").applyInPandas(walk, "run_id long, step long, category string")
+    rank = lambda c: F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("category"), F.col("step").cast("string"), c))
+    ranked = F.array_sort(F.transform("allowed", lambda c: F.struct(rank(c).alias("rank"), c.alias("c"))))
+    own = plan.select(F.col("run_id").cast("long").alias("run_id"), F.col("step").cast("long").alias("step"), ranked["c"].alias("choices"))
+    return own.repartition("run_id").sortWithinPartitions("run_id", "step").mapInArrow(lambda b: _picks(b, history), "run_id long, step long, category string")
 
 
 def audit_recent_repeats(plan: DataFrame, n: int = 25) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chatloom.config import Config
 from chatloom.functions.text import LETTER, any_of, count_lines, repaired
 from chatloom.operators.parsing import TURNS, parse_turns, render
+from chatloom.sources.scratch import stored
 
 
 def assistant_texts(turns: Column) -> Column:
@@ -146,9 +147,17 @@ def emoji_density(turns: DataFrame, emoji: str, least: float) -> DataFrame:
 
 
 def repeated_phrases(turns: DataFrame, n: int, least: int) -> DataFrame:
-    """(phrase, convs): n-word phrases of assistant turns that at least so many conversations share."""
+    """(phrase, convs): n-word phrases of assistant turns that at least so many conversations share.
+
+    Two passes: hashes of the phrases are counted by turn first, which is never less than by conversation; only those
+    that reach the number are then spelled out, made distinct and counted.
+    """
     words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
     own = turns.where("role = 'assistant'").select("conv_id", words.alias("w")).where(F.size("w") >= n)
-    grams = F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, F.lit(n)), " "))
-    pairs = own.select("conv_id", F.explode(F.array_distinct(grams)).alias("phrase")).distinct()
+    each = lambda make: F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: make(F.slice("w", i, F.lit(n))))
+    hashes = own.select(F.explode(F.array_distinct(each(F.xxhash64))).alias("h"))
+    frequent = stored(hashes.groupBy("h").agg(F.count("*").alias("turns")).where(F.col("turns") >= least).select("h"), "frequent-phrases")
+    spelled = each(lambda w: F.struct(F.xxhash64(w).alias("h"), F.array_join(w, " ").alias("phrase")))
+    grams = own.select("conv_id", F.explode(F.array_distinct(spelled)).alias("x")).select("conv_id", "x.*")
+    pairs = grams.join(frequent, "h", "left_semi").select("conv_id", "phrase").distinct()
     return pairs.groupBy("phrase").agg(F.count("*").alias("convs")).where(F.col("convs") >= least)

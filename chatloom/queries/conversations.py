@@ -8,6 +8,7 @@ from chatloom.config import Config
 from chatloom.functions import text as X
 from chatloom.operators import parsing as P
 from chatloom.operators import validation as V
+from chatloom.operators.phrases import scan_phrases
 from chatloom.queries.base import CFG, DAY, PROMPT, RAW, RENDERED, T, TRIM, WORDS, convs, raw, read, rendered, turns
 from chatloom.queries.duplicates import MARKED
 from chatloom.sources import conversations as S
@@ -406,6 +407,18 @@ PHRASES = f"""WITH {T}, w AS (SELECT conv_id, [x FOR x IN regexp_split_to_array(
 g AS (SELECT DISTINCT conv_id, unnest([ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2] FOR i IN range(1, len(ws) - 1)]) AS phrase FROM w)
 SELECT phrase, count(*) AS convs FROM g GROUP BY phrase HAVING count(*) >= 2"""
 
+def phrase_scan(spark, d):
+    """Turns that hold the beginning of any conversation, as literal phrases: as many as there are conversations."""
+    own = turns(spark, d)
+    begins = own.where("turn = 0 AND length(text) >= 12").select(F.lower(F.substring("text", 1, 12)).alias("pattern"), "conv_id")
+    table = begins.select((F.col("conv_id") % 5).cast("int").alias("rank"), F.when(F.col("conv_id") % 2 == 0, F.lit("any")).otherwise(F.lit("assistant")).alias("scope"), F.concat(F.lit("opens-"), F.col("conv_id") % 5).alias("kind"), "pattern")
+    return scan_phrases(own, table)
+
+
+PHRASE_SCAN = f"""WITH {T}, p AS (SELECT DISTINCT (conv_id % 5)::INT AS rank, CASE WHEN conv_id % 2 = 0 THEN 'any' ELSE 'assistant' END AS scope, lower(substr(text, 1, 12)) AS pattern FROM t WHERE turn = 0 AND length(text) >= 12)
+SELECT DISTINCT conv_id, turn, rank, 'opens-' || rank AS reason FROM t JOIN p ON contains(lower(text), pattern) AND (scope = 'any' OR role = 'assistant')"""
+
+
 MESSAGES = f"""WITH {T} SELECT conv_id, to_json({{'messages': [{{'role': 'system', 'content': '{PROMPT}'}}] || list({{'role': role, 'content': text}} ORDER BY turn)}})::VARCHAR AS record FROM t GROUP BY conv_id"""
 
 TOPICS = """WITH tp AS (SELECT r_regionkey AS id, r_name AS name, 'about ' || r_name AS definition FROM region UNION ALL SELECT n_nationkey + 1000, n_name, 'of ' || n_name FROM nation
@@ -449,4 +462,5 @@ QUERIES = {
     "emoji_density": (emoji_density, f"WITH {T}, e AS (SELECT conv_id, role, {EMO} AS text FROM t) SELECT conv_id, round(avg(len(regexp_extract_all(text, '{_E}'))), 6) AS density, avg(len(regexp_extract_all(text, '{_E}'))) < 2.5 AS flagged FROM e WHERE role = 'assistant' GROUP BY conv_id"),
     "emoji_only_turns": (emoji_only_turns, f"WITH {T} SELECT conv_id, count(*) FILTER (role = 'assistant' AND (conv_id + turn) % 3 = 0) AS n FROM t GROUP BY conv_id"),
     "phrase_ngrams": (phrase_ngrams, PHRASES),
+    "phrase_scan": (phrase_scan, PHRASE_SCAN),
 }

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import itertools
 import random
 
@@ -357,6 +358,25 @@ def test_no_recent_repeat_where_there_is_a_choice(spark):
     assert picked.count() == 120 and P.audit_recent_repeats(picked).count() == 0
 
 
+def test_a_run_of_any_length_is_picked_in_order(spark):
+    """A run that holds half of all steps, over several batches of a partition, beside short ones, one out of choices."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        plan = [("hot" == r and 7 or r, s, [f"c{(s * k) % 31}" for k in range(1, 9)] if s % 50 else []) for r, n in (("hot", 600), (1, 200), (2, 150), (3, 1)) for s in range(n)]
+        random.Random(3).shuffle(plan)
+        df = spark.createDataFrame(plan, "run_id long, step long, allowed array<string>")
+        got = {(r.run_id, r.step): r.category for r in P.pick_without_recent(df, 5).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    recent = {}
+    for run, step, allowed in sorted(plan):
+        before = recent.setdefault(run, [])
+        fresh = [c for c in allowed if c not in before[-5:]] or allowed
+        want = min(fresh, key=lambda c: (hashlib.md5(f"42|category|{step}|{c}".encode()).hexdigest(), c)) if fresh else None
+        assert got[run, step] == want
+        before.append(want)
+
+
 def test_report_on_an_empty_log(spark):
     row = R.progress_report(spark.createDataFrame([], "tag_prefix string, count long, created_at timestamp"), "2024-01-10 00:00:00", 600).first()
     assert (row.avg_per_day, row.eta_days, row.days_elapsed, row.total_all) == (1, 600, 1, 0)

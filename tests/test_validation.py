@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from chatloom.config import Config, Rule, narration_rule
 from chatloom.functions import text as X
+from chatloom.operators import phrases as PH
 from chatloom.operators import validation as V
 
 RULES = (Rule(0, "any", "curse", "abuse"), narration_rule(1), Rule(2, "assistant", "rude", "abuse_assistant"), Rule(3, "assistant", "i am human", "human_claim"), Rule(5, "assistant", "i am an ai", "claims_ai"))
@@ -81,3 +84,41 @@ def test_long_texts_parse_in_time(spark):
     start = time.time()
     row = V.process(spark.createDataFrame(rows, "conv_id long, text string"), CFG).first()
     assert row.reason.startswith("too_many_turns") and time.time() - start < 60
+
+
+TABLE = "rank int, scope string, kind string, pattern string"
+TURN = "conv_id long, turn long, role string, text string"
+
+
+@pytest.mark.parametrize("whole", [16 << 20, 300])
+def test_phrases_are_those_of_a_plain_search(spark, monkeypatch, whole):
+    """Phrases of one byte to many, within each other, over row ends, beyond ASCII, in capitals; one pass and several; odd rows."""
+    monkeypatch.setattr(PH, "PASS_BYTES", whole)
+    rnd = random.Random(whole)
+    some = lambda n: "".join(rnd.choice("abcdé 😀") for _ in range(n))
+    texts = [some(rnd.randint(0, 80)) for _ in range(120)] + [None, "", "ab", "x" * 9000 + "abcd", "ABCD É"]
+    rows = [(i, i % 3, ["user", "assistant"][i % 2], t) for i, t in enumerate(texts)]
+    rows += rows[:3]
+    phrases = {some(rnd.randint(1, 9)) for _ in range(150)} | {"a", "é", "😀", "abcd", "ABCD", "d", "x" * 700}
+    table = [(rnd.randrange(4), rnd.choice(["any", "assistant"]), f"k{rnd.randrange(9)}", p) for p in sorted(phrases)] + [(0, "any", "again", "a"), (1, "any", "none", ""), (1, "any", "none", None)]
+    got = {tuple(r) for r in PH.scan_phrases(spark.createDataFrame(rows, TURN), spark.createDataFrame(table, TABLE)).collect()}
+    want = {(i, t, rank, kind) for i, t, role, text in rows for rank, scope, kind, p in table if p and text and p.lower() in text.lower() and (scope == "any" or role == "assistant")}
+    assert got == want and len(got) > 500
+
+
+def test_a_hundred_thousand_phrases_in_one_pass(spark):
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(3, 9)))
+    words = [word() for _ in range(3000)]
+    phrases = sorted({" ".join(rnd.choice(words) for _ in range(rnd.randint(2, 4))) for _ in range(100_000)})
+    texts = [(i, " ".join(rnd.choice(words) for _ in range(60)) + " " + rnd.choice(phrases)) for i in range(200)]
+    found = PH.find_phrases(spark.createDataFrame(texts, "row long, text string"), spark.createDataFrame(list(enumerate(phrases)), "phrase_id long, phrase string"))
+    want = {(i, k) for k, p in enumerate(phrases) for i, t in texts if p in t}
+    assert {tuple(r) for r in found.collect()} == want and len(want) >= 200
+    assert PH.find_phrases(spark.createDataFrame(texts, "row long, text string"), spark.createDataFrame([], "phrase_id long, phrase string")).count() == 0
+
+
+def test_repeated_phrases_count_conversations_not_turns(spark):
+    rows = [(1, 0, "assistant", "a b c d"), (1, 1, "assistant", "a b c"), (2, 0, "assistant", "x A  B\nC"), (2, 1, "user", "b c d"), (3, 0, "assistant", None), (3, 1, "assistant", "x y x y x y")]
+    got = {tuple(r) for r in V.repeated_phrases(spark.createDataFrame(rows, TURN), 3, 2).collect()}
+    assert got == {("a b c", 2)}
