@@ -3,7 +3,9 @@
 A batch is a feed of signed changes: inserts, deletes and revised counts of documents under a tokenizer
 version. A commit adds the batch up by key and writes only these sums; a file that names them, renamed into
 place, is the commit. A batch id that is already there is not applied again, so a batch may be sent any number
-of times. Totals are the sums over the committed batches; compact() replaces many by one.
+of times. Totals are the sums over the committed batches; compact() replaces many by one. Compactions form a line of
+generations, each named after the one it read, so of two that overlap one is refused. What a compaction replaces
+is deleted by the one after it: who reads the totals meanwhile still finds their files.
 
 Defined results: null source or lang is a key of its own; a null count is 0; a key whose documents and tokens
 have both fallen to 0 has no row; an empty feed commits an empty batch; further columns are ignored.
@@ -42,17 +44,18 @@ def revisions(docs: DataFrame, tokenizer: str, old: Column, new: Column) -> Data
 class TokenRollup:
     """The totals kept in a folder of the shared file system.
 
-    data/ holds folders of sums, commits/ one small file a batch that names its folder and the batches it
-    replaces. The rename of that file into commits/ is the commit. It is refused where the name is taken, as
-    HDFS does it atomically; on a store without atomic renames, let one writer at a time commit a batch id.
+    data/ holds folders of sums, commits/ one small file a batch that names its folder, generations/ one a compaction,
+    which names the batches that it stands for too. The rename of such a file into its place is the commit. It is
+    refused where the name is taken, as HDFS does it atomically; on a store without atomic renames, let one writer at
+    a time commit.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root
 
-    def _commits(self) -> dict[str, dict]:
-        """The commits in effect, by batch id."""
-        fs, path = fs_path(self.spark, f"{self.root}/commits")
+    def _listed(self, folder: str) -> dict[str, dict]:
+        """The commit files of a folder by name."""
+        fs, path = fs_path(self.spark, f"{self.root}/{folder}")
         every = {}
         for status in fs.listStatus(path) if fs.exists(path) else []:
             stream = fs.open(status.getPath())
@@ -61,21 +64,29 @@ class TokenRollup:
             finally:
                 stream.close()
             every[unquote(status.getPath().getName())] = json.loads(text)
-        gone = {x for c in every.values() for x in c["replaces"]}
-        return {k: c for k, c in every.items() if k not in gone}
+        return every
+
+    def _state(self) -> tuple[int, dict[str, dict]]:
+        """(generation, the commits in effect by id): the last compaction, if any, and the batches that it doesn't stand for."""
+        batches = self._listed("commits")
+        line = self._listed("generations")
+        if not line:
+            return 0, batches
+        last = line[max(line)]
+        return int(max(line)), {last["id"]: last} | {k: c for k, c in batches.items() if k not in last["replaces"]}
 
     def committed(self, batch_id: str) -> bool:
-        now = self._commits()
+        _, now = self._state()
         return batch_id in now or any(batch_id in c["replaces"] for c in now.values())
 
-    def _commit(self, batch_id: str, sums: DataFrame, replaces: list[str]) -> bool:
+    def _commit(self, name: str, batch_id: str, sums: DataFrame, replaces: list[str]) -> bool:
         own = f"data/{uuid.uuid4().hex}"
         sums.write.parquet(f"{self.root}/{own}")
         fs, temporary = fs_path(self.spark, f"{self.root}/_temporary/{uuid.uuid4().hex}")
         out = fs.create(temporary, True)
-        out.write(json.dumps({"data": own, "replaces": replaces}).encode())
+        out.write(json.dumps({"id": batch_id, "data": own, "replaces": replaces}).encode())
         out.close()
-        _, end = fs_path(self.spark, f"{self.root}/commits/{quote(batch_id, safe='')}")
+        _, end = fs_path(self.spark, f"{self.root}/{name}")
         fs.mkdirs(end.getParent())
         if fs.exists(end) or not fs.rename(temporary, end):
             fs.delete(temporary, True)
@@ -93,10 +104,10 @@ class TokenRollup:
             return False
         tokens = F.col("sign") * F.coalesce("tokens", F.lit(0))
         sums = feed.groupBy(*KEYS).agg(F.sum("sign").cast("long").alias("n_docs"), F.sum(tokens).cast("long").alias("n_tokens"))
-        return self._commit(batch_id, sums, [])
+        return self._commit(f"commits/{quote(batch_id, safe='')}", batch_id, sums, [])
 
     def totals(self) -> DataFrame:
-        return self._totals(self._commits())
+        return self._totals(self._state()[1])
 
     def _totals(self, commits: dict[str, dict]) -> DataFrame:
         paths = [f"{self.root}/{c['data']}" for c in commits.values()]
@@ -105,22 +116,31 @@ class TokenRollup:
         return sums.where("n_docs <> 0 OR n_tokens <> 0")
 
     def compact(self, name: str) -> bool:
-        """Commits the sum of the batches under a new name that replaces them; their ids stay known.
+        """Commits the sum of the batches under a new name that replaces them; their ids stay known. False, with nothing changed, if the name is there or another compaction came first.
 
-        The commit takes all of them out of effect at once. Only then are their files deleted, so a crash at
-        any point leaves the totals as they were, and what is committed meanwhile stays.
+        The commit takes all of them out of effect at once, so a crash at any point leaves the totals as they were,
+        and what is committed meanwhile stays.
         """
-        now = self._commits()
+        generation, now = self._state()
         known = sorted({x for k, c in now.items() for x in (k, *c["replaces"])})
-        if self.committed(name) or not self._commit(name, self._totals(now), known):
+        if self.committed(name) or not self._commit(f"generations/{generation + 1:012d}", name, self._totals(now), known):
             return False
-        self._clean(now)
+        self._clean(generation)
         return True
 
-    def _clean(self, replaced: dict[str, dict]) -> None:
-        for k, c in replaced.items():
-            self._delete(f"commits/{quote(k, safe='')}")
-            self._delete(c["data"])
+    def _clean(self, generation: int) -> None:
+        """Deletes what had been replaced when that generation was the last."""
+        line = self._listed("generations")
+        if (name := f"{generation:012d}") not in line:
+            return
+        for k, c in self._listed("commits").items():
+            if k in line[name]["replaces"]:
+                self._delete(c["data"])
+                self._delete(f"commits/{quote(k, safe='')}")
+        for k, c in line.items():
+            if int(k) < generation:
+                self._delete(c["data"])
+                self._delete(f"generations/{k}")
 
 
 def counted(docs: DataFrame) -> DataFrame:

@@ -219,6 +219,32 @@ def test_a_crash_while_compacting_changes_no_totals(spark, monkeypatch, step):
     assert [(r.n_docs, r.n_tokens) for r in again.totals().collect()] == [(3, 9)] and again.committed("b") and again.committed("c")
 
 
+def test_of_two_compactions_that_overlap_one_is_refused(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "s", "en", 3)], "doc_id long, source string, lang string, n long")
+    root = scratch(spark, "roll")
+    one, two = TC.TokenRollup(spark, root), TC.TokenRollup(spark, root)
+    assert one.apply("a", TC.inserts(docs, "v1", F.col("n"))) and one.apply("b", TC.inserts(docs, "v1", F.col("n")))
+    totals = lambda roll: [(r.n_docs, r.n_tokens) for r in roll.totals().collect()]
+    inner, results = TC.TokenRollup._totals, []
+
+    def meanwhile(self, commits):
+        """The other compaction runs between this one's reading and its commit, and a batch comes in."""
+        monkeypatch.undo()
+        results.append(two.compact("second"))
+        assert two.apply("c", TC.inserts(docs, "v1", F.col("n")))
+        return inner(self, commits)
+
+    monkeypatch.setattr(TC.TokenRollup, "_totals", meanwhile)
+    results.append(one.compact("first"))
+    assert results == [True, False] and totals(one) == totals(two) == [(3, 9)]
+    assert one.committed("a") and one.committed("c") and not one.apply("b", TC.inserts(docs, "v1", F.col("n")))
+    # Who read before a compaction still can after it.
+    before = one.totals()
+    assert one.compact("third") and [(r.n_docs, r.n_tokens) for r in before.collect()] == [(3, 9)] and totals(two) == [(3, 9)]
+    assert one.compact("fourth") and one.compact("fifth") and totals(two) == [(3, 9)]
+    assert len(one._listed("generations")) == 2 and not one._listed("commits") and one.committed("a")
+
+
 # 3
 
 
