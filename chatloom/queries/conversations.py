@@ -12,7 +12,7 @@ from chatloom.operators.phrases import scan_phrases
 from chatloom.queries.base import CFG, DAY, PROMPT, RAW, RENDERED, T, TRIM, WORDS, convs, raw, read, rendered, turns
 from chatloom.queries.duplicates import MARKED
 from chatloom.sources import conversations as S
-from chatloom.sources.scratch import scratch
+from chatloom.sources.scratch import scratch, stored
 
 #: Oracle: the tag patterns of the parser, for the persona of the queries, which both engines read alike.
 TAG_SQL, DOUBLE_SQL = P.TAG.format("assistant"), P.DOUBLE_TAG.format("assistant")
@@ -74,6 +74,13 @@ def reason_histogram(spark, d):
     return histogram(trainable(spark, d).withColumn("flags", F.array().cast("array<string>")))
 
 
+def outcome_histogram(spark, d):
+    """Rejects by family and flags by kind of what the whole validation gives."""
+    from chatloom.operators.reporting import reason_histogram as histogram
+
+    return histogram(stored(V.process(raw(spark, d), CFG).select("ok", "reason", "flags"), "outcomes"))
+
+
 def chatml_record(spark, d):
     return convs(spark, d).select("conv_id", P.to_chatml(F.col("turns"), PROMPT).alias("record"))
 
@@ -283,6 +290,8 @@ res AS (SELECT conv_id, reason = 'ok' AS ok, reason,
 
 
 PROCESS = f"WITH {RAW}, {_processed('raw')} SELECT conv_id, ok, reason, flags, fixes, n_turns, sha256(text) AS text_hash FROM res"
+OUTCOMES = f"""WITH {RAW}, {_processed('raw')} SELECT 'reject' AS kind, regexp_extract(reason, '^([a-z_]+)', 1) AS name, count(*) AS n FROM res WHERE NOT ok GROUP BY ALL
+UNION ALL SELECT 'flag', split_part(f, ':', 1), count(*) FROM (SELECT unnest(string_split(flags, ',')) AS f FROM res WHERE ok AND flags <> '') GROUP BY ALL"""
 ROUTED = f"""WITH {RENDERED}, {_processed('r')} SELECT CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch' END AS bucket, CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch-{DAY}' END AS tag, count(*) AS n FROM res WHERE ok GROUP BY ALL"""
 #: The copies' raw text, then what an answer's fences and outer braces leave of it.
 CURATED = rf"""WITH {RAW}, raw2 AS (SELECT conv_id, text FROM raw UNION ALL SELECT conv_id + 1000000000, {COPY} FROM raw),
@@ -432,6 +441,7 @@ QUERIES = {
     "min_length_check": (min_length_check, f"WITH {TRIM}{BEST} SELECT conv_id, best::BIGINT AS best, CASE WHEN coalesce(best, 0) < 3 THEN 'no_turn_reaches_min_length(best=' || coalesce(best, 0) || ')' END AS reason FROM (SELECT DISTINCT conv_id FROM w) LEFT JOIN bl USING (conv_id)"),
     "trainable": (trainable, TRAINABLE),
     "reason_histogram": (reason_histogram, f"SELECT 'reject' AS kind, regexp_extract(reason, '^([a-z_]+)', 1) AS name, count(*) AS n FROM ({TRAINABLE}) WHERE NOT ok GROUP BY ALL"),
+    "outcome_histogram": (outcome_histogram, OUTCOMES),
     "render": (rendered, f"WITH {RENDERED} SELECT conv_id, text FROM r"),
     "chatml_record": (chatml_record, MESSAGES),
     "double_tags": (double_tags, DOUBLE),
