@@ -155,3 +155,13 @@ def scan_phrases(turns: DataFrame, table: DataFrame) -> DataFrame:
     on = (F.col("scope") == "any") | (F.col("role") == "assistant")
     out = hits.join(own.drop("text"), "row").where(on)
     return out.select("conv_id", "turn", "rank", F.col("kind").alias("reason")).distinct()
+
+
+def topic_bias(topics: DataFrame, keywords: DataFrame) -> DataFrame:
+    """(id, bias) of topics(id, name, definition): heavy if a heavy keyword of keywords(kind, word) stands in them, else fun if a fun one does, else null; for lists of any length."""
+    text = F.lower(F.concat_ws(" ", "name", "definition"))
+    own = stored(topics.select("id", text.alias("text")).withColumn("row", F.monotonically_increasing_id()), "topics")
+    words = stored(keywords.where(F.col("kind").isin("heavy", "fun")).select("kind", F.lower("word").alias("phrase")).distinct().withColumn("phrase_id", F.monotonically_increasing_id()), "keywords")
+    heavy = F.max(F.col("kind") == "heavy")
+    found = find_phrases(own, words).join(words.drop("phrase"), "phrase_id").groupBy("row").agg(F.when(heavy, F.lit("heavy")).otherwise(F.lit("fun")).alias("bias"))
+    return own.join(found, "row", "left").select("id", "bias")

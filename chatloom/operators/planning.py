@@ -240,9 +240,17 @@ def pick_without_recent(plan: DataFrame, history: int = 25, seed: int = 42) -> D
 
 
 def audit_recent_repeats(plan: DataFrame, n: int = 25) -> DataFrame:
-    """plan(run_id, step, category) rows whose category is among the n before."""
-    before = F.collect_list("category").over(Window.partitionBy("run_id").orderBy("step").rowsBetween(-n, -1))
-    return plan.withColumn("_before", before).where(F.array_contains("_before", F.col("category"))).drop("_before")
+    """plan(run_id, step, category) rows whose category is among the n before.
+
+    Runs are numbered and cut into blocks of n steps: what a step repeats is in its block or the one before, so a
+    category's first step of the one and last of the other decide, and no task sees a whole run.
+    """
+    placed = stored(numbered(plan, ["step"], "_at", ["run_id"], lazy=True).withColumn("_block", F.floor(F.col("_at") / n)), "numbered-steps")
+    groups = placed.groupBy("run_id", "category", "_block").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    own = groups.select("run_id", "category", "_block", "_first")
+    before = groups.select("run_id", "category", (F.col("_block") + 1).alias("_block"), "_last")
+    out = placed.join(own, ["run_id", "category", "_block"]).join(before, ["run_id", "category", "_block"], "left")
+    return out.where((F.col("_first") < F.col("_at")) | (F.col("_at") - F.col("_last") <= n)).select(*plan.columns)
 
 
 def assemble_prompt(*sections: Column) -> Column:

@@ -102,6 +102,12 @@ def key_health(states: DataFrame) -> DataFrame:
     return states.groupBy("state").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("idx")).alias("ids"))
 
 
+def key_lists(states: DataFrame, n: int = 1000) -> DataFrame:
+    """(state, part, ids): the registered keys of each state in order, n of them a row, so that no row or task has all of a state."""
+    placed = numbered(states.select("state", "idx"), ["idx"], "_at", ["state"], lazy=True).withColumn("part", F.floor(F.col("_at") / n).cast("long"))
+    return placed.groupBy("state", "part").agg(F.array_sort(F.collect_list("idx")).alias("ids"))
+
+
 def first_seen(df: DataFrame, key: str, order: str) -> DataFrame:
     """The earliest row of each key; of rows at one time that with the least other columns. Found by partial aggregation."""
     rest = [c for c in df.columns if c not in (key, order)]

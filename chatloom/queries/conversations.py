@@ -9,6 +9,7 @@ from chatloom.functions import text as X
 from chatloom.operators import parsing as P
 from chatloom.operators import validation as V
 from chatloom.operators.phrases import scan_phrases
+from chatloom.operators.phrases import topic_bias as bias_of
 from chatloom.queries.base import CFG, DAY, PROMPT, RAW, RENDERED, T, TRIM, WORDS, convs, raw, read, rendered, turns
 from chatloom.queries.duplicates import MARKED
 from chatloom.sources import conversations as S
@@ -330,6 +331,15 @@ def topic_bias(spark, d):
     return own.select("id", bias.alias("bias"), X.topic_bias(F.col("name"), F.col("definition"), [], []).alias("none"))
 
 
+def topic_bias_table(spark, d):
+    """Bias of the topics by keywords that are a table: ends of the names of every seventh customer are heavy ones, of every fifth fun ones."""
+    from chatloom.queries.plans import _topics
+
+    heavy = read(spark, d, "customer").where("c_custkey % 7 = 0").select(F.lit("heavy").alias("kind"), F.substring("c_name", -3, 3).alias("word"))
+    fun = read(spark, d, "customer").where("c_custkey % 5 = 0").select(F.lit("fun").alias("kind"), F.substring("c_name", -2, 2).alias("word"))
+    return bias_of(_topics(spark, d), heavy.unionByName(fun))
+
+
 #: Rule lists as a configuration file gives them, in any case.
 LISTS = {"abuse": ["IDIOT", "moron", "Scum"], "abuse_assistant": ["Trash", "LOSER"], "denies_ai": ["onHAha", "ENßte"], "claims_ai": ["Ouaux", "ingTHE"], "human_claim": []}
 SCOPES = {"abuse": "any", "narration": "assistant", "abuse_assistant": "assistant", "human_claim": "assistant", "denies_ai": "assistant", "claims_ai": "assistant"}
@@ -430,6 +440,11 @@ SELECT DISTINCT conv_id, turn, rank, 'opens-' || rank AS reason FROM t JOIN p ON
 
 MESSAGES = f"""WITH {T} SELECT conv_id, to_json({{'messages': [{{'role': 'system', 'content': '{PROMPT}'}}] || list({{'role': role, 'content': text}} ORDER BY turn)}})::VARCHAR AS record FROM t GROUP BY conv_id"""
 
+BIAS_TABLE = """WITH tp AS (SELECT r_regionkey AS id, lower(r_name || ' about ' || r_name) AS x FROM region UNION ALL SELECT n_nationkey + 1000, lower(n_name || ' of ' || n_name) FROM nation
+ UNION ALL SELECT c_custkey + 1000000, lower(c_name || ' with ' || c_name) FROM customer),
+kw AS (SELECT DISTINCT 2 AS k, lower(substr(c_name, -3)) AS w FROM customer WHERE c_custkey % 7 = 0 UNION ALL SELECT DISTINCT 1, lower(substr(c_name, -2)) FROM customer WHERE c_custkey % 5 = 0),
+f AS (SELECT id, max(k) AS k FROM tp JOIN kw ON contains(x, w) GROUP BY id)
+SELECT tp.id::BIGINT AS id, CASE k WHEN 2 THEN 'heavy' WHEN 1 THEN 'fun' END AS bias FROM tp LEFT JOIN f USING (id)"""
 TOPICS = """WITH tp AS (SELECT r_regionkey AS id, r_name AS name, 'about ' || r_name AS definition FROM region UNION ALL SELECT n_nationkey + 1000, n_name, 'of ' || n_name FROM nation
  UNION ALL SELECT c_custkey + 1000000, c_name, 'with ' || c_name FROM customer)
 SELECT id::BIGINT AS id, CASE WHEN regexp_matches(lower(name || ' ' || definition), 'an|ru') THEN 'heavy' WHEN regexp_matches(lower(name || ' ' || definition), 'i') THEN 'fun' END AS bias, NULL::VARCHAR AS none FROM tp"""
@@ -460,6 +475,7 @@ QUERIES = {
     "curate_job": (curate_job, CURATE),
     "validate": (validate, VALIDATE),
     "topic_bias": (topic_bias, TOPICS),
+    "topic_bias_table": (topic_bias_table, BIAS_TABLE),
     "rule_table": (rule_table, f"WITH {HITS} SELECT conv_id, turn::BIGINT AS turn, rank::BIGINT AS rank, reason FROM hit WHERE reason NOT IN ('narration_detected', 'human_claim')"),
     "chatml_file": (chatml_file, f"SELECT record FROM ({MESSAGES})"),
     "routed_files": (routed_files, f"WITH {FLAGS} SELECT CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch' END AS bucket, CASE WHEN flags <> '' THEN 'flagged' ELSE 'batch-{DAY}' END AS tag, count(*) AS n, true AS fits FROM fl GROUP BY ALL"),

@@ -113,6 +113,10 @@ def key_health(spark, d):
     return R.key_health(_states(spark, d)).select("state", "n", F.array_join("ids", ",").alias("ids"))
 
 
+def key_lists(spark, d):
+    return R.key_lists(_states(spark, d), 50).select("state", "part", F.array_join("ids", ",").alias("ids"))
+
+
 def _recent(spark, d):
     return _events(spark, d).select(F.col("event_type").alias("kind"), F.col("event_id").alias("value"), F.col("ts").alias("created_at"))
 
@@ -252,6 +256,7 @@ QUERIES = {
     "requests_per_key": (requests_per_key, "SELECT 'key_' || substr(sha256(user_id::VARCHAR), 1, 12) AS key_id, ts::DATE::VARCHAR AS day, count(*) AS requests, epoch_us(max(ts)) AS last_used_us FROM events GROUP BY user_id, ts::DATE"),
     "key_states": (key_states, f"WITH {KEYS} SELECT * FROM ks"),
     "key_health": (key_health, f"WITH {KEYS} SELECT state, count(*) AS n, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ids FROM ks GROUP BY state"),
+    "key_lists": (key_lists, f"WITH {KEYS}, n AS (SELECT state, idx, (row_number() OVER (PARTITION BY state ORDER BY idx) - 1) // 50 AS part FROM ks) SELECT state, part, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ids FROM n GROUP BY ALL"),
     "first_seen": (first_seen, "SELECT key, value FROM (SELECT event_id % 97 AS key, event_id AS value, row_number() OVER (PARTITION BY event_id % 97 ORDER BY ts, event_type, event_id) AS k FROM events) WHERE k = 1"),
     "latest_n": (latest_n, "SELECT event_id AS value FROM events ORDER BY ts DESC, event_id DESC LIMIT 100"),
     "latest_per_kind": (latest_per_kind, f"WITH {RANKED} SELECT kind, value FROM rk WHERE k <= {_CAP}"),

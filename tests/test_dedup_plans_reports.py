@@ -358,6 +358,28 @@ def test_no_recent_repeat_where_there_is_a_choice(spark):
     assert picked.count() == 120 and P.audit_recent_repeats(picked).count() == 0
 
 
+def test_repeats_within_a_hot_run(spark):
+    rnd = random.Random(2)
+    plan = [(7 if i % 2 else i % 30, i, rnd.choice([None, *(f"c{k}" for k in range(12))])) for i in range(900)]
+    got = {(r.run_id, r.step) for r in P.audit_recent_repeats(spark.createDataFrame(plan, "run_id long, step long, category string"), 6).collect()}
+    want, before = set(), {}
+    for run, step, c in plan:
+        past = before.setdefault(run, [])
+        if c is not None and c in past[-6:]:
+            want.add((run, step))
+        past.append(c)
+    assert got == want and len(got) > 100
+
+
+def test_keys_of_a_state_come_in_rows_of_bounded_length(spark):
+    states = spark.range(1000).select(F.col("id").alias("idx"), F.when(F.col("id") % 10 == 0, F.lit("dead")).otherwise(F.lit("working")).alias("state"))
+    rows = R.key_lists(states, 64).collect()
+    assert max(len(r.ids) for r in rows) == 64
+    for state in ("dead", "working"):
+        own = [i for r in sorted((r for r in rows if r.state == state), key=lambda r: r.part) for i in r.ids]
+        assert own == [i for i in range(1000) if (i % 10 == 0) == (state == "dead")]
+
+
 def test_a_run_of_any_length_is_picked_in_order(spark):
     """A run that holds half of all steps, over several batches of a partition, beside short ones, one out of choices."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
