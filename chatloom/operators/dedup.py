@@ -308,6 +308,8 @@ def resolve_greedy(rows: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     return rows.select("seq").join(gone, "seq", "left").select("seq", F.coalesce("kept", F.lit(True)).alias("kept"))
 
 
+#: Sightings of long hashes that a slice has.
+SLICE_ROWS = 1_000_000
 #: A hash of more sightings than LONG, and than one in LONG_HASHES of all, is dealt over several tasks; there are LONG_HASHES of these at most.
 LONG, LONG_HASHES = 10_000, 100_000
 
@@ -325,13 +327,18 @@ def _walk(cells: np.ndarray, offsets: np.ndarray, enter: int) -> Iterator[tuple[
         cell += 1
 
 
+def _same(name: str | None, n: int) -> pd.Series:
+    """A hash n times, as plain strings."""
+    return pd.Series([name] * n, dtype=object)
+
+
 def _leads(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
     """Where a walk that enters the slice by a cell ends."""
     own = own.sort_values(["cell", "offset"])
     cells, offsets = own["cell"].to_numpy(), own["offset"].to_numpy()
     every = np.unique(cells)
     ends = [c + sum(1 for _ in _walk(cells, offsets, c)) - 1 for c in every]
-    return pd.DataFrame({"hash": [key[0]] * len(every), "slice": key[1], "cell": every, "last": ends})
+    return pd.DataFrame({"hash": _same(key[0], len(every)), "slice": key[1], "cell": every, "last": ends})
 
 
 def _route(key: tuple, leads: pd.DataFrame) -> pd.DataFrame:
@@ -351,7 +358,7 @@ def _route(key: tuple, leads: pd.DataFrame) -> pd.DataFrame:
         k = bisect.bisect_right(above, at[0])
         j = bisect.bisect_left(cells, end + 2)
         at = (above[k], end + 1) if k < len(above) else (slices[cells[j]][0], cells[j]) if j < len(cells) else None
-    return pd.DataFrame({"hash": [key[0]] * len(out), "slice": [s for s, _ in out], "cell": [c for _, c in out]})
+    return pd.DataFrame({"hash": _same(key[0], len(out)), "slice": [s for s, _ in out], "cell": [c for _, c in out]})
 
 
 def _long_anchors(sightings: DataFrame, span: int) -> DataFrame:
@@ -365,7 +372,9 @@ def _long_anchors(sightings: DataFrame, span: int) -> DataFrame:
     """
     own = sightings.select("hash", F.expr(f"us - pmod(us, {span}L)").alias("start"), F.expr(f"pmod(us, {span}L)").alias("offset"))
     own = own.select("hash", F.expr(f"start div {span}L").alias("cell"), "offset")
-    placed = stored(own.repartitionByRange("hash", "offset").withColumn("slice", F.spark_partition_id()), "slices-of-sightings")
+    own = stored(own, "sightings-by-offset")
+    slices = max(int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-own.count() // SLICE_ROWS))
+    placed = stored(own.repartitionByRange(slices, "hash", "offset").withColumn("slice", F.spark_partition_id()), "slices-of-sightings")
     leads = placed.groupBy("hash", "slice").applyInPandas(_leads, "hash string, slice int, cell long, last long")
     route = stored(leads.groupBy("hash").applyInPandas(_route, "hash string, slice int, cell long"), "routes")
 
@@ -373,7 +382,7 @@ def _long_anchors(sightings: DataFrame, span: int) -> DataFrame:
         slice_rows = slice_rows.sort_values(["cell", "offset"])
         cells, offsets = slice_rows["cell"].to_numpy(), slice_rows["offset"].to_numpy()
         found = [c * span + x for enter in entered["cell"] for c, x in _walk(cells, offsets, enter)]
-        return pd.DataFrame({"hash": [key[0]] * len(found), "us": np.array(found, dtype=np.int64)})
+        return pd.DataFrame({"hash": _same(key[0], len(found)), "us": np.array(found, dtype=np.int64)})
 
     return placed.groupBy("hash", "slice").cogroup(route.groupBy("hash", "slice")).applyInPandas(apply, "hash string, us long")
 

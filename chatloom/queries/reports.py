@@ -15,7 +15,7 @@ from chatloom.queries.duplicates import TTL as _TTL
 from chatloom.sources import conversations as S
 from chatloom.sources.scratch import scratch, stored
 from chatloom.streaming import jobs as J
-from chatloom.streaming.batches import BatchSink
+from chatloom.streaming.batches import BatchSink, routed_batches
 
 AS_OF = "2024-01-28 12:00:00"
 TARGET = 600_000
@@ -220,10 +220,12 @@ def stream_leaves(spark, d):
 
 
 def stream_route(spark, d):
-    """Raw conversations through the validating, routing sink; how many records each bucket got."""
-    stream, out = _stream(spark, rendered(spark, d), "conv_id"), scratch(spark, "route-out")
-    J.run_once(stream, scratch(spark, "route-checkpoint"), sink=J.routed_sink(out, DAY, PROMPT, CFG))
-    return spark.read.text(out).groupBy("bucket", "tag").agg(F.count("*").alias("n"))
+    """Raw conversations through validation and routing into batches; how many records each bucket got."""
+    stream, sink = _stream(spark, rendered(spark, d), "conv_id"), BatchSink(scratch(spark, "route-out"))
+    J.run_once(stream, scratch(spark, "route-checkpoint"), sink=routed_batches(sink, DAY, PROMPT, CFG))
+    sink.close(spark)
+    tag = F.when(F.col("bucket") == "flagged", F.lit("flagged")).otherwise(F.concat(F.lit("batch-"), "day"))
+    return sink.records(spark).groupBy("bucket", tag.alias("tag")).agg(F.count("*").alias("n"))
 
 
 def stream_batches(spark, d):

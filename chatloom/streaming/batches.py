@@ -34,24 +34,18 @@ class BatchSink:
     def __init__(self, path: str, n: int = 15) -> None:
         self.path, self.n = path, n
 
-    def _committed(self, spark: SparkSession) -> dict[str, dict]:
-        """The manifests by step, in order."""
+    def _committed(self, spark: SparkSession) -> dict[str, int]:
+        """The steps that are committed, in order, and how many batches each has: both are in the names of the manifests."""
         fs, folder = fs_path(spark, f"{self.path}/commits")
-        out = {}
-        for status in fs.listStatus(folder) if fs.exists(folder) else []:
-            stream = fs.open(status.getPath())
-            try:
-                out[status.getPath().getName()] = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-            finally:
-                stream.close()
-        return dict(sorted(out.items()))
-
-    def _commit(self, spark: SparkSession, step: str, manifest: dict) -> None:
+        names = [status.getPath().getName() for status in fs.listStatus(folder)] if fs.exists(folder) else []
+        return dict(sorted((step, int(n)) for step, _, n in (name.rpartition(".") for name in names)))
+
+    def _commit(self, spark: SparkSession, step: str, batches: int, after: str | None) -> None:
         fs, temporary = fs_path(spark, f"{self.path}/_temporary/{uuid.uuid4().hex}")
         out = fs.create(temporary, True)
-        out.write(json.dumps(manifest).encode())
+        out.write(json.dumps({"step": step, "after": after, "batches": batches}).encode())
         out.close()
-        _, end = fs_path(spark, f"{self.path}/commits/{step}")
+        _, end = fs_path(spark, f"{self.path}/commits/{step}.{batches}")
         fs.mkdirs(end.getParent())
         if not fs.rename(temporary, end):
             raise RuntimeError(f"step {step} was committed meanwhile")
@@ -83,19 +77,18 @@ class BatchSink:
         full = placed.join(whole, [*KEYS, "_batch"]).join(counts, KEYS, "left")
         full = full.withColumn("batch_no", F.col("_batch") + F.coalesce("batches", F.lit(0)))
         out = full.select(*KEYS, "batch_no", "value", "seq").repartition(*KEYS, "batch_no").sortWithinPartitions(*KEYS, "batch_no", "seq").drop("seq")
-        out.write.mode("overwrite").partitionBy(*KEYS, "batch_no").text(f"{self.path}/records/{step}")
+        out.write.mode("overwrite").partitionBy(*KEYS, "batch_no").text(f"{self.path}/records/step={step}")
         placed.join(whole, [*KEYS, "_batch"], "left_anti").select("bucket", "day", "seq", "value").write.mode("overwrite").parquet(f"{self.path}/left/{step}")
-        self._commit(spark, step, {"after": before, "batches": whole.count()})
+        self._commit(spark, step, whole.count(), before)
 
     def records(self, spark: SparkSession) -> DataFrame:
         """(bucket, day, batch_no, value, file) of the committed batches."""
-        out = spark.createDataFrame([], "bucket string, day string, batch_no long, value string, file string")
-        schema = "value string, bucket string, day string, batch_no long"
-        for step, manifest in self._committed(spark).items():
-            if manifest["batches"]:
-                own = spark.read.schema(schema).text(f"{self.path}/records/{step}")
-                out = out.unionByName(own.select("bucket", "day", F.col("batch_no").cast("long"), "value", F.col("_metadata.file_path").alias("file")))
-        return out
+        schema, steps = "value string, step string, bucket string, day string, batch_no long", [step for step, n in self._committed(spark).items() if n]
+        columns = ["bucket", "day", "batch_no", "value", F.col("_metadata.file_path").alias("file")]
+        if not steps:
+            return spark.createDataFrame([], "bucket string, day string, batch_no long, value string, file string")
+        paths = [f"{self.path}/records/step={step}" for step in steps]
+        return spark.read.schema(schema).option("basePath", f"{self.path}/records").text(paths).select(*columns)
 
     def log(self, spark: SparkSession) -> DataFrame:
         """(batch_id, tag_prefix, count): the batch log of what is written."""

@@ -16,7 +16,6 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulP
 
 from chatloom.config import Config
 from chatloom.operators.validation import process
-from chatloom.sources.conversations import write_routed
 from chatloom.sources.scratch import stored
 from chatloom.streaming.near_index import NearIndex
 
@@ -82,20 +81,6 @@ def validate_stream(stream: DataFrame, cfg: Config) -> DataFrame:
     return process(stream, cfg)
 
 
-def routed_sink(path: str, day: str, system_prompt: str, cfg: Config, batch_size: int = 15) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: validates a micro-batch of (conv_id, text) and writes what passes to a folder of its own, so a repeat replaces it."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        done = process(batch, cfg).where("ok")
-        own = f"{path}/part={number}"
-        jvm, spark = batch.sparkSession._jvm, batch.sparkSession
-        target = jvm.org.apache.hadoop.fs.Path(own)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-        write_routed(done, own, day, system_prompt, batch_size)
-
-    return write
-
-
 def near_duplicate_sink(state_path: str, out_path: str, caps: dict[str, int], sig: tuple[int, int] = (9, 10), opn: tuple[int, int] = (19, 20)) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function over (seq, signature, opening), seq growing over the batches: marks the rows that one of the
     newest signatures or openings before them is similar or equal to, caps of each, in this micro-batch or remembered.

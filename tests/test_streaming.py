@@ -106,16 +106,6 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert seen() == first and first
 
 
-def test_routing_over_batches(spark, tmp_path):
-    text = "\n\n".join(f"{'user' if i % 2 == 0 else 'Bot'}: One. Two. Three." for i in range(8))
-    add, stream = feed(spark, tmp_path, "conv_id long, text string")
-    for k in range(3):
-        add([(10 * k, text), (10 * k + 1, "nothing"), (10 * k + 2, text)])
-    J.run_once(stream(), str(tmp_path / "check"), sink=J.routed_sink(str(tmp_path / "out"), "2024-01-01", "be kind", Config(persona="Bot")))
-    parts = spark.read.text(str(tmp_path / "out")).groupBy("part", "bucket").agg(F.count("*").alias("n")).collect()
-    assert sorted((r.part, r.bucket, r.n) for r in parts) == [(k, "batch", 2) for k in range(3)]
-
-
 RECORDS = "bucket string, day string, seq long, value string"
 
 
