@@ -90,8 +90,8 @@ def weighted_pick(df: DataFrame, options: list[tuple[str, float]], axis: str, se
     return df.withColumn("_u", uniform(seed, axis, F.col(key))).withColumn(axis, out).drop("_u")
 
 
-#: Options of a group that stand in one row, and units that a weight of 1 counts.
-CHUNK, UNITS = 4096, 1_000_000
+#: Options that stand in one row, rows whose ends stand in one row above them, and units that a weight of 1 counts.
+CHUNK, UNITS = 256, 1_000_000
 
 
 def fine_uniform(seed: int | str, axis: str, key: Column) -> Column:
@@ -119,24 +119,32 @@ def weighted_draw(df: DataFrame, options: DataFrame, group: str, axis: str, seed
     """df with a column axis: one id of options(group, id, pos, weight) of the row's group, in proportion to its weight, in the order of pos and id.
 
     Weights count in millionths; null, negative and zero weights are never drawn, and rows of a group without any other
-    have no option. A group's weights are added up over slices of its options and laid out in rows of CHUNK: a draw
-    searches the rows' ends, then one row, by halving, so a group may have millions of options.
+    have no option. A group's weights are added up over slices of its options and laid out as a tree with CHUNK ends a
+    row: a draw goes down from the group's one row at the top, a join and a search by halving a level, so no row is
+    long however many options there are.
     """
     units = F.round(F.coalesce(F.col("weight"), F.lit(0)).cast("double") * UNITS).cast("long")
     own = options.select(group, "id", "pos", units.alias("units")).where(F.col("units") > 0)
     placed = running_total(own, ["pos", "id"], F.col("units"), "before", [group], lazy=True)
-    placed = numbered(placed.withColumn("top", F.col("before") + F.col("units")), ["top"], "number", [group], lazy=True)
-    chunk = F.floor(F.col("number") / CHUNK).cast("long").alias("chunk")
-    each = F.array_sort(F.collect_list(F.struct("top", "id")))
-    chunks = stored(placed.select(group, chunk, "top", "id").groupBy(group, "chunk").agg(each.alias("own")), "option-chunks")
-    ends = F.array_sort(F.collect_list(F.get("own", F.size("own") - 1)["top"]))
-    heads = chunks.groupBy(group).agg(ends.alias("_ends"))
-    total = F.get("_ends", F.size("_ends") - 1)
-    target = F.floor(fine_uniform(seed, axis, F.col(key)) * total).cast("long")
-    out = df.join(heads, group, "left").withColumn("_target", target).withColumn("_chunk", _first_above(F.col("_ends"), F.col("_target")).cast("long"))
-    rows = chunks.select(F.col(group).alias("_group"), F.col("chunk").alias("_no"), "own")
-    out = out.drop("_ends").join(rows, (F.col(group) == F.col("_group")) & (F.col("_chunk") == F.col("_no")), "left")
-    return out.select(*df.columns, F.get("own.id", _first_above(F.col("own.top"), F.col("_target"))).alias(axis))
+    placed = numbered(placed.withColumn("top", F.col("before") + F.col("units")), ["top"], "no", [group], lazy=True)
+    level, levels = stored(placed.select(group, "no", "top", "id"), "options"), []
+    while not levels or level.where("no > 0").head(1):
+        each = F.array_sort(F.collect_list(F.struct("top", "id") if not levels else F.struct("top")))
+        rows = level.groupBy(group, F.floor(F.col("no") / CHUNK).cast("long").alias("no")).agg(each.alias("own"))
+        ids = [] if levels else [F.col("own.id").alias("ids")]
+        rows = stored(rows.select(group, "no", F.col("own.top").alias("tops"), *ids), "option-rows")
+        levels.append(rows)
+        level = rows.select(group, "no", F.get("tops", F.size("tops") - 1).alias("top"))
+    total = level.select(F.col(group).alias("_group"), F.col("top").alias("_total"))
+    out = df.join(total, F.col(group) == F.col("_group"), "left").drop("_group")
+    out = out.withColumns({"_target": F.floor(fine_uniform(seed, axis, F.col(key)) * F.col("_total")).cast("long"), "_at": F.lit(0).cast("long")}).drop("_total")
+    for rows in reversed(levels):
+        named = rows.select(F.col(group).alias("_group"), F.col("no").alias("_no"), "tops", *(["ids"] if rows is levels[0] else []))
+        below = _first_above(F.col("tops"), F.col("_target"))
+        found = F.get("ids", below).alias(axis) if rows is levels[0] else (F.col("_at") * CHUNK + below).alias("_at")
+        keep = df.columns if rows is levels[0] else [*df.columns, "_target"]
+        out = out.join(named, (F.col(group) == F.col("_group")) & (F.col("_at") == F.col("_no")), "left").select(*keep, found)
+    return out
 
 
 def edge_pick(df: DataFrame, edges: list[tuple[str, float, int]], seed: int, key: str = "slot_id", stage: str = "stage") -> DataFrame:
@@ -235,8 +243,9 @@ def pick_without_recent(plan: DataFrame, history: int = 25, seed: int = 42) -> D
     """
     rank = lambda c: F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("category"), F.col("step").cast("string"), c))
     ranked = F.array_sort(F.transform("allowed", lambda c: F.struct(rank(c).alias("rank"), c.alias("c"))))
-    own = plan.select(F.col("run_id").cast("long").alias("run_id"), F.col("step").cast("long").alias("step"), ranked["c"].alias("choices"))
-    return own.repartition("run_id").sortWithinPartitions("run_id", "step").mapInArrow(lambda b: _picks(b, history), "run_id long, step long, category string")
+    own = plan.select(F.col("run_id").cast("long").alias("run_id"), F.col("step").cast("long").alias("step"), "allowed")
+    dealt = own.repartition(int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run_id").sortWithinPartitions("run_id", "step")
+    return dealt.select("run_id", "step", ranked["c"].alias("choices")).mapInArrow(lambda b: _picks(b, history), "run_id long, step long, category string")
 
 
 def audit_recent_repeats(plan: DataFrame, n: int = 25) -> DataFrame:

@@ -328,7 +328,7 @@ def test_draws_from_a_table_are_those_of_a_walk(spark, monkeypatch, chunk):
 
 
 def test_many_options_a_group(spark):
-    """10,000 options a group over several rows of them; what is drawn follows the weights."""
+    """10,000 options a group over two levels of rows; what is drawn follows the weights."""
     options = spark.range(20_000).select((F.col("id") % 2).cast("string").alias("grp"), "id", F.lit(0).alias("pos"), F.when(F.col("id") < 2000, F.lit(9.0)).otherwise(F.lit(1.0)).alias("weight"))
     df = spark.range(4000).select(F.col("id").alias("slot_id"), (F.col("id") % 2).cast("string").alias("grp"))
     out = P.weighted_draw(df, options, "grp", "axis", 1)
