@@ -419,7 +419,8 @@ def emoji_only_turns(spark, d):
 
 
 def phrase_ngrams(spark, d):
-    return V.repeated_phrases(turns(spark, d), 3, 2)
+    # Nested and taken apart again for the queries, so written once for the two passes.
+    return V.repeated_phrases(stored(turns(spark, d), "turns"), 3, 2)
 
 
 PHRASES = f"""WITH {T}, w AS (SELECT conv_id, [x FOR x IN regexp_split_to_array(lower(text), '\\s+') IF x <> ''] AS ws FROM t WHERE role = 'assistant'),
