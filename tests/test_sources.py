@@ -71,13 +71,14 @@ def test_scratch_tables_are_cleared(spark):
     assert scratch(spark, "x").rpartition("/")[2].startswith("x-")
 
 
-def test_passing_tables_go_and_others_stay(spark, tmp_path, monkeypatch):
+def test_passing_tables_go_and_others_stay(spark):
     from chatloom.sources import scratch as T
 
-    monkeypatch.setattr(T, "LOCAL_SCRATCH", f"file://{tmp_path}")
-    before = T.stored(spark.range(3), "before")
-    end = T.scratch(spark, "end")
+    before = stored(spark.range(3), "before")
+    end = scratch(spark, "end")
     with T.passing(spark):
-        T.stored(before, "inner").write.parquet(end)
-    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["before", "end"]
+        stored(before, "inner").write.parquet(end)
+        inner = T._MADE[-1]
+    fs, folder = T.fs_path(spark, inner)
+    assert "/inner-" in inner and not fs.exists(folder) and inner not in T._MADE and end in T._MADE
     assert spark.read.parquet(end).count() == before.count() == 3
