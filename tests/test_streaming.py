@@ -181,18 +181,18 @@ def near_by(df, cap, blank=False):
 @pytest.mark.parametrize(("cap", "blank", "rebuild"), [(25, False, 3), (7, True, 50)])
 def test_the_index_finds_what_the_band_of_the_whole_does(spark, tmp_path, monkeypatch, cap, blank, rebuild):
     monkeypatch.setattr(N, "REBUILD", rebuild)
-    rows = [(i, s if i % 9 else rnd_blank) for (i, s, _), rnd_blank in zip(rows_of(130, 7), itertools.cycle(["", " ", "solo"]))]
+    rows = [(i, s if i % 9 else rnd_blank) for (i, s, _), rnd_blank in zip(rows_of(109, 7), itertools.cycle(["", " ", "solo"]))]
     index = N.NearIndex(spark, str(tmp_path / "index"), 9, 10, cap, blank, buckets=3)
     got, at = set(), 0
-    for k, n in enumerate((30, 1, 44, 0, 20, 35)):
+    for k, n in enumerate((30, 44, 0, 35)):
         part = spark.createDataFrame(rows[at : at + n], "seq long, value string")
         found = {r.seq for r in index.step(2 * k, part).collect()}
         # The same again, and in another session that doesn't know the tables.
-        if k % 2:
+        if k == 1:
             assert {r.seq for r in N.NearIndex(spark.newSession(), str(tmp_path / "index"), 9, 10, cap, blank).step(2 * k, spark.createDataFrame(rows[at : at + n], "seq long, value string")).collect()} == found
         got |= found
         at += n
-    assert got == near_by(spark.createDataFrame(rows, "seq long, value string"), cap, blank) and len(got) > 20
+    assert got == near_by(spark.createDataFrame(rows, "seq long, value string"), cap, blank) and len(got) > 10
     assert len(index._manifest(99)["parts"]) <= rebuild + 1
 
 
