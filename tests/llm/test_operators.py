@@ -292,6 +292,21 @@ def test_a_text_without_common_words_goes(spark):
     assert all(out[i].word_distance is not None for i in range(120)) and {i for i, r in out.items() if not r.kept} == set(range(500, 505))
 
 
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.6, 0.8])
+@pytest.mark.parametrize("kind", ["letters", "codes"])
+def test_junk_goes_at_any_share(spark, share, kind):
+    rnd = random.Random(int(share * 10))
+    common = ["the", "of", "and", "to", "in", "is", "that", "for"]
+    letters = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 9)))
+    codes = lambda: f"X{rnd.randrange(10**6)}#{rnd.randrange(99)}"
+    good = lambda n: " ".join(rnd.choice(common) if rnd.random() < 0.4 else letters() for _ in range(n))
+    junk = lambda n: " ".join((letters if kind == "letters" else codes)() for _ in range(n))
+    bad = int(200 * share)
+    rows = [(i, (junk if i < bad else good)(rnd.choice([60, 150, 400])), "en") for i in range(200)]
+    out = quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r.doc_id for r in out if not r.kept} == set(range(bad))
+
+
 def test_common_counts_are_the_words(spark):
     df = spark.createDataFrame([(["a", "a", "ab", "a", "é", "b"], ["a", "b", "c", "é"])], "w array<string>, c array<string>")
     assert df.select(quality.common_counts(F.col("w"), F.col("c"))).first()[0] == [3.0, 1.0, 0.0, 1.0]
