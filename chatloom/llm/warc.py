@@ -2,9 +2,11 @@
 
 Pages are dealt to shards by ranges of (page_id, digest), cut where the running sum of bytes along that order
 passes the shard size, so the same table gives the same shards, whatever the gaps between its ids. Rows are
-sorted and written as one gzip member a record; a file is closed once its compressed size passes the roll size. Headers, digests and record ids are made anew from the payload and page_id alone, so a
-repeated task writes the same bytes. A task writes under a temporary name and renames when the file is whole;
-the manifest of files, written last, is the commit: readers open only what it lists.
+sorted and written as one gzip member a record; a file is closed once its compressed size passes the roll size,
+so a payload over that has a file of its own. Headers, digests and record ids are made anew from the payload and
+page_id alone, so a repeated task writes the same bytes. A task writes under a temporary name and renames when the
+file is whole; a task that runs again leaves whole files of the same bytes as they are and replaces others; the
+manifest of files, written last, is the commit: readers open only what it lists.
 
 Of pages with equal payloads of at least min_bytes bytes, that with the largest page_id is the response and
 the others revisit it; a repeated row revisits its first. Smaller payloads are all responses.
@@ -22,16 +24,18 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import scratch, stored, table
+from chatloom.llm.common import fs_path, scratch, stored, table
 from chatloom.operators.ordering import running_total
 
 SHARD_BYTES, ROLL_BYTES = 16 << 20, 4 << 20
-#: Shards are larger where there would be more than this many of them, so their bounds can be broadcast.
+#: Shards, but not their files, are larger where there would be more than this many of them, so their bounds can be broadcast: of
+#: 1 GB for 100 TB. A task holds one file at a time.
 MAX_SHARDS = 100_000
 #: Bytes that a record's headers count for, and shards whose files one file of the manifest lists.
 HEAD_BYTES, LISTED = 600, 2000
@@ -99,18 +103,39 @@ class _Shard:
         if self.size >= self.roll:
             self.close()
 
+    def holds(self, target: str, data: bytes) -> bool:
+        """Whether the target is a file of just these bytes; a file of others, from an attempt that was cut off, is deleted."""
+        from pyarrow import fs
+
+        info = self.fs.get_file_info(target)
+        if info.type == fs.FileType.NotFound:
+            return False
+        if info.size == len(data):
+            with self.fs.open_input_stream(target, compression=None) as there:
+                if there.read() == data:
+                    return True
+        self.fs.delete_file(target)
+        return False
+
     def close(self) -> None:
         if not self.records:
             return
         name = f"shard-{self.shard:06d}-{self.number:05d}.warc.gz"
-        own = posixpath.join(self.root, "_temporary", uuid.uuid4().hex)
-        self.fs.create_dir(own, recursive=True)
         data = b"".join(self.parts)
-        with self.fs.open_output_stream(posixpath.join(own, name), compression=None) as out:
-            out.write(data)
-        self.fs.create_dir(posixpath.join(self.root, "records"), recursive=True)
-        self.fs.move(posixpath.join(own, name), posixpath.join(self.root, "records", name))
-        self.fs.delete_dir(own)
+        target = posixpath.join(self.root, "records", name)
+        if not self.holds(target, data):
+            own = posixpath.join(self.root, "_temporary", uuid.uuid4().hex)
+            self.fs.create_dir(own, recursive=True)
+            with self.fs.open_output_stream(posixpath.join(own, name), compression=None) as out:
+                out.write(data)
+            self.fs.create_dir(posixpath.join(self.root, "records"), recursive=True)
+            try:
+                self.fs.move(posixpath.join(own, name), target)
+            except OSError:
+                # Another attempt of this task was faster: what it left is as good, if it is the same.
+                if not self.holds(target, data):
+                    raise
+            self.fs.delete_dir(own)
         self.done.append((name, self.records, self.size, hashlib.sha1(data).hexdigest()))
         self.parts, self.size, self.records, self.number = [], 0, 0, self.number + 1
 
@@ -155,18 +180,33 @@ def shard_bounds(light: DataFrame, shard_bytes: int) -> list[tuple[int, str]]:
     return sorted({(r.low.page_id, r.low.sha1) for r in lows.select("low").collect()})
 
 
+def place_of(bounds: tuple[np.ndarray, list[str]], page_id: np.ndarray, sha1: pd.Series) -> np.ndarray:
+    """The number of the last of the bounds (page_ids in order, and digests) that is at or before each row."""
+    pages, digests = bounds
+    first, end = np.searchsorted(pages, page_id, "left"), np.searchsorted(pages, page_id, "right")
+    out = (end - 1).astype(np.int32)
+    # Digests decide only for pages at which a shard begins.
+    for i in np.flatnonzero(first < end):
+        out[i] = bisect.bisect_right(digests, sha1.iloc[i], first[i], end[i]) - 1
+    return out
+
+
 def write_archive(pages: DataFrame, root: str, min_bytes: int = 0, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES) -> None:
-    """Writes pages(page_id, url, html) under root and commits its manifest."""
+    """Writes pages(page_id, url, html) under root and commits its manifest; an error if root holds a committed archive."""
     spark = pages.sparkSession
+    files, done = fs_path(spark, f"{root}/manifest/_SUCCESS")
+    if files.exists(done):
+        raise FileExistsError(root)
     payload = F.coalesce("html", F.lit("")).cast("binary")
     own = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("sha1"))
     light = stored(own.select("page_id", "sha1", F.octet_length("payload").alias("n")), "pages")
     place = F.coalesce("page_id", F.lit(NO_PAGE))
-    bounds = spark.sparkContext.broadcast(shard_bounds(light.select(place.alias("page_id"), "sha1", "n"), shard_bytes))
+    lows = shard_bounds(light.select(place.alias("page_id"), "sha1", "n"), shard_bytes)
+    bounds = spark.sparkContext.broadcast((np.array([p for p, _ in lows], dtype=np.int64), [d for _, d in lows]))
 
     @F.pandas_udf("int")
     def shard_of(page_id: pd.Series, sha1: pd.Series) -> pd.Series:
-        return pd.Series([bisect.bisect_right(bounds.value, key) - 1 for key in zip(page_id, sha1, strict=True)], dtype="int32")
+        return pd.Series(place_of(bounds.value, page_id.to_numpy(), sha1))
 
     copies = light.where(F.col("n") >= min_bytes).groupBy("sha1").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("k"))
     copies = stored(copies.where("k > 1"), "copies").select("sha1", "refers_to")
@@ -175,13 +215,13 @@ def write_archive(pages: DataFrame, root: str, min_bytes: int = 0, shard_bytes:
     rows = (
         own.select(shard.alias("shard"), "page_id", "sha1", "url", "payload", F.lit(None).cast("long").alias("refers_to"))
         .unionByName(notes.select(shard.alias("shard"), "page_id", "sha1", "refers_to"), allowMissingColumns=True)
-        .repartitionByRange(max(1, len(bounds.value)), "shard")
+        .repartitionById(max(1, len(lows)), F.col("shard"))
         .sortWithinPartitions("shard", "page_id", "sha1", F.col("payload").isNotNull())
     )
     files = rows.select("shard", "page_id", "sha1", "url", "payload", "refers_to").mapInArrow(lambda b: _write(b, root, roll_bytes), MANIFEST)
     # The list of files is written once by the tasks that write them; bringing it into few files comes after.
     listed = stored(files, "warc-files")
-    listed.coalesce(len(bounds.value) // LISTED + 1).write.json(f"{root}/manifest")
+    listed.coalesce(len(lows) // LISTED + 1).write.json(f"{root}/manifest")
 
 
 def records_of(stream) -> Iterator[tuple[dict[str, str], bytes]]:
