@@ -15,8 +15,9 @@ which two at least stand in the document unchanged, about as far apart; what the
 verified in the same way. Items under LEAST bytes count where they stand exactly as they are, not inside a longer ASCII word; items
 without any text are found nowhere.
 
-Items are handled in blocks of at most BLOCK bytes and the last one's, an item counting for EACH bytes at least, so what
-is broadcast has a bound; each block takes one pass over the documents.
+Items are handled in blocks of at most BLOCK bytes and the last one's, an item counting for EACH bytes and for ENTRY bytes a
+window at least, so what is broadcast has a bound (under 100 MB for text of any kind) and is released at the end; each
+block takes one pass over the documents.
 
 Defined results: one row per row of the documents, for any number of blocks; null and empty texts are clean; equal
 rows get equal results; an empty benchmark leaves all clean, and empty documents give no rows; null item texts count
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import stored, table
+from chatloom.llm.common import stored, table, words
 from chatloom.llm.textops import chunks, word_spans
 from chatloom.operators.ordering import running_total
 
@@ -50,7 +51,7 @@ FEW = 24
 LONG, EVERY = 24, 8
 #: Bytes of a piece that are looked up.
 SEED = 8
-BLOCK, EACH = 4 << 20, 400
+BLOCK, EACH, ENTRY = 4 << 20, 400, 8
 #: Steps that two walks must agree on, as a share, before the edit distance is computed.
 AGREE = 0.6
 _BITS = 20
@@ -67,7 +68,6 @@ class Walk:
     owners: list[np.ndarray] = field(default_factory=list)
     filters: list[np.ndarray] = field(default_factory=list)
     early: list[np.ndarray] = field(default_factory=list)
-    entry_steps: np.ndarray | None = None
 
 
 @dataclass
@@ -76,6 +76,9 @@ class Index:
     stride: int
     half: int
     items: list[tuple[int, bytes]]
+    #: The items' bytes one after the other, and where in them each entry begins; and each entry's item and place in it.
+    data: np.ndarray
+    pos: np.ndarray
     entries: np.ndarray
     walks: list[Walk]
 
@@ -147,20 +150,19 @@ def build(items: list[tuple[int, bytes]], steps: int, stride: int, seed: int = 1
             samples.append(sorted(map(int, first)) + sorted(map(int, rest)))
         walk = Walk(bits, samples)
         read = run_walk(data, pos, walk, steps)
-        walk.entry_steps = read
         last = pos + np.array([walk.bits[j][read[j]] for j in range(steps)]).sum(axis=0) if len(pos) else pos
         whole = np.flatnonzero(last <= ends)
         for sample in samples:
             keys = _keys(read, sample)[whole]
             order = np.argsort(keys, kind="stable")
             walk.keys.append(keys[order])
-            walk.owners.append(whole[order])
+            walk.owners.append(whole[order].astype(np.int32))
             for part, into in ((sample, walk.filters), ([j for j in sample if j < half], walk.early)):
                 bitmap = np.zeros(1 << _BITS, dtype=bool)
                 bitmap[_slot(_keys(read, part)[whole])] = True
                 into.append(bitmap)
         walks.append(walk)
-    return Index(steps, stride, half, items, entries, walks)
+    return Index(steps, stride, half, items, data, pos.astype(np.int32), entries.astype(np.int32), walks)
 
 
 def candidates(data: np.ndarray, pos: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
@@ -189,9 +191,12 @@ def candidates(data: np.ndarray, pos: np.ndarray, index: Index) -> tuple[np.ndar
             ends = np.cumsum(n)
             entry = owners[np.arange(ends[-1]) - np.repeat(ends - n - lo, n)]
             where = pos[alive[np.repeat(hit, n)]]
-            agree = (run_walk(data, where, walk, index.steps) == walk.entry_steps[:, entry]).mean(axis=0)
-            near = agree >= AGREE
-            found_pos.append(where[near]), found_entry.append(entry[near])
+            for low in range(0, len(entry), 1 << 16):
+                own, there = entry[low : low + (1 << 16)], where[low : low + (1 << 16)]
+                # An item's walk is made again, which is shorter than keeping the walks of all entries.
+                agree = run_walk(data, there, walk, index.steps) == run_walk(index.data, index.pos[own].astype(np.int64), walk, index.steps)
+                near = agree.mean(axis=0) >= AGREE
+                found_pos.append(there[near]), found_entry.append(own[near])
     if not found_pos:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     both = np.unique(np.stack([np.concatenate(found_pos), np.concatenate(found_entry)]), axis=1)
@@ -353,7 +358,7 @@ def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float,
                 pos, entry = candidates(padded, np.concatenate([starts[pick], inner]), index)
                 tried: set[tuple[int, int, int]] = set()
                 for p, e in zip(pos.tolist(), entry.tolist(), strict=True):
-                    k, offset = index.entries[e]
+                    k, offset = map(int, index.entries[e])
                     item_id, item = index.items[k]
                     r = int(np.searchsorted(offsets, p, "right")) - 1
                     if item_id in hits[r] or (r, k, (p - offset) // 16) in tried:
@@ -371,30 +376,42 @@ def search(batches: Iterator[pa.RecordBatch], indexes: list[Index], rate: float,
             )
 
 
+def in_blocks(items: DataFrame, block: int = BLOCK) -> DataFrame:
+    """items(item_id, text) with the number of the block that each is in."""
+    long = F.filter(words(F.col("text")), lambda w: F.octet_length(w) > LONG)
+    entries = F.size(words(F.col("text"))) + F.aggregate(long, F.lit(0), lambda n, w: n + F.length(w) - 1)
+    counted = running_total(items, ["item_id", "text"], F.greatest(F.octet_length("text"), F.lit(EACH), ENTRY * entries), "before")
+    return counted.select("item_id", "text", F.floor(F.col("before") / block).alias("block"))
+
+
 def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_ids): for each row of docs the ids of the items that contaminate it, in order."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    counted = running_total(items, ["item_id", "text"], F.greatest(F.octet_length("text"), F.lit(EACH)), "before")
-    placed = stored(counted.select("item_id", "text", F.floor(F.col("before") / block).alias("block")), "items")
+    placed = stored(in_blocks(items, block), "items")
     blocks = sorted(r.block for r in placed.select("block").distinct().collect()) or [0]
     own, keys = docs.select("doc_id", "text"), ["doc_id"]
     if len(blocks) > 1:
         # The blocks' results meet again by row.
         own, keys = stored(own.withColumn("row", F.monotonically_increasing_id()), "numbered-documents"), ["row", "doc_id"]
-    out = None
+    out, broadcasts = None, []
     for b in blocks:
         rows = sorted({(r.item_id, _plain(r.text)) for r in placed.where(F.col("block") == b).collect()})
         classes = [([x for x in rows if len(x[1]) >= SHORT], STEPS, STRIDE), ([x for x in rows if LEAST <= len(x[1]) < SHORT], FEW, 1)]
         indexes = [build(x, steps, stride) for x, steps, stride in classes if x]
         seeds = build_seeds([x for x in rows if len(x[1]) < PIECED and x[1].strip()], rate)
         shared = spark.sparkContext.broadcast((indexes, seeds))
+        broadcasts.append(shared)
         got = own.mapInArrow(
             lambda it, shared=shared: search(it, shared.value[0], rate, shared.value[1], keys), ", ".join(f"{k} long" for k in keys) + ", item_ids array<bigint>"
         )
         out = got if out is None else out.unionByName(got)
     if len(blocks) > 1:
         out = out.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids")).drop("row")
+    # What is found is a few ids a row; once it is written the indexes can go.
+    out = stored(out, "found-items")
+    for shared in broadcasts:
+        shared.destroy()
     return out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import pickle
 import random
 import re
 from pathlib import Path
@@ -524,6 +525,21 @@ def test_walks_find_items_without_the_pieces(monkeypatch):
         assert found >= least * len(items), size
 
 
+@pytest.mark.parametrize("kind", ["ascii", "han", "spaced"])
+def test_the_index_of_a_full_block_is_bounded(spark, kind):
+    """Items of over a block, unspaced (an entry a character) and spaced, are cut so that no block's index passes 100 MB."""
+    rnd = random.Random(1)
+    letters = "一二三四五六七八九十" if kind == "han" else "abcdefghij"
+    one = "".join(rnd.choice(letters) for _ in range(3000))
+    one = " ".join(one[i : i + 5] for i in range(0, 3000, 5)) if kind == "spaced" else one
+    items = [(i, one[k:] + one[:k]) for i, k in enumerate(range(0, 900 if kind == "spaced" else 220))]
+    placed = DC.in_blocks(spark.createDataFrame(items, "item_id long, text string")).collect()
+    blocks = {b: [(r.item_id, DC._plain(r.text)) for r in placed if r.block == b] for b in {r.block for r in placed}}
+    assert len(placed) == len(items) and len(blocks) == 2
+    sizes = [len(pickle.dumps(DC.build(x, DC.STEPS, DC.STRIDE))) for x in blocks.values()]
+    assert 50e6 < max(sizes) < 100e6
+
+
 @pytest.mark.parametrize("block", [DC.BLOCK, 50 * DC.EACH])
 def test_decontamination_rows_do_not_depend_on_blocks(spark, odd, block):
     """2,001 items, repeated rows, blank and very long texts: a row for every row, in one block or many."""
