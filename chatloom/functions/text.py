@@ -88,10 +88,9 @@ def replace_words(col: Column, mapping: dict[str, str]) -> Column:
         return F.coalesce(cased, w)
 
     known = lambda w: F.map_contains_key(table, F.lower(w))
-    parts = _parts(col)
     guard = F.lower(col).rlike(any_of(sorted(mapping)))
-    n = F.when(guard, F.size(F.filter(parts, known))).otherwise(F.lit(0))
-    return F.struct(F.when(guard, F.array_join(F.transform(parts, one), "")).otherwise(col).alias("text"), n.alias("n"))
+    new = let(_parts(col), lambda parts: F.struct(F.array_join(F.transform(parts, one), "").alias("text"), F.size(F.filter(parts, known)).alias("n")))
+    return F.when(guard, new).otherwise(F.struct(col.alias("text"), F.lit(0).alias("n")))
 
 
 _RUN = rf"({EMOJI})[ \t]?({EMOJI})[ \t]?(?:{EMOJI}[ \t]?)*{EMOJI}(?:( )|\t)?"
@@ -104,11 +103,14 @@ def collapse_emoji_runs(col: Column) -> Column:
 
 def cap_emoji(col: Column, most: int) -> Column:
     """struct(text, n): the emoji after the first most deleted."""
-    found = F.regexp_extract_all(col, F.lit(EMOJI), F.lit(0))
     gaps = F.split(col, EMOJI, -1)
-    kept = F.transform(gaps, lambda g, i: F.concat(g, F.when(i < most, F.coalesce(F.get(found, i), F.lit(""))).otherwise(F.lit(""))))
-    n = F.greatest(F.size(found) - most, F.lit(0))
-    return F.struct(F.when(n > 0, F.array_join(kept, "")).otherwise(col).alias("text"), n.alias("n"))
+
+    def capped(found: Column) -> Column:
+        kept = F.transform(gaps, lambda g, i: F.concat(g, F.when(i < most, F.coalesce(F.get(found, i), F.lit(""))).otherwise(F.lit(""))))
+        n = F.greatest(F.size(found) - most, F.lit(0))
+        return F.struct(F.when(n > 0, F.array_join(kept, "")).otherwise(col).alias("text"), n.alias("n"))
+
+    return let(F.regexp_extract_all(col, F.lit(EMOJI), F.lit(0)), capped)
 
 
 def squeeze_if_changed(col: Column, n: Column) -> Column:
@@ -118,8 +120,11 @@ def squeeze_if_changed(col: Column, n: Column) -> Column:
 
 def repaired(col: Column, mapping: dict[str, str], emoji_cap: int) -> Column:
     """struct(text, n): word replacement, then emoji runs, then the emoji cap, then squeezing."""
-    words = replace_words(col, mapping)
-    runs = collapse_emoji_runs(words["text"])
-    caps = cap_emoji(runs["text"], emoji_cap)
-    emoji = runs["n"] + caps["n"]
-    return F.struct(squeeze_if_changed(caps["text"], emoji).alias("text"), (words["n"] + emoji).alias("n"))
+
+    def squeezed(n_words: Column, n_runs: Column, caps: Column) -> Column:
+        emoji = n_runs + caps["n"]
+        return F.struct(squeeze_if_changed(caps["text"], emoji).alias("text"), (n_words + emoji).alias("n"))
+
+    # Each step is made once, though the next ones name it several times.
+    caps = lambda w, r: let(cap_emoji(r["text"], emoji_cap), lambda c: squeezed(w["n"], r["n"], c))
+    return let(replace_words(col, mapping), lambda w: let(collapse_emoji_runs(w["text"]), lambda r: caps(w, r)))

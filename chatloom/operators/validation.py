@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.config import Config
-from chatloom.functions.text import LETTER, any_of, count_lines, repaired
+from chatloom.functions.text import LETTER, any_of, count_lines, let, repaired
 from chatloom.operators.parsing import TURNS, parse_turns, render
 from chatloom.sources.scratch import stored
 
@@ -95,10 +95,12 @@ def apply_fixes(turns: Column, cfg: Config) -> Column:
             .otherwise(F.struct(t["text"].alias("text"), F.lit(0).alias("n"))).alias("r"),
         ),
     )
-    return F.struct(
-        F.transform(fixed, lambda x: F.struct(x["role"].alias("role"), x["r"]["text"].alias("text"))).alias("turns"),
-        F.aggregate(fixed, F.lit(0), lambda a, x: a + x["r"]["n"]).alias("n"),
-    )
+
+    def parted(rows: Column) -> Column:
+        own = F.transform(rows, lambda x: F.struct(x["role"].alias("role"), x["r"]["text"].alias("text")))
+        return F.struct(own.alias("turns"), F.aggregate(rows, F.lit(0), lambda a, x: a + x["r"]["n"]).alias("n"))
+
+    return let(fixed, parted)
 
 
 def process(raw: DataFrame, cfg: Config) -> DataFrame:
