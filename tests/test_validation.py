@@ -122,3 +122,10 @@ def test_repeated_phrases_count_conversations_not_turns(spark):
     rows = [(1, 0, "assistant", "a b c d"), (1, 1, "assistant", "a b c"), (2, 0, "assistant", "x A  B\nC"), (2, 1, "user", "b c d"), (3, 0, "assistant", None), (3, 1, "assistant", "x y x y x y")]
     got = {tuple(r) for r in V.repeated_phrases(spark.createDataFrame(rows, TURN), 3, 2).collect()}
     assert got == {("a b c", 2)}
+
+
+def test_a_repair_makes_each_step_once(spark):
+    df = spark.createDataFrame([("the foo 😀😀😀😀 x",)], "text string").select(X.repaired(F.col("text"), {"foo": "bar"}, 1).alias("r"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert [plan.count(f"{x}(") for x in ("regexp_extract_all", "regexp_count", "map_contains_key")] == [2, 1, 1]
+    assert tuple(df.first().r) == ("the bar 😀 x", 3)
