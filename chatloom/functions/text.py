@@ -46,9 +46,9 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def count_lines(col: Column) -> Column:
     """Lines that are not blank; for a single line its sentences, at least one."""
-    lines = F.filter(F.split(col, "\n"), lambda x: strip(x) != "")
-    n = F.size(lines)
-    return F.when(n == 1, F.greatest(F.lit(1), F.regexp_count(F.get(lines, F.lit(0)), F.lit(SENTENCE_END)))).otherwise(n)
+    sentences = lambda line: F.greatest(F.lit(1), F.regexp_count(line, F.lit(SENTENCE_END)))
+    counted = lambda lines: F.when(F.size(lines) == 1, sentences(F.get(lines, F.lit(0)))).otherwise(F.size(lines))
+    return let(F.filter(F.split(col, "\n"), lambda x: strip(x) != ""), counted)
 
 
 def reason_family(col: Column) -> Column:

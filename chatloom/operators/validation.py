@@ -43,12 +43,16 @@ def alternation_reason(turns: Column) -> Column:
 
 def turn_reason(role: Column, text: Column, cfg: Config) -> Column:
     """The first rule, by rank, that a turn breaks, else null."""
-    out = F.lit(None).cast("string")
-    for rule in sorted(cfg.rules, key=lambda r: -r.rank):
-        hit = text.rlike(rule.pattern) if rule.raw else F.lower(text).rlike(rule.pattern)
-        scope = F.lit(True) if rule.scope == "any" else role == "assistant"
-        out = F.when(scope & hit, F.lit(rule.reason)).otherwise(out)
-    return out
+
+    def first(lower: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for rule in sorted(cfg.rules, key=lambda r: -r.rank):
+            hit = (text if rule.raw else lower).rlike(rule.pattern)
+            scope = F.lit(True) if rule.scope == "any" else role == "assistant"
+            out = F.when(scope & hit, F.lit(rule.reason)).otherwise(out)
+        return out
+
+    return let(F.lower(text), first)
 
 
 def scan_rules(turns: DataFrame, cfg: Config) -> DataFrame:
@@ -71,18 +75,21 @@ def best_lines(turns: Column) -> Column:
 
 
 def min_length_reason(turns: Column, least: int) -> Column:
-    best = F.coalesce(best_lines(turns), F.lit(0))
-    return F.when(best < least, F.concat(F.lit("no_turn_reaches_min_length(best="), best.cast("string"), F.lit(")")))
+    named = lambda best: F.concat(F.lit("no_turn_reaches_min_length(best="), best.cast("string"), F.lit(")"))
+    return let(F.coalesce(best_lines(turns), F.lit(0)), lambda best: F.when(best < least, named(best)))
 
 
 def soft_flags(turns: Column, cfg: Config) -> Column:
     """Array of flags over the joined assistant text, in the order of the rule lists."""
-    joined = F.array_join(assistant_texts(turns), "\n")
-    flags = [F.when(joined.rlike(f"(?i){p}"), F.lit(f"scene:{p[:24]}")) for p in cfg.scene_patterns]
-    flags += [F.when(F.regexp_count(joined, F.lit(f"(?i){p}")) > cfg.overused_max, F.lit(f"overused:{p[:16]}")) for p in cfg.overused_stems]
-    if cfg.refusal_phrases:
-        flags.append(F.when(F.lower(joined).rlike(any_of(cfg.refusal_phrases)), F.lit("refusal")))
-    return F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+
+    def flags_of(joined: Column) -> Column:
+        flags = [F.when(joined.rlike(f"(?i){p}"), F.lit(f"scene:{p[:24]}")) for p in cfg.scene_patterns]
+        flags += [F.when(F.regexp_count(joined, F.lit(f"(?i){p}")) > cfg.overused_max, F.lit(f"overused:{p[:16]}")) for p in cfg.overused_stems]
+        if cfg.refusal_phrases:
+            flags.append(F.when(F.lower(joined).rlike(any_of(cfg.refusal_phrases)), F.lit("refusal")))
+        return F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+
+    return let(F.array_join(assistant_texts(turns), "\n"), flags_of)
 
 
 def apply_fixes(turns: Column, cfg: Config) -> Column:
