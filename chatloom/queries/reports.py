@@ -15,6 +15,7 @@ from chatloom.queries.duplicates import TTL as _TTL
 from chatloom.sources import conversations as S
 from chatloom.sources.scratch import scratch, stored
 from chatloom.streaming import jobs as J
+from chatloom.streaming.anchor_table import AnchorSink
 from chatloom.streaming.batches import BatchSink, routed_batches
 
 AS_OF = "2024-01-28 12:00:00"
@@ -174,15 +175,21 @@ PARTS, PART_ROWS = 4, 1_000_000
 
 
 def _stream(spark, df, order: str):
-    """df as a stream of micro-batches in order: its ranges by the order, each written after the one before."""
-    src = scratch(spark, "stream-in")
-    placed = stored(numbered(df, [order], "_number", lazy=True), "numbered")
-    n = placed.count()
+    """df as a stream of micro-batches in order: its ranges by the order, each written after the one before, by all cores as equally many files."""
+    src, ranges = scratch(spark, "stream-in"), scratch(spark, "stream-ranges")
+    rows = stored(df, "stream-rows")
+    n = rows.count()
     parts = max(PARTS, -(-n // PART_ROWS))
+    files = max(1, min(spark.sparkContext.defaultParallelism, n // parts))
+    # The rows from n * k // parts on are part k.
+    part = F.expr(f"CAST(((_number + 1) * {parts} - 1) div {max(n, 1)} AS INT)")
+    placed = numbered(rows, [order], "_number").withColumn("_part", part)
+    placed.write.partitionBy("_part").parquet(ranges)
+    dealt = spark.read.schema(placed.schema).parquet(ranges)
     for k in range(parts):
-        own = placed.where((F.col("_number") >= n * k // parts) & (F.col("_number") < n * (k + 1) // parts)).drop("_number")
-        own.coalesce(1).write.mode("append").parquet(src)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        own = dealt.where(F.col("_part") == k).repartitionById(files, (F.col("_number") % files).cast("int"))
+        own.select(*df.columns).write.mode("append").parquet(src)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(src)
 
 
 def _ran(spark, stream, name: str, keys: list[str] | None = None):
@@ -200,7 +207,9 @@ def _ran(spark, stream, name: str, keys: list[str] | None = None):
 def stream_dedup(spark, d):
     stretched = F.timestamp_seconds(F.lit(1704067200) + (F.unix_seconds("ts") - 1704067200) * 18)
     own = _events(spark, d).select(F.concat_ws(":", "user_id", "event_type").alias("hash"), stretched.alias("created_at"))
-    return _ran(spark, J.dedup_with_memory(_stream(spark, own, "created_at"), DAYS), "stream-dedup").groupBy("hash").agg(F.count("*").alias("anchors"))
+    sink = AnchorSink(scratch(spark, "stream-dedup"), DAYS)
+    J.run_once(_stream(spark, own, "created_at"), scratch(spark, "stream-dedup-checkpoint"), sink=sink)
+    return sink.anchors(spark).groupBy("hash").agg(F.count("*").alias("anchors"))
 
 
 def stream_daily(spark, d):

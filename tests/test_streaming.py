@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from chatloom.config import Config
 from chatloom.operators import dedup as D
+from chatloom.queries import reports as Q
 from chatloom.sources import conversations as S
 from chatloom.streaming import jobs as J
 from chatloom.streaming import near_index as N
+from chatloom.streaming.anchor_table import AnchorSink
 from chatloom.streaming.batches import BatchSink, routed_batches
 
 T0 = dt.datetime(2024, 1, 1)
@@ -228,3 +230,57 @@ def test_what_a_micro_batch_shuffles_does_not_follow_the_memory(spark, tmp_path)
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("days", [3, 30])
+def test_the_anchor_table_gives_the_anchors_of_the_whole(spark, tmp_path, days):
+    """Over restarts and a repeated micro-batch; equal and null hashes, and sightings at the memory's very end."""
+    rnd = random.Random(3)
+    rows = [(T0 + dt.timedelta(hours=6 * rnd.randrange(4 * 400)), rnd.choice(["a", "b", "c", "d", None])) for _ in range(300)]
+    rows = sorted(rows + [(T0, "e"), (T0 + dt.timedelta(days=days), "e"), (T0 + dt.timedelta(days=days), "e")], key=lambda r: r[0])
+    schema = "created_at timestamp, hash string"
+    add, stream = feed(spark, tmp_path, schema)
+    sink = AnchorSink(str(tmp_path / "out"), days)
+    for k in range(5):
+        add(rows[61 * k : 61 * k + 61])
+        if k % 2 == 0:
+            J.run_once(stream(), str(tmp_path / "check"), sink=sink)
+    again = spark.createDataFrame(rows[61 * 4 :], schema)
+    sink(again, 4)
+    got = sorted((r.created_at, str(r.hash)) for r in AnchorSink(str(tmp_path / "out"), days).anchors(spark).collect())
+    batch = D.ttl_anchor(spark.createDataFrame(rows, schema), days).where("NOT duplicate")
+    assert got == sorted((r.created_at, str(r.hash)) for r in batch.collect())
+
+
+def test_the_anchor_table_drops_late_rows_and_opens_only_parts_within_the_memory(spark, tmp_path, monkeypatch):
+    opened, own = [], AnchorSink._parts
+    sink = AnchorSink(str(tmp_path / "out"), 30)
+    step = lambda days, n: sink(spark.createDataFrame([(T0 + dt.timedelta(days=d), h) for d, h in days], "created_at timestamp, hash string"), n)
+    monkeypatch.setattr(AnchorSink, "_parts", lambda self, spark, numbers: opened.append(numbers) or own(self, spark, numbers))
+    step([(0, "a"), (1, "b")], 0)
+    step([(29, "a"), (32, "c")], 1)
+    step([(30, "late"), (31.5, "in time"), (50, "a")], 3)
+    step([(90, "c")], 4)
+    step([], 5)
+    # Part 0 ends 31 days before the newest sighting, the memory and the day that rows may be late.
+    assert opened == [[0], [1], [1, 3], [4]]
+    monkeypatch.undo()
+    got = sorted(((r.created_at - T0).total_seconds() / 86_400, r.hash) for r in sink.anchors(spark).collect())
+    assert got == [(0, "a"), (1, "b"), (31.5, "in time"), (32, "c"), (50, "a"), (90, "c")]
+
+
+@pytest.mark.parametrize(("n", "size"), [(103, 20), (3, 20), (0, 20)])
+def test_a_streamed_table_comes_in_order_and_is_written_by_many_tasks(spark, tmp_path, monkeypatch, n, size):
+    monkeypatch.setattr(Q, "PART_ROWS", size)
+    got, files = {}, {}
+
+    def sink(batch, number):
+        got[number] = sorted(r.i for r in batch.select("i").collect())
+        files[number] = batch.select("i", F.input_file_name().alias("f")).select("f").distinct().count()
+
+    J.run_once(Q._stream(spark, spark.range(n).select((n - 1 - F.col("id")).alias("i")), "i"), str(tmp_path / "check"), sink=sink)
+    parts = max(4, -(-n // size))
+    want = [list(range(n * k // parts, n * (k + 1) // parts)) for k in range(parts)]
+    assert [x for _, x in sorted(got.items())] == want
+    # One file a micro-batch made every step on it a single task.
+    assert n < 100 or min(files.values()) == 8
