@@ -34,8 +34,8 @@ PAIRED = 120
 
 
 def replies_of(turns: Column) -> Column:
-    """The assistant's replies, normalised, without blank ones."""
-    return F.filter(F.transform(assistant_texts(turns), normalize), lambda x: x != "")
+    """The assistant's replies without blank ones."""
+    return F.filter(assistant_texts(turns), lambda x: x.rlike(r"\S"))
 
 
 def signature(replies: Column, text: Column) -> Column:
@@ -55,7 +55,10 @@ def opening(replies: Column) -> Column:
 def keyed(convs: DataFrame) -> DataFrame:
     """convs(seq, conv_id, turns, text) with hash, signature and opening."""
     # A generator in between keeps the optimizer from making the replies anew in every place that names them.
-    own = convs.select("*", F.explode(F.array(replies_of(F.col("turns")))).alias("_replies"))
+    own = convs.select("*", F.explode(F.array(replies_of(F.col("turns")))).alias("_said"))
+    # Only the first and the last reply are asked for, so only these are normalised.
+    ends = F.concat(F.slice("_said", 1, 1), F.slice("_said", -1, 1))
+    own = own.select("*", F.explode(F.array(F.transform(ends, normalize))).alias("_replies")).drop("_said")
     text, replies = F.col("text"), F.col("_replies")
     return own.withColumns({"hash": content_hash(text), "signature": signature(replies, text), "opening": opening(replies)}).drop("_replies")
 
@@ -120,17 +123,16 @@ def similar_values(values: DataFrame, num: int, den: int, banded: bool = False)
     ordered = ranked.groupBy("id", "block").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("w"))
     ordered = stored(ordered.select("id", "block", F.col("w.word").alias("words"), F.size("w").cast("long").alias("n")), "ordered-words")
     entries = ordered.select("id", "block", "n", F.explode(prefix_keys(num, den)).alias("key")).select("id", "block", "n", "key.*")
-    shared = entries.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
-    met = stored(entries.join(shared, "h").withColumn("salts", F.ceil(F.col("k") / HEAVY).cast("int")), "prefix-keys")
-    left = met.select("h", "block", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), "before", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
-    right = met.select("h", "block", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    if banded:
-        right = right.withColumn("own", F.col("block")).withColumn("block", F.explode(F.array(F.col("block"), F.col("block") + 1)))
-        order = (F.col("own") < F.col("block")) | (F.col("y") < F.col("x"))
-    else:
-        order = F.col("y") < F.col("x")
+    # A key's sets are those that can meet: all, or with banded those of a block and the one before, however many blocks hold the key.
+    reach = entries.withColumn("in", F.explode(F.array(F.col("block"), F.col("block") + 1))) if banded else entries.withColumn("in", F.col("block"))
+    shared = reach.groupBy("h", "in").agg(F.count("*").alias("k"), F.count_if(F.col("in") == F.col("block")).alias("own")).where("k > 1 AND own > 0")
+    met = stored(reach.join(shared.select("h", "in", F.ceil(F.col("k") / HEAVY).cast("int").alias("salts")), ["h", "in"]), "prefix-keys")
+    left = met.where(F.col("in") == F.col("block")).select("h", "in", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), "before", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
+    right = met.select("h", "in", "block", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    # Of one block the earlier set stands on the right; those of the block before are all earlier.
+    order = (F.col("block") < F.col("in")) | (F.col("y") < F.col("x"))
     near = order & reachable("nx", "ax", "ny", "ay", num, den)
-    found = stored(left.join(right, ["h", "block", "salt"]).where(near).select(F.col("y").alias("a"), F.col("x").alias("b")).distinct(), "candidates")
+    found = stored(left.join(right, ["h", "in", "salt"]).where(near).select(F.col("y").alias("a"), F.col("x").alias("b")).distinct(), "candidates")
     of = lambda i, w: ordered.select(F.col("id").alias(i), F.col("words").alias(w))
     common = F.size(F.array_intersect("wa", "wb"))
     both = found.join(of("a", "wa"), "a").join(of("b", "wb"), "b").select("a", "b", common.alias("common"), (F.size("wa") + F.size("wb")).alias("sum"))

@@ -85,7 +85,7 @@ def opening_dups(spark, d):
 
 def recent_band(spark, d):
     """Rows that one of the newest signatures or openings before them repeats."""
-    own = _written(spark, d)
+    own = stored(_keyed(spark, d).select("seq", "signature", "opening"), "keyed")
     signatures = D.similar_within(own, "signature", 9, 10, RECENT["signature"]).select("seq", F.lit("signature").alias("memory"))
     return signatures.unionByName(D.similar_within(own, "opening", 19, 20, RECENT["opening"], blank_equal=True).select("seq", F.lit("opening").alias("memory")))
 

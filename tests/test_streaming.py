@@ -284,3 +284,18 @@ def test_a_streamed_table_comes_in_order_and_is_written_by_many_tasks(spark, tmp
     assert [x for _, x in sorted(got.items())] == want
     # One file a micro-batch made every step on it a single task.
     assert n < 100 or min(files.values()) == 8
+
+
+def test_what_the_band_shuffles_grows_with_the_rows(spark, monkeypatch):
+    """A key in many blocks is dealt by the sets that can meet in one, not by those of the whole table."""
+    monkeypatch.setattr(D, "HEAVY", 20)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen = []
+        for n in (400, 1600):
+            df = spark.range(n).select(F.col("id").alias("seq"), F.concat(F.lit("a b c d e f g h i j w"), "id").alias("signature"))
+            seen.append(shuffled(spark, lambda df=df: D.similar_within(df, "signature", 9, 10, 40).count()))
+        assert seen[1] < 6 * seen[0], seen
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
