@@ -13,7 +13,7 @@ NORM = "regexp_replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '\\s+
 
 
 def _docs(spark, d):
-    lines = F.filter(F.split("text", "\n"), lambda x: X.strip(x) != "")
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"\S"))
     turns = F.transform(lines, lambda x: F.struct(F.lit("assistant").alias("role"), x.alias("text")))
     return read(spark, d, "documents").select(F.col("doc_id").alias("seq"), F.col("doc_id").alias("conv_id"), "text", turns.alias("turns"))
 

@@ -5,16 +5,20 @@ Rows later than the watermark are dropped by the stateful jobs, so that their st
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from chatloom.config import Config
+from chatloom.operators.ordering import numbered
 from chatloom.operators.validation import process
 from chatloom.sources.scratch import stored
 from chatloom.streaming.near_index import NearIndex
@@ -89,14 +93,21 @@ def near_duplicate_sink(state_path: str, out_path: str, caps: dict[str, int], si
     named by its number; a repeat replaces them, from the state before.
     """
 
+    kinds = {"signature": sig, "opening": opn}
+
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        own, near = stored(batch.select("seq", "signature", "opening"), "micro-batch"), None
-        for kind, (num, den) in {"signature": sig, "opening": opn}.items():
-            index = NearIndex(spark, f"{state_path}/{kind}", num, den, caps[kind], blank_equal=kind == "opening")
-            found = index.step(number, own.select("seq", F.col(kind).alias("value"))).withColumn("memory", F.lit(kind))
-            near = found if near is None else near.unionByName(found)
-        near.write.mode("overwrite").parquet(f"{out_path}/{number}")
+        own = numbered(batch.select("seq", "signature", "opening"), ["seq"], "number", lazy=True)
+        own = stored(own, "micro-batch")
+
+        def found(kind: str) -> DataFrame:
+            index = NearIndex(spark, f"{state_path}/{kind}", *kinds[kind], caps[kind], blank_equal=kind == "opening")
+            return index.step(number, own.select("seq", F.col(kind).alias("value"), "number")).withColumn("memory", F.lit(kind))
+
+        # The two memories know nothing of each other; side by side the many short stages of one fill the cores that the other's leave idle.
+        with ThreadPoolExecutor(len(kinds)) as pool:
+            near = [x.result() for x in [pool.submit(inheritable_thread_target(spark)(found), kind) for kind in kinds]]
+        functools.reduce(DataFrame.unionByName, near).write.mode("overwrite").parquet(f"{out_path}/{number}")
 
     return step
 
@@ -118,8 +129,18 @@ def leaf_counters(stream: DataFrame) -> DataFrame:
     return stream.groupBy("leaf_path").agg(F.count("*").alias("n"))
 
 
+#: Shuffle partitions of a micro-batch, and so of a new stream's state, for each core at most.
+PER_CORE = 2
+
+
 def run_once(stream: DataFrame, checkpoint: str, mode: str = "append", sink: Any = None, name: str | None = None, path: str | None = None) -> None:
-    """Takes in all that is there and stops; the checkpoint makes a restart go on where it ended."""
+    """Takes in all that is there and stops; the checkpoint makes a restart go on where it ended.
+
+    A micro-batch is of bounded size, so it is shuffled to as many partitions as the cores work on, even where the session,
+    for whole tables, has more: each one is a task, and of stateful streams a store, in every micro-batch.
+    """
+    spark, key = stream.sparkSession, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
     out = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if sink is not None:
         out = out.foreachBatch(sink)
@@ -127,4 +148,10 @@ def run_once(stream: DataFrame, checkpoint: str, mode: str = "append", sink: Any
         out = out.format("parquet").option("path", path)
     else:
         out = out.format("memory").queryName(name)
-    out.start().awaitTermination()
+    # A stream runs in a copy of the session that starting it makes.
+    spark.conf.set(key, min(int(before), PER_CORE * spark.sparkContext.defaultParallelism))
+    try:
+        query = out.start()
+    finally:
+        spark.conf.set(key, before)
+    query.awaitTermination()

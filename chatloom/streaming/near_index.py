@@ -1,11 +1,12 @@
 """Near duplicates against a rolling memory that is kept as an index between micro-batches.
 
-The newest rows' strings are remembered as tables in a folder: their prefix keys, bucketed by key, their words,
-bucketed by row, and the word frequencies that order every prefix, bucketed by word. A micro-batch is numbered on, its
-strings are ordered by the remembered frequencies (a word without one counts as rarest) and appended, and its keys are
+The newest rows' strings are remembered as tables in a folder: their prefix keys, bucketed by key, and their words,
+bucketed by row. Beside them a file has the word frequencies that order every prefix, as a level for each of CELLS
+cells that words are hashed to, so that strings are put in order row by row. A micro-batch is numbered on, its strings
+are ordered by the remembered levels (a cell without a word is the rarest) and appended, and its keys are
 joined with the tables. The tables are dealt already, so only the micro-batch's rows, keys and candidates are shuffled,
-however much is remembered. Parts that are too old for the memory are dropped; after REBUILD parts the tables are
-written anew with fresh frequencies, as one part.
+however much is remembered, and of the parts before only strings that a new row can reach are read. Parts that are too
+old for the memory are dropped; after REBUILD parts the tables are written anew with fresh levels, as one part.
 
 Keys carry the number of a block of as many rows as the memory has; a string meets those of its own block and the
 one before, and stands once a micro-batch and block, so a key has at most so many strings on either side. A manifest
@@ -18,6 +19,7 @@ import hashlib
 import json
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,12 +34,15 @@ REBUILD = 50
 TABLES = {
     "keys": ("h long, id long, last long, n long, at int, before int", "h"),
     "strings": ("id long, last long, block long, digest string, words array<string>", "id"),
-    "words": ("word string, df long", "word"),
 }
 #: The place of the key of a whole string, on which equal strings meet.
 WHOLE = -1
-#: The part that a version's frequencies are, which stays as long as the version.
-WORDS = -1
+#: Cells that words are hashed to for their frequencies, and steps of these to a doubling; which order it is matters for speed alone.
+CELLS, STEPS = 1 << 16, 8
+
+
+def _cell(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(CELLS)).cast("int")
 
 
 class NearIndex:
@@ -103,11 +108,12 @@ class NearIndex:
     def _read(self, manifest: dict, what: str, parts: list[int]) -> DataFrame:
         return self.spark.table(self._table(manifest["version"], what, manifest["buckets"])).where(F.col("part").isin(parts))
 
-    def _ordered(self, strings: DataFrame, words: DataFrame) -> DataFrame:
-        """strings with their words in order from rare to frequent by words(word, df)."""
-        each = strings.select("id", F.explode("words").alias("word")).join(words.select("word", "df"), "word", "left")
-        own = each.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "word"))).alias("w"))
-        return strings.drop("words").join(own, "id", "left").withColumn("words", F.coalesce(F.col("w.word"), F.array().cast("array<string>"))).drop("w")
+    def _ordered(self, strings: DataFrame, version: int) -> DataFrame:
+        """strings with their words in order from rare to frequent by the version's levels."""
+        levels = F.lit(bytearray(self._levels(version)))
+        level = lambda w: F.substr(levels, _cell(w) + 1, F.lit(1))
+        placed = F.array_sort(F.transform("words", lambda w: F.struct(level(w).alias("level"), w.alias("word"))))
+        return strings.withColumn("words", F.transform(placed, lambda x: x["word"]))
 
     def _keys(self, strings: DataFrame) -> DataFrame:
         """(h, id, last, n, at, before, block): a key for the whole string and those of its prefix."""
@@ -126,39 +132,54 @@ class NearIndex:
         self._append(version, "strings", part, strings, buckets)
         self._append(version, "keys", part, self._keys(strings).withColumn("h", self._at_block("h", F.col("block"))), buckets)
 
-    def _words_of(self, version: int, strings: DataFrame, buckets: int) -> None:
-        """The frequencies of a version, which never change: all of its prefixes are in one order."""
-        counts = strings.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-        self._drop(version, WORDS)
-        self._append(version, "words", WORDS, counts, buckets)
+    def _levels(self, version: int) -> bytes:
+        stream = fs_path(self.spark, f"{self.path}/v{version}/levels")
+        opened = stream[0].open(stream[1])
+        try:
+            return bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(opened))
+        finally:
+            opened.close()
+
+    def _words_of(self, version: int, strings: DataFrame) -> None:
+        """The levels of a version, which never change: all of its prefixes are in one order."""
+        counts = strings.select(F.explode("words").alias("word")).groupBy(_cell(F.col("word")).alias("cell")).agg(F.count("*").alias("df")).toPandas()
+        levels = np.zeros(CELLS, dtype=np.uint8)
+        levels[counts["cell"].to_numpy(dtype=np.int64)] = np.minimum(STEPS * np.log2(1 + counts["df"].to_numpy(dtype=np.float64)), 255)
+        fs, where = fs_path(self.spark, f"{self.path}/v{version}/levels")
+        out = fs.create(where, True)
+        out.write(bytearray(levels.tobytes()))
+        out.close()
 
     def step(self, number: int, rows: DataFrame) -> DataFrame:
-        """(seq,) of rows(seq, value), the micro-batch of that number, which one of the cap rows before is similar or equal to; remembers them."""
+        """(seq,) of rows(seq, value), the micro-batch of that number, which one of the cap rows before is similar or equal to; remembers them.
+
+        With a column number the rows are written and numbered from 0 already.
+        """
         before = self._manifest(number)
         buckets, parts = before["buckets"], {int(k): v for k, v in before["parts"].items()}
         value = F.coalesce("value", F.lit(""))
-        placed = numbered(rows.select("seq", value.alias("value"), F.md5(value).alias("digest")), ["seq"], "number", lazy=True)
-        placed = placed.withColumn("number", F.col("number") + before["rows"]).withColumn("block", F.floor(F.col("number") / self.cap).cast("long"))
-        placed = stored(placed, "numbered-rows")
+        placed = rows if "number" in rows.columns else numbered(rows.select("seq", "value"), ["seq"], "number", lazy=True)
+        placed = placed.select("seq", value.alias("value"), F.md5(value).alias("digest"), (F.col("number") + before["rows"]).alias("number"))
+        placed = stored(placed.withColumn("block", F.floor(F.col("number") / self.cap).cast("long")), "numbered-rows")
         n = placed.count()
         if not n:
             self._commit(number, before)
             return rows.select("seq").limit(0)
         strings = placed.groupBy("block", "digest").agg(F.min("number").alias("id"), F.max("number").alias("last"), F.first("value").alias("value"))
-        strings = stored(strings.select("id", "last", "block", "digest", tokens(F.col("value")).alias("words")), "strings")
+        strings = strings.select("id", "last", "block", "digest", tokens(F.col("value")).alias("words"))
         version, part = before["version"], number + 1
         remembered = [p for p, last in parts.items() if last >= before["rows"] - self.cap and p != part]
         if version is None or len(remembered) >= REBUILD:
             old = strings.limit(0) if version is None else self._read(before, "strings", remembered).drop("part")
-            old = stored(old, "remembered")
+            old, strings = stored(old, "remembered"), stored(strings, "strings")
             self._anew(number, old, strings, buckets)
             version, kept = number, {0: before["rows"] - 1}
         else:
             kept = {p: parts[p] for p in remembered}
         now = {"rows": before["rows"] + n, "version": version, "buckets": buckets, "parts": kept | {part: before["rows"] + n - 1}, "old": before["version"]}
-        ordered = stored(self._ordered(strings, self._read(now, "words", [WORDS])), "ordered-words")
+        ordered = stored(self._ordered(strings, version), "ordered-words")
         self._write(version, part, ordered, buckets)
-        hits = stored(self._near(placed, ordered, now, part), "near")
+        hits = stored(self._near(placed, ordered, now, part, before["rows"] - self.cap), "near")
         self._commit(number, now)
         if version == before["version"]:
             for p in set(parts) - set(now["parts"]):
@@ -176,25 +197,24 @@ class NearIndex:
 
     def _anew(self, version: int, old: DataFrame, new: DataFrame, buckets: int) -> None:
         """A version with fresh frequencies, the remembered strings as its part 0."""
-        self._words_of(version, old.select("words").unionByName(new.select("words")), buckets)
-        words = self.spark.table(self._table(version, "words", buckets))
-        ordered = stored(self._ordered(old, words), "ordered-words")
+        self._words_of(version, old.select("words").unionByName(new.select("words")))
+        ordered = stored(self._ordered(old, version), "ordered-words")
         self._drop(version, 0)
         for what, rows in (("strings", ordered), ("keys", self._keys(ordered).withColumn("h", self._at_block("h", F.col("block"))))):
             self._append(version, what, 0, rows, buckets)
 
-    def candidates(self, ordered: DataFrame, manifest: dict) -> DataFrame:
-        """Distinct (x, y, whole): strings of the micro-batch and earlier ones, in it or remembered, that meet on a key."""
+    def candidates(self, ordered: DataFrame, manifest: dict, since: int) -> DataFrame:
+        """Distinct (x, y, whole): strings of the micro-batch and earlier ones, in it or remembered with a row of number since or later, that meet on a key."""
         mine = self._keys(ordered).select("h", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.col("before").alias("own_before"), "block")
         mine = mine.select(F.explode(F.array(*(self._at_block("h", F.col("block") - k) for k in (0, 1)))).alias("h"), "x", "nx", "ax", "own_before")
-        known = self._read(manifest, "keys", list(manifest["parts"])).select("h", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), "before")
+        known = self._read(manifest, "keys", list(manifest["parts"])).where(F.col("last") >= since).select("h", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), "before")
         whole = (F.col("ax") == WHOLE) & (F.col("ay") == WHOLE)
         meet = F.when(whole, F.lit(True)).otherwise((F.col("ax") > WHOLE) & (F.col("ay") > WHOLE) & reachable("nx", "ax", "ny", "ay", self.num, self.den))
         return mine.join(known, "h").where((F.col("y") < F.col("x")) & meet).select("x", "y", whole.alias("whole")).distinct()
 
-    def _near(self, placed: DataFrame, ordered: DataFrame, manifest: dict, part: int) -> DataFrame:
-        met = stored(self.candidates(ordered, manifest), "candidates")
-        known = self._read(manifest, "strings", list(manifest["parts"])).select(F.col("id").alias("y"), F.col("last").alias("y_last"), F.col("block").alias("y_block"), F.col("part").alias("y_part"), F.col("digest").alias("y_digest"), F.col("words").alias("y_words"))
+    def _near(self, placed: DataFrame, ordered: DataFrame, manifest: dict, part: int, since: int) -> DataFrame:
+        met = stored(self.candidates(ordered, manifest, since), "candidates")
+        known = self._read(manifest, "strings", list(manifest["parts"])).where(F.col("last") >= since).select(F.col("id").alias("y"), F.col("last").alias("y_last"), F.col("block").alias("y_block"), F.col("part").alias("y_part"), F.col("digest").alias("y_digest"), F.col("words").alias("y_words"))
         own = ordered.select(F.col("id").alias("x"), F.col("block").alias("x_block"), F.col("digest").alias("x_digest"), F.col("words").alias("x_words"))
         both = met.join(known, "y").join(own, "x")
         common = F.size(F.array_intersect("x_words", "y_words"))

@@ -299,3 +299,42 @@ def test_what_the_band_shuffles_grows_with_the_rows(spark, monkeypatch):
         assert seen[1] < 6 * seen[0], seen
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_words_are_put_in_order_without_a_shuffle(spark, tmp_path):
+    """A micro-batch shuffles its strings and their keys, not each of their words twice."""
+    rnd = random.Random(1)
+    text = lambda: " ".join(f"w{rnd.randrange(100_000)}" for _ in range(130))
+    df = lambda a, b: spark.createDataFrame([(i, text()) for i in range(a, b)], "seq long, value string")
+    index = N.NearIndex(spark, str(tmp_path / "index"), 9, 10, 5000, buckets=2)
+    index.step(0, df(0, 20))
+    new = df(20, 120)
+    assert shuffled(spark, lambda: index.step(1, new).count()) < 100 * 130
+
+
+def test_a_new_row_is_compared_with_what_it_can_reach_alone(spark, tmp_path):
+    """Of a long part before, only the strings of the newest rows take part in the joins."""
+    df = lambda a, b: spark.createDataFrame([(i, f"a b c d e f g h i j w{i}") for i in range(a, b)], "seq long, value string")
+    index, met, own = N.NearIndex(spark, str(tmp_path / "index"), 4, 5, 10, buckets=2), [], N.NearIndex.candidates
+    index.candidates = lambda *x: met.append(own(index, *x)) or met[-1]
+    index.step(0, df(0, 19))
+    # Row 19's block and the one before begin with row 0, its memory with row 9.
+    assert index.step(1, df(19, 21)).count() == 2
+    assert {r.y for r in met[1].select("y").collect()} == set(range(9, 20))
+
+
+def test_a_stream_has_partitions_by_the_cores(spark, tmp_path):
+    """Also where the session has more for its large tables; the session's own number stays."""
+    key = "spark.sql.shuffle.partitions"
+    before, seen = spark.conf.get(key), []
+    spark.conf.set(key, "64")
+    try:
+        add, stream = feed(spark, tmp_path, "leaf_path string")
+        add([("a",), ("b",)])
+        check = str(tmp_path / "check")
+        J.run_once(J.leaf_counters(stream()), check, "update", sink=lambda batch, n: seen.append((batch.sparkSession.conf.get(key), batch.count())))
+        stores = spark.read.format("state-metadata").load(check).select("numPartitions").collect()
+        assert spark.conf.get(key) == "64"
+        assert seen == [("16", 2)] and [r.numPartitions for r in stores] == [16]
+    finally:
+        spark.conf.set(key, before)
