@@ -87,9 +87,12 @@ def replace_words(col: Column, mapping: dict[str, str]) -> Column:
         )
         return F.coalesce(cased, w)
 
+    # Most parts are no word of the mapping: each is looked up once, and only the found ones are cased.
     known = lambda w: F.map_contains_key(table, F.lower(w))
+    replaced = lambda w: F.when(known(w), F.struct(one(w).alias("text"), F.lit(1).alias("n"))).otherwise(F.struct(w.alias("text"), F.lit(0).alias("n")))
     guard = F.lower(col).rlike(any_of(sorted(mapping)))
-    new = let(_parts(col), lambda parts: F.struct(F.array_join(F.transform(parts, one), "").alias("text"), F.size(F.filter(parts, known)).alias("n")))
+    joined = lambda ws: F.struct(F.array_join(ws["text"], "").alias("text"), F.size(F.filter(ws["n"], lambda n: n > 0)).alias("n"))
+    new = let(F.transform(_parts(col), replaced), joined)
     return F.when(guard, new).otherwise(F.struct(col.alias("text"), F.lit(0).alias("n")))
 
 
