@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import itertools
+import time
+
 from pyspark.sql import functions as F
 
 from chatloom.operators import reporting as R
 from chatloom.operators import validation as V
-from chatloom.operators.ordering import numbered
 from chatloom.operators.parsing import to_chatml
 from chatloom.queries.base import CFG, DAY, PROMPT, convs, read, rendered
 from chatloom.queries.conversations import BATCHES, ROUTED
 from chatloom.queries.duplicates import BAND, RECENT, _keyed
 from chatloom.queries.duplicates import TTL as _TTL
 from chatloom.sources import conversations as S
-from chatloom.sources.scratch import scratch, stored
+from chatloom.sources.scratch import fs_path, scratch, stored
 from chatloom.streaming import jobs as J
 from chatloom.streaming.anchor_table import AnchorSink
 from chatloom.streaming.batches import BatchSink, routed_batches
@@ -174,22 +176,43 @@ def distinct_sketches(spark, d):
 PARTS, PART_ROWS = 4, 1_000_000
 
 
+def _keeps_times(spark) -> bool:
+    """Whether files of the shared folder can be given a time; object stores keep the one they were written at."""
+    fs, file = fs_path(spark, scratch(spark, "time"))
+    fs.create(file, True).close()
+    fs.setTimes(file, 1_000_000_000_000, -1)
+    return fs.getFileStatus(file).getModificationTime() == 1_000_000_000_000
+
+
 def _stream(spark, df, order: str):
-    """df as a stream of micro-batches in order: its ranges by the order, each written after the one before, by all cores as equally many files."""
-    src, ranges = scratch(spark, "stream-in"), scratch(spark, "stream-ranges")
-    rows = stored(df, "stream-rows")
-    n = rows.count()
+    """df as a stream of micro-batches in order: its ranges by the order, each later than the one before, written by all cores as equally many files."""
+    src, own = scratch(spark, "stream-in"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    # A slice is a range of the order; its rows are numbered as they are written, so they need not be sorted or joined again.
+    sliced = stored(df, "stream-rows").repartitionByRange(order).sortWithinPartitions(order)
+    sliced = stored(sliced.select("*", F.spark_partition_id().alias("_slice"), own.alias("_own")), "stream-slices")
+    sizes = {r["_slice"]: r["n"] for r in sliced.groupBy("_slice").agg(F.count("*").alias("n")).collect()}
+    before = list(itertools.accumulate((sizes.get(k, 0) for k in range(max(sizes, default=-1) + 1)), initial=0))
+    n = before[-1]
     parts = max(PARTS, -(-n // PART_ROWS))
     files = max(1, min(spark.sparkContext.defaultParallelism, n // parts))
+    number, part, file = F.get(F.lit(before), F.col("_slice")) + F.col("_own"), F.col("_part"), (F.col("_number") % files).cast("int")
     # The rows from n * k // parts on are part k.
-    part = F.expr(f"CAST(((_number + 1) * {parts} - 1) div {max(n, 1)} AS INT)")
-    placed = numbered(rows, [order], "_number").withColumn("_part", part)
-    placed.write.partitionBy("_part").parquet(ranges)
-    dealt = spark.read.schema(placed.schema).parquet(ranges)
-    for k in range(parts):
-        own = dealt.where(F.col("_part") == k).repartitionById(files, (F.col("_number") % files).cast("int"))
-        own.select(*df.columns).write.mode("append").parquet(src)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(src)
+    placed = sliced.select(*df.columns, number.alias("_number")).withColumn("_part", F.expr(f"CAST(((_number + 1) * {parts} - 1) div {max(n, 1)} AS INT)"))
+    if n >= parts and _keeps_times(spark):
+        placed.repartitionById(parts * files, part * files + file).drop("_number").write.partitionBy("_part").parquet(src)
+        begin = int(time.time() - parts) * 1000
+        for k in range(parts):
+            fs, folder = fs_path(spark, f"{src}/_part={k}")
+            for status in fs.listStatus(folder):
+                fs.setTimes(status.getPath(), begin + 1000 * k, -1)
+    else:
+        # Files have the time that they are written at, so one part after the other.
+        ranges = scratch(spark, "stream-ranges")
+        placed.write.partitionBy("_part").parquet(ranges)
+        dealt = spark.read.schema(placed.schema).parquet(ranges)
+        for k in range(parts):
+            dealt.where(part == k).repartitionById(files, file).select(*df.columns).write.parquet(f"{src}/_part={k}")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{src}/_part=*")
 
 
 def _ran(spark, stream, name: str, keys: list[str] | None = None):
@@ -200,8 +223,8 @@ def _ran(spark, stream, name: str, keys: list[str] | None = None):
         return spark.read.schema(stream.schema).parquet(out)
     J.run_once(stream, scratch(spark, f"{name}-checkpoint"), "update", sink=lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"))
     rows = spark.read.parquet(out)
-    rest = [c for c in stream.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last")).select(*keys, "last.*")
+    # A key is in a micro-batch's rows once. Column by column, as a struct would be sorted and not hashed.
+    return rows.groupBy(*keys).agg(*(F.max_by(c, "batch").alias(c) for c in stream.columns if c not in keys)).select(*stream.columns)
 
 
 def stream_dedup(spark, d):

@@ -338,3 +338,41 @@ def test_a_stream_has_partitions_by_the_cores(spark, tmp_path):
         assert seen == [("16", 2)] and [r.numPartitions for r in stores] == [16]
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("keeps", [True, False])
+def test_a_streamed_table_comes_in_order_wherever_it_is_written(spark, tmp_path, monkeypatch, keeps):
+    """Also with equal values at the borders, and where files can't be given a time."""
+    monkeypatch.setattr(Q, "_keeps_times", lambda spark: keeps)
+    monkeypatch.setattr(Q, "PART_ROWS", 50)
+    got = {}
+    df = spark.range(300).select((F.col("id") * 7 % 300 / 3).cast("int").alias("i"), "id")
+    stream = Q._stream(spark, df, "i")
+    assert stream.columns == ["i", "id"]
+    J.run_once(stream, str(tmp_path / "check"), sink=lambda batch, n: got.update({n: [tuple(r) for r in batch.collect()]}))
+    assert [sorted(i for i, _ in x) for _, x in sorted(got.items())] == [[i // 3 for i in range(k, k + 50)] for k in range(0, 300, 50)]
+    assert sorted(j for x in got.values() for _, j in x) == list(range(300))
+
+
+def test_a_streamed_table_takes_as_many_jobs_for_any_number_of_micro_batches(spark, monkeypatch):
+    """Each micro-batch's rows were shuffled and written by jobs of their own."""
+    df, jobs = spark.range(240).withColumnRenamed("id", "i"), []
+    for size in (60, 20):
+        monkeypatch.setattr(Q, "PART_ROWS", size)
+        spark.sparkContext.setJobGroup(f"parts of {size}", "")
+        Q._stream(spark, df, "i")
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"parts of {size}")))
+    spark.sparkContext.setJobGroup("rest", "")
+    assert jobs[0] == jobs[1] > 0
+
+
+def test_the_last_row_of_a_key_is_found_without_a_sort(spark, monkeypatch):
+    """A struct of the columns was sorted by key; nulls of the last row stay."""
+    monkeypatch.setattr(Q, "PART_ROWS", 25)
+    df = spark.range(100).select("id", (F.col("id") % 7).alias("k"), F.when(F.col("id") < 95, F.col("id")).alias("v"))
+    counts = Q._stream(spark, df, "id").groupBy("k").agg(F.count("*").alias("n"), F.max_by("v", "id").alias("v"))
+    out = Q._ran(spark, counts, "last", ["k"])
+    last = {k: max(i for i in range(100) if i % 7 == k) for k in range(7)}
+    assert sorted(tuple(r) for r in out.collect()) == [(k, len(range(k, 100, 7)), i if i < 95 else None) for k, i in last.items()]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
